@@ -146,11 +146,11 @@ def vocabulary_audit(stg_appts: DataFrame, stg_lds: DataFrame) -> DataFrame:
     single very common spelling costs one partial row per task.
     """
     a = stg_appts.groupBy(F.col("status_raw").alias("raw_value"), F.col("status").alias("mapped_value")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("vocabulary", F.lit("appointment_status"))
+        F.count(F.lit(1)).alias("n_rows")).withColumn("vocabulary", F.lit("appointment_status"))
     b = stg_lds.groupBy(F.col("lead_source_raw").alias("raw_value"), F.col("channel").alias("mapped_value")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("vocabulary", F.lit("lead_channel"))
+        F.count(F.lit(1)).alias("n_rows")).withColumn("vocabulary", F.lit("lead_channel"))
     return a.unionByName(b).select(
-        "vocabulary", "raw_value", "mapped_value", "rows",
+        "vocabulary", "raw_value", "mapped_value", "n_rows",
         (F.col("mapped_value").isNull() & F.col("raw_value").isNotNull()).alias("is_unmapped"))
 
 

@@ -23,10 +23,13 @@ class Models:
         self.raw = raw
         self.first_month = first_month
         self.last_month = last_month
+        self.sf_dir = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Models":
-        return cls(spark, _LazyRaw(spark, sf_dir), **kw)
+        m = cls(spark, _LazyRaw(spark, sf_dir), **kw)
+        m.sf_dir = sf_dir
+        return m
 
     # staging ---------------------------------------------------------------
     @cached_property

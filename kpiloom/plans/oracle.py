@@ -348,3 +348,265 @@ register("revenue_rollup", model_sql("revenue"))
 register("visit_rollup", model_sql("visits"))
 register("member_rollup", model_sql("members"))
 register("lead_rollup", model_sql("leadsr"))
+
+# --- B19 ------------------------------------------------------------------------
+register("vocabulary_audit", sql_for("""
+SELECT 'appointment_status' AS vocabulary, status_raw AS raw_value, status AS mapped_value, count(*) AS n_rows,
+       status IS NULL AND status_raw IS NOT NULL AS is_unmapped
+FROM stg_appointments GROUP BY status_raw, status
+UNION ALL
+SELECT 'lead_channel', lead_source_raw, channel, count(*), channel IS NULL AND lead_source_raw IS NOT NULL
+FROM stg_leads GROUP BY lead_source_raw, channel""", ["stg_appointments", "stg_leads"]))
+
+# --- F1-F5 ----------------------------------------------------------------------
+register("dq_not_null", sql_for("SELECT * FROM stg_customers WHERE email_normalized IS NULL", ["stg_customers"]))
+register("dq_unique", sql_for("""
+SELECT email_normalized, count(*) AS n FROM stg_customers WHERE email_normalized IS NOT NULL
+GROUP BY email_normalized HAVING count(*) > 1""", ["stg_customers"]))
+register("dq_accepted_values", sql_for("""
+SELECT appointment_id, status_raw FROM stg_appointments
+WHERE status_raw NOT IN ('completed', 'cancelled', 'no_show')""", ["stg_appointments"]))
+register("dq_relationships", sql_for("""
+SELECT * FROM fct_appointments a
+WHERE a.service_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_services s WHERE s.service_id = a.service_id)""",
+                                     ["fct_appointments", "stg_services"]))
+register("dq_unique_combo", sql_for("""
+SELECT customer_id, appointment_date, count(*) AS n FROM fct_appointments
+GROUP BY customer_id, appointment_date HAVING count(*) > 1""", ["fct_appointments"]))
+
+# --- F6-F10 ---------------------------------------------------------------------
+cte("tie_duplicates_merged", ["stg_customers", "int_customer_identity"], """
+SELECT count(*) AS emails_checked,
+       count(*) FILTER (WHERE masters > 1) AS emails_with_several_masters,
+       count(*) FILTER (WHERE masters > 1) IS NOT DISTINCT FROM 0 AS passes
+FROM (SELECT c.email_normalized, count(DISTINCT i.master_customer_id) AS masters
+      FROM stg_customers c JOIN int_customer_identity i USING (customer_id)
+      WHERE c.email_normalized IS NOT NULL AND NOT c.is_test_account
+      GROUP BY c.email_normalized) e""")
+cte("tie_customer_reconcile", ["stg_customers", "dim_customer"], """
+SELECT s.n AS source_records, c.n AS certified_records, s.n IS NOT DISTINCT FROM c.n AS passes
+FROM (SELECT count(*) FILTER (WHERE NOT is_test_account) AS n FROM stg_customers) s,
+     (SELECT cast(sum(source_records_merged) AS bigint) AS n FROM dim_customer) c""")
+cte("tie_kpi_vs_ledger", ["kpi_location_monthly", "fct_payments"], """
+SELECT k.c AS kpi_cents, l.c AS ledger_cents, k.c IS NOT DISTINCT FROM l.c AS passes
+FROM (SELECT cast(sum(cast(round(net_revenue * 100) AS bigint)) AS bigint) AS c FROM kpi_location_monthly) k,
+     (SELECT cast(sum(amount_cents) AS bigint) AS c FROM fct_payments) l""")
+cte("tie_no_test_accounts", ["fct_payments", "stg_customers"], """
+SELECT a.n AS payments_checked, b.n AS test_account_payments, b.n IS NOT DISTINCT FROM 0 AS passes
+FROM (SELECT count(*) AS n FROM fct_payments) a,
+     (SELECT count(*) AS n FROM fct_payments p
+      WHERE p.customer_id IN (SELECT customer_id FROM stg_customers WHERE is_test_account)) b""")
+cte("tie_revenue_vs_source", ["raw_payments", "raw_customers", "fct_payments"], """
+SELECT s.c AS source_cents, f.c AS certified_cents, s.c IS NOT DISTINCT FROM f.c AS passes
+FROM (SELECT cast(sum(cast(round(cast(replace(replace(trim(p.amount), '$', ''), ',', '') AS decimal(14, 2)) * 100)
+                           AS bigint)) AS bigint) AS c
+      FROM raw_payments p JOIN raw_customers c ON c.customer_id = p.customer_id
+      WHERE p.payment_status <> 'void'
+        AND NOT (coalesce(lower(trim(c.email)) LIKE '%@clinic-test.com', false)
+                 OR coalesce(lower(c.first_name) = 'test', false))) s,
+     (SELECT cast(sum(amount_cents) AS bigint) AS c FROM fct_payments) f""")
+
+TIE_OUTS = {
+    "assert_duplicates_merged": "tie_duplicates_merged",
+    "assert_every_real_customer_certified": "tie_customer_reconcile",
+    "assert_kpi_revenue_ties_to_ledger": "tie_kpi_vs_ledger",
+    "assert_no_test_accounts_certified": "tie_no_test_accounts",
+    "assert_revenue_ties_to_source": "tie_revenue_vs_source",
+}
+register("dq_duplicates_merged", model_sql("tie_duplicates_merged"))
+register("dq_customer_reconcile", model_sql("tie_customer_reconcile"))
+register("dq_kpi_vs_ledger", model_sql("tie_kpi_vs_ledger"))
+register("dq_no_test_accounts", model_sql("tie_no_test_accounts"))
+register("dq_revenue_vs_source", model_sql("tie_revenue_vs_source"))
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT {_lit(c.test_name)} AS test_name, {_lit(c.model)} AS model, {_lit(c.kind)} AS kind, "
+    col = c.columns[0]
+    if c.kind == "not_null":
+        return head + f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {c.model}"
+    if c.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        return head + f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) AS failures FROM {c.model}"
+    if c.kind == "unique":
+        return head + (f"(SELECT count(*) FROM (SELECT {col} FROM {c.model} WHERE {col} IS NOT NULL "
+                       f"GROUP BY {col} HAVING count(*) > 1) d) AS failures")
+    if c.kind == "unique_combo":
+        cols = ", ".join(c.columns)
+        return head + (f"(SELECT count(*) FROM (SELECT {cols} FROM {c.model} GROUP BY {cols} "
+                       f"HAVING count(*) > 1) d) AS failures")
+    if c.kind == "relationships":
+        return head + (f"count(*) AS failures FROM {c.model} WHERE {col} IS NOT NULL AND {col} NOT IN "
+                       f"(SELECT {c.parent_field} FROM {c.parent} WHERE {c.parent_field} IS NOT NULL)")
+    raise ValueError(c.kind)
+
+
+def _suite_cte() -> None:
+    from kpiloom.plans.checks import platform_checks
+    checks = platform_checks()
+    parts = [_check_sql(c) for c in checks]
+    parts += [f"SELECT {_lit(name)}, 'singular', 'tie_out', count(*) FILTER (WHERE NOT coalesce(passes, false)) "
+              f"FROM {cte_name}" for name, cte_name in TIE_OUTS.items()]
+    deps = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | set(TIE_OUTS.values()))
+    cte("dq_results_raw", deps, "\nUNION ALL\n".join(parts))
+    cte("dq_results", ["dq_results_raw"], """
+SELECT test_name, model, kind, failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM dq_results_raw""")
+
+
+_suite_cte()
+register("dq_results", model_sql("dq_results"))
+register("dq_summary", sql_for("""
+SELECT cast(15 AS bigint) AS models_built, count(*) FILTER (WHERE status = 'pass') AS tests_passed,
+       count(*) FILTER (WHERE status <> 'pass') AS tests_failed
+FROM dq_results""", ["dq_results"]))
+register("ledger_exclusions", sql_for("""
+SELECT reason, count(*) AS n_rows, cast(sum(amount_cents) AS bigint) AS amount_cents
+FROM (SELECT p.amount_cents,
+             CASE WHEN p.is_void IS NULL THEN 'void_status_null'
+                  WHEN p.is_void THEN 'void'
+                  WHEN i.customer_id IS NULL THEN 'unknown_customer'
+                  WHEN i.is_test_account THEN 'test_account'
+                  ELSE 'in_ledger' END AS reason
+      FROM stg_payments p LEFT JOIN int_customer_identity i ON i.customer_id = p.customer_id) x
+GROUP BY reason""", ["stg_payments", "int_customer_identity"]))
+
+# --- H: serving ------------------------------------------------------------------
+cte("kpi_m", ["kpi_location_monthly"], """
+SELECT *, strftime(month_start, '%Y-%m') AS month FROM kpi_location_monthly""")
+
+register("report_extract", sql_for("""
+SELECT location_id, location_name, brand, ownership, month, net_revenue, membership_revenue, service_revenue,
+       appointments_scheduled, completed_visits, no_shows, active_members, new_members, churned_members, leads,
+       converted_leads, lead_conversion_rate
+FROM kpi_m ORDER BY month, location_id""", ["kpi_m"]))
+
+register("report_periods", sql_for("""
+SELECT dimension, value,
+       row_number() OVER (PARTITION BY dimension ORDER BY value) AS position,
+       dimension = 'month' AND row_number() OVER (PARTITION BY dimension ORDER BY value DESC) = 1 AS is_latest,
+       dimension = 'month' AND row_number() OVER (PARTITION BY dimension ORDER BY value DESC) = 2 AS is_previous
+FROM (SELECT DISTINCT 'month' AS dimension, month AS value FROM kpi_m
+      UNION ALL SELECT DISTINCT 'brand', brand FROM kpi_m) d""", ["kpi_m"]))
+
+cte("rollup", ["kpi_m"], """
+SELECT month, CASE WHEN grouping(brand) = 1 THEN 'All' ELSE brand END AS brand,
+       cast(sum(cast(round(net_revenue * 100) AS bigint)) AS double) / 100.0 AS net_revenue,
+       cast(sum(cast(round(membership_revenue * 100) AS bigint)) AS double) / 100.0 AS membership_revenue,
+       cast(sum(cast(round(service_revenue * 100) AS bigint)) AS double) / 100.0 AS service_revenue,
+       cast(sum(active_members) AS bigint) AS active_members,
+       cast(sum(new_members) AS bigint) AS new_members,
+       cast(sum(churned_members) AS bigint) AS churned_members,
+       cast(sum(appointments_scheduled) AS bigint) AS appointments_scheduled,
+       cast(sum(no_shows) AS bigint) AS no_shows,
+       CASE WHEN sum(active_members) - sum(new_members) > 0
+            THEN sum(churned_members) / (sum(active_members) - sum(new_members)) ELSE 0.0 END AS member_churn_rate,
+       CASE WHEN sum(appointments_scheduled) > 0
+            THEN sum(no_shows) / sum(appointments_scheduled) ELSE 0.0 END AS no_show_rate
+FROM kpi_m GROUP BY GROUPING SETS ((month, brand), (month))""")
+register("monthly_rollup", model_sql("rollup"))
+
+cte("mom_ranked", ["rollup"], """
+SELECT month, row_number() OVER (ORDER BY month DESC) AS back FROM (SELECT DISTINCT month FROM rollup) d""")
+cte("mom_long", ["rollup"], """
+SELECT month, brand, 'net_revenue' AS metric, cast(net_revenue AS double) AS value, true AS good_up FROM rollup
+UNION ALL SELECT month, brand, 'active_members', cast(active_members AS double), true FROM rollup
+UNION ALL SELECT month, brand, 'member_churn_rate', cast(member_churn_rate AS double), false FROM rollup
+UNION ALL SELECT month, brand, 'no_show_rate', cast(no_show_rate AS double), false FROM rollup""")
+cte("mom_g", ["mom_ranked", "mom_long"], """
+SELECT l.brand, l.metric,
+       max(CASE WHEN r.back = 1 THEN l.month END) AS month,
+       max(CASE WHEN r.back = 2 THEN l.month END) AS previous_month,
+       coalesce(sum(CASE WHEN r.back = 1 THEN l.value END), 0.0) AS value,
+       coalesce(sum(CASE WHEN r.back = 2 THEN l.value END), 0.0) AS previous_value,
+       bool_or(l.good_up) AS good_up
+FROM mom_long l JOIN mom_ranked r ON r.month = l.month AND r.back <= 2
+GROUP BY l.brand, l.metric""")
+register("mom_cards", sql_for("""
+SELECT brand, metric, month, previous_month, value, previous_value, change,
+       change = 0 OR ((change >= 0) = good_up) AS is_good
+FROM (SELECT *, CASE WHEN abs(raw) < 0.0005 THEN 0.0 ELSE raw END AS change
+      FROM (SELECT *, CASE WHEN previous_value <> 0 THEN (value - previous_value) / previous_value ELSE 0.0 END AS raw
+            FROM mom_g) x) c""", ["mom_g"]))
+
+register("leaderboard", sql_for("""
+SELECT location_id, location_name, brand, ownership, month, net_revenue, active_members,
+       CASE WHEN active_members - new_members > 0 THEN churned_members / (active_members - new_members)
+            ELSE 0.0 END AS member_churn_rate,
+       lead_conversion_rate
+FROM kpi_m WHERE month_start = (SELECT max(month_start) FROM kpi_m)
+ORDER BY net_revenue DESC, location_id""", ["kpi_m"]))
+
+register("brand_monthly", sql_for("""
+SELECT month, brand,
+       cast(sum(cast(round(net_revenue * 100) AS bigint)) AS double) / 100.0 AS net_revenue,
+       cast(sum(active_members) AS bigint) AS active_members,
+       cast(sum(churned_members) AS bigint) AS churned_members,
+       cast(sum(new_members) AS bigint) AS new_members,
+       CASE WHEN sum(active_members) - sum(new_members) >= 100
+            THEN sum(churned_members) / (sum(active_members) - sum(new_members)) * 100.0 END AS churn_pct
+FROM kpi_m GROUP BY month, brand""", ["kpi_m"]))
+
+_LAYER_TABLES = [("raw", f"crm_{t}", f"raw_{t}") for t in
+                 ["locations", "customers", "services", "memberships", "appointments", "payments", "leads"]]
+_LAYER_TABLES += [("certified", n, n) for n in ["dim_location", "dim_customer", "fct_appointments", "fct_payments",
+                                                "fct_membership_months", "fct_leads"]]
+_LAYER_TABLES += [("metrics", "kpi_location_monthly", "kpi_location_monthly")]
+register("layer_row_counts", sql_for("\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS n_rows FROM {src}"
+    for layer, name, src in _LAYER_TABLES), [src for _, _, src in _LAYER_TABLES]))
+
+# --- A: ingestion ----------------------------------------------------------------
+AS_OF = "1999-01-01 00:00:00"
+B1, B2 = "b000000000001", "b000000000002"
+L1, L2 = "2026-01-01 06:00:00", "2026-01-02 06:00:00"
+_RAW = ["locations", "customers", "services", "memberships", "appointments", "payments", "leads"]
+
+cte("src2_payments", ["raw_payments"], """
+SELECT payment_id, customer_id, location_id, appointment_id, membership_id, payment_type, amount,
+       CASE WHEN payment_status = 'void' THEN 'settled' ELSE payment_status END AS payment_status,
+       paid_at,
+       CASE WHEN payment_status = 'void' THEN '2002-01-02 09:05:00' ELSE updated_at END AS updated_at
+FROM raw_payments""")
+for _t in _RAW:
+    cte(f"batch1_{_t}", [f"raw_{_t}"], f"""
+SELECT *, '{B1}' AS _batch_id, TIMESTAMP '{L1}' AS _loaded_at
+FROM raw_{_t} WHERE updated_at <= '{AS_OF}' AND updated_at > ''""")
+    _src2 = "src2_payments" if _t == "payments" else f"raw_{_t}"
+    cte(f"batch2_{_t}", [_src2, f"batch1_{_t}"], f"""
+SELECT *, '{B2}' AS _batch_id, TIMESTAMP '{L2}' AS _loaded_at
+FROM {_src2} WHERE updated_at > (SELECT coalesce(max(updated_at), '') FROM batch1_{_t})""")
+for _k in (1, 2):
+    cte(f"stats{_k}", [f"batch{_k}_{t}" for t in _RAW], "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, max(updated_at) AS batch_mark FROM batch{_k}_{t}"
+        for t in _RAW))
+cte("state1", ["stats1"], "SELECT table_name, batch_mark AS high_watermark FROM stats1 WHERE rows_loaded > 0")
+cte("state2", ["state1", "stats2"], """
+SELECT * FROM state1 WHERE table_name NOT IN (SELECT table_name FROM stats2 WHERE rows_loaded > 0)
+UNION ALL
+SELECT table_name, batch_mark FROM stats2 WHERE rows_loaded > 0""")
+
+register("incremental_extract", model_sql("batch2_payments"))
+register("upsert_by_key", sql_for("""
+SELECT * FROM batch1_payments
+WHERE NOT coalesce(payment_id IN (SELECT payment_id FROM batch2_payments WHERE payment_id IS NOT NULL), false)
+UNION ALL
+SELECT * FROM batch2_payments""", ["batch1_payments", "batch2_payments"]))
+register("watermark_state", model_sql("state2"))
+register("load_log_summary", sql_for(f"""
+SELECT '{B1}' AS batch_id, s.table_name, s.rows_loaded, coalesce(w.high_watermark, '') AS high_watermark,
+       TIMESTAMP '{L1}' AS loaded_at
+FROM stats1 s LEFT JOIN state1 w USING (table_name)
+UNION ALL
+SELECT '{B2}', s.table_name, s.rows_loaded, coalesce(w.high_watermark, ''), TIMESTAMP '{L2}'
+FROM stats2 s LEFT JOIN state2 w USING (table_name)""", ["stats1", "state1", "stats2", "state2"]))
+register("raw_text_audit", f"""
+SELECT cast(o_orderkey AS varchar) AS o_orderkey, cast(o_custkey AS varchar) AS o_custkey,
+       cast(o_orderstatus AS varchar) AS o_orderstatus, cast(o_totalprice AS varchar) AS o_totalprice,
+       cast(o_orderdate AS varchar) AS o_orderdate, cast(o_orderpriority AS varchar) AS o_orderpriority,
+       '{B1}' AS _batch_id, TIMESTAMP '{L1}' AS _loaded_at
+FROM orders""")

@@ -40,3 +40,164 @@ for _name in [*Models.STAGING, "int_customer_identity", *Models.CERTIFIED, "last
 @query("location_month_spine")
 def _spine(m: Models) -> DataFrame:
     return m.spine
+
+
+# --- B19 ----------------------------------------------------------------------
+@query("vocabulary_audit")
+def _vocab(m: Models) -> DataFrame:
+    from kpiloom.operators.staging import vocabulary_audit
+    return vocabulary_audit(m.stg_appointments, m.stg_leads)
+
+
+# --- F: data quality ------------------------------------------------------------
+from kpiloom.operators import quality as _q  # noqa: E402
+from kpiloom.plans import checks as _checks  # noqa: E402
+from kpiloom.functions.vocabulary import STATUS_VALUES as _STATUS  # noqa: E402
+
+
+@query("dq_not_null")
+def _dq_nn(m: Models) -> DataFrame:
+    """Customer records without an e-mail (the not-null test's failing rows)."""
+    return _q.dq_not_null(m.stg_customers, "email_normalized")
+
+
+@query("dq_unique")
+def _dq_u(m: Models) -> DataFrame:
+    """E-mails held by more than one customer record."""
+    return _q.dq_unique(m.stg_customers, "email_normalized")
+
+
+@query("dq_accepted_values")
+def _dq_av(m: Models) -> DataFrame:
+    """Raw status spellings outside the controlled vocabulary."""
+    return _q.dq_accepted_values(m.stg_appointments.select("appointment_id", "status_raw"), "status_raw",
+                                 _STATUS)
+
+
+@query("dq_relationships")
+def _dq_rel(m: Models) -> DataFrame:
+    """Certified appointments whose service is not in the service table."""
+    return _q.dq_relationships(m.fct_appointments, "service_id", m.stg_services, "service_id")
+
+
+@query("dq_unique_combo")
+def _dq_combo(m: Models) -> DataFrame:
+    """Customers with more than one appointment on a day."""
+    return _q.dq_unique_combo(m.fct_appointments, ["customer_id", "appointment_date"])
+
+
+@query("dq_duplicates_merged")
+def _dq_dm(m: Models) -> DataFrame:
+    return _q.dq_duplicates_merged(m.stg_customers, m.int_customer_identity)
+
+
+@query("dq_customer_reconcile")
+def _dq_cr(m: Models) -> DataFrame:
+    return _q.dq_customer_reconcile(m.stg_customers, m.dim_customer)
+
+
+@query("dq_kpi_vs_ledger")
+def _dq_kl(m: Models) -> DataFrame:
+    return _q.dq_kpi_vs_ledger(m.kpi_location_monthly, m.fct_payments)
+
+
+@query("dq_no_test_accounts")
+def _dq_nt(m: Models) -> DataFrame:
+    return _q.dq_no_test_accounts(m.fct_payments, m.stg_customers)
+
+
+@query("dq_revenue_vs_source")
+def _dq_rs(m: Models) -> DataFrame:
+    return _q.dq_revenue_vs_source(m.raw["payments"], m.raw["customers"], m.fct_payments)
+
+
+@query("dq_results")
+def _dq_results(m: Models) -> DataFrame:
+    """All 45 data tests: failures per test."""
+    return _checks.suite_results(m)
+
+
+@query("dq_summary")
+def _dq_summary(m: Models) -> DataFrame:
+    return _q.dq_summary(_checks.suite_results(m), len(_checks.MODEL_NAMES))
+
+
+@query("ledger_exclusions")
+def _dq_excl(m: Models) -> DataFrame:
+    return _q.ledger_exclusions(m.stg_payments, m.int_customer_identity)
+
+
+# --- H: serving -------------------------------------------------------------------
+from kpiloom.operators import serving as _s  # noqa: E402
+
+
+@query("report_extract")
+def _h1(m: Models) -> DataFrame:
+    return _s.report_extract(m.kpi_location_monthly)
+
+
+@query("report_periods")
+def _h2(m: Models) -> DataFrame:
+    return _s.report_periods(m.kpi_location_monthly)
+
+
+@query("monthly_rollup")
+def _h4(m: Models) -> DataFrame:
+    return _s.monthly_rollup(m.kpi_location_monthly)
+
+
+@query("mom_cards")
+def _h5(m: Models) -> DataFrame:
+    return _s.mom_cards(_s.monthly_rollup(m.kpi_location_monthly))
+
+
+@query("leaderboard")
+def _h6(m: Models) -> DataFrame:
+    return _s.leaderboard(m.kpi_location_monthly)
+
+
+@query("brand_monthly")
+def _h7(m: Models) -> DataFrame:
+    return _s.brand_monthly(m.kpi_location_monthly)
+
+
+@query("layer_row_counts")
+def _h9(m: Models) -> DataFrame:
+    tables = {("raw", f"crm_{t}"): m.raw[t] for t in
+              ["locations", "customers", "services", "memberships", "appointments", "payments", "leads"]}
+    tables.update({("certified", n): m.model(n) for n in Models.CERTIFIED})
+    tables[("metrics", "kpi_location_monthly")] = m.kpi_location_monthly
+    return _s.layer_row_counts(tables)
+
+
+# --- A: ingestion -------------------------------------------------------------------
+from kpiloom.plans.ingest_plan import BATCH_1, LOADED_1, TwoBatches  # noqa: E402
+from kpiloom.operators import ingest as _ing  # noqa: E402
+
+
+@query("incremental_extract")
+def _a3(m: Models) -> DataFrame:
+    """Second batch of payments: changed since batch 1's mark, as text, with audit columns."""
+    return TwoBatches(m.raw).batch_2["payments"]
+
+
+@query("raw_text_audit")
+def _a5(m: Models) -> DataFrame:
+    """A typed source table landed as raw text with audit columns."""
+    src = m.spark.read.parquet(f"{m.sf_dir}/orders.parquet")
+    return _ing.with_audit(_ing.to_raw_text(src), BATCH_1, LOADED_1)
+
+
+@query("upsert_by_key")
+def _a8(m: Models) -> DataFrame:
+    return TwoBatches(m.raw).upserted("payments")
+
+
+@query("watermark_state")
+def _a9(m: Models) -> DataFrame:
+    return TwoBatches(m.raw).state_2
+
+
+@query("load_log_summary")
+def _a10(m: Models) -> DataFrame:
+    return TwoBatches(m.raw).load_log()

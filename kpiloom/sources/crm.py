@@ -239,3 +239,16 @@ def raw_tables(spark: SparkSession, sf_dir: str, only: list[str] | None = None)
     if "leads" in want:
         out["leads"] = leads(read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"]))
     return out
+
+
+# A later state of the source: voided payments are corrected (re-settled) and
+# carry a new updated_at, so an incremental load must pick them up again.
+CORRECTION_TIME = "2002-01-02 09:05:00"
+
+
+def corrected_payments(raw_payments: DataFrame) -> DataFrame:
+    void = F.col("payment_status") == F.lit("void")
+    return raw_payments.withColumns({
+        "payment_status": F.when(void, F.lit("settled")).otherwise(F.col("payment_status")),
+        "updated_at": F.when(void, F.lit(CORRECTION_TIME)).otherwise(F.col("updated_at")),
+    })
