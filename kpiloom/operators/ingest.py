@@ -157,6 +157,15 @@ def current_state(spark: SparkSession, root: str) -> dict[str, tuple[str, str |
     return {r["table_name"]: (r["mark"], r["snapshot"], r["seq"]) for r in rows}
 
 
+def committed(spark: SparkSession, root: str, batch_id: str) -> dict[str, int] | None:
+    """Rows loaded per table if ``batch_id`` already committed its log partition."""
+    try:
+        rows = spark.read.parquet(f"{root}/meta/load_log/batch_id={batch_id}").collect()   # one row per table
+    except AnalysisException:
+        return None
+    return {r["table_name"]: int(r["rows_loaded"]) for r in rows} or None
+
+
 def snapshot_path(root: str, table: str, batch_id: str) -> str:
     return f"{root}/raw/{table}/snapshot={batch_id}"
 
@@ -183,6 +192,9 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     """
     batch_id = batch_id or new_batch_id()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    done = committed(spark, root, batch_id)
+    if done is not None:           # a retried batch that already committed: nothing to do
+        return done
     known = current_state(spark, root)
     state = {} if full else known
     seq = max([s for _, _, s in known.values()], default=0) + 1

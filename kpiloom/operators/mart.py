@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.dates import as_date, month_of, month_range
@@ -32,6 +32,13 @@ def last_activity(fct_payments: DataFrame) -> DataFrame:
     return fct_payments.groupBy("location_id").agg(F.max(month_of("payment_date")).alias("last_month"))
 
 
+def last_activity_from_revenue(revenue: DataFrame) -> DataFrame:
+    """Same result from the revenue rollup, which has a row for every
+    (location, month) with at least one payment -- so the mart reads the
+    payments once instead of twice."""
+    return revenue.groupBy("location_id").agg(F.max("month_start").alias("last_month"))
+
+
 def location_month_spine(dim_loc: DataFrame, last_act: DataFrame,
                          first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
     """Months from the opening month while open; a closed location continues to
@@ -54,6 +61,34 @@ def location_month_spine(dim_loc: DataFrame, last_act: DataFrame,
                         F.explode(month_range(F.col("__first"), F.col("__last"))).alias("month_start"))
 
 
+def spine_with_revenue(dim_loc: DataFrame, revenue: DataFrame,
+                       first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
+    """The location-month spine with the revenue rollup attached, reading the
+    revenue rollup once.
+
+    Candidate months run from the opening month to the end of the axis. They
+    are FULL OUTER joined with the revenue rollup on (location_id,
+    month_start); a window max over each location's rows then gives its last
+    payment month -- revenue months outside the axis included, as in
+    :func:`last_activity` -- and the closed-location rule filters the
+    candidates. A location has at most one row per calendar month here, so
+    the window's groups are bounded by the calendar, however hot the location.
+    """
+    lo, hi = as_date(first_month), as_date(last_month)
+    open_m = month_of("opened_on")
+    first = F.when(open_m.isNotNull(), F.greatest(open_m, lo))
+    cand = (dim_loc.withColumn("__first", first)
+            .where(F.col("__first").isNotNull() & (F.col("__first") <= hi))
+            .select("location_id", "location_name", "brand", "ownership", "franchisee_id", "closed_on",
+                    F.explode(month_range(F.col("__first"), hi)).alias("month_start"),
+                    F.lit(True).alias("__spine")))
+    j = cand.join(revenue.withColumn("__paid", F.lit(True)), KEYS, "full")
+    last_paid = F.max(F.when(F.col("__paid"), F.col("month_start"))).over(Window.partitionBy("location_id"))
+    keep = F.col("__spine") & (F.col("closed_on").isNull()
+                               | (F.col("month_start") <= F.greatest(month_of("closed_on"), F.col("__last_paid"))))
+    return j.withColumn("__last_paid", last_paid).where(keep).drop("__spine", "__paid", "__last_paid", "closed_on")
+
+
 def revenue_rollup(fct_payments: DataFrame) -> DataFrame:
     amt, stream = F.col("amount_cents"), F.col("revenue_stream")
     return fct_payments.groupBy("location_id", month_of("payment_date").alias("month_start")).agg(
@@ -94,15 +129,18 @@ MEASURES = ["net_revenue", "membership_revenue", "service_revenue", "appointment
 KPI_COLUMNS = ["location_id", "location_name", "brand", "ownership", "franchisee_id", "month_start", *MEASURES]
 
 
-def assemble_kpis(spine: DataFrame, revenue: DataFrame, visits: DataFrame, members: DataFrame,
+def assemble_kpis(spine: DataFrame, revenue: DataFrame | None, visits: DataFrame, members: DataFrame,
                   leads: DataFrame) -> DataFrame:
     """Spine LEFT JOIN the four rollups on (location_id, month_start), then the measures.
 
+    ``revenue=None`` means the spine already carries the revenue columns
+    (see :func:`spine_with_revenue`).
+
     Revenue stays integer cents until the single division at the end; ratios
     are null on an empty base and rounded half away from zero after scaling.
     """
-    j = (spine.join(revenue, KEYS, "left").join(visits, KEYS, "left")
-         .join(members, KEYS, "left").join(leads, KEYS, "left"))
+    j = spine if revenue is None else spine.join(revenue, KEYS, "left")
+    j = j.join(visits, KEYS, "left").join(members, KEYS, "left").join(leads, KEYS, "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     svc = cents_to_amount(z("service_revenue_cents"))
     return j.select(
@@ -127,6 +165,5 @@ def assemble_kpis(spine: DataFrame, revenue: DataFrame, visits: DataFrame, membe
 
 def kpi_location_monthly(dim_loc: DataFrame, fct_pay: DataFrame, fct_appts: DataFrame, fct_mm: DataFrame,
                          fct_lds: DataFrame, first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
-    spine = location_month_spine(dim_loc, last_activity(fct_pay), first_month, last_month)
-    return assemble_kpis(spine, revenue_rollup(fct_pay), visit_rollup(fct_appts),
-                         member_rollup(fct_mm), lead_rollup(fct_lds))
+    spine_rev = spine_with_revenue(dim_loc, revenue_rollup(fct_pay), first_month, last_month)
+    return assemble_kpis(spine_rev, None, visit_rollup(fct_appts), member_rollup(fct_mm), lead_rollup(fct_lds))

@@ -78,7 +78,9 @@ class Models:
     def last_activity(self): return mart.last_activity(self.fct_payments)
     @cached_property
     def spine(self):
-        return mart.location_month_spine(self.dim_location, self.last_activity, self.first_month, self.last_month)
+        # last payment month taken from the revenue rollup: one pass over payments
+        last = mart.last_activity_from_revenue(self.revenue_rollup)
+        return mart.location_month_spine(self.dim_location, last, self.first_month, self.last_month)
     @cached_property
     def revenue_rollup(self): return mart.revenue_rollup(self.fct_payments)
     @cached_property
@@ -88,8 +90,11 @@ class Models:
     @cached_property
     def lead_rollup(self): return mart.lead_rollup(self.fct_leads)
     @cached_property
+    def spine_with_revenue(self):
+        return mart.spine_with_revenue(self.dim_location, self.revenue_rollup, self.first_month, self.last_month)
+    @cached_property
     def kpi_location_monthly(self):
-        return mart.assemble_kpis(self.spine, self.revenue_rollup, self.visit_rollup,
+        return mart.assemble_kpis(self.spine_with_revenue, None, self.visit_rollup,
                                   self.member_rollup, self.lead_rollup)
 
     CERTIFIED = ["dim_location", "dim_customer", "fct_appointments", "fct_payments",

@@ -31,7 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(master: str | None = None, app_name: str = "kpiloom",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above. The UI stays off."""
-    b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in SQL_CONF.items():
