@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.functions.cleaning import is_test_account, to_cents
 from kpiloom.functions.vocabulary import TEST_EMAIL_SUFFIX, TEST_FIRST_NAME, VOID_STATUS
@@ -151,58 +152,87 @@ class Check:
 
 
 ROW_LOCAL = {"not_null", "accepted_values"}
+KEYED = {"unique", "unique_combo", "relationships"}
 
+_E = T.StructType([T.StructField("check", T.StringType()), T.StructField("key", T.StringType()),
+                   T.StructField("n", T.LongType()), T.StructField("child", T.LongType()),
+                   T.StructField("parent", T.LongType()), T.StructField("fail", T.LongType()),
+                   T.StructField("keep", T.BooleanType())])
 
-def _row_local_condition(c: Check) -> Column:
-    col = F.col(c.columns[0])
-    if c.kind == "not_null":
-        return col.isNull()
-    return col.isNotNull() & ~col.isin(list(c.values))
+
+def _entry(check: str, key: Column, n=0, child=0, parent=0, fail: Column | int = 0, keep: Column | bool = True):
+    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
+                    lit(n).cast("long").alias("n"), lit(child).cast("long").alias("child"),
+                    lit(parent).cast("long").alias("parent"), lit(fail).cast("long").alias("fail"),
+                    lit(keep).alias("keep"))
+
+
+def _entries_for(model: str, checks: list[Check]) -> list[Column]:
+    out: list[Column] = []
+    for c in checks:
+        col = F.col(c.columns[0])
+        if c.model == model:
+            if c.kind == "not_null":
+                out.append(_entry(c.test_name, F.lit(""), fail=1, keep=col.isNull()))
+            elif c.kind == "accepted_values":
+                bad = col.isNotNull() & ~col.isin(list(c.values))
+                out.append(_entry(c.test_name, F.lit(""), fail=1, keep=bad))
+            elif c.kind == "unique":
+                out.append(_entry(c.test_name, col, n=1, keep=col.isNotNull()))
+            elif c.kind == "unique_combo":
+                out.append(_entry(c.test_name, F.to_json(F.struct(*[F.col(x) for x in c.columns])), n=1))
+            elif c.kind == "relationships":
+                out.append(_entry(c.test_name, col, child=1, keep=col.isNotNull()))
+            else:
+                raise ValueError(f"unknown check kind {c.kind}")
+        if c.kind == "relationships" and c.parent == model:
+            pk = F.col(c.parent_field)
+            out.append(_entry(c.test_name, pk, parent=1, keep=pk.isNotNull()))
+    return out
 
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check],
               singular: dict[str, DataFrame] | None = None) -> DataFrame:
     """DataFrame(test_name, model, kind, failures, status) for all checks.
 
-    Row-local checks on the same model share one scan and one global
-    aggregate; set-level checks (unique, relationships, combos) each
-    aggregate or anti-join on their key. ``singular`` tie-outs contribute
-    one failure when their ``passes`` flag is not true.
+    One scan per model and one shuffle for the whole suite: every model row
+    emits a small (check, key, counters) record for each check it takes part
+    in -- a failing row-local test, a key to count for uniqueness, a child or
+    parent key of a relationship -- and a single ``groupBy(check, key)``
+    (partially aggregated map-side, so hot keys collapse early) gives
+    duplicate keys and orphan children for every check at once. Tie-outs in
+    ``singular`` count as one failure when ``passes`` is not true.
     """
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ROW_LOCAL:
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        agg = models[model].agg(*[F.count_if(_row_local_condition(c)).alias(f"c{i}") for i, c in enumerate(cs)])
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(c.test_name).alias("test_name"), F.lit(c.model).alias("model"),
-                     F.lit(c.kind).alias("kind"), F.col(f"c{i}").alias("failures"))
-            for i, c in enumerate(cs)]))
-        parts.append(agg.select(stack.alias("t")).select("t.*"))
-    for c in checks:
-        if c.kind in ROW_LOCAL:
-            continue
-        df = models[c.model]
-        if c.kind == "unique":
-            failing = dq_unique(df, c.columns[0])
-        elif c.kind == "unique_combo":
-            failing = dq_unique_combo(df, list(c.columns))
-        elif c.kind == "relationships":
-            failing = dq_relationships(df, c.columns[0], models[c.parent], c.parent_field)
-        else:
-            raise ValueError(f"unknown check kind {c.kind}")
-        parts.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.test_name).alias("test_name"), F.lit(c.model).alias("model"),
-            F.lit(c.kind).alias("kind"), "failures"))
-    for name, df in (singular or {}).items():
-        parts.append(df.agg(F.count_if(~F.coalesce(F.col("passes"), F.lit(False))).alias("failures")).select(
-            F.lit(name).alias("test_name"), F.lit("singular").alias("model"),
-            F.lit("tie_out").alias("kind"), "failures"))
-    out = parts[0]
+    names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent})
+    parts = []
+    for name in names:
+        entries = _entries_for(name, checks)
+        if entries:
+            parts.append(models[name].select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+                         .where(F.col("keep")).drop("keep"))
+    emitted = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        emitted = emitted.unionByName(p)
+    per_key = emitted.groupBy("check", "key").agg(
+        F.sum("n").alias("n"), F.sum("child").alias("child"), F.max("parent").alias("parent"),
+        F.sum("fail").alias("fail"))
+    per_check = per_key.groupBy("check").agg(
+        F.sum("fail").alias("fail_rows"),
+        F.count_if(F.col("n") > 1).alias("dup_keys"),
+        F.sum(F.when((F.col("parent") == 0) & (F.col("child") > 0), F.col("child"))).alias("orphan_rows"))
+    spark = emitted.sparkSession
+    specs = spark.createDataFrame([(c.test_name, c.model, c.kind) for c in checks],
+                                  "test_name string, model string, kind string")
+    j = specs.join(per_check.withColumnRenamed("check", "test_name"), "test_name", "left")
+    failures = (F.when(F.col("kind").isin(*ROW_LOCAL), F.col("fail_rows"))
+                .when(F.col("kind") == "relationships", F.col("orphan_rows"))
+                .otherwise(F.col("dup_keys")))
+    out = j.select("test_name", "model", "kind", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))
+    for name, df in (singular or {}).items():
+        out = out.unionByName(df.agg(F.count_if(~F.coalesce(F.col("passes"), F.lit(False))).alias("failures"))
+                              .select(F.lit(name).alias("test_name"), F.lit("singular").alias("model"),
+                                      F.lit("tie_out").alias("kind"), "failures"))
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
