@@ -52,6 +52,11 @@ def report_periods(kpi: DataFrame) -> DataFrame:
     )
 
 
+def by_brand(kpi: DataFrame, brand: str = ALL) -> DataFrame:
+    """H3: the KPI rows of one brand; 'All' keeps every brand."""
+    return kpi if brand == ALL else kpi.where(F.col("brand") == F.lit(brand))
+
+
 def monthly_rollup(kpi: DataFrame) -> DataFrame:
     """H3+H4: per month, per brand and for 'All' brands, in one grouping-sets aggregate.
 
