@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,17 +179,43 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(snapshot_path(root, table, snap))
 
 
+def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, key: str, state: dict,
+                batch_id: str, loaded_at: dt.datetime) -> tuple[int, str, bool]:
+    mark, snap, _ = state.get(table, ("", None, 0))
+    batch = load_frame(source, mark, batch_id, loaded_at)
+    if snap is None:
+        # first load (or full refresh): the batch is the snapshot -- one write
+        path = snapshot_path(root, table, batch_id)
+        batch.write.mode("overwrite").parquet(path)
+        written = spark.read.parquet(path)
+        st = written.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
+        n = int(st["n"])
+        return n, (st["m"] if n > 0 else mark) or "", True
+    batch_path = f"{root}/meta/batches/{batch_id}/{table}"
+    batch.write.mode("overwrite").parquet(batch_path)          # one pass over the source
+    written = spark.read.parquet(batch_path)
+    st = written.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
+    n = int(st["n"])
+    if n == 0:
+        return 0, mark or "", False
+    previous = spark.read.parquet(snapshot_path(root, table, snap))
+    upsert(previous, written, key).write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
+    return n, st["m"] or "", True
+
+
 def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str, tables: dict[str, str] = TABLES,
                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                 full: bool = False) -> dict[str, int]:
+                 full: bool = False, parallel: int = 4) -> dict[str, int]:
     """Load every table's changes since its mark; returns table -> rows loaded.
 
     Per table: extract -> write the batch (one pass over the source) -> count
     and max of the written batch -> if rows, upsert onto the current snapshot
     into a new snapshot path. A table whose first batch is empty still gets an
-    empty snapshot, so staging never meets a missing table. The log partition
-    for the batch is written last; until then nothing of the batch is current.
-    ``full=True`` ignores marks and snapshots (full refresh).
+    empty snapshot, so staging never meets a missing table. Tables are
+    independent and are submitted ``parallel`` at a time (concurrent Spark
+    jobs). The log partition for the batch is written last; until then
+    nothing of the batch is current. ``full=True`` ignores marks and
+    snapshots (full refresh).
     """
     batch_id = batch_id or new_batch_id()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -198,22 +225,14 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     known = current_state(spark, root)
     state = {} if full else known
     seq = max([s for _, _, s in known.values()], default=0) + 1
-    results: dict[str, int] = {}
-    log_out = []
-    for table, key in tables.items():
-        mark, snap, _ = state.get(table, ("", None, 0))
-        batch_path = f"{root}/meta/batches/{batch_id}/{table}"
-        load_frame(sources[table], mark, batch_id, loaded_at).write.mode("overwrite").parquet(batch_path)
-        batch = spark.read.parquet(batch_path)
-        st = batch.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
-        n = int(st["n"])
-        new_mark = st["m"] if n > 0 else mark
-        write_snapshot = n > 0 or snap is None
-        if write_snapshot:
-            previous = None if snap is None else spark.read.parquet(snapshot_path(root, table, snap))
-            upsert(previous, batch, key).write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
-        log_out.append((table, n, new_mark or "", loaded_at, seq, write_snapshot))
-        results[table] = n
+
+    def one(item):
+        table, key = item
+        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        outcome = dict(pool.map(one, tables.items()))
+    log_out = [(t, outcome[t][0], outcome[t][1], loaded_at, seq, outcome[t][2]) for t in tables]
     spark.createDataFrame(log_out, LOG_SCHEMA).coalesce(1).write.mode("overwrite") \
         .parquet(f"{root}/meta/load_log/batch_id={batch_id}")
-    return results
+    return {t: outcome[t][0] for t in tables}

@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -82,6 +83,10 @@ class _Written:
         self.tables[name] = self.spark.read.parquet(path)
         return self.tables[name]
 
+    def put_all(self, dfs: dict[str, DataFrame], parallel: int = 4) -> None:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(lambda kv: self.put(*kv), dfs.items()))
+
 
 class _Suite:
     """Attribute view over staged views and written models for the tie-outs."""
@@ -115,13 +120,17 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     w = _Written(spark, root, run_id)
     ident = w.put("int_customer_identity", identity.resolve_identity(stg["customers"]))
     ids = ident.select("customer_id", "master_customer_id", "email_normalized", "is_test_account")
-    dim_loc = w.put("dim_location", certified.dim_location(stg["locations"]))
-    w.put("dim_customer", certified.dim_customer(ident))
-    fa = w.put("fct_appointments", certified.fct_appointments(stg["appointments"], ids, stg["services"]))
-    fp = w.put("fct_payments", certified.fct_payments(stg["payments"], ids))
-    fm = w.put("fct_membership_months", certified.fct_membership_months(stg["memberships"], ids,
-                                                                         first_month, last_month))
-    fl = w.put("fct_leads", certified.fct_leads(stg["leads"], ids))
+    # the six certified models only share the written identity: write them concurrently
+    w.put_all({
+        "dim_location": certified.dim_location(stg["locations"]),
+        "dim_customer": certified.dim_customer(ident),
+        "fct_appointments": certified.fct_appointments(stg["appointments"], ids, stg["services"]),
+        "fct_payments": certified.fct_payments(stg["payments"], ids),
+        "fct_membership_months": certified.fct_membership_months(stg["memberships"], ids, first_month, last_month),
+        "fct_leads": certified.fct_leads(stg["leads"], ids),
+    })
+    dim_loc, fa, fp, fm, fl = (w.tables[n] for n in ["dim_location", "fct_appointments", "fct_payments",
+                                                     "fct_membership_months", "fct_leads"])
     lap("certified")
     w.put("kpi_location_monthly", mart.kpi_location_monthly(dim_loc, fp, fa, fm, fl, first_month, last_month))
     lap("metrics")
