@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.functions.cleaning import is_test_account, to_cents
+from kpiloom.functions.cleaning import is_test_account, to_cents, try_to_cents
 from kpiloom.functions.vocabulary import TEST_EMAIL_SUFFIX, TEST_FIRST_NAME, VOID_STATUS
 
 
@@ -114,6 +114,16 @@ def _side_by_side(a: DataFrame, b: DataFrame, ca: str, cb: str) -> DataFrame:
     return u.agg(F.max(ca).alias(ca), F.max(cb).alias(cb)).select(ca, cb, _passes(F.col(ca), F.col(cb)))
 
 
+# --- T9: amounts that would not parse ----------------------------------------
+def unparseable_amounts(raw_payments: DataFrame, col: str = "amount") -> DataFrame:
+    """Raw payments whose amount text is not a number after removing '$' and ','.
+
+    Staging raises on such text (it must never silently become null, or the
+    revenue tie-out would be blind to it); this lists the offenders first.
+    """
+    return raw_payments.where(F.col(col).isNotNull() & try_to_cents(col).isNull())
+
+
 # --- T8: why rows leave the ledger -----------------------------------------------
 def ledger_exclusions(stg_payments: DataFrame, identity: DataFrame) -> DataFrame:
     """Counts of staged payments by the reason they are not in the ledger.

@@ -464,6 +464,10 @@ register("dq_summary", sql_for("""
 SELECT cast(15 AS bigint) AS models_built, count(*) FILTER (WHERE status = 'pass') AS tests_passed,
        count(*) FILTER (WHERE status <> 'pass') AS tests_failed
 FROM dq_results""", ["dq_results"]))
+register("unparseable_amounts", sql_for("""
+SELECT * FROM raw_payments
+WHERE amount IS NOT NULL
+  AND try_cast(replace(replace(trim(amount), '$', ''), ',', '') AS decimal(14, 2)) IS NULL""", ["raw_payments"]))
 register("ledger_exclusions", sql_for("""
 SELECT reason, count(*) AS n_rows, cast(sum(amount_cents) AS bigint) AS amount_cents
 FROM (SELECT p.amount_cents,

@@ -122,6 +122,12 @@ def _dq_summary(m: Models) -> DataFrame:
     return _q.dq_summary(_checks.suite_results(m), len(_checks.MODEL_NAMES))
 
 
+@query("unparseable_amounts")
+def _dq_amounts(m: Models) -> DataFrame:
+    """Raw payment amounts that staging could not parse (empty on clean data)."""
+    return _q.unparseable_amounts(m.raw["payments"])
+
+
 @query("ledger_exclusions")
 def _dq_excl(m: Models) -> DataFrame:
     return _q.ledger_exclusions(m.stg_payments, m.int_customer_identity)

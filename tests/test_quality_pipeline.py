@@ -79,3 +79,9 @@ def test_pipeline_publishes_and_gate_blocks_bad_runs(spark, scratch):
     assert pipeline.latest_published_run(spark, scratch) == "rgood"
     counts = {(r.layer, r.table_name): r.n_rows for r in pipeline.layer_counts(spark, scratch).collect()}
     assert counts[("metrics", "kpi_location_monthly")] == kpi.count()
+
+
+def test_unparseable_amounts_are_listed(spark):
+    raw = spark.createDataFrame([("1", "$1,234.50"), ("2", ""), ("3", "(12.00)"), ("4", None)],
+                                "payment_id string, amount string")
+    assert sorted(r.payment_id for r in q.unparseable_amounts(raw).collect()) == ["2", "3"]
