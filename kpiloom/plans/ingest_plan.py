@@ -46,15 +46,24 @@ class TwoBatches:
 
     @cached_property
     def marks_1(self) -> dict[str, str]:
-        return {r["table_name"]: r["batch_mark"] or "" for r in self.stats_1.collect()}   # 7 scalars
+        """Batch 1's high-water mark of every table: one job, seven scalars."""
+        return {r["table_name"]: r["batch_mark"] or "" for r in self.stats_1.collect()}
+
+    def mark_1(self, table: str) -> str:
+        """One table's mark, without computing the other six tables' batches."""
+        if "marks_1" in self.__dict__:
+            return self.marks_1[table]
+        row = ingest.batch_stats({table: self.batch_1[table]}).first()
+        return row["batch_mark"] or ""
 
     @cached_property
     def batch_2(self) -> dict[str, DataFrame]:
-        return {t: ingest.load_frame(self.source_2[t], self.marks_1[t], BATCH_2, LOADED_2) for t in TABLES}
+        return _LazyBatches(lambda t: ingest.load_frame(self.source_2[t], self.mark_1(t), BATCH_2, LOADED_2))
 
     @cached_property
     def stats_2(self) -> DataFrame:
-        return ingest.batch_stats(self.batch_2)
+        self.marks_1                       # all seven marks in one job
+        return ingest.batch_stats({t: self.batch_2[t] for t in TABLES})
 
     @cached_property
     def state_1(self) -> DataFrame:
@@ -70,3 +79,15 @@ class TwoBatches:
     def load_log(self) -> DataFrame:
         return ingest.log_rows(self.stats_1, self.state_1, BATCH_1, LOADED_1).unionByName(
             ingest.log_rows(self.stats_2, self.state_2, BATCH_2, LOADED_2))
+
+
+class _LazyBatches(dict):
+    """Second batches built on first access, so a one-table query builds one."""
+
+    def __init__(self, build):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = self._build(table)
+        return self[table]
