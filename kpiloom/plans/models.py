@@ -94,8 +94,9 @@ class Models:
         return mart.spine_with_revenue(self.dim_location, self.revenue_rollup, self.first_month, self.last_month)
     @cached_property
     def kpi_location_monthly(self):
-        return mart.assemble_kpis(self.spine_with_revenue, None, self.visit_rollup,
-                                  self.member_rollup, self.lead_rollup)
+        return mart.assemble_kpis(self.spine_with_revenue, None,
+                                  mart.activity_rollup(self.fct_appointments, self.fct_membership_months,
+                                                       self.fct_leads), None, None)
 
     CERTIFIED = ["dim_location", "dim_customer", "fct_appointments", "fct_payments",
                  "fct_membership_months", "fct_leads"]
