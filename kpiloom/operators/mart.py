@@ -1,11 +1,18 @@
 """KPI mart: one row per location per month it was open.
 
-Plan shape: the four rollups aggregate their fact to (location_id,
-month_start) with map-side partial aggregation, so what gets shuffled is at
-most one partial row per task and key -- a location holding a third of all
-rows costs nothing extra. The spine is explode(sequence) per location (no
-range join). The rollups come out hash-partitioned on the same two keys they
-are joined on; small ones are broadcast by AQE from their measured size.
+Plan shape of :func:`kpi_location_monthly`:
+
+* revenue: payments aggregated to (location_id, month_start) with map-side
+  partial aggregation -- a location holding a third of all rows costs one
+  partial row per task;
+* spine: each location explodes its own month sequence (no range join), is
+  FULL OUTER joined once with the revenue rollup, and a per-location window
+  finds the last payment month, so payments are read once;
+* activity: visits, members and leads unioned and aggregated in one more
+  partial + final aggregate, joined to the spine on the same two keys.
+
+The individual rollups (:func:`revenue_rollup` .. :func:`lead_rollup`) and
+the plain :func:`location_month_spine` remain available as operators.
 """
 
 from __future__ import annotations
@@ -34,8 +41,8 @@ def last_activity(fct_payments: DataFrame) -> DataFrame:
 
 def last_activity_from_revenue(revenue: DataFrame) -> DataFrame:
     """Same result from the revenue rollup, which has a row for every
-    (location, month) with at least one payment -- so the mart reads the
-    payments once instead of twice."""
+    (location, month) with at least one payment -- so a plan that needs both
+    reads the payments once."""
     return revenue.groupBy("location_id").agg(F.max("month_start").alias("last_month"))
 
 
