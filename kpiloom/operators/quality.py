@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kpiloom.functions.cleaning import is_test_account, to_cents, try_to_cents
 from kpiloom.functions.vocabulary import TEST_EMAIL_SUFFIX, TEST_FIRST_NAME, VOID_STATUS
@@ -164,41 +163,43 @@ class Check:
 ROW_LOCAL = {"not_null", "accepted_values"}
 KEYED = {"unique", "unique_combo", "relationships"}
 
-_E = T.StructType([T.StructField("check", T.StringType()), T.StructField("key", T.StringType()),
-                   T.StructField("n", T.LongType()), T.StructField("child", T.LongType()),
-                   T.StructField("parent", T.LongType()), T.StructField("fail", T.LongType()),
-                   T.StructField("keep", T.BooleanType())])
+class _Consts:
+    """Constant columns shared by all emitted records (fewer JVM round trips)."""
 
+    def __init__(self):
+        self.zero, self.one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        self.true, self.empty = F.lit(True), F.lit("")
 
-def _entry(check: str, key: Column, n=0, child=0, parent=0, fail: Column | int = 0, keep: Column | bool = True):
-    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
+
+def _entry(k: _Consts, check: str, key: Column, n: bool = False, child: bool = False, parent: bool = False,
+           fail: bool = False, keep: Column | None = None) -> Column:
+    bit = lambda on: k.one if on else k.zero
     return F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
-                    lit(n).cast("long").alias("n"), lit(child).cast("long").alias("child"),
-                    lit(parent).cast("long").alias("parent"), lit(fail).cast("long").alias("fail"),
-                    lit(keep).alias("keep"))
+                    bit(n).alias("n"), bit(child).alias("child"), bit(parent).alias("parent"),
+                    bit(fail).alias("fail"), (k.true if keep is None else keep).alias("keep"))
 
 
-def _entries_for(model: str, checks: list[Check]) -> list[Column]:
+def _entries_for(model: str, checks: list[Check], k: _Consts) -> list[Column]:
     out: list[Column] = []
     for c in checks:
         col = F.col(c.columns[0])
         if c.model == model:
             if c.kind == "not_null":
-                out.append(_entry(c.test_name, F.lit(""), fail=1, keep=col.isNull()))
+                out.append(_entry(k, c.test_name, k.empty, fail=True, keep=col.isNull()))
             elif c.kind == "accepted_values":
                 bad = col.isNotNull() & ~col.isin(list(c.values))
-                out.append(_entry(c.test_name, F.lit(""), fail=1, keep=bad))
+                out.append(_entry(k, c.test_name, k.empty, fail=True, keep=bad))
             elif c.kind == "unique":
-                out.append(_entry(c.test_name, col, n=1, keep=col.isNotNull()))
+                out.append(_entry(k, c.test_name, col, n=True, keep=col.isNotNull()))
             elif c.kind == "unique_combo":
-                out.append(_entry(c.test_name, F.to_json(F.struct(*[F.col(x) for x in c.columns])), n=1))
+                out.append(_entry(k, c.test_name, F.to_json(F.struct(*[F.col(x) for x in c.columns])), n=True))
             elif c.kind == "relationships":
-                out.append(_entry(c.test_name, col, child=1, keep=col.isNotNull()))
+                out.append(_entry(k, c.test_name, col, child=True, keep=col.isNotNull()))
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
         if c.kind == "relationships" and c.parent == model:
             pk = F.col(c.parent_field)
-            out.append(_entry(c.test_name, pk, parent=1, keep=pk.isNotNull()))
+            out.append(_entry(k, c.test_name, pk, parent=True, keep=pk.isNotNull()))
     return out
 
 
@@ -216,8 +217,9 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
     """
     names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent})
     parts = []
+    k = _Consts()
     for name in names:
-        entries = _entries_for(name, checks)
+        entries = _entries_for(name, checks, k)
         if entries:
             parts.append(models[name].select(F.explode(F.array(*entries)).alias("e")).select("e.*")
                          .where(F.col("keep")).drop("keep"))

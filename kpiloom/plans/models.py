@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.operators import certified, identity, mart, staging
-from kpiloom.sources.crm import FIXTURE_MONTHS, raw_tables
+from kpiloom.sources.crm import FIXTURE_MONTHS, RawSource
 
 
 class Models:
@@ -113,9 +113,8 @@ class _LazyRaw(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._dir = spark, sf_dir
+        self._src = RawSource(spark, sf_dir)
 
     def __missing__(self, name: str) -> DataFrame:
-        tables = raw_tables(self._spark, self._dir, only=[name])
-        self[name] = tables[name]
-        return tables[name]
+        self[name] = self._src.table(name)
+        return self[name]

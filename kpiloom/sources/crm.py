@@ -213,32 +213,57 @@ def leads(events: DataFrame) -> DataFrame:
     )
 
 
+SOURCE_COLUMNS = {
+    "nation": ["n_nationkey", "n_name"],
+    "customer": ["c_custkey", "c_nationkey"],
+    "part": ["p_partkey", "p_name", "p_type", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "events": ["event_id", "user_id", "event_type"],
+}
+
+
+class RawSource:
+    """The seven raw CRM tables over one directory of driver tables.
+
+    Each driver table is opened once (one footer read, one plan) however many
+    raw tables use it; raw tables are built on first access.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._src: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
+
+    def source(self, name: str) -> DataFrame:
+        if name not in self._src:
+            self._src[name] = read_table(self.spark, self.sf_dir, name, SOURCE_COLUMNS[name])
+        return self._src[name]
+
+    def _orders_customer(self) -> DataFrame:
+        if "__oc" not in self._src:
+            self._src["__oc"] = _orders_with_customer(self.source("orders"), self.source("customer"))
+        return self._src["__oc"]
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            build = {
+                "locations": lambda: locations(self.source("nation")),
+                "customers": lambda: customers(self.source("customer")),
+                "services": lambda: services(self.source("part")),
+                "memberships": lambda: memberships(self.source("customer")),
+                "appointments": lambda: appointments(self._orders_customer()),
+                "payments": lambda: payments(self._orders_customer()),
+                "leads": lambda: leads(self.source("events")),
+            }[name]
+            self._raw[name] = build()
+        return self._raw[name]
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> dict[str, DataFrame]:
-    """The seven raw CRM tables (all text columns), lazily; ``only`` limits which."""
-    want = set(only) if only else {"locations", "customers", "services", "memberships",
-                                    "appointments", "payments", "leads"}
-    out: dict[str, DataFrame] = {}
-    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    if "locations" in want:
-        out["locations"] = locations(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
-    if "customers" in want:
-        out["customers"] = customers(cust)
-    if "services" in want:
-        out["services"] = services(read_table(
-            spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"]))
-    if "memberships" in want:
-        out["memberships"] = memberships(cust)
-    if want & {"appointments", "payments"}:
-        oc = _orders_with_customer(read_table(
-            spark, sf_dir, "orders",
-            ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]), cust)
-        if "appointments" in want:
-            out["appointments"] = appointments(oc)
-        if "payments" in want:
-            out["payments"] = payments(oc)
-    if "leads" in want:
-        out["leads"] = leads(read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"]))
-    return out
+    """The seven raw CRM tables (all text columns); ``only`` limits which."""
+    src = RawSource(spark, sf_dir)
+    names = only or ["locations", "customers", "services", "memberships", "appointments", "payments", "leads"]
+    return {n: src.table(n) for n in names}
 
 
 # A later state of the source: voided payments are corrected (re-settled) and
