@@ -59,3 +59,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings that keep every task's share of data near ``target_partition_bytes``.
+
+    * scan splits of that size (``maxPartitionBytes``);
+    * an initial shuffle width of input / target (at least 2 x cores), which
+      AQE then coalesces toward the same advisory size -- so the widest
+      shuffle (facts by customer id) never puts more than a split's worth of
+      rows into one task, and the small ones collapse;
+    * skew handling: a partition is split when it is 5x the median and above
+      twice the target.
+    Apply at session build (``get_session(extra=scale_settings(...))``).
+    """
+    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }

@@ -37,3 +37,12 @@ def test_unused_columns_are_pruned_from_the_scan(spark, capsys):
     p = plan_text(Models.from_testdata(spark, SF_SMALL).fct_appointments, capsys)
     part_scans = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", p) if "p_partkey" in s]
     assert part_scans and all("p_name" not in s and "p_retailprice" not in s for s in part_scans)
+
+
+def test_scale_settings_size_partitions_to_the_input():
+    from kpiloom.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, 8000)            # 100 TB on 8000 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_settings(10 * 1024 ** 2, 8)            # tiny input: at least 2 x cores
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 ** 2)
