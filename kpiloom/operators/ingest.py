@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from kpiloom.functions.vocabulary import TABLES
+from kpiloom.operators.joins import left_join_spread_nulls
 
 WATERMARK_COLUMN = "updated_at"
 LOG_SCHEMA = T.StructType([
@@ -81,7 +82,8 @@ def upsert(target: DataFrame | None, incoming: DataFrame, key: str) -> DataFrame
     if target is None:
         return incoming
     keys = incoming.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull())
-    kept = target.join(keys, F.col(key) == F.col("__k"), "left_anti")
+    # null target keys never match; they are spread instead of filling one task
+    kept = left_join_spread_nulls(target, keys, key, "__k", how="left_anti")
     return kept.unionByName(incoming)
 
 

@@ -11,18 +11,22 @@ NULL_KEY_SPREAD = 4096
 
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                           row_id: Column | str) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key``, null keys spread out.
+                           row_id: Column | str | None = None, how: str = "left") -> DataFrame:
+    """``left LEFT [ANTI] JOIN right ON left_key = right_key``, null keys spread out.
 
-    Rows whose key is null get a salt derived from ``row_id``; matchable rows
-    get salt 0, which is also the right side's only salt. The join is still a
-    plain equi-join (on key and salt), so Spark picks broadcast or shuffle by
-    measured size; the right side's ``right_key`` column is dropped.
+    Rows whose key is null get a salt derived from ``row_id`` (default: a hash
+    of the whole row); matchable rows get salt 0, which is also the right
+    side's only salt. The join is still a plain equi-join (on key and salt),
+    so Spark picks broadcast or shuffle by measured size; the right side's
+    ``right_key`` column is dropped. ``how`` is ``"left"`` or ``"left_anti"``.
     """
-    rid = F.col(row_id) if isinstance(row_id, str) else row_id
+    if row_id is None:
+        rid = F.xxhash64(*[F.col(c) for c in left.columns])
+    else:
+        rid = F.col(row_id) if isinstance(row_id, str) else row_id
     salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(rid), F.lit(NULL_KEY_SPREAD)) + 1) \
         .otherwise(F.lit(0).cast("long"))
     lk, rk = "__jk", "__js"
     l2 = left.withColumn(rk, salt).withColumn(lk, F.col(left_key))
     r2 = right.withColumn(rk, F.lit(0).cast("long")).withColumnRenamed(right_key, lk)
-    return l2.join(r2, [lk, rk], "left").drop(lk, rk)
+    return l2.join(r2, [lk, rk], how).drop(lk, rk)
