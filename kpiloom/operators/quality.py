@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.cleaning import is_test_account, to_cents, try_to_cents
 from kpiloom.functions.vocabulary import TEST_EMAIL_SUFFIX, TEST_FIRST_NAME, VOID_STATUS
+from kpiloom.operators.joins import left_join_spread_nulls
 
 
 # --- F1-F5: generic tests, failing rows ---------------------------------------
@@ -130,11 +131,12 @@ def ledger_exclusions(stg_payments: DataFrame, identity: DataFrame) -> DataFrame
     ``void_status_null`` rows are silently dropped by ``not is_void``; the
     other reasons are by design. One pass over payments plus the identity join.
     """
-    ids = identity.select(F.col("customer_id").alias("__cid"), "is_test_account")
-    j = stg_payments.join(ids, F.col("customer_id") == F.col("__cid"), "left")
+    ids = identity.select(F.col("customer_id").alias("__cid"), "is_test_account",
+                          F.lit(True).alias("__known"))
+    j = left_join_spread_nulls(stg_payments, ids, "customer_id", "__cid", "payment_id")
     reason = (F.when(F.col("is_void").isNull(), F.lit("void_status_null"))
               .when(F.col("is_void"), F.lit("void"))
-              .when(F.col("__cid").isNull(), F.lit("unknown_customer"))
+              .when(F.col("__known").isNull(), F.lit("unknown_customer"))
               .when(F.col("is_test_account"), F.lit("test_account"))
               .otherwise(F.lit("in_ledger")))
     return j.groupBy(reason.alias("reason")).agg(
