@@ -171,3 +171,38 @@ def layer_counts(spark: SparkSession, root: str) -> DataFrame:
         if layer in ("certified", "metrics"):
             tables[(layer, name)] = spark.read.parquet(model_path(root, run_id, name))
     return serving.layer_row_counts(tables)
+
+
+def report(spark: SparkSession, root: str, parallel: int = 4) -> dict[str, str]:
+    """Step 5: the dashboard's data, written from the published KPI table only.
+
+    Writes under ``<root>/runs/<run_id>/serving/``: the report extract, the
+    monthly rollup (per brand and 'All'), month-over-month cards, the
+    leaderboard, the brand preview, the KPI documentation table and the
+    layer row counts. Returns name -> path.
+    """
+    from kpiloom.operators.governance import kpi_docs
+
+    run_id = latest_published_run(spark, root)
+    if run_id is None:
+        raise FileNotFoundError(f"nothing has been published under {root}")
+    kpi = spark.read.parquet(model_path(root, run_id, "kpi_location_monthly"))
+    rollup = serving.monthly_rollup(kpi)
+    outputs = {
+        "report_extract": serving.report_extract(kpi),
+        "monthly_rollup": rollup,
+        "mom_cards": serving.mom_cards(rollup),
+        "leaderboard": serving.leaderboard(kpi),
+        "brand_monthly": serving.brand_monthly(kpi),
+        "kpi_docs": kpi_docs(kpi_registry(spark)),
+        "layer_row_counts": layer_counts(spark, root),
+    }
+    base = f"{root}/runs/{run_id}/serving"
+
+    def write(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        return name, f"{base}/{name}"
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(pool.map(write, outputs.items()))

@@ -79,6 +79,10 @@ def test_pipeline_publishes_and_gate_blocks_bad_runs(spark, scratch):
     assert pipeline.latest_published_run(spark, scratch) == "rgood"
     counts = {(r.layer, r.table_name): r.n_rows for r in pipeline.layer_counts(spark, scratch).collect()}
     assert counts[("metrics", "kpi_location_monthly")] == kpi.count()
+    paths = pipeline.report(spark, scratch)
+    assert "/runs/rgood/serving/" in paths["mom_cards"]
+    assert spark.read.parquet(paths["monthly_rollup"]).where("brand = 'All'").count() > 0
+    assert spark.read.parquet(paths["kpi_docs"]).count() == 10
 
 
 def test_unparseable_amounts_are_listed(spark):
