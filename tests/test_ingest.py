@@ -74,6 +74,8 @@ def test_extract_load_idempotent_and_picks_up_changes(spark, scratch):
     assert ingest.extract_load(spark, changed, scratch, batch_id="bthird") == third
     log = ingest.read_log(spark, scratch)
     assert log.count() == 3 * 7
+    summary = {r.table_name: r.rows_loaded for r in ingest.load_summary(log, "bthird").collect()}
+    assert summary == third                       # A11: table -> rows loaded, zeros included
     marks = {r.table_name: r.mark for r in log.groupBy("table_name").agg(F.max("high_watermark").alias("mark"))
              .collect()}
     assert marks["payments"] == "2099-01-01 00:00:00"
