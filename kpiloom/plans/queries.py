@@ -10,6 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.functions.vocabulary import STATUS_VALUES as _STATUS
+from kpiloom.operators import ingest as _ing
+from kpiloom.operators import quality as _q
+from kpiloom.operators import serving as _s
+from kpiloom.plans import checks as _checks
+from kpiloom.plans.ingest_plan import BATCH_1, LOADED_1, TwoBatches
 from kpiloom.plans.models import Models
 from kpiloom.session import configure
 
@@ -50,9 +56,6 @@ def _vocab(m: Models) -> DataFrame:
 
 
 # --- F: data quality ------------------------------------------------------------
-from kpiloom.operators import quality as _q  # noqa: E402
-from kpiloom.plans import checks as _checks  # noqa: E402
-from kpiloom.functions.vocabulary import STATUS_VALUES as _STATUS  # noqa: E402
 
 
 @query("dq_not_null")
@@ -134,7 +137,6 @@ def _dq_excl(m: Models) -> DataFrame:
 
 
 # --- H: serving -------------------------------------------------------------------
-from kpiloom.operators import serving as _s  # noqa: E402
 
 
 @query("report_extract")
@@ -177,8 +179,6 @@ def _h9(m: Models) -> DataFrame:
 
 
 # --- A: ingestion -------------------------------------------------------------------
-from kpiloom.plans.ingest_plan import BATCH_1, LOADED_1, TwoBatches  # noqa: E402
-from kpiloom.operators import ingest as _ing  # noqa: E402
 
 
 @query("incremental_extract")
