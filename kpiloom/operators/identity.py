@@ -24,11 +24,17 @@ def resolve_identity(stg_customers: DataFrame) -> DataFrame:
     """
     masters = (stg_customers.where(F.col("email_normalized").isNotNull())
                .groupBy(F.col("email_normalized").alias("__key"))
-               .agg(F.min("customer_id").alias("__master")))
+               .agg(F.min("customer_id").alias("__master"))
+               .withColumn("__h", F.xxhash64("__key")))
     key = F.coalesce(F.col("email_normalized"), F.concat(F.lit("#"), F.col("customer_id").cast("string")))
-    joined = stg_customers.withColumn("__key", key).join(masters, "__key", "left")
+    records = stg_customers.withColumn("__key", key).withColumn("__h", F.xxhash64("__key"))
+    # Joining on (hash, e-mail) rather than the e-mail alone: the aggregate's
+    # partitioning by e-mail then does not cover the join keys, so both join
+    # inputs are shuffle stages -- the shape AQE's skew-join rule needs to
+    # split a hot e-mail on the record side (tested with forced shuffle joins).
+    joined = records.join(masters, ["__h", "__key"], "left")
     master = F.when(F.col("email_normalized").isNull(), F.col("customer_id")).otherwise(F.col("__master"))
-    return joined.withColumn("master_customer_id", master).drop("__key", "__master")
+    return joined.withColumn("master_customer_id", master).drop("__key", "__h", "__master")
 
 
 def int_customer_identity(stg_customers: DataFrame) -> DataFrame:

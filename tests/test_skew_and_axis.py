@@ -56,3 +56,68 @@ def test_leads_mostly_unconverted(spark):
 def test_by_brand(spark):
     kpi = spark.createDataFrame([("A", 1), ("B", 2)], "brand string, x int")
     assert serving.by_brand(kpi).count() == 2 and serving.by_brand(kpi, "B").first().x == 2
+
+
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+class _conf:
+    """Temporarily force shuffle joins and tiny skew thresholds (what 100 TB looks like to AQE)."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in SKEW_CONF}
+        for k, v in SKEW_CONF.items():
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+
+
+def _final_plan(df, capsys):
+    rows = df.collect()                   # run this DataFrame's own plan, then read AQE's final plan
+    capsys.readouterr()
+    df.explain()
+    return rows, capsys.readouterr().out
+
+
+def test_hot_customer_is_split_by_aqe(spark, capsys):
+    n = 30000
+    pays = spark.range(n).select(
+        F.col("id").cast("int").alias("payment_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 3000).cast("int")).alias("customer_id"),
+        F.lit(1).alias("location_id"), F.lit(None).cast("int").alias("appointment_id"),
+        F.lit(None).cast("int").alias("membership_id"), F.lit("service").alias("payment_type"),
+        F.lit(100).cast("bigint").alias("amount_cents"), F.lit(False).alias("is_void"),
+        F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("paid_at"))
+    ids = spark.range(3000).select(
+        F.col("id").cast("int").alias("customer_id"), F.col("id").cast("int").alias("master_customer_id"),
+        F.lit(None).cast("string").alias("email_normalized"), (F.col("id") == 2).alias("is_test_account"))
+    with _conf(spark):
+        rows, plan = _final_plan(certified.fct_payments(pays, ids), capsys)
+    assert len(rows) == n - 10                         # customer 2 is a test account: its 10 payments go
+    assert "skew=true" in plan                         # the third of the rows on customer 1 was split
+
+
+def test_hot_email_identity_is_split_by_aqe(spark, capsys):
+    n = 30000
+    stg = spark.range(n).select(
+        F.col("id").cast("int").alias("customer_id"), F.lit("F").alias("first_name"), F.lit("L").alias("last_name"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot@x.com"))
+         .otherwise(F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.com"))).alias("email_normalized"),
+        F.lit(1).alias("home_location_id"), F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("created_at"),
+        F.lit(False).alias("is_test_account"))
+    with _conf(spark):
+        rows, plan = _final_plan(identity.int_customer_identity(stg), capsys)
+    assert sum(1 for r in rows if r.master_customer_id == 0) == n // 3
+    assert "skew=true" in plan
