@@ -46,3 +46,16 @@ def test_scale_settings_size_partitions_to_the_input():
     small = scale_settings(10 * 1024 ** 2, 8)            # tiny input: at least 2 x cores
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 ** 2)
+
+
+def test_rollups_aggregate_map_side_first(spark, capsys):
+    from kpiloom.operators import mart
+    m = Models.from_testdata(spark, SF_SMALL)
+    rev = plan_text(mart.revenue_rollup(m.fct_payments), capsys)
+    act = plan_text(mart.activity_rollup(m.fct_appointments, m.fct_membership_months, m.fct_leads), capsys)
+    assert "partial_sum" in rev and "partial_sum" in act      # a hot location costs one partial row per task
+
+
+def test_cli_runs_the_platform(spark, scratch):
+    from kpiloom.__main__ import main
+    assert main(["--sf-dir", SF_SMALL, "--root", scratch]) == 0
