@@ -307,18 +307,18 @@ FROM fct_payments GROUP BY ALL""")
 cte("visits", ["fct_appointments"], """
 SELECT location_id, CAST(date_trunc('month', appointment_date) AS DATE) AS month_start,
        count(*) AS appointments_scheduled,
-       count_if(status = 'completed') AS completed_visits,
-       count_if(status = 'no_show') AS no_shows
+       CAST(count_if(status = 'completed') AS BIGINT) AS completed_visits,
+       CAST(count_if(status = 'no_show') AS BIGINT) AS no_shows
 FROM fct_appointments GROUP BY ALL""")
 
 cte("members", ["fct_membership_months"], """
 SELECT location_id, month_start, count(*) AS active_members,
-       count_if(is_new) AS new_members, count_if(is_churned) AS churned_members
+       CAST(count_if(is_new) AS BIGINT) AS new_members, CAST(count_if(is_churned) AS BIGINT) AS churned_members
 FROM fct_membership_months GROUP BY ALL""")
 
 cte("leadsr", ["fct_leads"], """
 SELECT location_id, CAST(date_trunc('month', lead_date) AS DATE) AS month_start,
-       count(*) AS leads, count_if(is_converted) AS converted_leads
+       count(*) AS leads, CAST(count_if(is_converted) AS BIGINT) AS converted_leads
 FROM fct_leads GROUP BY ALL""")
 
 cte("kpi_location_monthly", ["spine", "revenue", "visits", "members", "leadsr"], """
@@ -401,15 +401,15 @@ GROUP BY customer_id, appointment_date HAVING count(*) > 1""", ["fct_appointment
 
 # --- F6-F10 ---------------------------------------------------------------------
 cte("tie_duplicates_merged", ["stg_customers", "int_customer_identity"], """
-SELECT count(*) AS emails_checked, count_if(masters > 1) AS emails_with_several_masters,
-       count_if(masters > 1) = 0 AS passes
+SELECT count(*) AS emails_checked, CAST(count_if(masters > 1) AS BIGINT) AS emails_with_several_masters,
+       CAST(count_if(masters > 1) AS BIGINT) = 0 AS passes
 FROM (SELECT c.email_normalized, count(DISTINCT i.master_customer_id) AS masters
       FROM stg_customers c JOIN int_customer_identity i ON i.customer_id = c.customer_id
       WHERE c.email_normalized IS NOT NULL AND c.is_test_account = false
       GROUP BY c.email_normalized) e""")
 cte("tie_customer_reconcile", ["stg_customers", "dim_customer"], """
 SELECT src AS source_records, cert AS certified_records, src IS NOT DISTINCT FROM cert AS passes
-FROM (SELECT (SELECT count_if(NOT is_test_account) FROM stg_customers) AS src,
+FROM (SELECT (SELECT CAST(count_if(NOT is_test_account) AS BIGINT) FROM stg_customers) AS src,
              (SELECT CAST(sum(source_records_merged) AS BIGINT) FROM dim_customer) AS cert) t""")
 cte("tie_kpi_vs_ledger", ["kpi_location_monthly", "fct_payments"], """
 SELECT k AS kpi_cents, l AS ledger_cents, k IS NOT DISTINCT FROM l AS passes

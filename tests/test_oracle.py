@@ -39,9 +39,18 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                   "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    o_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
+    s_types = {f: (t.upper().replace(" ", "") if t.startswith("decimal") else SPARK_TO_DUCKDB.get(t, t))
+               for f, t in sdf.dtypes}
+    assert s_types == o_types                     # same column names and types
     cols = sorted(sdf.columns)
     s_rows = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
     cur = con.execute(E.oracle_sql()[name])
