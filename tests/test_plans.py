@@ -59,3 +59,14 @@ def test_rollups_aggregate_map_side_first(spark, capsys):
 def test_cli_runs_the_platform(spark, scratch):
     from kpiloom.__main__ import main
     assert main(["--sf-dir", SF_SMALL, "--root", scratch]) == 0
+
+
+def test_small_batch_upsert_does_not_shuffle_the_target(spark, scratch, capsys):
+    target = spark.range(200000).selectExpr("cast(id as string) as id", "'v' as v", "'t1' as updated_at")
+    target.write.parquet(f"{scratch}/target")
+    batch = spark.createDataFrame([("5", "w", "t2"), ("999999999", "x", "t2")], "id string, v string, updated_at string")
+    batch.write.parquet(f"{scratch}/batch")
+    up = ingest.upsert(spark.read.parquet(f"{scratch}/target"), spark.read.parquet(f"{scratch}/batch"), "id")
+    p = plan_text(up, capsys)
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert "SortMergeJoin" not in p                   # the big side is only scanned and filtered
