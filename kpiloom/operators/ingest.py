@@ -60,10 +60,14 @@ def to_raw_text(df: DataFrame) -> DataFrame:
     return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def _ntz(ts: dt.datetime):
+    # from text, so neither the Python process's zone nor the session zone can shift it
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def with_audit(df: DataFrame, batch_id: str, loaded_at: dt.datetime) -> DataFrame:
     """``_batch_id`` and naive-UTC ``_loaded_at`` on every row."""
-    return df.withColumns({"_batch_id": F.lit(batch_id),
-                           "_loaded_at": F.lit(loaded_at).cast("timestamp_ntz")})
+    return df.withColumns({"_batch_id": F.lit(batch_id), "_loaded_at": _ntz(loaded_at)})
 
 
 def load_frame(source: DataFrame, mark: str | None, batch_id: str, loaded_at: dt.datetime) -> DataFrame:
@@ -119,7 +123,7 @@ def log_rows(stats: DataFrame, state_after: DataFrame, batch_id: str, loaded_at:
     j = stats.join(state_after, "table_name", "left")
     return j.select(F.lit(batch_id).alias("batch_id"), "table_name", "rows_loaded",
                     F.coalesce(F.col("high_watermark"), F.lit("")).alias("high_watermark"),
-                    F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+                    _ntz(loaded_at).alias("loaded_at"))
 
 
 def load_summary(log: DataFrame, batch_id: str) -> DataFrame:
