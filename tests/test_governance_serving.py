@@ -67,3 +67,35 @@ def test_small_base_suppression(spark):
         "churned_members long").withColumn("month_start", F.col("month_start").cast("date"))
     got = {r.brand: r.churn_pct for r in serving.brand_monthly(kpi).collect()}
     assert got["C"] is None and abs(got["B"] - 5 / 140 * 100) < 1e-12
+
+
+def _kpi_rows(spark, rows):
+    return spark.createDataFrame(rows, "location_id int, location_name string, brand string, ownership string, "
+                                       "month_start string, net_revenue double, active_members long, "
+                                       "new_members long, churned_members long, lead_conversion_rate double") \
+        .withColumn("month_start", F.col("month_start").cast("date"))
+
+
+def test_report_periods_flags_latest_and_previous(spark):
+    kpi = _kpi_rows(spark, [(1, "A", "X", "c", "2025-01-01", 1.0, 1, 0, 0, None),
+                            (1, "A", "X", "c", "2025-03-01", 1.0, 1, 0, 0, None),
+                            (2, "B", "Y", "f", "2025-02-01", 1.0, 1, 0, 0, None)])
+    got = {(r.dimension, r.value): (r.position, r.is_latest, r.is_previous)
+           for r in serving.report_periods(kpi).collect()}
+    assert got[("month", "2025-03")] == (3, True, False)
+    assert got[("month", "2025-02")] == (2, False, True)
+    assert got[("month", "2025-01")] == (1, False, False)
+    assert got[("brand", "X")] == (1, False, False) and got[("brand", "Y")] == (2, False, False)
+
+
+def test_leaderboard_latest_month_sort_and_brand(spark):
+    kpi = _kpi_rows(spark, [(1, "A", "X", "c", "2025-02-01", 10.0, 10, 2, 4, 0.5),
+                            (2, "B", "X", "c", "2025-02-01", 30.0, 5, 5, 1, None),
+                            (3, "C", "Y", "f", "2025-02-01", 20.0, 8, 0, 2, 0.25),
+                            (1, "A", "X", "c", "2025-01-01", 99.0, 1, 0, 0, None)])
+    rows = serving.leaderboard(kpi).collect()
+    assert [r.location_id for r in rows] == [2, 3, 1]               # latest month only, revenue descending
+    churn = {r.location_id: r.member_churn_rate for r in rows}
+    assert churn[1] == 0.5 and churn[2] == 0.0 and churn[3] == 0.25   # unrounded; 0 on an empty base
+    asc = serving.leaderboard(kpi, "active_members", descending=False, brand="X").collect()
+    assert [r.location_id for r in asc] == [2, 1]
