@@ -9,6 +9,7 @@ tests on a model (not-null, accepted values) in a single aggregation pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -162,26 +163,50 @@ class Check:
         return f"{self.kind}_{self.model}_{'__'.join(self.columns)}"
 
 
+@dataclass(frozen=True)
+class Total:
+    """A named total over one model, computed in the suite's single pass.
+
+    ``expr`` builds the per-row value to sum. ``empty_as_zero`` gives count
+    semantics (0 over no rows) instead of sum semantics (null over no rows).
+    """
+    name: str
+    model: str
+    expr: Callable[[], Column]
+    empty_as_zero: bool = False
+
+
+@dataclass(frozen=True)
+class TieOut:
+    """A tie-out that compares two totals null-safely: one failure unless equal."""
+    name: str
+    a: str
+    b: str
+
+
 ROW_LOCAL = {"not_null", "accepted_values"}
 KEYED = {"unique", "unique_combo", "relationships"}
 
+
 class _Consts:
     """Constant columns shared by all emitted records (fewer JVM round trips)."""
 
     def __init__(self):
         self.zero, self.one = F.lit(0).cast("long"), F.lit(1).cast("long")
         self.true, self.empty = F.lit(True), F.lit("")
+        self.no_amount = F.lit(None).cast("long")
 
 
 def _entry(k: _Consts, check: str, key: Column, n: bool = False, child: bool = False, parent: bool = False,
-           fail: bool = False, keep: Column | None = None) -> Column:
+           fail: bool = False, keep: Column | None = None, amount: Column | None = None) -> Column:
     bit = lambda on: k.one if on else k.zero
     return F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
                     bit(n).alias("n"), bit(child).alias("child"), bit(parent).alias("parent"),
-                    bit(fail).alias("fail"), (k.true if keep is None else keep).alias("keep"))
+                    bit(fail).alias("fail"), (k.no_amount if amount is None else amount.cast("long")).alias("amount"),
+                    (k.true if keep is None else keep).alias("keep"))
 
 
-def _entries_for(model: str, checks: list[Check], k: _Consts) -> list[Column]:
+def _entries_for(model: str, checks: list[Check], totals: list[Total], k: _Consts) -> list[Column]:
     out: list[Column] = []
     for c in checks:
         col = F.col(c.columns[0])
@@ -202,26 +227,33 @@ def _entries_for(model: str, checks: list[Check], k: _Consts) -> list[Column]:
         if c.kind == "relationships" and c.parent == model:
             pk = F.col(c.parent_field)
             out.append(_entry(k, c.test_name, pk, parent=True, keep=pk.isNotNull()))
+    for t in totals:
+        if t.model == model:
+            out.append(_entry(k, t.name, k.empty, amount=t.expr()))
     return out
 
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check],
-              singular: dict[str, DataFrame] | None = None) -> DataFrame:
+              singular: dict[str, DataFrame] | None = None, totals: list[Total] | None = None,
+              ties: list[TieOut] | None = None) -> DataFrame:
     """DataFrame(test_name, model, kind, failures, status) for all checks.
 
     One scan per model and one shuffle for the whole suite: every model row
     emits a small (check, key, counters) record for each check it takes part
     in -- a failing row-local test, a key to count for uniqueness, a child or
-    parent key of a relationship -- and a single ``groupBy(check, key)``
-    (partially aggregated map-side, so hot keys collapse early) gives
-    duplicate keys and orphan children for every check at once. Tie-outs in
-    ``singular`` count as one failure when ``passes`` is not true.
+    parent key of a relationship, a value for a named total -- and a single
+    ``groupBy(check, key)`` (partially aggregated map-side, so hot keys and
+    the one-key totals collapse early) gives duplicate keys, orphan children
+    and totals for every check at once. ``ties`` compare two totals in the
+    same final aggregation (no second scan of the models they read); tie-outs
+    in ``singular`` count as one failure when their ``passes`` flag is not true.
     """
-    names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent})
+    totals, ties = totals or [], ties or []
+    names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | {t.model for t in totals})
     parts = []
     k = _Consts()
     for name in names:
-        entries = _entries_for(name, checks, k)
+        entries = _entries_for(name, checks, totals, k)
         if entries:
             parts.append(models[name].select(F.explode(F.array(*entries)).alias("e")).select("e.*")
                          .where(F.col("keep")).drop("keep"))
@@ -230,19 +262,33 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
         emitted = emitted.unionByName(p)
     per_key = emitted.groupBy("check", "key").agg(
         F.sum("n").alias("n"), F.sum("child").alias("child"), F.max("parent").alias("parent"),
-        F.sum("fail").alias("fail"))
+        F.sum("fail").alias("fail"), F.sum("amount").alias("amount"))
     per_check = per_key.groupBy("check").agg(
         F.sum("fail").alias("fail_rows"),
         F.count_if(F.col("n") > 1).alias("dup_keys"),
-        F.sum(F.when((F.col("parent") == 0) & (F.col("child") > 0), F.col("child"))).alias("orphan_rows"))
+        F.sum(F.when((F.col("parent") == 0) & (F.col("child") > 0), F.col("child"))).alias("orphan_rows"),
+        F.sum("amount").alias("total"))
     spark = emitted.sparkSession
-    specs = spark.createDataFrame([(c.test_name, c.model, c.kind) for c in checks],
-                                  "test_name string, model string, kind string")
-    j = specs.join(per_check.withColumnRenamed("check", "test_name"), "test_name", "left")
-    failures = (F.when(F.col("kind").isin(*ROW_LOCAL), F.col("fail_rows"))
-                .when(F.col("kind") == "relationships", F.col("orphan_rows"))
-                .otherwise(F.col("dup_keys")))
-    out = j.select("test_name", "model", "kind", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))
+    zero_totals = {t.name for t in totals if t.empty_as_zero}
+    spec_rows = [(c.test_name, c.test_name, c.model, c.kind, None, False) for c in checks]
+    for t in ties:
+        spec_rows += [(t.a, t.name, "singular", "tie_out", "a", t.a in zero_totals),
+                      (t.b, t.name, "singular", "tie_out", "b", t.b in zero_totals)]
+    specs = spark.createDataFrame(spec_rows, "check string, test_name string, model string, kind string, "
+                                             "side string, empty_as_zero boolean")
+    j = specs.join(per_check, "check", "left")
+    total = F.when(F.col("empty_as_zero"), F.coalesce(F.col("total"), F.lit(0).cast("long"))).otherwise(F.col("total"))
+    raw = (F.when(F.col("kind").isin(*ROW_LOCAL), F.col("fail_rows"))
+           .when(F.col("kind") == "relationships", F.col("orphan_rows"))
+           .otherwise(F.col("dup_keys")))
+    g = j.groupBy("test_name", "model", "kind").agg(
+        F.max(raw).alias("__raw"),
+        F.max(F.when(F.col("side") == "a", total)).alias("__a"),
+        F.max(F.when(F.col("side") == "b", total)).alias("__b"))
+    failures = F.when(F.col("kind") == "tie_out",
+                      F.when(F.col("__a").eqNullSafe(F.col("__b")), F.lit(0)).otherwise(F.lit(1))) \
+        .otherwise(F.coalesce(F.col("__raw"), F.lit(0)))
+    out = g.select("test_name", "model", "kind", failures.cast("bigint").alias("failures"))
     for name, df in (singular or {}).items():
         out = out.unionByName(df.agg(F.count_if(~F.coalesce(F.col("passes"), F.lit(False))).alias("failures"))
                               .select(F.lit(name).alias("test_name"), F.lit("singular").alias("model"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kpiloom.functions.vocabulary import CHANNEL_VALUES, OWNERSHIP_VALUES, PAYMENT_TYPES, STATUS_VALUES
 from kpiloom.operators import quality as q
-from kpiloom.operators.quality import Check
+from kpiloom.operators.quality import Check, TieOut, Total
 
 # Brands of the derived test data (the reference's own chain uses two others).
 FIXTURE_BRANDS = ("Alder Clinics", "Birch Wellness")
@@ -68,12 +69,39 @@ def tie_outs(m) -> dict[str, DataFrame]:
     }
 
 
+# Two of the five tie-outs only compare totals of tables the generic checks
+# already read; in the suite they are computed in the same single pass.
+SUITE_TOTALS = [
+    Total("total_source_records", "stg_customers",
+          lambda: F.when(~F.col("is_test_account"), F.lit(1)).otherwise(F.lit(0)), empty_as_zero=True),
+    Total("total_certified_records", "dim_customer", lambda: F.col("source_records_merged")),
+    Total("total_kpi_cents", "kpi_location_monthly",
+          lambda: F.round(F.col("net_revenue") * 100, 0).cast("bigint")),
+    Total("total_ledger_cents", "fct_payments", lambda: F.col("amount_cents")),
+]
+SUITE_TIES = [
+    TieOut("assert_every_real_customer_certified", "total_source_records", "total_certified_records"),
+    TieOut("assert_kpi_revenue_ties_to_ledger", "total_kpi_cents", "total_ledger_cents"),
+]
+
+
 MODEL_NAMES = ["stg_locations", "stg_customers", "stg_services", "stg_memberships", "stg_appointments",
                "stg_payments", "stg_leads", "int_customer_identity", "dim_location", "dim_customer",
                "fct_appointments", "fct_payments", "fct_membership_months", "fct_leads", "kpi_location_monthly"]
 
 
 def suite_results(m, brands: tuple[str, ...] = FIXTURE_BRANDS) -> DataFrame:
+    """All 45 tests: 40 generic checks and 2 total tie-outs in one pass, 3 joined tie-outs."""
     checks = platform_checks(brands)
-    models = {name: m.model(name) for name in {c.model for c in checks} | {c.parent for c in checks if c.parent}}
-    return q.run_suite(models, checks, tie_outs(m))
+    needed = ({c.model for c in checks} | {c.parent for c in checks if c.parent}
+              | {t.model for t in SUITE_TOTALS})
+    models = {name: m.model(name) for name in needed}
+    in_pass = {t.name for t in SUITE_TIES}
+    singular = {
+        "assert_duplicates_merged": q.dq_duplicates_merged(m.stg_customers, m.int_customer_identity),
+        "assert_no_test_accounts_certified": q.dq_no_test_accounts(m.fct_payments, m.stg_customers),
+        "assert_revenue_ties_to_source": q.dq_revenue_vs_source(m.raw["payments"], m.raw["customers"],
+                                                                m.fct_payments),
+    }
+    assert not in_pass & set(singular)
+    return q.run_suite(models, checks, singular, SUITE_TOTALS, SUITE_TIES)

@@ -89,3 +89,24 @@ def test_unparseable_amounts_are_listed(spark):
     raw = spark.createDataFrame([("1", "$1,234.50"), ("2", ""), ("3", "(12.00)"), ("4", None)],
                                 "payment_id string, amount string")
     assert sorted(r.payment_id for r in q.unparseable_amounts(raw).collect()) == ["2", "3"]
+
+
+def test_in_pass_tie_outs_catch_faults(spark):
+    from kpiloom.operators import mart
+    m = Models.from_testdata(spark, SF_MID)
+    checks_ = checks.platform_checks()
+    models = {n: m.model(n) for n in {c.model for c in checks_} | {c.parent for c in checks_ if c.parent}
+              | {t.model for t in checks.SUITE_TOTALS}}
+
+    def tie_status(models_):
+        res = q.run_suite(models_, checks_, None, checks.SUITE_TOTALS, checks.SUITE_TIES)
+        return {r.test_name: r.status for r in res.where("kind = 'tie_out'").collect()}
+
+    assert tie_status(models) == {"assert_every_real_customer_certified": "pass",
+                                  "assert_kpi_revenue_ties_to_ledger": "pass"}
+    no_ext = mart.location_month_spine(m.dim_location, m.last_activity.where("false"), *FIXTURE_MONTHS)
+    bad_kpi = mart.assemble_kpis(no_ext, m.revenue_rollup, m.visit_rollup, m.member_rollup, m.lead_rollup)
+    assert tie_status({**models, "kpi_location_monthly": bad_kpi})["assert_kpi_revenue_ties_to_ledger"] == "fail"
+    # count semantics: 0 real records vs a null sum over an empty dimension must fail, as in SQL
+    empty_dim = m.dim_customer.where("false")
+    assert tie_status({**models, "dim_customer": empty_dim})["assert_every_real_customer_certified"] == "fail"
