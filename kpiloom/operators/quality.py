@@ -90,19 +90,25 @@ def dq_no_test_accounts(fct_payments: DataFrame, stg_customers: DataFrame) -> Da
                       _passes(F.col("test_account_payments"), F.lit(0).cast("bigint")))
 
 
-def dq_revenue_vs_source(raw_payments: DataFrame, raw_customers: DataFrame, fct_payments: DataFrame,
-                         void_status: str = VOID_STATUS, test_suffix: str = TEST_EMAIL_SUFFIX,
-                         test_first_name: str = TEST_FIRST_NAME) -> DataFrame:
-    """Certified revenue recomputed independently from the raw text.
+def raw_source_cents(raw_payments: DataFrame, raw_customers: DataFrame, void_status: str = VOID_STATUS,
+                     test_suffix: str = TEST_EMAIL_SUFFIX, test_first_name: str = TEST_FIRST_NAME) -> DataFrame:
+    """Net cents recomputed independently from the raw text (one row: ``source_cents``).
 
     Deliberately does not reuse staging: raw amount text, raw status, raw
     customer test rule, joined on the raw customer id text.
     """
     cust = (raw_customers.where(~is_test_account("email", "first_name", test_suffix, test_first_name))
             .select(F.col("customer_id").alias("__cid")))
-    src = (raw_payments.where(F.col("payment_status") != F.lit(void_status))
-           .join(cust, F.col("customer_id") == F.col("__cid"))
-           .agg(F.sum(to_cents("amount")).alias("source_cents")))
+    return (raw_payments.where(F.col("payment_status") != F.lit(void_status))
+            .join(cust, F.col("customer_id") == F.col("__cid"))
+            .agg(F.sum(to_cents("amount")).alias("source_cents")))
+
+
+def dq_revenue_vs_source(raw_payments: DataFrame, raw_customers: DataFrame, fct_payments: DataFrame,
+                         void_status: str = VOID_STATUS, test_suffix: str = TEST_EMAIL_SUFFIX,
+                         test_first_name: str = TEST_FIRST_NAME) -> DataFrame:
+    """Certified revenue against the raw-text recomputation (:func:`raw_source_cents`)."""
+    src = raw_source_cents(raw_payments, raw_customers, void_status, test_suffix, test_first_name)
     cert = fct_payments.agg(F.sum("amount_cents").alias("certified_cents"))
     return _side_by_side(src, cert, "source_cents", "certified_cents")
 
@@ -147,7 +153,8 @@ def ledger_exclusions(stg_payments: DataFrame, identity: DataFrame) -> DataFrame
 # --- F11: suites and summary -------------------------------------------------------
 @dataclass(frozen=True)
 class Check:
-    """One data test: ``kind`` in not_null, unique, accepted_values, relationships, unique_combo."""
+    """One data test: ``kind`` in not_null, unique, accepted_values, relationships, unique_combo,
+    absent_from (the child value must NOT occur among the parent rows selected by ``parent_where``)."""
     model: str
     kind: str
     columns: tuple[str, ...]
@@ -155,6 +162,8 @@ class Check:
     parent: str | None = None
     parent_field: str | None = None
     name: str = field(default="")
+    parent_where: Callable[[], Column] | None = None      # absent_from: which parent rows count
+    report_as: tuple[str, str] | None = None              # (model, kind) shown in the results
 
     @property
     def test_name(self) -> str:
@@ -220,13 +229,15 @@ def _entries_for(model: str, checks: list[Check], totals: list[Total], k: _Const
                 out.append(_entry(k, c.test_name, col, n=True, keep=col.isNotNull()))
             elif c.kind == "unique_combo":
                 out.append(_entry(k, c.test_name, F.to_json(F.struct(*[F.col(x) for x in c.columns])), n=True))
-            elif c.kind == "relationships":
+            elif c.kind in ("relationships", "absent_from"):
                 out.append(_entry(k, c.test_name, col, child=True, keep=col.isNotNull()))
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
-        if c.kind == "relationships" and c.parent == model:
+        if c.kind in ("relationships", "absent_from") and c.parent == model:
             pk = F.col(c.parent_field)
-            out.append(_entry(k, c.test_name, pk, parent=True, keep=pk.isNotNull()))
+            keep = pk.isNotNull() if c.parent_where is None else pk.isNotNull() & F.coalesce(c.parent_where(),
+                                                                                               F.lit(False))
+            out.append(_entry(k, c.test_name, pk, parent=True, keep=keep))
     for t in totals:
         if t.model == model:
             out.append(_entry(k, t.name, k.empty, amount=t.expr()))
@@ -235,7 +246,7 @@ def _entries_for(model: str, checks: list[Check], totals: list[Total], k: _Const
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check],
               singular: dict[str, DataFrame] | None = None, totals: list[Total] | None = None,
-              ties: list[TieOut] | None = None) -> DataFrame:
+              ties: list[TieOut] | None = None, external: dict[str, DataFrame] | None = None) -> DataFrame:
     """DataFrame(test_name, model, kind, failures, status) for all checks.
 
     One scan per model and one shuffle for the whole suite: every model row
@@ -245,8 +256,10 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
     ``groupBy(check, key)`` (partially aggregated map-side, so hot keys and
     the one-key totals collapse early) gives duplicate keys, orphan children
     and totals for every check at once. ``ties`` compare two totals in the
-    same final aggregation (no second scan of the models they read); tie-outs
-    in ``singular`` count as one failure when their ``passes`` flag is not true.
+    same final aggregation (no second scan of the models they read);
+    ``external`` adds one-row totals computed elsewhere (e.g. from raw data)
+    to compare against. Tie-outs in ``singular`` count as one failure when
+    their ``passes`` flag is not true.
     """
     totals, ties = totals or [], ties or []
     names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | {t.model for t in totals})
@@ -267,26 +280,37 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
         F.sum("fail").alias("fail_rows"),
         F.count_if(F.col("n") > 1).alias("dup_keys"),
         F.sum(F.when((F.col("parent") == 0) & (F.col("child") > 0), F.col("child"))).alias("orphan_rows"),
+        F.sum(F.when((F.col("parent") > 0) & (F.col("child") > 0), F.col("child"))).alias("matched_rows"),
         F.sum("amount").alias("total"))
+    for name, one_row in (external or {}).items():
+        # a one-row total computed elsewhere (e.g. from raw data), compared like the others
+        per_check = per_check.unionByName(one_row.select(
+            F.lit(name).alias("check"), *[F.lit(None).cast("long").alias(c) for c in
+                                           ["fail_rows", "dup_keys", "orphan_rows", "matched_rows"]],
+            F.col(one_row.columns[0]).cast("long").alias("total")))
     spark = emitted.sparkSession
     zero_totals = {t.name for t in totals if t.empty_as_zero}
-    spec_rows = [(c.test_name, c.test_name, c.model, c.kind, None, False) for c in checks]
+    spec_rows = [(c.test_name, c.test_name, *(c.report_as or (c.model, c.kind)), None, False) for c in checks]
+    kind_of = {c.test_name: c.kind for c in checks}
     for t in ties:
         spec_rows += [(t.a, t.name, "singular", "tie_out", "a", t.a in zero_totals),
                       (t.b, t.name, "singular", "tie_out", "b", t.b in zero_totals)]
     specs = spark.createDataFrame(spec_rows, "check string, test_name string, model string, kind string, "
                                              "side string, empty_as_zero boolean")
+    absent = [name for name, kind in kind_of.items() if kind == "absent_from"]
     j = specs.join(per_check, "check", "left")
     total = F.when(F.col("empty_as_zero"), F.coalesce(F.col("total"), F.lit(0).cast("long"))).otherwise(F.col("total"))
     raw = (F.when(F.col("kind").isin(*ROW_LOCAL), F.col("fail_rows"))
-           .when(F.col("kind") == "relationships", F.col("orphan_rows"))
-           .otherwise(F.col("dup_keys")))
+           .when(F.col("kind") == "relationships", F.col("orphan_rows")))
+    if absent:
+        raw = raw.when(F.col("check").isin(*absent), F.col("matched_rows"))
+    raw = raw.otherwise(F.col("dup_keys"))
     g = j.groupBy("test_name", "model", "kind").agg(
         F.max(raw).alias("__raw"),
         F.max(F.when(F.col("side") == "a", total)).alias("__a"),
         F.max(F.when(F.col("side") == "b", total)).alias("__b"))
-    failures = F.when(F.col("kind") == "tie_out",
-                      F.when(F.col("__a").eqNullSafe(F.col("__b")), F.lit(0)).otherwise(F.lit(1))) \
+    is_tie = F.col("test_name").isin(*[t.name for t in ties]) if ties else F.lit(False)
+    failures = F.when(is_tie, F.when(F.col("__a").eqNullSafe(F.col("__b")), F.lit(0)).otherwise(F.lit(1))) \
         .otherwise(F.coalesce(F.col("__raw"), F.lit(0)))
     out = g.select("test_name", "model", "kind", failures.cast("bigint").alias("failures"))
     for name, df in (singular or {}).items():
