@@ -5,7 +5,8 @@ Write-audit-publish on plain parquet:
 * every model of a run is written under ``<root>/runs/<run_id>/<layer>/<model>``
   (staging stays a view over raw; the identity table is written once because
   five models read it);
-* the 45 data tests run on the written candidates; any failure raises
+* the 45 data tests run on the written candidates and their outcomes are
+  written to ``runs/<run_id>/audit/test_results``; any failure raises
   :class:`GateError` before anything is published;
 * publishing appends one partition to ``<root>/meta/publish_log`` naming the
   run; readers resolve a model through the latest published run. A failed or
@@ -138,8 +139,10 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     views = {f"stg_{k}": v for k, v in stg.items()}
     views.update(w.tables)
     views["int_customer_identity"] = ids
-    suite_models = _Suite(views, raw)
-    results = checks_results(suite_models, brands).cache()
+    # every test's outcome is kept with the run (the audit trail), then summarised
+    results_path = f"{root}/runs/{run_id}/audit/test_results"
+    checks.suite_results(_Suite(views, raw), brands).coalesce(1).write.mode("overwrite").parquet(results_path)
+    results = spark.read.parquet(results_path)
     summary_row = quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict()
     lap("tests")
     report = RunReport(run_id, loaded, results, summary_row, seconds=secs)
@@ -155,14 +158,9 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
             .parquet(f"{root}/meta/publish_log/run_id={run_id}")
         report.published = True
     lap("publish")
-    results.unpersist()
     return report
 
 
-def checks_results(m, brands: tuple[str, ...]) -> DataFrame:
-    return checks.suite_results(m, brands)
-
-
 def layer_counts(spark: SparkSession, root: str) -> DataFrame:
     """H9 over the published warehouse: raw tables and published models."""
     tables = {("raw", f"crm_{tb}"): ingest.read_raw(spark, root, tb) for tb in TABLES}

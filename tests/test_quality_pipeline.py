@@ -70,6 +70,8 @@ def test_pipeline_publishes_and_gate_blocks_bad_runs(spark, scratch):
     src = raw_tables(spark, SF_SMALL)
     rep = pipeline.run(spark, src, scratch, *FIXTURE_MONTHS, run_id="rgood")
     assert rep.published and rep.summary["tests_failed"] == 0 and rep.summary["tests_passed"] == 45
+    audit = spark.read.parquet(f"{scratch}/runs/rgood/audit/test_results")
+    assert audit.count() == 45 and audit.where("status <> 'pass'").count() == 0
     assert pipeline.latest_published_run(spark, scratch) == "rgood"
     kpi = pipeline.read_published(spark, scratch, "kpi_location_monthly")
     assert kpi.count() > 0
