@@ -3,8 +3,8 @@
 Write-audit-publish on plain parquet:
 
 * every model of a run is written under ``<root>/runs/<run_id>/<layer>/<model>``
-  (staging stays a view over raw; the identity table is written once because
-  five models read it);
+  (staging stays a view over raw; the identity table is written once, as
+  ``customer_identity_wide``, because five models read it);
 * the 45 data tests run on the written candidates and their outcomes are
   written to ``runs/<run_id>/audit/test_results``; any failure raises
   :class:`GateError` before anything is published;
@@ -36,7 +36,7 @@ from kpiloom.operators.governance import (kpi_registry, model_catalog, validate_
 from kpiloom.plans import checks
 from kpiloom.session import configure
 
-LAYER_OF = {"int_customer_identity": "intermediate", "dim_location": "certified", "dim_customer": "certified",
+LAYER_OF = {"customer_identity_wide": "intermediate", "dim_location": "certified", "dim_customer": "certified",
             "fct_appointments": "certified", "fct_payments": "certified", "fct_membership_months": "certified",
             "fct_leads": "certified", "kpi_location_monthly": "metrics"}
 
@@ -119,7 +119,8 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     raw = {tb: ingest.read_raw(spark, root, tb) for tb in TABLES}
     stg = staging.stage_all(raw)                       # views
     w = _Written(spark, root, run_id)
-    ident = w.put("int_customer_identity", identity.resolve_identity(stg["customers"]))
+    # written once, read by five models; int_customer_identity is the 4-column view of it
+    ident = w.put("customer_identity_wide", identity.resolve_identity(stg["customers"]))
     ids = ident.select("customer_id", "master_customer_id", "email_normalized", "is_test_account")
     # the six certified models only share the written identity: write them concurrently
     w.put_all({
