@@ -84,12 +84,14 @@ def locations(nation: DataFrame) -> DataFrame:
 
 
 def customers(customer: DataFrame) -> DataFrame:
+    """Customer records: one per customer, plus a second record for the
+    customers registered twice -- both emitted from a single scan."""
     k = F.col("c_custkey")
     email = (F.when(k % 25 == 3, F.lit(None).cast("string"))
              .when(k % 150 == 8, F.concat(F.lit("test"), _s(k), F.lit("@clinic-test.com")))
              .otherwise(F.concat(F.lit("user"), _s(k), F.lit("@example.com"))))
     created = F.concat(_s(_day(k % 2000)), F.lit(TIME_OF_DAY))
-    base = customer.select(
+    base = F.struct(
         _s(k).alias("customer_id"),
         F.when(k % 150 == 7, F.lit("Test")).otherwise(F.concat(F.lit("First"), _s(k % 20))).alias("first_name"),
         F.concat(F.lit("Last"), _s(k % 10)).alias("last_name"),
@@ -99,7 +101,7 @@ def customers(customer: DataFrame) -> DataFrame:
         created.alias("updated_at"),
     )
     dup_created = F.concat(_s(_day(k % 2000 + 30)), F.lit(TIME_OF_DAY))
-    dups = customer.where(has_duplicate(k)).select(
+    dup = F.struct(
         _s(k + DUPLICATE_ID_OFFSET).alias("customer_id"),
         F.concat(F.lit("First"), _s(k % 20)).alias("first_name"),
         F.concat(F.lit("Last"), _s(k % 10)).alias("last_name"),
@@ -108,7 +110,8 @@ def customers(customer: DataFrame) -> DataFrame:
         dup_created.alias("created_at"),
         dup_created.alias("updated_at"),
     )
-    return base.unionByName(dups)
+    records = F.when(has_duplicate(k), F.array(base, dup)).otherwise(F.array(base))
+    return customer.select(F.explode(records).alias("r")).select("r.*")
 
 
 def services(part: DataFrame) -> DataFrame:
