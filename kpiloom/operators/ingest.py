@@ -113,17 +113,34 @@ def batch_stats(batches: dict[str, DataFrame], col: str = WATERMARK_COLUMN) -> D
 
 def advance_watermarks(state: DataFrame | None, stats: DataFrame) -> DataFrame:
     """New (table_name, high_watermark): tables with rows take the batch's max;
-    the others keep their mark (an upsert of the small state table)."""
-    new = stats.where(F.col("rows_loaded") > 0).select("table_name", F.col("batch_mark").alias("high_watermark"))
-    return upsert(state, new, "table_name") if state is not None else new
+    the others keep their mark.
+
+    The replace-by-key of the small state table is a union and one
+    ``groupBy(table_name)`` in which the new mark outranks the old one --
+    no join, so no degenerate join on the per-table literal names.
+    """
+    new = stats.where(F.col("rows_loaded") > 0).select(
+        "table_name", F.col("batch_mark").alias("high_watermark"), F.lit(1).alias("__rank"))
+    if state is None:
+        return new.drop("__rank")
+    old = state.select("table_name", "high_watermark", F.lit(0).alias("__rank"))
+    return old.unionByName(new).groupBy("table_name").agg(
+        F.max_by("high_watermark", "__rank").alias("high_watermark"))
 
 
 def log_rows(stats: DataFrame, state_after: DataFrame, batch_id: str, loaded_at: dt.datetime) -> DataFrame:
-    """A10: one row per table per batch, even for 0 rows; the mark after the batch ('' if none)."""
-    j = stats.join(state_after, "table_name", "left")
-    return j.select(F.lit(batch_id).alias("batch_id"), "table_name", "rows_loaded",
-                    F.coalesce(F.col("high_watermark"), F.lit("")).alias("high_watermark"),
-                    _ntz(loaded_at).alias("loaded_at"))
+    """A10: one row per table per batch, even for 0 rows; the mark after the batch ('' if none).
+
+    Stats and state are combined by table in one small aggregation (no join).
+    """
+    s = stats.select("table_name", "rows_loaded", F.lit(None).cast("string").alias("high_watermark"))
+    w = state_after.select("table_name", F.lit(None).cast("long").alias("rows_loaded"), "high_watermark")
+    g = s.unionByName(w).groupBy("table_name").agg(F.max("rows_loaded").alias("rows_loaded"),
+                                                   F.max("high_watermark").alias("high_watermark"))
+    return g.where(F.col("rows_loaded").isNotNull()).select(
+        F.lit(batch_id).alias("batch_id"), "table_name", "rows_loaded",
+        F.coalesce(F.col("high_watermark"), F.lit("")).alias("high_watermark"),
+        _ntz(loaded_at).alias("loaded_at"))
 
 
 def load_summary(log: DataFrame, batch_id: str) -> DataFrame:

@@ -70,3 +70,18 @@ def test_small_batch_upsert_does_not_shuffle_the_target(spark, scratch, capsys):
     p = plan_text(up, capsys)
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
     assert "SortMergeJoin" not in p                   # the big side is only scanned and filtered
+
+
+FORBIDDEN = ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas"]
+
+
+def test_no_registered_query_uses_nested_loops_cartesians_or_python(spark, capsys):
+    import __spark_entry__ as E
+    offenders = {}
+    for name, q in sorted(E.queries().items()):
+        p = plan_text(q(spark, SF_SMALL), capsys)
+        hits = [f for f in FORBIDDEN if f in p]
+        if hits:
+            offenders[name] = hits
+    assert offenders == {}
