@@ -2,9 +2,10 @@
 
 Generic column tests (F1-F5) return the failing rows: empty means pass.
 Cross-layer tie-outs (F6-F10) return one row with both totals and a null-safe
-``passes`` flag, so the result is never empty. :func:`run_suite` turns a list
-of test specs into one DataFrame of failure counts, computing all row-local
-tests on a model (not-null, accepted values) in a single aggregation pass.
+``passes`` flag, so the result is never empty. :func:`run_suite` turns test
+specs into one DataFrame of failure counts: generic checks, key checks and
+the totals that tie-outs compare are evaluated in a single pass -- one scan
+per model and one ``groupBy(check, key)`` for the whole suite.
 """
 
 from __future__ import annotations
