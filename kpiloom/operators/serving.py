@@ -102,9 +102,11 @@ def mom_cards(rollup: DataFrame, cards: dict[str, tuple[str, bool]] = CARDS) ->
         F.struct(F.lit(k).alias("metric"), F.col(c).cast("double").alias("value"),
                  F.lit(up).alias("good_up")) for k, (c, up) in cards.items()])).alias("m")
     ).select("month", "brand", "m.*")
-    # latest/previous over the distinct months (bounded by the month axis)
-    ranked = rollup.select("month").distinct().withColumn(
-        "__back", F.row_number().over(Window.orderBy(F.col("month").desc()))).where(F.col("__back") <= 2)
+    # the two latest months: a set of distinct months (bounded by the month
+    # axis, combined map-side) sorted newest first; two rows come out
+    latest_two = rollup.agg(F.slice(F.sort_array(F.collect_set("month"), asc=False), 1, 2).alias("__ms"))
+    ranked = latest_two.select(F.posexplode("__ms").alias("__pos", "month")).select(
+        "month", (F.col("__pos") + 1).alias("__back"))
     j = long.join(ranked, "month")
     g = j.groupBy("brand", "metric").agg(
         F.max(F.when(F.col("__back") == 1, F.col("month"))).alias("month"),
