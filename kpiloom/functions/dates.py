@@ -18,6 +18,7 @@ def month_of(c: Column | str) -> Column:
 
 
 def as_date(d: dt.date | str) -> Column:
+    """A DATE literal from a date or an ISO string."""
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))
 
 

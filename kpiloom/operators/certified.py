@@ -25,6 +25,7 @@ def _real(identity: DataFrame) -> DataFrame:
 
 
 def dim_location(stg_locations: DataFrame) -> DataFrame:
+    """The location dimension (a projection of staged locations)."""
     return stg_locations.select("location_id", "location_name", "city", "brand", "ownership",
                                 "franchisee_id", "opened_on", "closed_on", "is_active")
 
@@ -48,6 +49,7 @@ def dim_customer(identity_wide: DataFrame) -> DataFrame:
 
 
 def fct_appointments(stg_appointments: DataFrame, identity: DataFrame, stg_services: DataFrame) -> DataFrame:
+    """Appointments of real customers with the master id and service category; unknown services keep a null category."""
     appts = stg_appointments.join(_real(identity), "customer_id")
     services = stg_services.select(F.col("service_id").alias("__sid"), "service_category")
     with_cat = left_join_spread_nulls(appts, services, "service_id", "__sid", "appointment_id")

@@ -38,5 +38,6 @@ def resolve_identity(stg_customers: DataFrame) -> DataFrame:
 
 
 def int_customer_identity(stg_customers: DataFrame) -> DataFrame:
+    """C1 as published: customer_id, master_customer_id, email_normalized, is_test_account."""
     return resolve_identity(stg_customers).select(
         "customer_id", "master_customer_id", "email_normalized", "is_test_account")

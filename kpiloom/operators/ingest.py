@@ -150,6 +150,7 @@ def load_summary(log: DataFrame, batch_id: str) -> DataFrame:
 
 # --- side-effecting loader -------------------------------------------------------
 def new_batch_id() -> str:
+    """A fresh batch id ('b' + 12 hex digits)."""
     return "b" + uuid.uuid4().hex[:12]
 
 
@@ -191,6 +192,7 @@ def committed(spark: SparkSession, root: str, batch_id: str) -> dict[str, int] |
 
 
 def snapshot_path(root: str, table: str, batch_id: str) -> str:
+    """Folder of a table's snapshot written by one batch."""
     return f"{root}/raw/{table}/snapshot={batch_id}"
 
 

@@ -97,6 +97,7 @@ def spine_with_revenue(dim_loc: DataFrame, revenue: DataFrame,
 
 
 def revenue_rollup(fct_payments: DataFrame) -> DataFrame:
+    """Net, membership and service cents per (location_id, month_start)."""
     amt, stream = F.col("amount_cents"), F.col("revenue_stream")
     return fct_payments.groupBy("location_id", month_of("payment_date").alias("month_start")).agg(
         F.sum(amt).alias("net_revenue_cents"),
@@ -106,6 +107,7 @@ def revenue_rollup(fct_payments: DataFrame) -> DataFrame:
 
 
 def visit_rollup(fct_appts: DataFrame) -> DataFrame:
+    """E5: scheduled, completed and no-show appointments per (location_id, month_start)."""
     st = F.col("status")
     return fct_appts.groupBy("location_id", month_of("appointment_date").alias("month_start")).agg(
         F.count(F.lit(1)).alias("appointments_scheduled"),
@@ -115,6 +117,7 @@ def visit_rollup(fct_appts: DataFrame) -> DataFrame:
 
 
 def member_rollup(fct_mm: DataFrame) -> DataFrame:
+    """Active, new and churned memberships per (location_id, month_start)."""
     return fct_mm.groupBy("location_id", "month_start").agg(
         F.count(F.lit(1)).alias("active_members"),
         F.count_if(F.col("is_new")).alias("new_members"),
@@ -123,6 +126,7 @@ def member_rollup(fct_mm: DataFrame) -> DataFrame:
 
 
 def lead_rollup(fct_lds: DataFrame) -> DataFrame:
+    """Leads and converted leads per (location_id, month_start)."""
     return fct_lds.groupBy("location_id", month_of("lead_date").alias("month_start")).agg(
         F.count(F.lit(1)).alias("leads"),
         F.count_if(F.col("is_converted")).alias("converted_leads"),
@@ -209,5 +213,6 @@ def assemble_kpis(spine: DataFrame, revenue: DataFrame | None, visits: DataFrame
 
 def kpi_location_monthly(dim_loc: DataFrame, fct_pay: DataFrame, fct_appts: DataFrame, fct_mm: DataFrame,
                          fct_lds: DataFrame, first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
+    """The certified KPI table, one row per location per month it was open."""
     spine_rev = spine_with_revenue(dim_loc, revenue_rollup(fct_pay), first_month, last_month)
     return assemble_kpis(spine_rev, None, activity_rollup(fct_appts, fct_mm, fct_lds), None, None)

@@ -23,6 +23,7 @@ from kpiloom.operators.joins import left_join_spread_nulls
 
 # --- F1-F5: generic tests, failing rows ---------------------------------------
 def dq_not_null(df: DataFrame, col: str) -> DataFrame:
+    """rows where ``col`` is null."""
     return df.where(F.col(col).isNull())
 
 
@@ -335,5 +336,6 @@ class GateError(RuntimeError):
 
 
 def gate(failures: int, what: str) -> None:
+    """Stop the run (raise :class:`GateError`) when anything failed."""
     if failures:
         raise GateError(f"{what}: {failures} failing; nothing was published")

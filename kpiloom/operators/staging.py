@@ -52,6 +52,7 @@ def stg_locations(raw: DataFrame) -> DataFrame:
 
 def stg_customers(raw: DataFrame, test_suffix: str = TEST_EMAIL_SUFFIX,
                   test_first_name: str = TEST_FIRST_NAME) -> DataFrame:
+    """Typed customers with the normalised e-mail and the never-null test flag."""
     return raw.select(
         tolerant_int("customer_id").alias("customer_id"),
         "first_name",
@@ -64,6 +65,7 @@ def stg_customers(raw: DataFrame, test_suffix: str = TEST_EMAIL_SUFFIX,
 
 
 def stg_services(raw: DataFrame) -> DataFrame:
+    """Typed services; ``category`` becomes ``service_category``."""
     return raw.select(
         tolerant_int("service_id").alias("service_id"),
         "service_name",
@@ -73,6 +75,7 @@ def stg_services(raw: DataFrame) -> DataFrame:
 
 
 def stg_memberships(raw: DataFrame) -> DataFrame:
+    """Typed memberships (decimal fee, dates)."""
     return raw.select(
         tolerant_int("membership_id").alias("membership_id"),
         tolerant_int("customer_id").alias("customer_id"),
@@ -113,6 +116,7 @@ def stg_payments(raw: DataFrame, void_status: str = VOID_STATUS) -> DataFrame:
 
 
 def stg_leads(raw: DataFrame, vocabulary: dict[str, list[str]] = CHANNEL_VOCABULARY) -> DataFrame:
+    """Typed leads with the channel vocabulary; the raw source is kept."""
     return raw.select(
         tolerant_int("lead_id").alias("lead_id"),
         tolerant_int("location_id").alias("location_id"),
@@ -135,6 +139,7 @@ STAGING = {
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging for every raw table given (name -> staged DataFrame)."""
     return {name: STAGING[name](df) for name, df in raw.items()}
 
 

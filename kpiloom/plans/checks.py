@@ -18,6 +18,7 @@ def _uid(model: str, col: str) -> list[Check]:
 
 
 def platform_checks(brands: tuple[str, ...] = FIXTURE_BRANDS) -> list[Check]:
+    """The 40 generic data tests of the platform (staging 18, certified 19, metrics 3)."""
     c: list[Check] = []
     # staging: 18
     c += _uid("stg_locations", "location_id")

@@ -52,10 +52,12 @@ class RunReport:
 
 
 def model_path(root: str, run_id: str, model: str) -> str:
+    """Folder of one model written by one run."""
     return f"{root}/runs/{run_id}/{LAYER_OF.get(model, 'other')}/{model}"
 
 
 def latest_published_run(spark: SparkSession, root: str) -> str | None:
+    """Run id of the latest publication, or None."""
     try:
         log = spark.read.option("basePath", f"{root}/meta/publish_log").parquet(f"{root}/meta/publish_log")
     except AnalysisException:
@@ -65,6 +67,7 @@ def latest_published_run(spark: SparkSession, root: str) -> str | None:
 
 
 def read_published(spark: SparkSession, root: str, model: str) -> DataFrame:
+    """A model as of the latest published run."""
     run_id = latest_published_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
@@ -103,6 +106,7 @@ class _Suite:
 def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_month: str, last_month: str,
         brands: tuple[str, ...] = checks.FIXTURE_BRANDS, full: bool = False, run_id: str | None = None,
         publish: bool = True) -> RunReport:
+    """Ingest, build, test, validate and publish one run; raises GateError before publishing if anything fails."""
     configure(spark)
     run_id = run_id or "r" + uuid.uuid4().hex[:12]
     t = time.perf_counter()

@@ -62,6 +62,7 @@ def has_duplicate(key: Column) -> Column:
 
 
 def locations(nation: DataFrame) -> DataFrame:
+    """Raw locations from ``nation``."""
     i = F.col("n_nationkey")
     corporate = i < 10
     brand = F.when(corporate, F.lit("Alder Clinics")).otherwise(F.lit("Birch Wellness"))
@@ -115,6 +116,7 @@ def customers(customer: DataFrame) -> DataFrame:
 
 
 def services(part: DataFrame) -> DataFrame:
+    """Raw services from ``part``."""
     return part.select(
         _s(F.col("p_partkey")).alias("service_id"),
         F.col("p_name").alias("service_name"),
@@ -125,6 +127,7 @@ def services(part: DataFrame) -> DataFrame:
 
 
 def memberships(customer: DataFrame) -> DataFrame:
+    """Raw memberships from ``customer`` (two customers in five)."""
     k = F.col("c_custkey")
     start = _day((k * 7) % 2000)
     end = F.when(k % 3 != 0, F.date_add(start, (F.lit(30) * (k % 24 + 1)).cast("int")))
@@ -153,6 +156,7 @@ def _payer_id(ok: Column, ck: Column) -> Column:
 
 
 def appointments(oc: DataFrame) -> DataFrame:
+    """Raw appointments from ``orders`` joined to the customer's nation."""
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     status = (F.when(F.col("o_orderstatus") == "F", _pick(COMPLETED_SPELLINGS, ok % 4))
               .when(F.col("o_orderstatus") == "O", _pick(CANCELLED_SPELLINGS, ok % 3))
@@ -178,6 +182,7 @@ def _amount_text(cents: Column, negative: Column, dollar_style: Column) -> Colum
 
 
 def payments(oc: DataFrame) -> DataFrame:
+    """Raw payments from ``orders``: sales, membership charges, refunds, voids, '$1,234.50' amounts."""
     ok, ck, nat = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
     day = F.col("o_orderdate").cast("date")
     refund = ok % 50 == 0
@@ -203,6 +208,7 @@ def payments(oc: DataFrame) -> DataFrame:
 
 
 def leads(events: DataFrame) -> DataFrame:
+    """Raw leads from ``events``; signups carry a converted customer id as '123.0' text."""
     e = F.col("event_id")
     at = F.concat(_s(_day(e % 2400)), F.lit(TIME_OF_DAY))
     return events.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """Path of one driver table (one parquet file per table)."""
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
