@@ -205,9 +205,11 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, key: str, state: dict,
-                batch_id: str, loaded_at: dt.datetime) -> tuple[int, str, bool]:
+                batch_id: str, loaded_at: dt.datetime, dedupe: bool = False) -> tuple[int, str, bool]:
     mark, snap, _ = state.get(table, ("", None, 0))
     batch = load_frame(source, mark, batch_id, loaded_at)
+    if dedupe:
+        batch = latest_by_key(batch, key)
     if snap is None:
         # first load (or full refresh): the batch is the snapshot -- one write
         path = snapshot_path(root, table, batch_id)
@@ -230,7 +232,7 @@ def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, k
 
 def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str, tables: dict[str, str] = TABLES,
                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                 full: bool = False, parallel: int = 4) -> dict[str, int]:
+                 full: bool = False, parallel: int = 4, dedupe: bool = False) -> dict[str, int]:
     """Load every table's changes since its mark; returns table -> rows loaded.
 
     Per table: extract -> write the batch (one pass over the source) -> count
@@ -240,7 +242,9 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     independent and are submitted ``parallel`` at a time (concurrent Spark
     jobs). The log partition for the batch is written last; until then
     nothing of the batch is current. ``full=True`` ignores marks and
-    snapshots (full refresh).
+    snapshots (full refresh). ``dedupe=True`` keeps only the newest row per
+    key within a batch (off by default: a batch's duplicates are kept, as in
+    delete-then-insert).
     """
     batch_id = batch_id or new_batch_id()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -253,7 +257,7 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
     def one(item):
         table, key = item
-        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at)
+        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at, dedupe)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcome = dict(pool.map(one, tables.items()))

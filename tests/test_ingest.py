@@ -116,3 +116,12 @@ def test_streaming_foreach_batch_upsert(spark, scratch):
     q.awaitTermination(120)
     got = sorted((r.id, r.v) for r in ingest.read_raw(spark, root, "things").collect())
     assert got == [("1", "a"), ("2", "b2"), ("3", "c")]
+
+
+def test_dedupe_keeps_the_newest_row_per_key(spark, scratch):
+    src = {"things": spark.createDataFrame([("1", "old", "t1"), ("1", "new", "t2"), ("2", "x", "t1")], SCHEMA)}
+    ingest.extract_load(spark, src, f"{scratch}/a", tables={"things": "id"}, batch_id="b1")
+    assert ingest.read_raw(spark, f"{scratch}/a", "things").count() == 3        # default: duplicates kept
+    ingest.extract_load(spark, src, f"{scratch}/b", tables={"things": "id"}, batch_id="b1", dedupe=True)
+    got = sorted((r.id, r.v) for r in ingest.read_raw(spark, f"{scratch}/b", "things").collect())
+    assert got == [("1", "new"), ("2", "x")]
