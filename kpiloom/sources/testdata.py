@@ -4,6 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The input contract: the columns read from each driver table, with their types.
+# Declaring them skips schema inference (a footer read per table per query) and
+# fails fast if an input changes shape.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "events": "event_id bigint, user_id bigint, event_type string",
+}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     """Path of one driver table (one parquet file per table)."""
@@ -11,6 +23,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan; naming the columns keeps ReadSchema minimal."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan; naming the columns keeps ReadSchema minimal.
+
+    Tables with a declared schema are read with it (no inference); the
+    requested columns must be part of it.
+    """
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
