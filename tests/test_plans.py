@@ -85,3 +85,12 @@ def test_no_registered_query_uses_nested_loops_cartesians_or_python(spark, capsy
         if hits:
             offenders[name] = hits
     assert offenders == {}
+
+
+def test_ordered_extract_sorts_within_partitions_only(spark, capsys):
+    src = spark.range(1000).selectExpr("cast(id as string) as id", "cast(id % 97 as string) as updated_at")
+    out = ingest.extract_incremental(src, "", ordered=True)
+    p = plan_text(out, capsys)
+    assert re.search(r"Arguments: \[updated_at#\d+ ASC NULLS FIRST\], false", p)   # not a global sort
+    assert "Exchange" not in p                                                      # no shuffle
+    assert out.count() == 1000
