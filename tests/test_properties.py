@@ -51,3 +51,23 @@ def test_upsert_matches_delete_then_insert(spark, target, batch):
     got = sorted(tuple(r) for r in upsert(t, b, "k").collect())
     expected = sorted({**target, **batch}.items())
     assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10_000), st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))),
+                min_size=1, max_size=60, unique_by=lambda t: t[0]))
+def test_identity_matches_brute_force(spark, records):
+    import datetime as dt
+
+    from kpiloom.operators.identity import int_customer_identity
+    schema = ("customer_id int, first_name string, last_name string, email_normalized string, "
+              "home_location_id int, created_at timestamp_ntz, is_test_account boolean")
+    ts = dt.datetime(2025, 1, 1)
+    df = spark.createDataFrame([(i, "F", "L", e, 1, ts, False) for i, e in records], schema)
+    got = {r.customer_id: r.master_customer_id for r in int_customer_identity(df).collect()}
+    first = {}
+    for i, e in records:
+        if e is not None:
+            first[e] = min(first.get(e, i), i)
+    expected = {i: (i if e is None else first[e]) for i, e in records}
+    assert got == expected
