@@ -71,3 +71,41 @@ def test_identity_matches_brute_force(spark, records):
             first[e] = min(first.get(e, i), i)
     expected = {i: (i if e is None else first[e]) for i, e in records}
     assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.dates(min_value=__import__("datetime").date(2024, 6, 1),
+                                   max_value=__import__("datetime").date(2026, 12, 31)),
+                          st.one_of(st.none(), st.integers(-40, 700))), min_size=1, max_size=40))
+def test_membership_months_match_brute_force(spark, rows):
+    import datetime as dt
+    from decimal import Decimal
+
+    from kpiloom.operators.certified import fct_membership_months
+    lo, hi = dt.date(2025, 1, 1), dt.date(2026, 6, 1)
+    mems = [(i, 1, 1, "Core", Decimal("199.00"), s, None if d is None else s + dt.timedelta(days=d))
+            for i, (s, d) in enumerate(rows)]
+    df = spark.createDataFrame(mems, "membership_id int, customer_id int, location_id int, plan_name string, "
+                                     "monthly_fee decimal(10,2), start_date date, end_date date")
+    ids = spark.createDataFrame([(1, 1, None, False)], "customer_id int, master_customer_id int, "
+                                                       "email_normalized string, is_test_account boolean")
+    got = sorted((r.membership_id, r.month_start, r.is_new, r.is_churned)
+                 for r in fct_membership_months(df, ids, lo, hi).collect())
+
+    def month(d):
+        return dt.date(d.year, d.month, 1)
+
+    def months(a, b):
+        out = []
+        while a <= b:
+            out.append(a)
+            a = dt.date(a.year + (a.month == 12), a.month % 12 + 1, 1)
+        return out
+
+    expected = []
+    for i, _, _, _, _, s, e in mems:
+        sm, em = month(s), (month(e) if e else None)
+        for m in months(lo, hi):                     # the axis, as the SQL definition joins it
+            if m >= sm and (e is None or m <= em):
+                expected.append((i, m, sm == m, em == m if em else False))
+    assert got == sorted(expected)
