@@ -109,3 +109,48 @@ def test_membership_months_match_brute_force(spark, rows):
             if m >= sm and (e is None or m <= em):
                 expected.append((i, m, sm == m, em == m if em else False))
     assert got == sorted(expected)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.dates(min_value=__import__("datetime").date(2024, 1, 1),
+                                   max_value=__import__("datetime").date(2026, 12, 31)),
+                          st.one_of(st.none(), st.integers(0, 600)),
+                          st.lists(st.dates(min_value=__import__("datetime").date(2023, 6, 1),
+                                            max_value=__import__("datetime").date(2027, 6, 30)), max_size=4)),
+                min_size=1, max_size=12))
+def test_spines_match_the_definition(spark, locs):
+    import datetime as dt
+
+    from kpiloom.operators import mart
+    lo, hi = dt.date(2025, 1, 1), dt.date(2026, 6, 1)
+
+    def month(d):
+        return dt.date(d.year, d.month, 1)
+
+    rows, pays = [], []
+    for i, (opened, close_after, paid) in enumerate(locs):
+        closed = None if close_after is None else opened + dt.timedelta(days=close_after)
+        rows.append((i, f"L{i}", "C", "A B", "corporate", None, opened, closed, closed is None))
+        pays += [(i, month(p)) for p in paid]
+    dim = spark.createDataFrame(rows, "location_id int, location_name string, city string, brand string, "
+                                      "ownership string, franchisee_id string, opened_on date, closed_on date, "
+                                      "is_active boolean")
+    rev = spark.createDataFrame(pays, "location_id int, month_start date").groupBy("location_id", "month_start") \
+        .count().selectExpr("location_id", "month_start", "count as net_revenue_cents",
+                            "0L as membership_revenue_cents", "count as service_revenue_cents")
+    last = mart.last_activity_from_revenue(rev)
+    plain = sorted((r.location_id, r.month_start) for r in
+                   mart.location_month_spine(dim, last, lo, hi).collect())
+    one_pass = sorted((r.location_id, r.month_start) for r in mart.spine_with_revenue(dim, rev, lo, hi).collect())
+    expected = []
+    for i, (opened, close_after, paid) in enumerate(locs):
+        closed = None if close_after is None else opened + dt.timedelta(days=close_after)
+        last_paid = max((month(p) for p in paid), default=None)
+        m = lo
+        while m <= hi:
+            end = None if closed is None else max(x for x in [month(closed), last_paid] if x is not None)
+            if m >= month(opened) and (closed is None or m <= end):
+                expected.append((i, m))
+            m = dt.date(m.year + (m.month == 12), m.month % 12 + 1, 1)
+    assert plain == sorted(expected)
+    assert one_pass == sorted(expected)
