@@ -154,3 +154,33 @@ def test_spines_match_the_definition(spark, locs):
             m = dt.date(m.year + (m.month == 12), m.month % 12 + 1, 1)
     assert plain == sorted(expected)
     assert one_pass == sorted(expected)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.one_of(st.none(), st.sampled_from("xyz"))),
+                min_size=1, max_size=50),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.booleans()), min_size=1, max_size=20))
+def test_single_pass_suite_matches_the_standalone_checks(spark, child_rows, parent_rows):
+    from pyspark.sql import functions as F
+
+    from kpiloom.operators import quality as q
+    from kpiloom.operators.quality import Check
+    child = spark.createDataFrame(child_rows, "k int, v string")
+    parent = spark.createDataFrame(parent_rows, "k int, flag boolean")
+    checks = [Check("child", "not_null", ("k",)), Check("child", "unique", ("k",)),
+              Check("child", "accepted_values", ("v",), ("x", "y")),
+              Check("child", "relationships", ("k",), parent="parent", parent_field="k"),
+              Check("child", "unique_combo", ("k", "v")),
+              Check("child", "absent_from", ("k",), parent="parent", parent_field="k", name="absent",
+                    parent_where=lambda: F.col("flag"))]
+    got = {r.test_name: r.failures for r in q.run_suite({"child": child, "parent": parent}, checks).collect()}
+    flagged = {k for k, f in parent_rows if f and k is not None}
+    expected = {
+        checks[0].test_name: q.dq_not_null(child, "k").count(),
+        checks[1].test_name: q.dq_unique(child, "k").count(),
+        checks[2].test_name: q.dq_accepted_values(child, "v", ["x", "y"]).count(),
+        checks[3].test_name: q.dq_relationships(child, "k", parent, "k").count(),
+        checks[4].test_name: q.dq_unique_combo(child, ["k", "v"]).count(),
+        "absent": sum(1 for k, _ in child_rows if k is not None and k in flagged),
+    }
+    assert got == expected
