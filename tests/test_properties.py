@@ -184,3 +184,23 @@ def test_single_pass_suite_matches_the_standalone_checks(spark, child_rows, pare
         "absent": sum(1 for k, _ in child_rows if k is not None and k in flagged),
     }
     assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 100_000), st.integers(1, 100_000)), min_size=1, max_size=200))
+def test_ratio_rounding_equals_the_sql_engine(spark, pairs):
+    import duckdb
+
+    from kpiloom.functions.numeric import ratio
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [(r.a, r.b) for r in df.select(ratio("n", "d", 4).alias("a"),
+                                         ratio(_cents_amount("n"), "d", 2).alias("b")).collect()]
+    con = duckdb.connect()
+    con.register("t", __import__("pandas").DataFrame(pairs, columns=["n", "d"]))
+    want = [tuple(r) for r in con.execute("SELECT round(n / d, 4), round(n / 100.0 / d, 2) FROM t").fetchall()]
+    assert got == want
+
+
+def _cents_amount(c):
+    from kpiloom.functions.numeric import cents_to_amount
+    return cents_to_amount(c)
