@@ -55,6 +55,13 @@ def _vocab(m: Models) -> DataFrame:
     return vocabulary_audit(m.stg_appointments, m.stg_leads)
 
 
+@query("unmapped_values")
+def _unmapped(m: Models) -> DataFrame:
+    """Raw spellings the vocabularies do not know (empty while they are complete)."""
+    from kpiloom.operators.staging import unmapped_values, vocabulary_audit
+    return unmapped_values(vocabulary_audit(m.stg_appointments, m.stg_leads))
+
+
 # --- F: data quality ------------------------------------------------------------
 
 

@@ -72,3 +72,18 @@ def test_ratios_round_half_away_after_scaling(spark):
 def test_round_half_away(spark):
     df = spark.createDataFrame([(2.5,), (-2.5,), (0.125,)], "x double")
     assert [r[0] for r in df.select(round_half_away("x", 0)).collect()] == [3.0, -3.0, 0.0]
+
+
+def test_a_new_spelling_is_reported_as_unmapped(spark):
+    from kpiloom.operators.staging import stg_appointments, stg_leads, unmapped_values, vocabulary_audit
+    appts = spark.createDataFrame(
+        [("1", "1", "1", "1", "2025-01-01 09:00:00", "Completed", "t"),
+         ("2", "1", "1", "1", "2025-01-02 09:00:00", "Rescheduled", "t")],
+        "appointment_id string, customer_id string, location_id string, service_id string, "
+        "scheduled_at string, status string, updated_at string")
+    leads = spark.createDataFrame([("1", "1", "TikTok", "2025-01-01 09:00:00", None, "t")],
+                                  "lead_id string, location_id string, lead_source string, created_at string, "
+                                  "converted_customer_id string, updated_at string")
+    got = {(r.vocabulary, r.raw_value, r.is_unmapped) for r in
+           unmapped_values(vocabulary_audit(stg_appointments(appts), stg_leads(leads))).collect()}
+    assert got == {("appointment_status", "Rescheduled", True), ("lead_channel", "TikTok", True)}
