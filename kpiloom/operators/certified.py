@@ -99,8 +99,7 @@ def fct_membership_months(stg_memberships: DataFrame, identity: DataFrame,
     start_m, end_m = month_of("start_date"), month_of("end_date")
     first = F.greatest(start_m, lo)        # null start -> null (guarded below)
     last = F.least(F.coalesce(end_m, hi), hi)
-    bounded = (m.withColumn("__first", F.when(start_m.isNotNull(), first))
-                .withColumn("__last", last)
+    bounded = (m.withColumns({"__first": F.when(start_m.isNotNull(), first), "__last": last})
                 .where(F.col("__first").isNotNull() & (F.col("__first") <= F.col("__last"))))
     exploded = bounded.withColumn("month_start", F.explode(month_range(F.col("__first"), F.col("__last"))))
     return exploded.select(

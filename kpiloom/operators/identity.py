@@ -27,7 +27,7 @@ def resolve_identity(stg_customers: DataFrame) -> DataFrame:
                .agg(F.min("customer_id").alias("__master"))
                .withColumn("__h", F.xxhash64("__key")))
     key = F.coalesce(F.col("email_normalized"), F.concat(F.lit("#"), F.col("customer_id").cast("string")))
-    records = stg_customers.withColumn("__key", key).withColumn("__h", F.xxhash64("__key"))
+    records = stg_customers.withColumns({"__key": key, "__h": F.xxhash64(key)})
     # Joining on (hash, e-mail) rather than the e-mail alone: the aggregate's
     # partitioning by e-mail then does not cover the join keys, so both join
     # inputs are shuffle stages -- the shape AQE's skew-join rule needs to

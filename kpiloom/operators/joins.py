@@ -27,6 +27,6 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, rig
     salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(rid), F.lit(NULL_KEY_SPREAD)) + 1) \
         .otherwise(F.lit(0).cast("long"))
     lk, rk = "__jk", "__js"
-    l2 = left.withColumn(rk, salt).withColumn(lk, F.col(left_key))
+    l2 = left.withColumns({rk: salt, lk: F.col(left_key)})
     r2 = right.withColumn(rk, F.lit(0).cast("long")).withColumnRenamed(right_key, lk)
     return l2.join(r2, [lk, rk], how).drop(lk, rk)

@@ -60,8 +60,7 @@ def location_month_spine(dim_loc: DataFrame, last_act: DataFrame,
         F.least(F.greatest(month_of("closed_on"), F.col("last_month")), hi))
     first = F.greatest(open_m, lo)
     spine = (dim_loc.join(last_act, "location_id", "left")
-             .withColumn("__first", F.when(open_m.isNotNull(), first))
-             .withColumn("__last", end)
+             .withColumns({"__first": F.when(open_m.isNotNull(), first), "__last": end})
              .where(F.col("__first").isNotNull() & F.col("__last").isNotNull()
                     & (F.col("__first") <= F.col("__last"))))
     return spine.select("location_id", "location_name", "brand", "ownership", "franchisee_id",
