@@ -15,5 +15,20 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[F.col(f"measures.{c}").alias(c) for c in base], "base_failed", "kept", F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
-QUERIES = {"op4_quality_rules": op4_quality_rules}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.mixing import mix_table
+    return mix_table(documents(spark, sf_dir).select("doc_id", "text", "source"))
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.pseudonyms import DEMO_KEY, pseudonymize
+    key = spark.conf.get("llm.pseudonym.key", DEMO_KEY)      # a secret of the cluster; the demo key serves the test tables
+    return pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), key)
+
+
+QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
+    "op6_pseudonyms": op6_pseudonyms,
+    "op10_mixing": op10_mixing,
+}
 ORACLE: dict[str, str] = {}
