@@ -26,9 +26,27 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), key)
 
 
+# The rules that op3's contract sets by hand (verdict, host, path).
+LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.url_rules import judge_urls, labels_by_id
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return judge_urls(pages, labels_by_id(pages, labels), LISTED)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.wavelet import write_and_read
+    return write_and_read(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
+    "op3_url_rules": op3_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op6_pseudonyms": op6_pseudonyms,
+    "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {}
