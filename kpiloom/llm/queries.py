@@ -42,7 +42,23 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.decontamination import find_leaks
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.toxicity import fit, score
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    rows = score(docs, fit(docs, labels))
+    return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_url_rules": op3_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op6_pseudonyms": op6_pseudonyms,
