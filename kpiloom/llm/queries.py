@@ -20,6 +20,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(documents(spark, sf_dir).select("doc_id", "text", "source"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.ngram_join import jaccard_join
+    return jaccard_join(documents(spark, sf_dir), k=4, percent=85)
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpiloom.llm.pseudonyms import DEMO_KEY, pseudonymize
     key = spark.conf.get("llm.pseudonym.key", DEMO_KEY)      # a secret of the cluster; the demo key serves the test tables
@@ -61,6 +66,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_url_rules": op3_url_rules,
     "op4_quality_rules": op4_quality_rules,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_pseudonyms": op6_pseudonyms,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
