@@ -42,6 +42,18 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, labels_by_id(pages, labels), LISTED)
 
 
+def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.phrase_automata import remove_repeats
+    d = remove_repeats(documents(spark, sf_dir))
+    return d.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.run_length_index import remove_repeats
+    d = remove_repeats(documents(spark, sf_dir))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpiloom.llm.wavelet import write_and_read
     return write_and_read(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -68,6 +80,8 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_pseudonyms": op6_pseudonyms,
+    "op7_phrase_automata": op7_phrase_automata,
+    "op8_run_length_index": op8_run_length_index,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
 }
