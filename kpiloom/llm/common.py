@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"        # fixed value: what counts as a word
 GAP = r"[\x20\x09-\x0D]+"
+_unset: dict[str, str] = {}        # scratch folder of applications that name none
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,10 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where nothing is set (tests on one machine) a scratch folder takes its place.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        app = spark.sparkContext.applicationId
+        d = _unset.setdefault(app, "") or tempfile.mkdtemp(prefix="llm-shared-")
+        _unset[app] = d
     return d.rstrip("/")
 
 

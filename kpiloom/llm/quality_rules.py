@@ -118,4 +118,6 @@ def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
     cols = docs.columns
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(f"`{text}`").alias("_text"))
-    return judge(inner, "_text", rules).where("kept").select("_row.*")
+    # not a filter: the optimizer would push it below the measures and write their expressions out again and again
+    judged = judge(inner, "_text", rules).select(F.explode(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    return judged.select("_row.*")
