@@ -7,7 +7,7 @@ one file, any token can be read, counted up to a place, and its occurrences foun
 Layout: magic, length of the header, header (JSON: sizes and places of the blocks), then zstd-compressed blocks: document
 ids, their null marks, their token counts, and for each plane the bits and its directory (ones before each 512 bits).
 
-Writing: documents in order of their id are split into ranges, each task encodes its range in small batches and writes a
+Writing: documents in order of their id are split into ranges, each task encodes its range in slices of a MB and writes a
 file whenever enough tokens have gathered; a file appears under its name only when whole, and a task that is run again
 writes the same bytes.  Reading: Spark hands out the files.  The memory of a task is that of one shard, set by
 ``tokens_per_shard`` (and by the longest single document).
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import materialize, scratch_path
+from kpiloom.llm.textbytes import SLICE_BYTES, Bytes, slices
 
 MAGIC = b"WVMX0001"
 BLOCK = 512
-TOKENS_PER_SHARD = 4_000_000
+TOKENS_PER_SHARD = 3_000_000
 BYTES_PER_RANGE = 24 << 20
 END = 0
-BATCH_BYTES = 1 << 20
 
 
 def _ones(bits: np.ndarray) -> np.ndarray:
@@ -183,42 +184,108 @@ def _put(folder: str, name: str, data: bytes) -> None:
     where.move(attempt, f"{path}/{name}")
 
 
+_loaded: dict = {}          # of this Python worker: tokenizer file -> (tokenizer, ids of pieces seen)
+CACHED = 300_000
+# bytes a sign begins with that is never white space: visible ASCII, and U+00C0 to U+07FF
+_OPENS = np.zeros(256, bool)
+_OPENS[33:127] = True
+_OPENS[0xC3:0xE0] = True
+_LETTER, _STOPS = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_STOPS[list(b".,;:!?")] = True
+
+
+def _encoder(tokenizer: str):
+    if tokenizer not in _loaded:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"            # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+        _loaded.clear()
+        _loaded[tokenizer] = (Tokenizer.from_file(tokenizer), [{}, {}])
+    return _loaded[tokenizer]
+
+
+def _pieces(b: Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the pieces of some documents, and the borders of the documents in the list of pieces.
+
+    A piece begins with each document, at each blank before a sign that is surely visible, at a stop after a letter, and
+    after a single line end between visible signs.  A byte-level pre-tokenizer always cuts there, so tokens never reach over,
+    and a piece has the same tokens wherever it stands.
+    """
+    n = len(b.data)
+    first = np.zeros(n + 1, bool)
+    if n > 1:
+        after = b.data[1:]
+        opens = _OPENS[after]
+        first[: n - 1] = (b.data[:-1] == 32) & opens
+        first[1:n] |= _LETTER[b.data[:-1]] & _STOPS[after]
+        first[2:n] |= _OPENS[b.data[:-2]] & (b.data[1:-1] == 10) & opens[1:]
+    first[b.at[:-1]] = True
+    first[n] = False
+    start = np.flatnonzero(first)
+    return start, np.append(start[1:], n), np.searchsorted(start, b.at)
+
+
+def encode(texts: pa.Array, tokenizer: str):
+    """Token ids of slices of texts: yields (ids, borders of the documents in them).
+
+    Pieces repeat; each distinct one of a slice (told apart by 64-bit hashes) is encoded once, and kept for later slices."""
+    enc, seen = _encoder(tokenizer)
+    for _, _, b in slices(texts, 2 * SLICE_BYTES):
+        start, end, borders = _pieces(b)
+        if not len(start):
+            yield np.zeros(0, np.uint16), np.zeros(len(b) + 1, np.int64)
+            continue
+        _, at, code = np.unique(b.hash_spans(start, end), return_index=True, return_inverse=True)
+        raw = b.data.tobytes()
+        pieces = [raw[i:j] for i, j in zip(start[at].tolist(), end[at].tolist())]
+        young, old = seen
+        ids = [young.get(p) for p in pieces]
+        new = [k for k, x in enumerate(ids) if x is None]
+        if old and new:
+            for k in new:
+                x = old.get(pieces[k])
+                if x is not None:
+                    ids[k] = young[pieces[k]] = x
+            new = [k for k in new if ids[k] is None]
+        for k, e in zip(new, enc.encode_batch_fast([pieces[k].decode() for k in new], add_special_tokens=False)):
+            ids[k] = array("I", e.ids).tobytes()
+            if len(pieces[k]) <= 64:
+                young[pieces[k]] = ids[k]
+        if len(young) > CACHED:                                   # what was not used since the last time is forgotten
+            seen[:] = [{}, young]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, where = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
+        each = size[code]
+        ends = np.cumsum(each)
+        out = pool[np.arange(ends[-1]) + np.repeat(where[code] - (ends - each), each)]
+        yield out, np.concatenate([[0], ends])[borders]
+
+
 def _writer(folder: str, tokenizer: str, end: int, per_shard: int):
     def write(batches):
-        from tokenizers import Tokenizer
-        enc = Tokenizer.from_file(tokenizer)
         part, shard = TaskContext.get().partitionId(), 0
-        ids, docs, counts, held, pending, size = [], [], [], 0, [], 0
-
-        def encode():
-            nonlocal pending, size, held
-            for e in enc.encode_batch_fast(pending, add_special_tokens=False):
-                a = np.array(e.ids + [end], dtype=np.uint32)
-                ids.append(a)
-                counts.append(len(a))
-                held += len(a)
-            pending, size = [], 0
+        ids, docs, counts, held = [], [], [], 0
 
         def flush():
             nonlocal ids, docs, counts, held, shard
-            encode()
             name = f"shard-{part:07d}-{shard:05d}.wvm"
-            every = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-            _put(folder, name, to_bytes(WaveletMatrix.build(every), docs, np.array(counts, dtype=np.int64)))
-            row = pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "file": [name], "n_ids": [held], "n_docs": [len(docs)]},
-                                             schema=META)
+            _put(folder, name, to_bytes(WaveletMatrix.build(np.concatenate(ids)), docs, np.concatenate(counts)))
+            row = pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "file": [name], "n_ids": [held], "n_docs": [len(docs)]}, schema=META)
             ids, docs, counts, held, shard = [], [], [], 0, shard + 1
             return row
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                docs.append(doc)
-                pending.append(text.as_py() or "")
-                size += len(pending[-1])
-                if size >= BATCH_BYTES:
-                    encode()
-                    if held >= per_shard:
-                        yield flush()
+            names, row = b.column(0).to_pylist(), 0
+            for some, borders in encode(b.column(1), tokenizer):
+                n = len(borders) - 1
+                ids.append(np.insert(some, borders[1:], end))      # the end id after each document
+                counts.append(np.diff(borders) + 1)
+                docs += names[row: row + n]
+                row, held = row + n, held + len(ids[-1])
+                if held >= per_shard:
+                    yield flush()
         if docs:
             yield flush()
 
