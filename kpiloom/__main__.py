@@ -1,4 +1,7 @@
-"""Run the platform end to end: ``python -m kpiloom --sf-dir DIR --root WAREHOUSE [--fresh]``.
+"""Run the platform end to end: ``python -m kpiloom (--sf-dir DIR | --raw-dir DIR) --root WAREHOUSE [--fresh] [--load-only]``.
+
+``--raw-dir`` names a folder with one Parquet table for each of the seven raw
+tables (``locations`` ... ``leads``, with or without ``.parquet``).
 
 Ingest (incremental; ``--fresh`` reloads everything), build staging ->
 certified -> metrics, run the 45 data tests and the KPI registry checks,
@@ -13,22 +16,33 @@ import json
 import sys
 
 from kpiloom.plans import pipeline
+from kpiloom.operators.ingest import extract_load
 from kpiloom.session import get_session
 from kpiloom.sources.crm import FIXTURE_MONTHS, raw_tables
+from kpiloom.sources.testdata import raw_folder
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="kpiloom", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("--sf-dir", required=True, help="folder with the driver's parquet tables")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--sf-dir", help="folder with the driver's parquet tables")
+    source.add_argument("--raw-dir", help="folder with the seven raw tables")
+    ap.add_argument("--load-only", action="store_true", help="load the raw tables and stop")
+    ap.add_argument("--brand", action="append", help="accepted brand (repeat it); default: the test data's")
     ap.add_argument("--root", required=True, help="warehouse root (a shared folder on a cluster)")
     ap.add_argument("--fresh", action="store_true", help="full refresh: ignore watermarks and snapshots")
     ap.add_argument("--first-month", default=FIXTURE_MONTHS[0])
     ap.add_argument("--last-month", default=FIXTURE_MONTHS[1])
     a = ap.parse_args(argv)
     spark = get_session()
+    sources = raw_tables(spark, a.sf_dir) if a.sf_dir else raw_folder(spark, a.raw_dir)
+    if a.load_only:
+        print(json.dumps({"rows_loaded": extract_load(spark, sources, a.root, full=a.fresh)}))
+        return 0
+    chosen = {"brands": a.brand} if a.brand else {}
     try:
-        rep = pipeline.run(spark, raw_tables(spark, a.sf_dir), a.root, a.first_month, a.last_month, full=a.fresh)
+        rep = pipeline.run(spark, sources, a.root, a.first_month, a.last_month, full=a.fresh, **chosen)
         paths = pipeline.report(spark, a.root)
     except pipeline.quality.GateError as e:
         print(f"stopped before publication: {e}", file=sys.stderr)

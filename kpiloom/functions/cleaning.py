@@ -13,14 +13,14 @@ def _c(c: Column | str) -> Column:
 
 
 def tolerant_int(c: Column | str) -> Column:
-    """Integer from text that may read '123', '123.0' or ' 12 '.
+    """64-bit integer from text that may read '123', '123.0' or ' 12 '.
 
     Nullable integer columns pass through a float stage on their way into the
     raw layer, so both spellings occur in one column. Fractions round half
     away from zero ('1.5' -> 2), null stays null, anything unparseable raises
     (ANSI), exactly like a plain integer cast in the reference engine.
     """
-    return F.round(F.trim(_c(c)).cast("decimal(20,6)"), 0).cast("int")
+    return F.round(F.trim(_c(c)).cast("decimal(38,6)"), 0).cast("bigint")
 
 
 def _money_text(c: Column | str) -> Column:

@@ -47,12 +47,20 @@ def extract_incremental(source: DataFrame, mark: str | None, col: str = WATERMAR
 
     Strictly greater by default (a late row with an equal or smaller value is
     not picked up; null values never are). ``inclusive=True`` re-reads rows
-    equal to the mark, which the key upsert makes harmless. The predicate is a
-    plain comparison, so it is pushed into the parquet/JDBC scan.
+    equal to the mark, which the key upsert makes harmless. The mark is cast to
+    the column's own type, so the predicate is a plain comparison on the column
+    and is pushed into the parquet/JDBC scan whatever that type is.
     """
-    mark = mark or ""
-    c = F.col(col).cast("string")
-    out = source.where(c >= F.lit(mark) if inclusive else c > F.lit(mark))
+    kind = source.schema[col].dataType
+    c = F.col(col)
+    if isinstance(kind, T.StringType):
+        bound = F.lit(mark or "")
+    else:
+        bound = F.lit(mark).cast(kind) if mark else None
+    if bound is None:
+        out = source.where(c.isNotNull())
+    else:
+        out = source.where(c >= bound if inclusive else c > bound)
     # A4: ordered extract. Sorting within partitions (no shuffle) does not change
     # the result; written files are then clustered by the watermark column, so
     # parquet min/max statistics let later ``col > mark`` reads skip row groups.
@@ -106,6 +114,22 @@ def latest_by_key(df: DataFrame, key: str, col: str = WATERMARK_COLUMN) -> DataF
     return agg.select(key, "__row.*").select(*df.columns)
 
 
+def merge_newest(target: DataFrame | None, incoming: DataFrame, key: str, col: str = WATERMARK_COLUMN) -> DataFrame:
+    """For each key the row with the newest ``col``, be it stored or incoming (a null counts as oldest).
+
+    Ties go by the row's own data, never by arrival, so the result is the same
+    however landed rows are split into batches. Rows without a key are all kept.
+    Combined map-side, so a hot key is not gathered in one task.
+    """
+    both = incoming if target is None else target.unionByName(incoming)
+    data = [c for c in both.columns if c not in (key, "_batch_id", "_loaded_at")]
+    audit = [c for c in ("_batch_id", "_loaded_at") if c in both.columns]
+    order = F.struct(F.coalesce(F.col(col).cast("string"), F.lit("")).alias("__at"), *data, *audit)
+    newest = both.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order).alias("__row"))
+    rows = newest.select(key, *[F.col(f"__row.{c}").alias(c) for c in (*data, *audit)]).select(*both.columns)
+    return rows.unionByName(both.where(F.col(key).isNull()))
+
+
 def batch_stats(batches: dict[str, DataFrame], col: str = WATERMARK_COLUMN) -> DataFrame:
     """(table_name, rows_loaded, batch_mark) -- one global aggregate per batch, unioned."""
     parts = [b.agg(F.count(F.lit(1)).alias("rows_loaded"), F.max(F.col(col).cast("string")).alias("batch_mark"))
@@ -159,27 +183,38 @@ def new_batch_id() -> str:
     return "b" + uuid.uuid4().hex[:12]
 
 
+def absent(error: AnalysisException) -> bool:
+    """Whether a read failed because the path does not exist (any other error must not pass for "never loaded")."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame | None:
-    """The append-only load log (one partition per batch), or None before the first load."""
+    """The append-only load log (one partition per batch), or None before the first load.
+
+    The schema is declared: a batch id that looks like a number stays text.
+    """
     path = f"{root}/meta/load_log"
+    schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch_id", T.StringType(), True)])
     try:
-        return spark.read.option("basePath", path).parquet(path)
-    except AnalysisException:
-        return None
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if absent(e):
+            return None
+        raise
 
 
 def current_state(spark: SparkSession, root: str) -> dict[str, tuple[str, str | None, int]]:
     """table -> (high watermark, current snapshot batch id or None, last seq).
 
-    Marks only grow, so the current mark is the max over the log; the current
-    snapshot is the latest batch that wrote one. One row per table reaches
-    the driver.
+    The current mark is the latest batch's (after a full refresh it may be
+    lower than an earlier one); the current snapshot is the latest batch that
+    wrote one. One row per table reaches the driver.
     """
     log = read_log(spark, root)
     if log is None:
         return {}
     rows = log.groupBy("table_name").agg(
-        F.max("high_watermark").alias("mark"),
+        F.max_by("high_watermark", "seq").alias("mark"),
         F.max_by(F.when(F.col("snapshot_written"), F.col("batch_id")),
                  F.when(F.col("snapshot_written"), F.col("seq"))).alias("snapshot"),
         F.max("seq").alias("seq"),
@@ -190,9 +225,11 @@ def current_state(spark: SparkSession, root: str) -> dict[str, tuple[str, str |
 def committed(spark: SparkSession, root: str, batch_id: str) -> dict[str, int] | None:
     """Rows loaded per table if ``batch_id`` already committed its log partition."""
     try:
-        rows = spark.read.parquet(f"{root}/meta/load_log/batch_id={batch_id}").collect()   # one row per table
-    except AnalysisException:
-        return None
+        rows = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/meta/load_log/batch_id={batch_id}").collect()   # one row per table
+    except AnalysisException as e:
+        if absent(e):
+            return None
+        raise
     return {r["table_name"]: int(r["rows_loaded"]) for r in rows} or None
 
 
@@ -210,10 +247,15 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, key: str, state: dict,
-                batch_id: str, loaded_at: dt.datetime, dedupe: bool = False) -> tuple[int, str, bool]:
+                batch_id: str, loaded_at: dt.datetime, dedupe: bool = False, landed: bool = False) -> tuple[int, str, bool]:
     mark, snap, _ = state.get(table, ("", None, 0))
-    batch = load_frame(source, mark, batch_id, loaded_at, ordered=True)
-    if dedupe:
+    if landed:
+        batch = with_audit(to_raw_text(source), batch_id, loaded_at)
+        if snap is None:
+            batch = merge_newest(None, batch, key)
+    else:
+        batch = load_frame(source, mark, batch_id, loaded_at)
+    if dedupe and not landed:
         batch = latest_by_key(batch, key)
     if snap is None:
         # first load (or full refresh): the batch is the snapshot -- one write
@@ -222,7 +264,7 @@ def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, k
         written = spark.read.parquet(path)
         st = written.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
         n = int(st["n"])
-        return n, (st["m"] if n > 0 else mark) or "", True
+        return n, max(mark or "", st["m"] or "") if landed else (st["m"] if n > 0 else mark) or "", True
     batch_path = f"{root}/meta/batches/{batch_id}/{table}"
     batch.write.mode("overwrite").parquet(batch_path)          # one pass over the source
     written = spark.read.parquet(batch_path)
@@ -231,13 +273,14 @@ def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, k
     if n == 0:
         return 0, mark or "", False
     previous = spark.read.parquet(snapshot_path(root, table, snap))
-    upsert(previous, written, key).write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
-    return n, st["m"] or "", True
+    merged = merge_newest(previous, written, key) if landed else upsert(previous, written, key)
+    merged.write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
+    return n, max(mark or "", st["m"] or "") if landed else st["m"] or "", True
 
 
 def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str, tables: dict[str, str] = TABLES,
                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                 full: bool = False, parallel: int = 4, dedupe: bool = False) -> dict[str, int]:
+                 full: bool = False, parallel: int = 4, dedupe: bool = False, landed: bool = False) -> dict[str, int]:
     """Load every table's changes since its mark; returns table -> rows loaded.
 
     Per table: extract -> write the batch (one pass over the source) -> count
@@ -249,7 +292,13 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     nothing of the batch is current. ``full=True`` ignores marks and
     snapshots (full refresh). ``dedupe=True`` keeps only the newest row per
     key within a batch (off by default: a batch's duplicates are kept, as in
-    delete-then-insert).
+    delete-then-insert). ``landed=True``: the sources are change files that
+    landed, so every row takes part whatever the mark, the newest
+    ``updated_at`` wins per key, also against the stored row
+    (:func:`merge_newest`), and the mark is only logged.
+
+    One writer at a time: if another batch was logged since the state was
+    read, this one fails before it commits, and can be run again.
     """
     batch_id = batch_id or new_batch_id()
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -262,10 +311,13 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
     def one(item):
         table, key = item
-        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at, dedupe)
+        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at, dedupe, landed)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcome = dict(pool.map(one, tables.items()))
+    now = max([s for _, _, s in current_state(spark, root).values()], default=0) + 1
+    if now != seq:
+        raise RuntimeError(f"another batch was loaded under {root} while {batch_id} ran; run it again")
     log_out = [(t, outcome[t][0], outcome[t][1], loaded_at, seq, outcome[t][2]) for t in tables]
     spark.createDataFrame(log_out, LOG_SCHEMA).coalesce(1).write.mode("overwrite") \
         .parquet(f"{root}/meta/load_log/batch_id={batch_id}")

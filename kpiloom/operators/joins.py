@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Null join keys of an outer join all hash to one shuffle partition. They can
-# never match, so they are spread over this many salt values instead.
-NULL_KEY_SPREAD = 4096
-
-
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                            row_id: Column | str | None = None, how: str = "left") -> DataFrame:
     """``left LEFT [ANTI] JOIN right ON left_key = right_key``, null keys spread out.
 
-    Rows whose key is null get a salt derived from ``row_id`` (default: a hash
-    of the whole row); matchable rows get salt 0, which is also the right
+    Null join keys all hash to one shuffle partition, yet never match. Rows
+    whose key is null get as salt a 64-bit hash of ``row_id`` (default: of the
+    whole row), never 0, so they spread without bound; matchable rows get 0, which is also the right
     side's only salt. The join is still a plain equi-join (on key and salt),
     so Spark picks broadcast or shuffle by measured size; the right side's
     ``right_key`` column is dropped. ``how`` is ``"left"`` or ``"left_anti"``.
@@ -24,7 +20,7 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, rig
         rid = F.xxhash64(*[F.col(c) for c in left.columns])
     else:
         rid = F.col(row_id) if isinstance(row_id, str) else row_id
-    salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(rid), F.lit(NULL_KEY_SPREAD)) + 1) \
+    salt = F.when(F.col(left_key).isNull(), F.xxhash64(rid).bitwiseOR(F.lit(1))) \
         .otherwise(F.lit(0).cast("long"))
     lk, rk = "__jk", "__js"
     l2 = left.withColumns({rk: salt, lk: F.col(left_key)})

@@ -98,16 +98,13 @@ def mom_cards(rollup: DataFrame, cards: dict[str, tuple[str, bool]] = CARDS) ->
     change = (now - before) / before, 0 when before is 0 or missing, and 0 when
     |change| < 0.0005. ``is_good``: no change, or the direction the metric wants.
     """
-    long = rollup.select("month", "brand", F.explode(F.array(*[
+    # the two latest months by a window over the rollup itself (months x brands rows), so the facts are read once
+    ranked = rollup.withColumn("__back", F.dense_rank().over(Window.orderBy(F.desc("month"))))
+    long = ranked.select("month", "brand", "__back", F.explode(F.array(*[
         F.struct(F.lit(k).alias("metric"), F.col(c).cast("double").alias("value"),
                  F.lit(up).alias("good_up")) for k, (c, up) in cards.items()])).alias("m")
-    ).select("month", "brand", "m.*")
-    # the two latest months: a set of distinct months (bounded by the month
-    # axis, combined map-side) sorted newest first; two rows come out
-    latest_two = rollup.agg(F.slice(F.sort_array(F.collect_set("month"), asc=False), 1, 2).alias("__ms"))
-    ranked = latest_two.select(F.posexplode("__ms").alias("__pos", "month")).select(
-        "month", (F.col("__pos") + 1).alias("__back"))
-    j = long.join(ranked, "month")
+    ).select("month", "brand", "__back", "m.*")
+    j = long.where("__back <= 2")
     g = j.groupBy("brand", "metric").agg(
         F.max(F.when(F.col("__back") == 1, F.col("month"))).alias("month"),
         F.max(F.when(F.col("__back") == 2, F.col("month"))).alias("previous_month"),
@@ -133,8 +130,9 @@ def leaderboard(kpi: DataFrame, sort_key: str = "net_revenue", descending: bool
 
     Sorted by ``sort_key`` (a distributed range sort); optionally one brand.
     """
-    latest = kpi.agg(F.max("month_start").alias("__latest"))
-    rows = kpi.join(latest, F.col("month_start") == F.col("__latest"), "left_semi")
+    # one scalar, then a literal: the month reaches the scans (and partitions of published data) instead of a join
+    latest = kpi.agg(F.max("month_start")).first()[0]
+    rows = kpi.where(F.col("month_start") == F.lit(latest))
     if brand and brand != ALL:
         rows = rows.where(F.col("brand") == brand)
     start = F.col("active_members") - F.col("new_members")

@@ -61,7 +61,7 @@ def platform_checks(brands: tuple[str, ...] = FIXTURE_BRANDS) -> list[Check]:
 def tie_outs(m) -> dict[str, DataFrame]:
     """The five singular tests on a ``Models``-like object (attribute access)."""
     return {
-        "assert_duplicates_merged": q.dq_duplicates_merged(m.stg_customers, m.int_customer_identity),
+        "assert_duplicates_merged": q.dq_duplicates_merged(m.int_customer_identity),
         "assert_every_real_customer_certified": q.dq_customer_reconcile(m.stg_customers, m.dim_customer),
         "assert_kpi_revenue_ties_to_ledger": q.dq_kpi_vs_ledger(m.kpi_location_monthly, m.fct_payments),
         "assert_no_test_accounts_certified": q.dq_no_test_accounts(m.fct_payments, m.stg_customers),
@@ -106,6 +106,6 @@ def suite_results(m, brands: tuple[str, ...] = FIXTURE_BRANDS) -> DataFrame:
     needed = ({c.model for c in checks} | {c.parent for c in checks if c.parent}
               | {t.model for t in SUITE_TOTALS})
     models = {name: m.model(name) for name in needed}
-    singular = {"assert_duplicates_merged": q.dq_duplicates_merged(m.stg_customers, m.int_customer_identity)}
+    singular = {"assert_duplicates_merged": q.dq_duplicates_merged(m.int_customer_identity)}
     external = {"total_source_cents": q.raw_source_cents(m.raw["payments"], m.raw["customers"])}
     return q.run_suite(models, checks, singular, SUITE_TOTALS, SUITE_TIES, external)

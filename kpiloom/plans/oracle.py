@@ -9,6 +9,8 @@ registered by the caller.
 
 from __future__ import annotations
 
+from kpiloom.functions.vocabulary import CHANNEL_VOCABULARY, STATUS_VOCABULARY
+
 _CTES: dict[str, tuple[list[str], str]] = {}
 
 AXIS_FIRST, AXIS_LAST = "1995-01-01", "2001-12-01"
@@ -62,7 +64,7 @@ SELECT c_custkey, c_nationkey, {DUP} AS has_dup,
 FROM customer""")
 
 cte("raw_customers", ["cust_base"], """
-SELECT cast(c_custkey AS varchar) AS customer_id,
+SELECT cast(2 * c_custkey AS varchar) AS customer_id,
        CASE WHEN c_custkey % 150 = 7 THEN 'Test' ELSE 'First' || cast(c_custkey % 20 AS varchar) END AS first_name,
        'Last' || cast(c_custkey % 10 AS varchar) AS last_name,
        email,
@@ -71,7 +73,7 @@ SELECT cast(c_custkey AS varchar) AS customer_id,
        cast(date '1995-01-01' + cast(c_custkey % 2000 AS integer) AS varchar) || ' 09:05:00' AS updated_at
 FROM cust_base
 UNION ALL
-SELECT cast(c_custkey + 10000000 AS varchar),
+SELECT cast(2 * c_custkey + 1 AS varchar),
        'First' || cast(c_custkey % 20 AS varchar),
        'Last' || cast(c_custkey % 10 AS varchar),
        CASE WHEN c_custkey % 2 = 0 THEN upper(email) ELSE ' ' || email || ' ' END,
@@ -87,7 +89,7 @@ SELECT cast(p_partkey AS varchar) AS service_id, p_name AS service_name, p_type
 FROM part""")
 
 cte("raw_memberships", [], """
-SELECT cast(c_custkey AS varchar) AS membership_id, cast(c_custkey AS varchar) AS customer_id,
+SELECT cast(c_custkey AS varchar) AS membership_id, cast(2 * c_custkey AS varchar) AS customer_id,
        cast(c_nationkey AS varchar) AS location_id,
        ['Core', 'Plus', 'Premium'][c_custkey % 3 + 1] AS plan_name,
        ['199.0', '349.0', '599.0'][c_custkey % 3 + 1] AS monthly_fee,
@@ -95,19 +97,19 @@ SELECT cast(c_custkey AS varchar) AS membership_id, cast(c_custkey AS varchar) A
        cast(CASE WHEN c_custkey % 3 <> 0 THEN s + cast(30 * (c_custkey % 24 + 1) AS integer) END AS varchar) AS end_date,
        cast(s AS varchar) || ' 00:00:00' AS updated_at
 FROM (SELECT c_custkey, c_nationkey, date '1995-01-01' + cast((7 * c_custkey) % 2000 AS integer) AS s
-      FROM customer WHERE c_custkey % 5 IN (0, 2)) m""")
+      FROM customer) m""")
 
 cte("orders_customer", [], f"""
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderpriority,
        cast(o.o_orderdate AS date) AS odate, c.c_nationkey,
-       CASE WHEN o.o_orderkey % 2 = 1 AND {DUP} THEN o.o_custkey + 10000000 ELSE o.o_custkey END AS payer,
+       CASE WHEN o.o_orderkey % 2 = 1 AND {DUP} THEN 2 * o.o_custkey + 1 ELSE 2 * o.o_custkey END AS payer,
        cast(cast(o.o_orderdate AS date) AS varchar) || ' 09:05:00' AS ts_text
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
 
 cte("raw_appointments", ["orders_customer"], """
 SELECT cast(o_orderkey AS varchar) AS appointment_id, cast(payer AS varchar) AS customer_id,
        cast(c_nationkey AS varchar) AS location_id,
-       cast(CASE WHEN o_orderkey % 97 = 0 THEN 99999999 ELSE o_orderkey % 200 END AS varchar) AS service_id,
+       cast(CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE o_custkey END AS varchar) AS service_id,
        ts_text AS scheduled_at,
        CASE o_orderstatus
             WHEN 'F' THEN ['Completed', 'completed', 'COMPLETED', 'Complete'][o_orderkey % 4 + 1]
@@ -140,19 +142,16 @@ SELECT cast(event_id AS varchar) AS lead_id, cast(event_id % 25 AS varchar) AS l
        ['Google Ads', 'google', 'adwords', 'Facebook Ads', 'FB', 'facebook', 'Instagram', 'IG',
         'Referral', 'referral', 'Friend', 'Website', 'organic', 'SEO', 'Walk-in', 'walkin'][event_id % 16 + 1] AS lead_source,
        ts_text AS created_at,
-       CASE WHEN event_type = 'signup' THEN cast(user_id AS varchar) || '.0' END AS converted_customer_id,
+       CASE WHEN event_type = 'signup' THEN cast(2 * user_id AS varchar) || '.0' END AS converted_customer_id,
        ts_text AS updated_at
 FROM (SELECT *, cast(date '1995-01-01' + cast(event_id % 2400 AS integer) AS varchar) || ' 09:05:00' AS ts_text
       FROM events) e""")
 
 # --- staging ------------------------------------------------------------------
-# Written for this oracle: mapping tables as VALUES joins, regexp cleaning,
-# null-safe "IS TRUE" flags -- equivalent to the model definitions, phrased
-# independently of the Spark code.
 cte("stg_locations", ["raw_locations"], """
 SELECT l.location_id, l.brand_word || ' - ' || l.city AS location_name, l.city, l.brand, l.ownership,
        l.franchisee_id, l.opened_on, l.closed_on, (l.closed_on IS NULL) AS is_active
-FROM (SELECT CAST(location_id AS INTEGER) AS location_id, brand, ownership, franchisee_id,
+FROM (SELECT CAST(location_id AS BIGINT) AS location_id, brand, ownership, franchisee_id,
              split_part(brand, ' ', 1) AS brand_word,
              array_to_string(list_transform(str_split(lower(trim(split_part(trim(location_name), ' - ', 2))), ' '),
                                             lambda w: concat(upper(left(w, 1)), substr(w, 2))), ' ') AS city,
@@ -160,60 +159,58 @@ FROM (SELECT CAST(location_id AS INTEGER) AS location_id, brand, ownership, fran
       FROM raw_locations) l""")
 
 cte("stg_customers", ["raw_customers"], """
-SELECT CAST(customer_id AS INTEGER) AS customer_id, first_name, last_name,
+SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name,
        CASE WHEN trim(email) = '' THEN NULL ELSE lower(trim(email)) END AS email_normalized,
-       CAST(home_location_id AS INTEGER) AS home_location_id,
+       CAST(home_location_id AS BIGINT) AS home_location_id,
        CAST(created_at AS TIMESTAMP) AS created_at,
        (suffix(lower(trim(email)), '@clinic-test.com') IS TRUE) OR ((lower(first_name) = 'test') IS TRUE)
            AS is_test_account
 FROM raw_customers""")
 
 cte("stg_services", ["raw_services"], """
-SELECT CAST(service_id AS INTEGER) AS service_id, service_name, category AS service_category,
+SELECT CAST(service_id AS BIGINT) AS service_id, service_name, category AS service_category,
        CAST(list_price AS DECIMAL(10, 2)) AS list_price
 FROM raw_services""")
 
 cte("stg_memberships", ["raw_memberships"], """
-SELECT CAST(membership_id AS INTEGER) AS membership_id, CAST(customer_id AS INTEGER) AS customer_id,
-       CAST(location_id AS INTEGER) AS location_id, plan_name,
+SELECT CAST(membership_id AS BIGINT) AS membership_id, CAST(customer_id AS BIGINT) AS customer_id,
+       CAST(location_id AS BIGINT) AS location_id, plan_name,
        CAST(monthly_fee AS DECIMAL(10, 2)) AS monthly_fee,
        CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date
 FROM raw_memberships""")
 
-cte("status_map", [], """
-SELECT * FROM (VALUES ('completed', 'completed'), ('complete', 'completed'), ('cancelled', 'cancelled'),
-                      ('canceled', 'cancelled'), ('noshow', 'no_show')) v(spelling, status)""")
+def _vocabulary(column: str, vocabulary: dict) -> str:
+    """A table (spelling, value) of one of the fixed vocabularies."""
+    rows = ", ".join(f"('{x}', '{value}')" for value, spellings in vocabulary.items() for x in spellings)
+    return f"SELECT * FROM (VALUES {rows}) v(spelling, {column})"
+
+
+cte("status_map", [], _vocabulary("status", STATUS_VOCABULARY))
 
 cte("stg_appointments", ["raw_appointments", "status_map"], """
-SELECT CAST(a.appointment_id AS INTEGER) AS appointment_id, CAST(a.customer_id AS INTEGER) AS customer_id,
-       CAST(a.location_id AS INTEGER) AS location_id, CAST(a.service_id AS INTEGER) AS service_id,
+SELECT CAST(a.appointment_id AS BIGINT) AS appointment_id, CAST(a.customer_id AS BIGINT) AS customer_id,
+       CAST(a.location_id AS BIGINT) AS location_id, CAST(a.service_id AS BIGINT) AS service_id,
        CAST(a.scheduled_at AS TIMESTAMP) AS scheduled_at, m.status, a.status AS status_raw
 FROM raw_appointments a
 LEFT JOIN status_map m ON m.spelling = lower(regexp_replace(trim(a.status), '[- ]', '', 'g'))""")
 
 cte("stg_payments", ["raw_payments"], """
-SELECT CAST(payment_id AS INTEGER) AS payment_id, CAST(customer_id AS INTEGER) AS customer_id,
-       CAST(location_id AS INTEGER) AS location_id, CAST(appointment_id AS INTEGER) AS appointment_id,
-       CAST(membership_id AS INTEGER) AS membership_id, payment_type,
+SELECT CAST(payment_id AS BIGINT) AS payment_id, CAST(customer_id AS BIGINT) AS customer_id,
+       CAST(location_id AS BIGINT) AS location_id, CAST(appointment_id AS BIGINT) AS appointment_id,
+       CAST(membership_id AS BIGINT) AS membership_id, payment_type,
        CAST(round(CAST(regexp_replace(trim(amount), '[$,]', '', 'g') AS DECIMAL(14, 2)) * 100) AS BIGINT)
            AS amount_cents,
        (payment_status = 'void') AS is_void,
        CAST(paid_at AS TIMESTAMP) AS paid_at
 FROM raw_payments""")
 
-cte("channel_map", [], """
-SELECT * FROM (VALUES ('google ads', 'paid_search'), ('google', 'paid_search'), ('adwords', 'paid_search'),
-                      ('facebook ads', 'paid_social'), ('fb', 'paid_social'), ('facebook', 'paid_social'),
-                      ('instagram', 'paid_social'), ('ig', 'paid_social'),
-                      ('referral', 'referral'), ('friend', 'referral'),
-                      ('website', 'organic'), ('organic', 'organic'), ('seo', 'organic'),
-                      ('walk-in', 'walk_in'), ('walkin', 'walk_in')) v(spelling, channel)""")
+cte("channel_map", [], _vocabulary("channel", CHANNEL_VOCABULARY))
 
 cte("stg_leads", ["raw_leads", "channel_map"], """
-SELECT CAST(l.lead_id AS INTEGER) AS lead_id, CAST(l.location_id AS INTEGER) AS location_id,
+SELECT CAST(l.lead_id AS BIGINT) AS lead_id, CAST(l.location_id AS BIGINT) AS location_id,
        l.lead_source AS lead_source_raw, m.channel,
        CAST(l.created_at AS TIMESTAMP) AS created_at,
-       CAST(l.converted_customer_id AS INTEGER) AS converted_customer_id
+       CAST(l.converted_customer_id AS BIGINT) AS converted_customer_id
 FROM raw_leads l
 LEFT JOIN channel_map m ON m.spelling = lower(trim(l.lead_source))""")
 

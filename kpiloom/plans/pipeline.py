@@ -20,6 +20,7 @@ cut -- and a lost executor only recomputes tasks of the current write.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.vocabulary import TABLES
 from kpiloom.operators import certified, identity, ingest, mart, quality, serving, staging
+from kpiloom.operators.ingest import absent
 from kpiloom.operators.governance import (kpi_registry, model_catalog, validate_registry,
                                           warehouse_columns)
 from kpiloom.plans import checks
@@ -41,6 +43,13 @@ LAYER_OF = {"customer_identity_wide": "intermediate", "dim_location": "certified
             "fct_leads": "certified", "kpi_location_monthly": "metrics"}
 
 
+PUBLISH_SCHEMA = "published_at timestamp_ntz, parameters string, run_id string"
+RECORD_SCHEMA = "run_id string, item string, name string, value long"
+
+
+IDENTITY_COLUMNS = ["customer_id", "master_customer_id", "email_normalized", "is_test_account"]
+
+
 @dataclass
 class RunReport:
     run_id: str
@@ -59,18 +68,30 @@ def model_path(root: str, run_id: str, model: str) -> str:
 def latest_published_run(spark: SparkSession, root: str) -> str | None:
     """Run id of the latest publication, or None."""
     try:
-        log = spark.read.option("basePath", f"{root}/meta/publish_log").parquet(f"{root}/meta/publish_log")
-    except AnalysisException:
-        return None
+        log = spark.read.schema(PUBLISH_SCHEMA).option("basePath", f"{root}/meta/publish_log").parquet(f"{root}/meta/publish_log")
+    except AnalysisException as e:
+        if absent(e):
+            return None
+        raise
     r = log.agg(F.max_by("run_id", "published_at").alias("r")).first()
     return r["r"] if r else None
 
 
+def published_parameters(spark: SparkSession, root: str, run_id: str) -> str | None:
+    """The parameters a published run was built with."""
+    row = spark.read.schema("published_at timestamp_ntz, parameters string").parquet(f"{root}/meta/publish_log/run_id={run_id}").first()
+    return row["parameters"] if row else None
+
+
 def read_published(spark: SparkSession, root: str, model: str) -> DataFrame:
-    """A model as of the latest published run."""
+    """A model as of the latest published run; staging models are views over the current raw tables."""
+    if model.startswith("stg_"):
+        return staging.stage_all({tb: ingest.read_raw(spark, root, tb) for tb in TABLES})[model.removeprefix("stg_")]
     run_id = latest_published_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"nothing has been published under {root}")
+    if model == "int_customer_identity":
+        return spark.read.parquet(model_path(root, run_id, "customer_identity_wide")).select(*IDENTITY_COLUMNS)
     return spark.read.parquet(model_path(root, run_id, model))
 
 
@@ -81,10 +102,11 @@ class _Written:
         self.spark, self.root, self.run_id = spark, root, run_id
         self.tables: dict[str, DataFrame] = {}
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         path = model_path(self.root, self.run_id, name)
-        df.write.mode("overwrite").parquet(path)
-        self.tables[name] = self.spark.read.parquet(path)
+        out = df.write.mode("overwrite")
+        (out.partitionBy(partition) if partition else out).parquet(path)
+        self.tables[name] = self.spark.read.parquet(path).select(*df.columns)
         return self.tables[name]
 
     def put_all(self, dfs: dict[str, DataFrame], parallel: int = 4) -> None:
@@ -120,12 +142,18 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
 
     loaded = ingest.extract_load(spark, sources, root, full=full)
     lap("ingest")
+    parameters = json.dumps([first_month, last_month, brands], default=str)
+    last = latest_published_run(spark, root)
+    if publish and last and not full and not any(loaded.values()) and published_parameters(spark, root, last) == parameters:
+        # nothing came in and nothing else differs: the published run stands
+        results = spark.read.parquet(f"{root}/runs/{last}/audit/test_results")
+        return RunReport(last, loaded, results, quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict(), True, secs)
     raw = {tb: ingest.read_raw(spark, root, tb) for tb in TABLES}
     stg = staging.stage_all(raw)                       # views
     w = _Written(spark, root, run_id)
     # written once, read by five models; int_customer_identity is the 4-column view of it
     ident = w.put("customer_identity_wide", identity.resolve_identity(stg["customers"]))
-    ids = ident.select("customer_id", "master_customer_id", "email_normalized", "is_test_account")
+    ids = ident.select(*IDENTITY_COLUMNS)
     # the six certified models only share the written identity: write them concurrently
     w.put_all({
         "dim_location": certified.dim_location(stg["locations"]),
@@ -138,7 +166,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     dim_loc, fa, fp, fm, fl = (w.tables[n] for n in ["dim_location", "fct_appointments", "fct_payments",
                                                      "fct_membership_months", "fct_leads"])
     lap("certified")
-    w.put("kpi_location_monthly", mart.kpi_location_monthly(dim_loc, fp, fa, fm, fl, first_month, last_month))
+    w.put("kpi_location_monthly", mart.kpi_location_monthly(dim_loc, fp, fa, fm, fl, first_month, last_month), "month_start")
     lap("metrics")
 
     views = {f"stg_{k}": v for k, v in stg.items()}
@@ -151,15 +179,20 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     summary_row = quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict()
     lap("tests")
     report = RunReport(run_id, loaded, results, summary_row, seconds=secs)
-    quality.gate(summary_row["tests_failed"], f"data tests of run {run_id}")
+    record = [(run_id, "rows_loaded", tb, n) for tb, n in loaded.items()]
+    record += [(run_id, "summary", k, int(v)) for k, v in summary_row.items()]
+    spark.createDataFrame(record, RECORD_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{root}/runs/{run_id}/audit/run_record")
+    failing = [r["test_name"] for r in results.where("status <> 'pass'").select("test_name").sort("test_name").collect()]   # at most one per test
+    quality.gate(summary_row["tests_failed"], f"data tests of run {run_id}", failing)
 
     errors = validate_registry(kpi_registry(spark), model_catalog(spark),
                                warehouse_columns(spark, {**views}))
-    quality.gate(errors.count(), "KPI registry")
+    named = [" ".join(str(x) for x in r if x is not None) for r in errors.collect()]        # at most a few per KPI
+    quality.gate(len(named), "KPI registry", named)
     lap("registry")
     if publish:
-        spark.createDataFrame([(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),)],
-                              "published_at timestamp_ntz").coalesce(1).write.mode("overwrite") \
+        spark.createDataFrame([(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), parameters)],
+                              "published_at timestamp_ntz, parameters string").coalesce(1).write.mode("overwrite") \
             .parquet(f"{root}/meta/publish_log/run_id={run_id}")
         report.published = True
     lap("publish")

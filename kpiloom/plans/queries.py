@@ -98,7 +98,7 @@ def _dq_combo(m: Models) -> DataFrame:
 
 @query("dq_duplicates_merged")
 def _dq_dm(m: Models) -> DataFrame:
-    return _q.dq_duplicates_merged(m.stg_customers, m.int_customer_identity)
+    return _q.dq_duplicates_merged(m.int_customer_identity)
 
 
 @query("dq_customer_reconcile")

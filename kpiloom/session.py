@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Timestamps are naive (TIMESTAMP_NTZ) end to
@@ -47,38 +44,41 @@ def get_session(master: str | None = None, app_name: str = "kpiloom",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir`` (a path every executor can reach).
 
-    On a cluster this must already be set (a path every executor can reach).
-    Only when it is unset -- local tests -- a fresh scratch folder is made.
+    It must be set when the session is built; there is no machine-local default.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="kpiloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return d
 
 
-def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
-    """Settings that keep every task's share of data near ``target_partition_bytes``.
+def scale_settings(shuffle_bytes: int, total_cores: int, input_bytes: int | None = None,
+                   max_width: int = 20_000) -> dict:
+    """Settings for a job that shuffles about ``shuffle_bytes`` (after pruning) in its widest exchange.
 
-    * scan splits of that size (``maxPartitionBytes``);
-    * an initial shuffle width of input / target (at least 2 x cores), which
-      AQE then coalesces toward the same advisory size -- so the widest
-      shuffle (facts by customer id) never puts more than a split's worth of
-      rows into one task, and the small ones collapse;
-    * skew handling: a partition is split when it is 5x the median and above
-      twice the target.
+    * scan splits: 256 MB, and up to 1 GB once the input would otherwise give
+      more than 100,000 tasks;
+    * shuffle width: shuffle bytes / 256 MB, at least 2 x cores, at most
+      ``max_width`` -- the driver keeps a status for each map task and reducer, so
+      100 TB must not give hundreds of thousands of each. Beyond it partitions
+      grow (5 GB at 100 TB) and spill instead; AQE coalesces what is small, as
+      rollups of a few thousand rows, and splits what is skewed;
+    * a partition counts as skewed when it is 5 x the median and over 512 MB.
     Apply at session build (``get_session(extra=scale_settings(...))``).
     """
-    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    mb = 1024 ** 2
+    split = min(1024 * mb, max(256 * mb, -(-(input_bytes or shuffle_bytes) // 100_000)))
+    width = min(max_width, max(2 * total_cores, -(-shuffle_bytes // (256 * mb))))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
     }

@@ -23,8 +23,7 @@ from kpiloom.sources.testdata import read_table
 # Month axis that covers the fixture dates (orders run 1995-01 .. 2001-08).
 FIXTURE_MONTHS = ("1995-01-01", "2001-12-01")
 
-DUPLICATE_ID_OFFSET = 10_000_000
-UNKNOWN_SERVICE_ID = 99_999_999
+UNKNOWN_SERVICE_ID = -1              # no part has a negative key
 TIME_OF_DAY = " 09:05:00"
 MIDNIGHT = " 00:00:00"
 NO_TIMESTAMP = "1994-01-01 00:00:00"
@@ -57,10 +56,15 @@ def _pick(values: list[str], idx: Column) -> Column:
 
 
 def has_duplicate(key: Column) -> Column:
-    """Customers registered twice (second record id = key + 10,000,000)."""
+    """Customers registered twice."""
     return (key % 33 == 0) & (key % 25 != 3) & ~(key % 150).isin(7, 8)
 
 
+def record_id(key: Column, second: Column | bool = False) -> Column:
+    """Customer record id: 2k for a customer's first record, 2k + 1 for the second -- never equal, at any size."""
+    return 2 * key + (second.cast("long") if isinstance(second, Column) else int(second))
+
+
 def locations(nation: DataFrame) -> DataFrame:
     """Raw locations from ``nation``."""
     i = F.col("n_nationkey")
@@ -93,7 +97,7 @@ def customers(customer: DataFrame) -> DataFrame:
              .otherwise(F.concat(F.lit("user"), _s(k), F.lit("@example.com"))))
     created = F.concat(_s(_day(k % 2000)), F.lit(TIME_OF_DAY))
     base = F.struct(
-        _s(k).alias("customer_id"),
+        _s(record_id(k)).alias("customer_id"),
         F.when(k % 150 == 7, F.lit("Test")).otherwise(F.concat(F.lit("First"), _s(k % 20))).alias("first_name"),
         F.concat(F.lit("Last"), _s(k % 10)).alias("last_name"),
         email.alias("email"),
@@ -103,7 +107,7 @@ def customers(customer: DataFrame) -> DataFrame:
     )
     dup_created = F.concat(_s(_day(k % 2000 + 30)), F.lit(TIME_OF_DAY))
     dup = F.struct(
-        _s(k + DUPLICATE_ID_OFFSET).alias("customer_id"),
+        _s(record_id(k, True)).alias("customer_id"),
         F.concat(F.lit("First"), _s(k % 20)).alias("first_name"),
         F.concat(F.lit("Last"), _s(k % 10)).alias("last_name"),
         F.when(k % 2 == 0, F.upper(email)).otherwise(F.concat(F.lit(" "), email, F.lit(" "))).alias("email"),
@@ -127,14 +131,14 @@ def services(part: DataFrame) -> DataFrame:
 
 
 def memberships(customer: DataFrame) -> DataFrame:
-    """Raw memberships from ``customer`` (two customers in five)."""
+    """Raw memberships from ``customer``: one for every customer."""
     k = F.col("c_custkey")
     start = _day((k * 7) % 2000)
     end = F.when(k % 3 != 0, F.date_add(start, (F.lit(30) * (k % 24 + 1)).cast("int")))
     plan = k % 3
-    return customer.where((k % 5).isin(0, 2)).select(
+    return customer.select(
         _s(k).alias("membership_id"),
-        _s(k).alias("customer_id"),
+        _s(record_id(k)).alias("customer_id"),
         _s(F.col("c_nationkey")).alias("location_id"),
         _pick([p for p, _ in PLANS], plan).alias("plan_name"),
         _pick([f for _, f in PLANS], plan).alias("monthly_fee"),
@@ -152,11 +156,11 @@ def _orders_with_customer(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def _payer_id(ok: Column, ck: Column) -> Column:
     # Odd orders of customers with a duplicate record are booked to the duplicate.
-    return F.when((ok % 2 == 1) & has_duplicate(ck), ck + DUPLICATE_ID_OFFSET).otherwise(ck)
+    return record_id(ck, (ok % 2 == 1) & has_duplicate(ck))
 
 
 def appointments(oc: DataFrame) -> DataFrame:
-    """Raw appointments from ``orders`` joined to the customer's nation."""
+    """Raw appointments from ``orders`` joined to the customer's nation; services spread over the keys of ``part``."""
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     status = (F.when(F.col("o_orderstatus") == "F", _pick(COMPLETED_SPELLINGS, ok % 4))
               .when(F.col("o_orderstatus") == "O", _pick(CANCELLED_SPELLINGS, ok % 3))
@@ -166,7 +170,7 @@ def appointments(oc: DataFrame) -> DataFrame:
         _s(ok).alias("appointment_id"),
         _s(_payer_id(ok, ck)).alias("customer_id"),
         _s(F.col("c_nationkey")).alias("location_id"),
-        _s(F.when(ok % 97 == 0, F.lit(UNKNOWN_SERVICE_ID)).otherwise(ok % 200)).alias("service_id"),
+        _s(F.when(ok % 97 == 0, F.lit(UNKNOWN_SERVICE_ID)).otherwise(ck)).alias("service_id"),
         at.alias("scheduled_at"),
         status.alias("status"),
         at.alias("updated_at"),
@@ -216,7 +220,7 @@ def leads(events: DataFrame) -> DataFrame:
         _s(e % 25).alias("location_id"),
         _pick(LEAD_SOURCE_SPELLINGS, e % 16).alias("lead_source"),
         at.alias("created_at"),
-        F.when(F.col("event_type") == "signup", F.concat(_s(F.col("user_id")), F.lit(".0"))).alias(
+        F.when(F.col("event_type") == "signup", F.concat(_s(record_id(F.col("user_id"))), F.lit(".0"))).alias(
             "converted_customer_id"),
         at.alias("updated_at"),
     )

@@ -31,3 +31,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The seven raw tables of a folder, one Parquet table each (``name`` or ``name.parquet``)."""
+    from pyspark.errors import AnalysisException
+
+    from kpiloom.functions.vocabulary import TABLES
+
+    out = {}
+    for name in TABLES:
+        try:
+            out[name] = spark.read.parquet(f"{folder}/{name}.parquet")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            out[name] = spark.read.parquet(f"{folder}/{name}")
+    return out

@@ -2,8 +2,10 @@
 
 The same upsert as the batch loader, driven by ``readStream`` over a folder
 where the operational system lands change files. ``foreachBatch`` hands each
-micro-batch to :func:`kpiloom.operators.ingest.extract_load` under a batch id
-derived from the epoch id, so a replayed epoch (driver restart, lost
+micro-batch to :func:`kpiloom.operators.ingest.extract_load` as landed rows:
+every row takes part, the newest ``updated_at`` wins per key, so the result does
+not depend on how files fall into micro-batches. The batch id is derived from
+the stream's own identity (kept in its checkpoint) and the epoch, so a replayed epoch (driver restart, lost
 executor) rewrites its own paths and, once its log partition exists, is
 skipped: the effect is exactly-once. ``availableNow`` processes what is there
 and stops, which is how a scheduled incremental load runs; a plain
@@ -17,7 +19,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kpiloom.operators.ingest import extract_load
-from kpiloom.session import checkpoint_dir
 
 
 def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType, root: str, table: str,
@@ -26,8 +27,8 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.Struc
                            ) -> StreamingQuery:
     """Stream change files of one table into its raw snapshots.
 
-    ``checkpoint`` defaults to a folder under the cluster's shared
-    ``spark.checkpoint.dir`` (never a machine-local path on a cluster).
+    ``checkpoint`` defaults to a fixed folder under ``root``: a restart, also in
+    a new application, goes on where the last one ended.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -35,10 +36,12 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.Struc
     stream = reader.parquet(source_dir)
 
     def load_batch(batch_df, epoch_id: int) -> None:
-        extract_load(batch_df.sparkSession, {table: batch_df}, root, tables={table: key},
-                     batch_id=f"s{table}{epoch_id:012d}")
+        session = batch_df.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        extract_load(session, {table: batch_df}, root, tables={table: key}, landed=True,
+                     batch_id=f"s{table}-{query}-{epoch_id:012d}")
 
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-stream-{table}"
+    ckpt = checkpoint or f"{root.rstrip('/')}/meta/streams/{table}"
     w = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from kpiloom.session import checkpoint_dir, get_session
-    s = get_session("local[4]", app_name="kpiloom-tests", shuffle_partitions=8)
+    shared = tempfile.mkdtemp(prefix="kpiloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    s = get_session("local[4]", app_name="kpiloom-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     checkpoint_dir(s)
     yield s
     s.stop()

@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from kpiloom.plans.oracle import ORACLE
+from kpiloom.plans.queries import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -36,24 +38,24 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
                    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    sdf = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(ORACLE[name])
     o_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
     s_types = {f: (t.upper().replace(" ", "") if t.startswith("decimal") else SPARK_TO_DUCKDB.get(t, t))
                for f, t in sdf.dtypes}
     assert s_types == o_types                     # same column names and types
     cols = sorted(sdf.columns)
     s_rows = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     o_names = [d[0] for d in cur.description]
     assert sorted(o_names) == cols
     o_rows = sorted(tuple(_norm(dict(zip(o_names, r))[c]) for c in cols) for r in cur.fetchall())

@@ -4,6 +4,7 @@ import re
 
 from kpiloom.operators import ingest
 from kpiloom.plans.models import Models
+from kpiloom.plans.queries import QUERIES
 from conftest import SF_SMALL
 
 
@@ -42,7 +43,8 @@ def test_unused_columns_are_pruned_from_the_scan(spark, capsys):
 def test_scale_settings_size_partitions_to_the_input():
     from kpiloom.session import scale_settings
     s = scale_settings(100 * 1024 ** 4, 8000)            # 100 TB on 8000 cores
-    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(s["spark.sql.shuffle.partitions"]) == 20_000          # what a driver can keep track of
+    assert s["spark.sql.files.maxPartitionBytes"] == str(1024 ** 3)
     small = scale_settings(10 * 1024 ** 2, 8)            # tiny input: at least 2 x cores
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 ** 2)
@@ -77,9 +79,8 @@ FORBIDDEN = ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "
 
 
 def test_no_registered_query_uses_nested_loops_cartesians_or_python(spark, capsys):
-    import __spark_entry__ as E
     offenders = {}
-    for name, q in sorted(E.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         p = plan_text(q(spark, SF_SMALL), capsys)
         hits = [f for f in FORBIDDEN if f in p]
         if hits:

@@ -42,7 +42,7 @@ def test_memberships_appointments_leads(m):
     assert m.stg_memberships.count() == 600
     tests = m.stg_customers.where("is_test_account").select("customer_id")
     assert m.stg_memberships.join(tests, "customer_id").count() == 10
-    assert m.stg_appointments.where("service_id = 99999999").count() == 155
+    assert m.stg_appointments.where("service_id = -1").count() == 155
     converted = m.stg_leads.where("converted_customer_id is not null")
     assert converted.count() == 2017
     assert converted.join(tests.withColumnRenamed("customer_id", "converted_customer_id"),
