@@ -39,9 +39,9 @@ def test_spine_and_closures(m):
 
 
 def test_memberships_appointments_leads(m):
-    assert m.stg_memberships.count() == 600
+    assert m.stg_memberships.count() == 1500        # one for every customer
     tests = m.stg_customers.where("is_test_account").select("customer_id")
-    assert m.stg_memberships.join(tests, "customer_id").count() == 10
+    assert m.stg_memberships.join(tests, "customer_id").count() == 20
     assert m.stg_appointments.where("service_id = -1").count() == 155
     converted = m.stg_leads.where("converted_customer_id is not null")
     assert converted.count() == 2017
