@@ -127,7 +127,7 @@ def _locate(size: int, phrases: int):
     import ahocorasick
 
     def search(groups):
-        """groups: lists of segments (doc, sig, start, letters, windows), each with its table of first documents or None."""
+        """groups: lists of segments (doc, sig, start, words, windows), each with its table of first documents or None."""
         spans = ([], [], [], [])
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         entries: list[dict] = []
@@ -153,7 +153,7 @@ def _locate(size: int, phrases: int):
             begin = np.concatenate([[0], np.cumsum(size_of)])
             seg = np.searchsorted(begin, sample, side="right") - 1
             for w, f, s, p in zip(known.tolist(), low.tolist(), seg.tolist(), (sample - begin[seg]).tolist()):
-                phrase = tuple(segments[s][3][p: p + size])
+                phrase = tuple(np.frombuffer(segments[s][3], np.uint32, size, 4 * p).tolist())
                 k = automaton.get(phrase, -1)
                 if k < 0:
                     automaton.add_word(phrase, len(entries))
@@ -162,20 +162,31 @@ def _locate(size: int, phrases: int):
                     entries[k][w] = min(f, entries[k].get(w, f))
         if entries:
             automaton.make_automaton()
+            # segments of equal words hold the same phrases: each distinct one streams through the automaton once
+            found: dict = {}
             for segments, _ in groups:
-                for doc, sig, start, letters, wins in segments:
-                    a = b = None
-                    for end, k in automaton.iter(tuple(letters)):
-                        p = end - size + 1
-                        if p < len(wins) and entries[k].get(wins[p].item(), doc) < doc:
-                            if a is None or p > b - start:
-                                if a is not None:
-                                    for col, x in zip(spans, (doc, sig, a, b)):
-                                        col.append(x)
-                                a = start + p
-                            b = start + p + size
-                    if a is not None:
-                        for col, x in zip(spans, (doc, sig, a, b)):
+                for doc, sig, start, words, wins in segments:
+                    places = found.get(words)
+                    if places is None:
+                        own, places = wins.tolist(), []
+                        for end, k in automaton.iter(tuple(np.frombuffer(words, np.uint32).tolist())):
+                            p = end - size + 1
+                            first = entries[k].get(own[p])
+                            if first is not None:
+                                places.append((p, first))
+                        found[words] = places
+                    a = b = -1
+                    for p, first in places:
+                        if first < doc:
+                            if a < 0:
+                                a = p
+                            elif p > b:
+                                for col, x in zip(spans, (doc, sig, start + a, start + b)):
+                                    col.append(x)
+                                a = p
+                            b = p + size
+                    if a >= 0:
+                        for col, x in zip(spans, (doc, sig, start + a, start + b)):
                             col.append(x)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in spans], ["doc_id", "sig", "a", "b"])
 
@@ -202,7 +213,7 @@ def _locate(size: int, phrases: int):
                         groups, held = [], 0
                     key = (anchor, part)
                 if kind:
-                    segments.append((doc, sig, start, np.frombuffer(words, np.uint32).tolist(), np.frombuffer(windows, I64)))
+                    segments.append((doc, sig, start, words, np.frombuffer(windows, I64)))
                 else:
                     told[0].append(sig)
                     told[1].append(doc)
