@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +39,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Spark's Python workers import this package from where the driver has it (a cluster installs it there, or ships
+    it by --py-files)."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.llm.common import workers_import
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality rules keep."""
@@ -13,12 +15,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the smallest id."""
+    workers_import(spark)
     from kpiloom.llm.ngram_join import keep_representatives
     return keep_representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no passage of the benchmark."""
+    workers_import(spark)
     from kpiloom.llm.decontamination import drop_contaminated
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -31,5 +35,6 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files of the mix, read back: one row per document copy."""
+    workers_import(spark)
     from kpiloom.llm.wavelet import write_and_read
     return write_and_read(docs)
