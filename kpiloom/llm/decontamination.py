@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import materialize
-from kpiloom.llm.textbytes import _LOWER, _ODD, Bytes, U, inside, mix, ngrams, slices
+from kpiloom.llm.textbytes import _ODD, Bytes, U, inside, mix, ngrams, slices
 
 N, THRESHOLD, COMMONNESS = 3, 0.5, 50.0
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -30,12 +30,18 @@ _KEEP = np.ones(256, dtype=bool)                      # signs that do not count:
 _KEEP[[c for c in range(33, 127) if not chr(c).isalnum()]] = False
 
 
+def _folded(text: str) -> Column:
+    """The text column without case, over all of Unicode: small letters, then capitals, so that letters whose other case is
+    two letters (ß, SS) or another sign agree.  The empty text between keeps the optimizer from dropping the first step."""
+    return F.upper(F.concat(F.lower(F.col(f"`{text}`").cast("string")), F.lit("")))
+
+
 def _coded(texts: pa.Array):
-    """(first row, word hashes, borders) of slices of texts: lower case, ASCII punctuation left out."""
+    """(first row, word hashes, borders) of slices of folded texts: ASCII punctuation left out."""
     for i, _, b in slices(texts):
         keep = _KEEP[b.data]
         at = np.concatenate([[0], np.cumsum(keep)])
-        clean = Bytes(_LOWER[b.data[keep]], at[b.at])
+        clean = Bytes(b.data[keep], at[b.at])
         start, end, borders = clean.words()
         yield i, clean.hash_spans(start, end), borders
 
@@ -43,7 +49,7 @@ def _coded(texts: pa.Array):
 def benchmark_index(benchmark: DataFrame, n: int = N, id_name: str = "item_id", text: str = "text") -> dict:
     """The items, coded: their word hashes, and their seeds.  Items without words cannot match and are left out; an item of
     fewer than ``n`` words has one seed, all of it.  Repeated items are kept: each is reported."""
-    rows = benchmark.select(F.col(f"`{id_name}`").cast("long").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("i is not null and t is not null")
+    rows = benchmark.select(F.col(f"`{id_name}`").cast("long").alias("i"), _folded(text).alias("t")).where("i is not null and t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     if size > MAX_BENCHMARK_BYTES:
         raise ValueError(f"the benchmark has {size} bytes; split it into parts of {MAX_BENCHMARK_BYTES}")
@@ -195,14 +201,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = N, threshold: flo
                id_name: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per (document, item) found: doc_id, item_id, score (0 to 1), first_word, end_word, n_words.
 
-    Words are compared in lower case without ASCII punctuation.  Null and empty texts hold nothing; rows with a null id are
+    Words are compared without case (that of all of Unicode) and without ASCII punctuation.  Null and empty texts hold nothing; rows with a null id are
     searched and reported with a null id; repeated rows are reported once; other columns are ignored; an empty benchmark
     or table gives no rows.
     """
     spark = docs.sparkSession
     index = benchmark_index(benchmark, n)
     shared = spark.sparkContext.broadcast(index)
-    d = docs.select(F.col(f"`{id_name}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
+    d = docs.select(F.col(f"`{id_name}`").cast("long").alias("doc_id"), _folded(text).alias("text")).where("text is not null")
     found = d.mapInArrow(lambda batches: _scan(shared.value)(batches),
                          "doc_id long, seed array<long>, place array<int>, start long, words binary, n_words long")
     found = materialize(found, "leak-windows")

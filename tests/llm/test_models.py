@@ -54,6 +54,15 @@ def test_leaks(spark):
     assert decontamination.find_leaks(df, bench.limit(0)).count() == 0 and decontamination.find_leaks(df.limit(0), bench).count() == 0
 
 
+def test_leaks_in_accented_capitals(spark):
+    r = random.Random(4)
+    item = " ".join(w[:2] + r.choice("éóñüßçø") + w[2:] for w in prose(r, 25).split())
+    df = spark.createDataFrame([(1, prose(r, 30) + " " + item.upper() + " " + prose(r, 30)), (2, prose(r, 60))], SCHEMA)
+    for bench in (item, item.upper()):
+        got = decontamination.find_leaks(df, spark.createDataFrame([(7, bench)], "item_id long, text string")).collect()
+        assert [(x.doc_id, x.item_id, x.score, x.first_word, x.end_word) for x in got] == [(1, 7, 1.0, 30, 55)]
+
+
 def test_toxicity_on_held_out_rows(spark):
     r, bad = random.Random(3), ["vileword", "nastyterm", "uglyname", "meanphrase"]
     rows = []
