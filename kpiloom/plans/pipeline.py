@@ -9,8 +9,10 @@ Write-audit-publish on plain parquet:
   written to ``runs/<run_id>/audit/test_results``; any failure raises
   :class:`GateError` before anything is published;
 * publishing appends one partition to ``<root>/meta/publish_log`` naming the
-  run; readers resolve a model through the latest published run. A failed or
-  interrupted run leaves the previous publication current.
+  run and the raw snapshots it was built from; readers resolve a model through
+  the latest published run. A failed or interrupted run leaves the previous
+  publication current; the next run builds anew unless the latest publication
+  was built from the snapshots that are current then.
 
 Each model is written before its consumers are built, so the consumers read
 parquet instead of recomputing lineage -- the written tables are the lineage
@@ -43,7 +45,7 @@ LAYER_OF = {"customer_identity_wide": "intermediate", "dim_location": "certified
             "fct_leads": "certified", "kpi_location_monthly": "metrics"}
 
 
-PUBLISH_SCHEMA = "published_at timestamp_ntz, parameters string, run_id string"
+PUBLISH_SCHEMA = "published_at timestamp_ntz, parameters string, snapshots string, run_id string"
 RECORD_SCHEMA = "run_id string, item string, name string, value long"
 
 
@@ -77,10 +79,10 @@ def latest_published_run(spark: SparkSession, root: str) -> str | None:
     return r["r"] if r else None
 
 
-def published_parameters(spark: SparkSession, root: str, run_id: str) -> str | None:
-    """The parameters a published run was built with."""
-    row = spark.read.schema("published_at timestamp_ntz, parameters string").parquet(f"{root}/meta/publish_log/run_id={run_id}").first()
-    return row["parameters"] if row else None
+def published_inputs(spark: SparkSession, root: str, run_id: str) -> tuple[str | None, str | None]:
+    """The parameters and the raw snapshots (JSON, table -> batch id) a published run was built from."""
+    row = spark.read.schema("parameters string, snapshots string").parquet(f"{root}/meta/publish_log/run_id={run_id}").first()
+    return (row["parameters"], row["snapshots"]) if row else (None, None)
 
 
 def read_published(spark: SparkSession, root: str, model: str) -> DataFrame:
@@ -143,12 +145,15 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     loaded = ingest.extract_load(spark, sources, root, full=full)
     lap("ingest")
     parameters = json.dumps([first_month, last_month, brands], default=str)
+    state = ingest.current_state(spark, root)
+    current = {tb: state[tb][1] for tb in TABLES}
+    snapshots = json.dumps(current, sort_keys=True)
     last = latest_published_run(spark, root)
-    if publish and last and not full and not any(loaded.values()) and published_parameters(spark, root, last) == parameters:
-        # nothing came in and nothing else differs: the published run stands
+    if publish and last and not full and published_inputs(spark, root, last) == (parameters, snapshots):
+        # the published run was built from these very snapshots and nothing else differs: it stands
         results = spark.read.parquet(f"{root}/runs/{last}/audit/test_results")
         return RunReport(last, loaded, results, quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict(), True, secs)
-    raw = {tb: ingest.read_raw(spark, root, tb) for tb in TABLES}
+    raw = {tb: spark.read.parquet(ingest.snapshot_path(root, tb, current[tb])) for tb in TABLES}
     stg = staging.stage_all(raw)                       # views
     w = _Written(spark, root, run_id)
     # written once, read by five models; int_customer_identity is the 4-column view of it
@@ -191,8 +196,8 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     quality.gate(len(named), "KPI registry", named)
     lap("registry")
     if publish:
-        spark.createDataFrame([(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), parameters)],
-                              "published_at timestamp_ntz, parameters string").coalesce(1).write.mode("overwrite") \
+        spark.createDataFrame([(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), parameters, snapshots)],
+                              "published_at timestamp_ntz, parameters string, snapshots string").coalesce(1).write.mode("overwrite") \
             .parquet(f"{root}/meta/publish_log/run_id={run_id}")
         report.published = True
     lap("publish")
