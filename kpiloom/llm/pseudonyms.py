@@ -14,8 +14,8 @@ equal values get equal pseudonyms in every document (links survive) and differen
 * e-mail addresses: letters and digits of the local part are permuted, length, case and other signs stay.
 
 Separators stay and do not count: a number gets the same digits however it is grouped.  What fails validation is left as
-it is.  Only texts that hold a digit pair or an ``@`` are searched; each is cut once at all matches and put together
-again, so no pseudonym is read a second time.  No Python on the data, no shuffle.
+it is.  Only texts that hold two digits with at most one blank, dot or hyphen between or an ``@`` are searched (every
+format has that); each is cut once at all matches and put together again, so no pseudonym is read a second time.  No Python on the data, no shuffle.
 """
 
 from __future__ import annotations
@@ -177,7 +177,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     columns pass through; an empty table gives an empty table.
     """
     t = F.col(f"`{text}`").cast("string")
-    out = docs.withColumn("_found", F.when(t.rlike("[0-9]{2}|@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
+    out = docs.withColumn("_found", F.when(t.rlike("[0-9][ .-]?[0-9]|@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
     out = out.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
     pieces = F.zip_with(F.split(t, ANY, -1), F.zip_with("_new", "_found", lambda a, b: F.coalesce(a, b)),
                         lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))

@@ -96,6 +96,14 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymize(df, "other key").where("doc_id = 2").first().text != by[2].text
 
 
+def test_values_without_a_digit_pair(spark):
+    ip, card = "dns 8.8.8.8 it is", "card 4 0 4 1 8 9 4 9 7 4 6 0 8 7 9 5 it is"
+    df = spark.createDataFrame([(1, ip), (2, ip + ", 2020"), (3, card), (4, "1. a 2) b 3")], "doc_id long, text string")
+    by = {x.doc_id: x for x in pseudonyms.pseudonymize(df, "key").collect()}
+    assert [by[i].n_replaced for i in (1, 2, 3, 4)] == [1, 1, 1, 0] and by[4].text == "1. a 2) b 3"
+    assert "8.8.8.8" not in by[1].text and by[2].text == by[1].text + ", 2020" and by[3].text != card
+
+
 def test_no_python_in_native_plans(spark):
     df = spark.createDataFrame([(1, "4041894974608795 a", "s")], "doc_id long, text string, source string")
     for d in (pseudonyms.pseudonymize(df, "k"), mixing.mix_table(df), quality_rules.judge(df)):
