@@ -4,8 +4,11 @@ Validated values are replaced by others of the same format: a keyed Feistel netw
 equal values get equal pseudonyms in every document (links survive) and different values of one format different ones.
 
 * card numbers: 13 to 19 digits, bare or in groups by one blank or hyphen, that pass the Luhn check.  The leading digit
-  stays (it tells the kind), those after it are permuted, the check digit is computed anew;
-* phone numbers: ``+``, country code and groups of digits: the digits after the country code are permuted;
+  stays (it tells the kind), those after it are permuted, the check digit is computed anew.  Numbers may stand next to a
+  card (expiry, CVV, quantity): in a run of groups every row of whole groups is tested, the usual groupings first (bare,
+  4-4-4-4, 4-6-5, 4-6-4), then from the left the longest that passes.  A run ends where another format begins;
+* phone numbers: ``+``, country code and groups of digits: the digits after the country code are permuted.  ``+1`` has ten
+  more; others are not extended over a blank once they have nine (eleven with the country code, if that is not set off);
 * account numbers: two capitals, two check digits, 11 to 30 capitals or digits, that pass the mod-97 check: what follows
   the check digits is permuted, the check digits are computed anew;
 * IPv4 addresses with all parts up to 255: the 32 bits are permuted;
@@ -15,7 +18,8 @@ equal values get equal pseudonyms in every document (links survive) and differen
 
 Separators stay and do not count: a number gets the same digits however it is grouped.  What fails validation is left as
 it is.  Only texts that hold two digits with at most one blank, dot or hyphen between or an ``@`` are searched (every
-format has that); each is cut once at all matches and put together again, so no pseudonym is read a second time.  No Python on the data, no shuffle.
+format has that); each is cut once at all matches and put together again, so no pseudonym is read a second time.  No
+Python on the data, no shuffle.
 """
 
 from __future__ import annotations
@@ -30,12 +34,25 @@ DEMO_KEY = "demo key, replace it by a secret"
 FORMATS = {
     "email": (r"(?<![A-Za-z0-9._%+-])", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}", ""),
     "account": (r"(?<![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", r"(?![A-Za-z0-9])"),
-    "phone": (r"(?<![0-9A-Za-z+])", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}", r"(?![0-9])"),
     "ip": (r"(?<![0-9]|[0-9]\.)", r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}", r"(?![0-9]|\.[0-9])"),
     "date": (r"(?<![0-9]|[0-9][./-])", r"(?:19|20)[0-9]{2}[./-][0-9]{2}[./-][0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-](?:19|20)[0-9]{2}", r"(?![0-9]|[./-][0-9])"),
     "ssn": (r"(?<![0-9]|[0-9]-)", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?![0-9]|-[0-9])"),
-    "card": (r"(?<![0-9A-Za-z])", r"[0-9](?:[ -]?[0-9]){12,18}", r"(?![0-9A-Za-z])"),
 }
+_OTHER = "(?!" + "|".join(f"(?:{before}(?:{p}){after})" for before, p, after in FORMATS.values()) + ")"
+_DIGIT = "[ ().-]{0,2}[0-9]"
+_LONG = r"(?<!\+[0-9]{1,3}(?![0-9])" + 9 * _DIGIT + r"[0-9 ().-]{0,20} |\+" + 11 * _DIGIT + "[0-9 ().-]{0,20} )"      # long enough: no blank more
+FORMATS = {
+    "email": FORMATS["email"],
+    "account": FORMATS["account"],
+    "phone": (r"(?<![0-9A-Za-z+])", r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|"
+              r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:(?:[.-]| " + _LONG + _OTHER + r")?[0-9]{2,4}){1,4}", r"(?![0-9])"),
+    "ip": FORMATS["ip"],
+    "date": FORMATS["date"],
+    "ssn": FORMATS["ssn"],
+    # a run of groups with 13 digits or more: the cards in it are told by their check digits
+    "card": (r"(?<![0-9A-Za-z])", r"(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -]" + _OTHER + r"[0-9]++(?![A-Za-z]))*+", ""),
+}
+USUAL = ["4-4-4-4", "4-6-5", "4-6-4"]     # and bare
 ANY = "|".join(f"(?:{before}(?:{p}){after})" for before, p, after in FORMATS.values())
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
 
@@ -127,15 +144,62 @@ def _part(text: Column, first: int, n: int | None = None) -> Column:
     return F.substr(text, F.lit(first), F.lit(n) if n else F.length(text))
 
 
+def _card(value: Column, key: str) -> Column:
+    """The pseudonym of a valid card number."""
+    plain = _plain(value)
+    return _refill(value, _let(F.concat(_part(plain, 1, 1), permute_text(F.substr(plain, F.lit(2), F.length(plain) - 2), key, "card")),
+                               lambda p: F.concat(p, luhn_digit(p))))
+
+
+def cards(run: Column, key: str) -> Column:
+    """struct(out, n): a run of groups of digits with the ``n`` cards in it replaced."""
+    def valid(plain: Column) -> Column:
+        n = F.length(plain)
+        return n.between(13, 19) & (luhn_digit(F.substr(plain, F.lit(1), n - 1)) == F.substr(plain, n, F.lit(1)))
+
+    def row(groups: Column, i: Column, c: Column) -> Column:
+        return F.array_join(F.slice(groups, i, c), "")
+
+    def counts(groups: Column, i: Column, most: int) -> Column:
+        return F.sequence(F.lit(1), F.least(F.lit(most), F.size(groups) - i + 1))
+
+    def usual(groups: Column, i: Column) -> Column:
+        """How many groups from the i-th on are a card in a usual grouping; 0 if none."""
+        def fits(c: Column) -> Column:
+            shape = F.array_join(F.transform(F.slice(groups, i, c), lambda g: F.length(_plain(g)).cast("string")), "-")
+            return ((c == 1) | shape.isin(USUAL)) & valid(_plain(row(groups, i, c)))
+        return F.coalesce(F.array_max(F.filter(counts(groups, i, 4), fits)), F.lit(0))
+
+    def other(groups: Column, known: Column, i: Column) -> Column:
+        """The same for any grouping that no usual one overlaps; the longest."""
+        return F.coalesce(F.array_max(F.filter(counts(groups, i, 19), lambda c: valid(_plain(row(groups, i, c)))
+                                               & ~F.exists(F.slice(known, i, c), lambda k: k > 0))), F.lit(0))
+
+    def replaced(groups: Column, known: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), F.lit(1).alias("next"))
+
+        def step(a: Column, i: Column) -> Column:
+            return F.when(i < a["next"], a).otherwise(_let(F.when(F.get(known, i - 1) > 0, F.get(known, i - 1)).otherwise(other(groups, known, i)), lambda c: F.struct(
+                F.concat(a["out"], F.when(c > 0, _card(row(groups, i, c), key)).otherwise(F.get(groups, i - 1))).alias("out"),
+                (a["n"] + F.when(c > 0, 1).otherwise(0)).alias("n"), (i + F.greatest(c, F.lit(1))).alias("next"))))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda a: F.struct(a["out"].alias("out"), a["n"].alias("n")))
+
+    return _let(F.regexp_extract_all(run, F.lit("[ -]?[0-9]+"), F.lit(0)), lambda groups: _let(
+        F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: usual(groups, i)), lambda known: replaced(groups, known)))
+
+
+def replacement(value: Column, key: str) -> Column:
+    """struct(out, n): one match of ``ANY`` with its valid values replaced, and their number."""
+    one = _let(pseudonym(value, key), lambda p: F.struct(F.coalesce(p, value).alias("out"), p.isNotNull().cast("int").alias("n")))
+    return F.when(value.rlike("^[0-9][0-9 -]{12,}$"), cards(value, key)).otherwise(one)
+
+
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one match of ``ANY``; null where the value is not valid."""
+    """The pseudonym of one match of ``ANY`` other than a run of groups with cards; null where the value is not valid."""
     def whole(kind: str) -> Column:
         return value.rlike(f"^(?:{FORMATS[kind][1]})$")
 
     plain = _plain(value)
-    card = F.when(luhn_digit(F.substr(plain, F.lit(1), F.length(plain) - 1)) == F.substr(plain, F.length(plain), F.lit(1)),
-                  _refill(value, _let(F.concat(_part(plain, 1, 1), permute_text(F.substr(plain, F.lit(2), F.length(plain) - 2), key, "card")),
-                                      lambda p: F.concat(p, luhn_digit(p)))))
     code = F.regexp_extract(value, r"^\+([0-9]{1,3})(?=[^0-9])", 1)
     code = F.when(code == "", _part(plain, 1, 1)).otherwise(code)
     phone = _refill(value, _let(code, lambda c: F.concat(c, permute_text(F.substr(plain, F.length(c) + 1, F.length(plain)), key, "phone"))))
@@ -167,7 +231,7 @@ def pseudonym(value: Column, key: str) -> Column:
     local = F.substring_index(value, "@", 1)
     email = F.concat(_refill(local, permute_text(_plain(local), key, "email")), F.lit("@"), F.substring_index(value, "@", -1))
     return (F.when(F.contains(value, F.lit("@")), email).when(F.startswith(value, F.lit("+")), phone).when(whole("account"), account)
-            .when(whole("ip"), ip).when(whole("date"), dates).when(whole("ssn"), ssn).when(whole("card"), card))
+            .when(whole("ip"), ip).when(whole("date"), dates).when(whole("ssn"), ssn))
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -178,10 +242,9 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     t = F.col(f"`{text}`").cast("string")
     out = docs.withColumn("_found", F.when(t.rlike("[0-9][ .-]?[0-9]|@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
-    out = out.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
-    pieces = F.zip_with(F.split(t, ANY, -1), F.zip_with("_new", "_found", lambda a, b: F.coalesce(a, b)),
-                        lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    out = out.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: replacement(m, key))))
+    pieces = F.zip_with(F.split(t, ANY, -1), "_new", lambda a, b: F.concat(a, F.coalesce(b["out"], F.lit(""))))
     return out.withColumns({
         text: F.when(F.size("_new") > 0, F.array_join(pieces, "")).otherwise(t),
-        "n_replaced": F.coalesce(F.size(F.filter("_new", lambda x: x.isNotNull())), F.lit(0)).cast("long"),
+        "n_replaced": F.coalesce(F.aggregate("_new", F.lit(0), lambda a, x: a + x["n"]), F.lit(0)).cast("long"),
     }).drop("_found", "_new")

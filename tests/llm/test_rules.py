@@ -104,6 +104,24 @@ def test_values_without_a_digit_pair(spark):
     assert "8.8.8.8" not in by[1].text and by[2].text == by[1].text + ", 2020" and by[3].text != card
 
 
+def test_numbers_next_to_cards_and_phones(spark):
+    card, phone, uk = "4041 8949 7460 8795", "+1 (274) 555-9629", "+44 20 7946 0958"
+    texts = [(f"pay {card} 12/27 ok", [card], 1), ("4041894974608795 123", ["4041894974608795"], 1), ("12 4041894974608795", ["4041894974608795"], 1),
+             (f"{card} {card} 3", [card], 2), (f"{card} 2020-02-29 x", [card, "2020-02-29"], 2), (f"{card} 42.144.35.254", [card, "42.144.35.254"], 2),
+             ("7 4041-894974-60879 5 8", [], None), ("4041 8949 7460 8796", [], 0), ("1 " * 4000 + "a", [], None),
+             (f"call {phone} 2024", [phone], 1), (f"call {phone}", [phone], 1), (f"{uk} 2024", [uk], 1), (uk, [uk], 1), (f"{phone} {card}", [phone, card], 2)]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id long, text string")
+    by = {x.doc_id: x for x in pseudonyms.pseudonymize(df, "key").collect()}
+    for i, (t, values, n) in enumerate(texts):
+        got = by[i]
+        assert n is None or got.n_replaced == n, (t, got)
+        assert all(v not in got.text for v in values) and re.sub(r"[0-9.]", "", got.text) == re.sub(r"[0-9.]", "", t)
+    digits = {re.sub("[ -]", "", by[i].text[a:b]) for i, a, b in ((0, 4, 23), (1, 0, 16), (2, 3, 19), (3, 0, 19), (3, 20, 39))}
+    assert len(digits) == 1 and luhn(digits.pop()) % 10 == 0
+    assert by[0].text.endswith(" 12/27 ok") and by[1].text.endswith(" 123") and by[2].text.startswith("12 ") and by[3].text.endswith(" 3")
+    assert by[9].text == by[10].text + " 2024" and by[11].text == by[12].text + " 2024"
+
+
 def test_no_python_in_native_plans(spark):
     df = spark.createDataFrame([(1, "4041894974608795 a", "s")], "doc_id long, text string, source string")
     for d in (pseudonyms.pseudonymize(df, "k"), mixing.mix_table(df), quality_rules.judge(df)):
