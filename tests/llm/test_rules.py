@@ -61,6 +61,19 @@ def test_mined_url_rules(spark):
     assert got == {1: ("block", "path=shop & sub=ads"), 2: ("allow", None), 3: ("allow", None)}
 
 
+def test_url_rules_of_rare_tokens(spark, monkeypatch):
+    """Urls with more tokens than FP-growth is given: what tells the blocked ones are their rarest tokens."""
+    monkeypatch.setattr(url_rules, "MAX_TOKENS", 6)
+    keys, rows = "&".join(f"k{j}=1" for j in range(8)), []
+    for i in range(400):
+        hot, bad, worse = i % 2 == 0, i % 4 == 0, i % 8 < 3
+        extra = ("&bad=1" if bad else "") + ("&worse=1" if worse else "")
+        rows.append((f"http://hot.net/p?{keys}{extra}" if hot else f"http://www.h{i % 7}.org/n", hot and bad and worse))
+    pages = spark.createDataFrame([(1, "http://hot.net/p?bad=1&worse=2"), (2, "http://hot.net/p?bad=1"), (3, "http://hot.net/p?worse=1")], "page_id long, url string")
+    got = {x.page_id: (x.verdict, x.mined_rule, x.confidence) for x in url_rules.judge_urls(pages, spark.createDataFrame(rows, "url string, blocked boolean"), []).collect()}
+    assert got == {1: ("block", "key=bad & key=worse", 1.0), 2: ("allow", None, None), 3: ("allow", None, None)}
+
+
 def test_permutations(spark):
     d = spark.range(3000).withColumn("p", pseudonyms.permute_number(F.col("id"), 60, 50, "k", "t"))
     d = d.withColumn("b", pseudonyms.permute_number(F.col("p"), 60, 50, "k", "t", True))
