@@ -12,16 +12,20 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"        # fixed value: what counts as a word
 GAP = r"[\x20\x09-\x0D]+"
-_unset: dict[str, str] = {}        # scratch folder of applications that name none
+_unset: dict[str, str] = {}        # shared folder of applications that name none
+_scratch: dict[str, str] = {}      # scratch folder by application
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which the driver and all executors share.
 
-    Only where nothing is set (tests on one machine) a scratch folder takes its place.
+    Only where nothing is set and Spark runs on one machine (``local[...]``, as in tests) a scratch folder takes its
+    place; on a cluster the setting is required.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         d = _unset.setdefault(app, "") or tempfile.mkdtemp(prefix="llm-shared-")
         _unset[app] = d
@@ -29,7 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path for an intermediate table.  All paths of an application lie in one folder of its own, which its file
+    system removes when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        folder = f"{shared_dir(spark)}/llm-{app}-{uuid.uuid4().hex}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch[app] = folder
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

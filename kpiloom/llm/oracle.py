@@ -45,4 +45,29 @@ kept AS (SELECT each.doc_id, string_agg(word, ' ' ORDER BY each.p) AS k, count(*
          LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p WHERE gone.p IS NULL GROUP BY each.doc_id)
 SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.k, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op12_collocations": r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY lang, words, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+cand AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 10),
+cut AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, words)) AS k FROM cand) c
+        JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+        JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.words], ' ')),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM cand WHERE words = 3),
+held AS (SELECT lang, phrase, max(a) AS a FROM longer GROUP BY lang, phrase),
+kept AS (SELECT worst.* FROM worst LEFT JOIN held ON worst.lang = held.lang AND worst.phrase = held.phrase
+         WHERE held.a IS NULL OR 100 * held.a < 50 * worst.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n.n AS n, score::BIGINT AS score FROM ranked JOIN n ON ranked.lang = n.lang WHERE rank <= 2000""",
+    "op13_exact_dedup": """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT *, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+             row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) AS place FROM t)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM g""",
 }

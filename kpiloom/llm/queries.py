@@ -74,6 +74,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.collocations import collocations
+    return collocations(documents(spark, sf_dir))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.exact_dedup import annotate
+    d = annotate(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
+    return d.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -85,4 +96,6 @@ QUERIES = {
     "op8_run_length_index": op8_run_length_index,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
-}
\ No newline at end of file
+    "op12_collocations": op12_collocations,
+    "op13_exact_dedup": op13_exact_dedup,
+}
