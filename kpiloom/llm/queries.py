@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import documents
+from kpiloom.llm.common import documents, workers_import
 from kpiloom.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -74,6 +74,29 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """op11's damage: by crc32(`conv_id:turn`) % 20 a row is dropped, emptied, stripped of `[.!?]`, repeated or made the user's."""
+    c = conversations.select("conv_id", "turn", *[F.coalesce(F.col(x), F.lit(" ")).alias(x) for x in ("role", "text")])
+    name = F.concat_ws(":", *[F.coalesce(F.col(x).cast("string"), F.lit(" ")) for x in ("conv_id", "turn")])
+    c = c.withColumn("harm", F.crc32(name.cast("binary")) % 20).where("harm <> 0")
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                    F.explode(F.when(F.col("harm") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpiloom.llm.conversation_repair import fingerprints, repair
+    workers_import(spark)
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    summary, turns = repair(damaged(conversations))
+    ids = conversations.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    s = summary.join(fingerprints(turns), "conv", "left").select(F.col("conv_id").alias("id"), *numbers, "audit", "sha")
+    return ids.join(s, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpiloom.llm.collocations import collocations
     return collocations(documents(spark, sf_dir))
@@ -96,6 +119,7 @@ QUERIES = {
     "op8_run_length_index": op8_run_length_index,
     "op9_token_files": op9_token_files,
     "op10_mixing": op10_mixing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_collocations": op12_collocations,
     "op13_exact_dedup": op13_exact_dedup,
 }
