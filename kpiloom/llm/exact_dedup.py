@@ -34,9 +34,10 @@ def normalised(text: Column) -> Column:
 def frequent(rows: DataFrame, column: str, counters: int = COUNTERS, tracked: int = TRACKED) -> DataFrame:
     """At most ``counters`` values of a long column, every one among them that holds more than 4/``tracked`` of all rows
     (by the summary's error bound, 3.5/``tracked`` a side); the counts in it are not used."""
+    # merged under a key: without one, an empty partition would bring a summary that knows no type
     each = rows.select(F.col(column).alias("v"), F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("g"))
     each = each.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(v, {tracked})").alias("s"))
-    whole = each.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {counters})").alias("top"))
+    whole = each.withColumn("all", F.lit(0)).groupBy("all").agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {counters})").alias("top"))
     return whole.select(F.explode("top").alias("t")).select(F.col("t.item").alias(column))
 
 
