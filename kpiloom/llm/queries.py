@@ -52,7 +52,7 @@ def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpiloom.llm.run_length_index import remove_repeats
     d = remove_repeats(documents(spark, sf_dir))
-    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), "longest_repeat")
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

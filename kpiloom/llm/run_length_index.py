@@ -3,17 +3,24 @@
 Every byte that is covered by a string of ``size`` (400) bytes which also starts anywhere else, the same document included, is
 removed; all occurrences go.
 
+Strings of ``report`` (250) bytes are found with them, in the same cells: they are not removed, but say how long a run of
+a document stands elsewhere, below the size that is cut too.
+
 1. Equal texts are one class: with two documents or more, and ``size`` bytes, they go altogether.  One of them stays in
    what follows, so that others are compared with it.
-2. Every string of ``size`` bytes has an anchor, the smallest hash of its runs of 32 bytes.  Strings in a row mostly share it, so
-   there is an anchor for about 185 bytes.  Equal strings have equal anchors: counting them finds all candidates.
-3. Segments: the bytes of consecutive strings under one repeated anchor meet by anchor, in cells of bounded size: an anchor with
-   more than ``part`` segments is cut into parts, and each pair of parts is a cell of its own.
-4. Cells are put together to texts of a few MB, of which a run-compressed Burrows-Wheeler transform is built, with samples at
+2. Every string of ``report`` bytes has an anchor, the smallest hash of its runs of 32 bytes.  Strings in a row mostly share it,
+   so there is an anchor for about 110 bytes.  Equal strings have equal anchors: counting them finds all candidates.
+3. Segments: consecutive strings under one repeated anchor, each of them prolonged to ``size`` bytes where the text goes on, meet by anchor:
+   equal strings of either length lie whole in two segments of one anchor.  A run of many strings (periodic texts) is cut, so a
+   segment has at most some 2,400 bytes and cells are bounded in bytes.
+4. Anchors with more than ``part`` segments (boilerplate) are made distinct first: a segment that stands in several places is
+   settled by its count, and only one row of it goes on, however many places it has.  What is still more than ``part``
+   different segments is cut into parts, and each pair of parts is a cell of its own.
+5. Cells are put together to texts of a few MB, of which a run-compressed Burrows-Wheeler transform is built, with samples at
    the ends of its runs: text place, and common prefix with the neighbour across the border of the run.  Inside a run the
    common prefix with the neighbour grows by one with each step to the left in the text; so a pass over the samples, in
-   text order, gives the matching statistics of every place, and what is ``size`` or longer is marked.
-5. Documents are cut at the marked spans, which may lie inside a character: the rest is returned as bytes.
+   text order, gives the matching statistics of every place, and what is long enough is marked.
+6. Documents are cut at the marked spans, which may lie inside a character: the rest is returned as bytes.
 """
 
 from __future__ import annotations
@@ -24,10 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import materialize
-from kpiloom.llm.spans import cut, removed, rows_of, verdicts
 from kpiloom.llm.textbytes import U, slices, window_minima
 
-SIZE, GRAM, PART, TEXT_BYTES = 400, 32, 4096, 1 << 21
+SIZE, REPORT, GRAM, PART, TEXT_BYTES, RUN = 400, 250, 32, 4096, 1 << 21, 2048
 I64 = np.int64
 
 
@@ -38,12 +44,16 @@ class RunLengthIndex:
     before it; ``common``: how long these two neighbours agree.
     """
 
-    def __init__(self, parts: list[bytes]):
+    def __init__(self, parts: list[bytes], owned: list[int] | None = None):
+        """``owned``: of each string, how many places from its beginning take part; the others only say how it goes on."""
         self.text = np.frombuffer(b"".join(parts), np.uint8)
         size = np.array([len(p) for p in parts], dtype=I64)
         self.begin = np.concatenate([[0], np.cumsum(size)])
         self.end = np.repeat(self.begin[1:], size)               # of the string that a place belongs to
         sa = self._sort()
+        if owned is not None:
+            last = np.repeat(self.begin[:-1] + np.array(owned, dtype=I64), size)
+            sa = sa[sa < last[sa]]
         # the byte before each suffix; before the first of a string stands a sign of its own
         before = np.where(np.isin(sa, self.begin[:-1]), -1 - np.arange(len(sa)), self.text[sa - 1].astype(I64))
         self.heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
@@ -121,9 +131,9 @@ class RunLengthIndex:
         np.maximum.at(reach, self.sample[1], self.sample[1] + self.common)
         return np.maximum(np.maximum.accumulate(reach) - np.arange(len(self.text)), 0)
 
-    def long_matches(self, size: int) -> list[tuple[int, int, int]]:
+    def long_matches(self, size: int, statistics: np.ndarray | None = None) -> list[tuple[int, int, int]]:
         """(string, from, to): maximal spans covered by repeated strings of ``size`` bytes or more."""
-        at = np.flatnonzero(self.statistics() >= size)
+        at = np.flatnonzero((self.statistics() if statistics is None else statistics) >= size)
         if not len(at):
             return []
         # each place covers ``size`` bytes; runs of places cover their union
@@ -172,68 +182,79 @@ def _summaries(size: int, gram: int):
     return run
 
 
-def _segments(size: int, gram: int):
-    names = ["anchor", "parts", "doc_id", "sig", "start", "bytes"]
+def _segments(size: int, report: int, gram: int):
+    names = ["anchor", "seg", "doc_id", "sig", "start", "owned", "bytes"]
 
     def run(batches):
         for b in batches:
             out = [[] for _ in names]
             ids, sigs, hots = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3)
-            for i, part, _, low in _anchors(b.column(1), size, gram):
+            for i, part, _, low in _anchors(b.column(1), report, gram):
                 sig = _signs(part)
                 for d in range(len(part)):
-                    lo, hi = int(part.at[d]), int(part.at[d + 1]) - size + 1
+                    lo, hi, stop = int(part.at[d]), int(part.at[d + 1]) - report + 1, int(part.at[d + 1])
                     if hi <= lo or int(sig[d]) != sigs[i + d]:
                         continue
-                    hot = hots[i + d].values
-                    known, parts = np.asarray(hot.field("anchor")), np.asarray(hot.field("parts"))
-                    order = np.argsort(known)
+                    known = np.sort(np.asarray(hots[i + d].values))
                     own = low[lo:hi]
                     edge = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [hi - lo]])
-                    k = np.searchsorted(known, own[edge[:-1]], sorter=order)
+                    if (np.diff(edge) > RUN).any():
+                        edge = np.unique(np.concatenate([edge, *[np.arange(x, y, RUN) for x, y in zip(edge[:-1], edge[1:]) if y - x > RUN]]))
+                    k = np.searchsorted(known, own[edge[:-1]])
                     k[k == len(known)] = 0
-                    good = known[order[k]] == own[edge[:-1]]
-                    for a, e, j in zip(edge[:-1][good].tolist(), edge[1:][good].tolist(), order[k][good].tolist()):
-                        for col, x in zip(out, (int(known[j]), int(parts[j]), ids[i + d], sigs[i + d], a, part.data[lo + a: lo + e + size - 1].tobytes())):
-                            col.append(x)
+                    good = known[k] == own[edge[:-1]]
+                    first = lo + edge[:-1][good]
+                    last = np.minimum(lo + edge[1:][good] + size - 1, stop)
+                    seg = part.hash_spans(first, last).view(I64)
+                    for a, e, x, h, n in zip(first.tolist(), last.tolist(), own[edge[:-1]][good].tolist(), seg.tolist(), np.diff(edge)[good].tolist()):
+                        for col, v in zip(out, (x, h, ids[i + d], sigs[i + d], a - lo, n, part.data[a:e].tobytes())):
+                            col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (
-                pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names)
+                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names)
 
     return run
 
 
-def _index(size: int, text_bytes: int):
-    """Rows of cells, sorted by cell, to spans (doc_id, sig, a, b); whole cells are put together up to ``text_bytes``."""
+SPANS = "doc_id long, sig long, a long, b long, cut boolean"
+
+
+def _index(size: int, report: int, text_bytes: int):
+    """Rows (key, doc_id, sig, start, owned, bytes), sorted by key, to spans; whole cells are put together up to ``text_bytes``.
+
+    Each place of a document takes part once, in the segment that owns it.  Segments with equal bytes own equally many."""
     def search(rows):
         texts: dict = {}
         for r in rows:
-            texts.setdefault(r[3], []).append(r)
-        out = [[], [], [], []]
+            texts.setdefault(r[4], []).append(r)
+        out = [[], [], [], [], []]
 
-        def mark(text, a, b):
-            for doc, sig, start, _ in texts[text]:
-                for col, x in zip(out, (doc, sig, start + a, start + b)):
+        def mark(text, a, b, cut):
+            for doc, sig, start, _, _ in texts[text]:
+                for col, x in zip(out, (doc, sig, start + a, start + b, cut)):
                     col.append(x)
         parts = []
         for text, where in texts.items():
             if len(set(w[:3] for w in where)) > 1:
-                mark(text, 0, len(text))                          # the same segment in two places
+                mark(text, 0, len(text), len(text) >= size)       # the same segment in two places
             parts.append(text)
-        if len(parts) > 1 or len(parts[0]) > size:
-            for p, a, b in RunLengthIndex(parts).long_matches(size):
-                mark(parts[p], a, b)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "sig", "a", "b"])
+        if len(parts) > 1 or len(parts[0]) > report:
+            index = RunLengthIndex(parts, [w[0][3] for w in texts.values()])
+            found = index.statistics()
+            for length in (size, report):
+                for p, a, b in index.long_matches(length, found):
+                    mark(parts[p], a, b, length == size)
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in out[:4]], pa.array(out[4], pa.bool_())], ["doc_id", "sig", "a", "b", "cut"])
 
     def run(batches):
         key, rows, held = None, [], 0
         for b in batches:
-            for anchor, i, j, doc, sig, start, data in zip(*[c.to_pylist() for c in b.columns]):
-                if (anchor, i, j) != key:
+            for *cell, doc, sig, start, owned, data in zip(*[c.to_pylist() for c in b.columns]):
+                if cell != key:
                     if held > text_bytes:
                         yield search(rows)
                         rows, held = [], 0
-                    key = (anchor, i, j)
-                rows.append((doc, sig, start, data))
+                    key = cell
+                rows.append((doc, sig, start, owned, data))
                 held += len(data)
         if rows:
             yield search(rows)
@@ -241,53 +262,111 @@ def _index(size: int, text_bytes: int):
     return run
 
 
-def find_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, part: int = PART, text_bytes: int = TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(whole, spans) of ``docs`` (doc_id long, text): (doc_id, sig) of texts that stand twice altogether, and the byte spans
-    (doc_id, sig, a, b) to remove from others; spans may overlap."""
+def find_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, part: int = PART, text_bytes: int = TEXT_BYTES,
+                 report: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(whole, spans) of ``docs`` (doc_id long, text): (doc_id, sig, n) of texts that stand twice altogether, and byte spans
+    (doc_id, sig, a, b, cut) of others; spans may overlap.  ``cut`` tells strings of ``size`` from those of ``report`` bytes."""
+    report = min(report or max(size * REPORT // SIZE, gram), size)
     rows = materialize(docs.where("text is not null").mapInArrow(
-        _summaries(size, gram), "doc_id long, n long, sig long, anchors array<long>, twice array<long>"), "byte-anchors").where(f"n >= {size}")
+        _summaries(report, gram), "doc_id long, n long, sig long, anchors array<long>, twice array<long>"), "byte-anchors").where(f"n >= {report}")
     classes = rows.groupBy("n", "sig").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("rep"), F.count("*").alias("copies"))
-    whole = rows.join(classes.where("copies > 1"), ["n", "sig"], "left_semi").select("doc_id", "sig")
+    whole = rows.join(classes.where("copies > 1"), ["n", "sig"], "left_semi").select("doc_id", "sig", "n")
     # one row of each class takes part
     one = rows.join(classes.select("n", "sig", F.col("rep.doc_id").alias("rep")), ["n", "sig"]).where("doc_id <=> rep")
     one = one.dropDuplicates(["doc_id", "n", "sig"])
     each = one.select("doc_id", "sig", F.explode("anchors").alias("anchor"), "twice").select(
         "doc_id", "sig", "anchor", F.array_contains("twice", F.col("anchor")).alias("own"))
-    again = (each.groupBy("anchor").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own")
-             .select("anchor", F.ceil(F.col("c") / part).cast("int").alias("parts")))
-    lists = each.join(again, "anchor").groupBy("doc_id", "sig").agg(F.collect_list(F.struct("anchor", "parts")).alias("hot"))
-    texts = docs.join(lists, docs["doc_id"].eqNullSafe(lists["doc_id"])).select(docs["doc_id"], "text", "sig", "hot")
-    cells = texts.mapInArrow(_segments(size, gram), "anchor long, parts int, doc_id long, sig long, start long, bytes binary")
-    cells = cells.withColumn("_own", F.pmod(F.xxhash64("doc_id", "start"), F.col("parts")).cast("int")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other"))
-    cells = cells.select("anchor", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "doc_id", "sig", "start", "bytes")
-    cells = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
-    return whole, cells.mapInArrow(_index(size, text_bytes), "doc_id long, sig long, a long, b long")
-
-
-def _cut_bytes(batches):
-    for b in batches:
-        out = ([], [], [], [], [])
-        texts = pa.array([t.as_py() or "" for t in b.column(1)], pa.large_string())
-        sigs = np.concatenate([_signs(p) for _, _, p in slices(texts)]) if len(texts) else []
-        for (doc, _, verdict), text, sig in zip(rows_of(b), texts, sigs):
-            data = np.frombuffer(text.as_py().encode(), np.uint8)
-            gone = removed(len(data), int(sig), verdict)
-            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            for col, v in zip(out, (doc, len(data), int(gone.sum()), spans, data[~gone].tobytes())):
-                col.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (
-            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes"])
-
-
-def remove_repeats(docs: DataFrame, id_name: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans (maximal removed runs), kept_bytes.
-
-    Null and empty texts have no bytes.  Rows of equal or null ids are documents like any other (their texts tell them apart;
-    rows that are equal count as copies).  Other columns are ignored; an empty table gives no rows.
+    again = materialize(each.groupBy("anchor").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own")
+                        .select("anchor", (F.col("c") > part).alias("hot")), "repeated-anchors")
+
+    def segments(anchors: DataFrame) -> DataFrame:
+        lists = each.join(anchors, "anchor").groupBy("doc_id", "sig").agg(F.collect_list("anchor").alias("known"))
+        texts = docs.join(lists, docs["doc_id"].eqNullSafe(lists["doc_id"])).select(docs["doc_id"], "text", "sig", "known")
+        return texts.mapInArrow(_segments(size, report, gram), "anchor long, seg long, doc_id long, sig long, start long, owned long, bytes binary")
+
+    cold = segments(again.where("not hot").select("anchor")).drop("seg").repartition("anchor").sortWithinPartitions("anchor")
+    spans = cold.mapInArrow(_index(size, report, text_bytes), SPANS)
+    if again.where("hot").take(1):
+        spans = spans.unionByName(_hot_spans(segments(again.where("hot").select("anchor")), size, report, part, text_bytes))
+    return whole, spans
+
+
+def _hot_spans(found: DataFrame, size: int, report: int, part: int, text_bytes: int) -> DataFrame:
+    """Spans of segments under anchors that many segments have.
+
+    Places are kept without bytes; bytes only once for each distinct segment (combined before they are shuffled), under a
+    name of its own: doc_id is the segment's hash, sig its anchor.  Places get the spans of their segment.
+    """
+    found = found.withColumn("size", F.octet_length("bytes").cast("long"))
+    distinct = materialize(found.groupBy("anchor", "seg").agg(F.first("bytes").alias("bytes"), F.first("owned").alias("owned"), F.count("*").alias("places"), F.first("size").alias("size")), "distinct-segments")
+    count = distinct.groupBy("anchor").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    cells = distinct.join(count, "anchor").withColumn("own", F.pmod(F.xxhash64("seg"), F.col("parts")).cast("int"))
+    cells = cells.select("anchor", "seg", "owned", "bytes", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    cells = cells.select("anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("seg").alias("doc_id"),
+                         F.col("anchor").alias("sig"), F.lit(0).cast("long").alias("start"), "owned", "bytes")
+    inner = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(_index(size, report, text_bytes), SPANS)
+    several = distinct.where("places > 1").select(F.col("seg").alias("doc_id"), F.col("anchor").alias("sig"), F.lit(0).cast("long").alias("a"),
+                                                  F.col("size").alias("b"), (F.col("size") >= size).alias("cut"))
+    # of one segment: its spans, merged to few by the union of a bounded segment
+    of = (inner.unionByName(several).groupBy("doc_id", "sig").agg(F.collect_set(F.struct("a", "b", "cut")).alias("spans"))
+          .select(F.col("sig").alias("anchor"), F.col("doc_id").alias("seg"), "spans", F.xxhash64("sig", "doc_id").alias("h")))
+    places = found.select("anchor", "seg", "doc_id", "sig", "start", F.xxhash64("anchor", "seg").alias("h"))
+    hit = places.join(of, ["h", "anchor", "seg"]).select("doc_id", "sig", "start", F.explode("spans").alias("s"))
+    return hit.select("doc_id", "sig", (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"), F.col("s.cut").alias("cut"))
+
+
+def _covered(n: int, spans) -> np.ndarray:
+    edge = np.zeros(n + 1, I64)
+    for s in spans:
+        edge[s["a"]] += 1
+        edge[s["b"]] -= 1
+    return np.cumsum(edge[:n]) > 0
+
+
+def _runs(mask: np.ndarray) -> np.ndarray:
+    """Lengths of the runs of true places."""
+    step = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+    return np.flatnonzero(step == -1) - np.flatnonzero(step == 1)
+
+
+def _cut_bytes(size: int):
+    def run(batches):
+        for b in batches:
+            out = ([], [], [], [], [], [])
+            texts = pa.array([t.as_py() or "" for t in b.column(1)], pa.large_string())
+            sigs = np.concatenate([_signs(p) for _, _, p in slices(texts)]) if len(texts) else []
+            for doc, text, sig, verdict in zip(b.column(0).to_pylist(), texts, sigs, b.column(2).to_pylist()):
+                data = np.frombuffer(text.as_py().encode(), np.uint8)
+                mine = [v for v in verdict or () if v["sig"] == int(sig)]
+                if any(v["whole"] for v in mine):
+                    gone, shared = np.full(len(data), len(data) >= size), np.ones(len(data), bool)
+                else:
+                    spans = [s for v in mine for s in v["spans"]]
+                    gone, shared = _covered(len(data), (s for s in spans if s["cut"])), _covered(len(data), spans)
+                for col, v in zip(out, (doc, len(data), int(gone.sum()), len(_runs(gone)), data[~gone].tobytes(), int(_runs(shared).max(initial=0)))):
+                    col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (
+                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "longest_repeat"])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, id_name: str = "doc_id", text: str = "text", size: int = SIZE, **options) -> DataFrame:
+    """One row per document: id, n_bytes, n_removed, n_spans (maximal removed runs), kept_bytes, longest_repeat.
+
+    ``longest_repeat``: bytes of the longest run that is covered by strings of ``report`` bytes (5/8 of ``size``) which also start
+    elsewhere; 0 if there is none.  It also shows passages that are too short to be removed.  Null and empty texts have no
+    bytes.  Rows of equal or null ids are documents like any other (their texts tell them apart; rows that are equal count
+    as copies).  A very long text is held once by each task that reads it.  Other columns are ignored, whatever their
+    names; an empty table gives no rows.
     """
     d = docs.select(F.col(f"`{id_name}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    v = verdicts(*find_repeats(d, **options)).withColumnRenamed("doc_id", "_id")
+    whole, spans = find_repeats(d, size, **options)
+    none = F.array().cast("array<struct<a:bigint,b:bigint,cut:boolean>>")
+    parts = spans.groupBy("doc_id", "sig").agg(F.collect_list(F.struct("a", "b", "cut")).alias("spans")).select(
+        "doc_id", F.struct("sig", F.lit(False).alias("whole"), "spans").alias("v"))
+    all_of = whole.select("doc_id", "sig").distinct().select("doc_id", F.struct("sig", F.lit(True).alias("whole"), none.alias("spans")).alias("v"))
+    v = parts.unionByName(all_of).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("v").alias("verdict"))
     joined = d.join(v, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "verdict")
-    out = joined.mapInArrow(_cut_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary")
+    out = joined.mapInArrow(_cut_bytes(size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary, longest_repeat long")
     return out.withColumnRenamed("doc_id", id_name)

@@ -77,6 +77,20 @@ def byte_repeats(docs, size=400):
     return out
 
 
+def longest_repeats(docs, size=250):
+    """Per row: (doc_id, longest run covered by strings of ``size`` bytes that also start elsewhere)."""
+    out = []
+    data = [(i, (t or "").encode()) for i, t in docs]
+    seen = Counter(b[p: p + size] for _, b in data for p in range(len(b) - size + 1))
+    for i, b in data:
+        hit = bytearray(len(b))
+        for p in range(len(b) - size + 1):
+            if seen[b[p: p + size]] > 1:
+                hit[p: p + size] = b"\x01" * size
+        out.append((i, max((len(r) for r in bytes(hit).split(b"\x00")), default=0)))
+    return out
+
+
 def quality(text):
     w = words(text)
     seen = Counter(tuple(w[i: i + 8]) for i in range(len(w) - 7))

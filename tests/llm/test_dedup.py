@@ -80,6 +80,30 @@ def test_bytes(spark, size, gram, options):
     docs = passages(size) + [(None, "same " * 30), (None, "same " * 30), (14, "other text " * 9)]
     got = run_length_index.remove_repeats(spark.createDataFrame(docs, SCHEMA), size=size, gram=gram, **options).collect()
     assert Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(x.kept_bytes).hexdigest()) for x in got) == Counter(brute.byte_repeats(docs, size))
+    assert Counter((x.doc_id, x.longest_repeat) for x in got) == Counter(brute.longest_repeats(docs, size * 5 // 8))
+
+
+def test_boilerplate_in_many_documents(spark):
+    """10,000 documents with one passage: each of its segments is one row of a cell, whatever the number of places."""
+    r = random.Random(8)
+    passage = " ".join(f"licence{r.randrange(10**6)}" for _ in range(40))
+    docs = [(i, f"{r.random()} {passage} {r.random()}") for i in range(10_000)] + [(-1, passage[:300] + "x" * 50), (-2, "alone " * 5), (-3, "ab" * 5000)]
+    d = spark.createDataFrame(docs, SCHEMA).repartition(6)
+    got = {x.doc_id: x for x in run_length_index.remove_repeats(d).collect()}
+    assert len(got) == len(docs) and all(got[i].n_removed >= len(passage) for i in range(10_000))
+    assert (got[-1].n_removed, got[-1].longest_repeat >= 299, got[-2].longest_repeat, got[-3].n_removed) == (0, True, 0, 10_000)
+    cells = []
+    inner = run_length_index._index
+
+    def spy(*args):
+        cells.append(args)
+        return inner(*args)
+    run_length_index._index = spy
+    try:
+        _, spans = run_length_index.find_repeats(d)
+    finally:
+        run_length_index._index = inner
+    assert len(cells) == 2 and spans.count() >= 10_000
 
 
 def test_run_length_index_against_all_pairs():
