@@ -1,16 +1,23 @@
 """Mixing sources to target weights by pivotal dependent rounding, in Spark's own functions.
 
 A source's rate is its target over its size, so each of its documents is taken floor(rate) times, and once more with
-the probability that is left.  Rounding those probabilities one by one would miss the target by chance.  Instead, two
-documents trade words: one gains what the other loses, in such a measure and with such odds that one of them ends at
-exactly 0 or 1 and each keeps its expected copies.  Words taken so far never change, only the last document of a source
-that is still between 0 and 1 is drawn on its own: a source misses its target by less than one document.  Long documents
-trade first, with the shorter ones that follow, so the one left over is mostly a short one.
-
-Distributed: documents meet in chunks of about ``FANOUT`` by a hash of their id, each chunk trades until one is left,
-those meet in chunks of chunks, and so on: a reduction tree of log(n) levels to base FANOUT.  No task sees more than a
-chunk; a source with a third of all rows only has more chunks.  Draws are hashes of the two ids, the level and a seed,
-so a rerun, or a task done twice, takes the same documents.
+the probability that is left.  Rounding those probabilities one by one would miss the target by chance.
+
+1. Head: a source's longest documents, up to ``HEAD`` (1,000) of them, are rounded one after the other, the longest first.
+   Each one trades with all that come after it: it ends at 0 or 1, and their common probability takes what it lost or
+   gained, so the words still to take are always right.  A source of up to ``HEAD`` documents misses its target by less than
+   its shortest one, as long as no document is longer than what is left to take and all shorter ones together.  Where one
+   of the two outcomes would make the target unreachable, the other one is taken.
+2. Body: two documents trade words, one gains what the other loses, in such a measure and with such odds that one of them
+   ends at exactly 0 or 1 and each keeps its expected copies.  In a trade the shorter one mostly ends, so the last one left
+   is a long one of the body; it is drawn on its own.  It is no longer than any of the head, so the miss is at most a
+   ``HEAD``-th of the source's words (the head is found by buckets of sizes 1.1 % apart, so nearly that many).
+
+Distributed: the head is one array of bounded length a source, found by a histogram of its sizes.  In the body, documents
+meet in chunks of about ``FANOUT`` by a hash of their id, each chunk trades until one is left, those meet in chunks of
+chunks, and so on: a reduction tree of log(n) levels to base FANOUT.  No task sees more than a chunk; a source with a
+third of all rows only has more chunks.  Draws are hashes of the two ids, the level and a seed, so a rerun, or a task done
+twice, takes the same documents.
 """
 
 from __future__ import annotations
@@ -21,7 +28,8 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import GAP, materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
-SHARE, MOST, FANOUT, SEED = 1.5, 2.0, 64, 20240607
+SHARE, MOST, FANOUT, SEED, HEAD = 1.5, 2.0, 64, 20240607, 1000
+STEPS = 64                                # size buckets for each doubling
 
 
 def n_words(text: Column) -> Column:
@@ -91,7 +99,40 @@ def _trade(level: int, seed: int):
     return step
 
 
-def allocate(items: DataFrame, targets: DataFrame, fanout: int = FANOUT, seed: int = SEED) -> DataFrame:
+def _round_longest(rows: DataFrame, head: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of the head with ``extra`` 0 or 1, rows of the body with their new p) of ``rows`` whose p is between 0 and 1."""
+    key = ["_none", "_source"]
+    rows = rows.withColumn("_bucket", F.floor(F.log2(F.col("size").cast("double")) * STEPS))
+    sums = rows.groupBy(*key, "_bucket").agg(F.count("*").alias("c"), F.sum("size").alias("words"), F.max("p").alias("p"))
+    longer = Window.partitionBy(*key).orderBy(F.desc("_bucket"))      # some thousand buckets a source, however many rows
+    sums = sums.withColumn("above", F.sum("c").over(longer))
+    bound = materialize(sums.groupBy(*key).agg(F.min(F.when(F.col("above") <= head, F.col("_bucket"))).alias("_from"),
+                                               F.sum("words").cast("double").alias("_all"), F.max("p").alias("_p")), "mix-head")
+    rows = rows.join(bound, key).withColumn("_long", F.coalesce(F.col("_bucket") >= F.col("_from"), F.lit(False)))
+
+    def one(acc: Column, d: Column) -> Column:
+        """One document of the head: acc holds the words to take and the words of all that are not settled."""
+        def drawn(x: Column) -> Column:
+            return F.struct((acc["want"] - x * d["size"]).alias("want"), (acc["left"] - d["size"]).alias("left"),
+                            F.concat(acc["done"], F.array(F.struct(d["id"].alias("id"), d["size"].alias("size"), x.alias("extra")))).alias("done"))
+        after = acc["left"] - d["size"]
+        yes, no = acc["want"] >= d["size"] - 1e-6, acc["want"] <= after + 1e-6       # the target stays within reach
+        by_odds = _uniform(d["id"], acc["left"], F.lit(-1), F.lit(seed)) * acc["left"] < acc["want"]
+        nearer = d["size"] - acc["want"] < acc["want"] - after
+        return _let(F.when(F.when(yes & no, by_odds).when(yes, True).when(no, False).otherwise(nearer), 1).otherwise(0), drawn)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    start = F.expr(f"named_struct('want', _all * _p, 'left', _all, 'done', cast(array() as array<struct<id:{kind},size:double,extra:int>>))")
+    fold = (rows.where("_long").groupBy(*key, "_base", "_all", "_p").agg(F.sort_array(F.collect_list(F.struct(F.col("size").cast("double").alias("size"), "id")), False).alias("docs"))
+            .withColumn("out", F.aggregate("docs", start, one)).select(*key, "_base", "out"))
+    fold = materialize(fold, "mix-head")
+    done = fold.select(*key, "_base", F.explode("out.done").alias("d")).select("d.id", F.col("d.size").cast("long").alias("size"), *key, "_base", "d.extra")
+    rate = fold.select(*key, F.when(F.col("out.left") > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("out.want") / F.col("out.left")))).otherwise(0.0).alias("_now"))
+    body = rows.where("not _long").join(rate, key, "left").withColumn("p", F.coalesce("_now", "p"))
+    return done, body.select("id", "size", *key, "n", "_base", "p")
+
+
+def allocate(items: DataFrame, targets: DataFrame, fanout: int = FANOUT, seed: int = SEED, head: int = HEAD) -> DataFrame:
     """Copies of each row of ``items`` (id, _none, _source, size > 0): rows (id, size, _none, _source, copies).
 
     ``id`` names a row (any type that hashes); equal rows are drawn each for itself.
@@ -104,8 +145,13 @@ def allocate(items: DataFrame, targets: DataFrame, fanout: int = FANOUT, seed: i
     rows = materialize(rows.select("id", "size", "_none", "_source", "n", "_base", "p"), "mix-rows")
     kind = rows.schema["id"].dataType.simpleString()
     done = [rows.where("p < 1e-9").select("id", "size", "_none", "_source", F.col("_base").alias("copies"))]
+    longest, body = _round_longest(rows.where("p >= 1e-9"), head, seed)
+    body = materialize(body, "mix-body")
+    done.append(longest.select("id", "size", "_none", "_source", (F.col("_base") + F.col("extra")).alias("copies")))
+    sure = (F.col("p") < 1e-9) | (F.col("p") > 1 - 1e-9)
+    done.append(body.where(sure).select("id", "size", "_none", "_source", (F.col("_base") + F.round("p").cast("int")).alias("copies")))
     chunks = F.ceil(F.col("n") / fanout)
-    left = rows.where("p >= 1e-9").select("_none", "_source", "_base", F.pmod(F.xxhash64("id", F.lit(seed)), chunks).alias("_chunk"),
+    left = body.where(~sure).select("_none", "_source", "_base", F.pmod(F.xxhash64("id", F.lit(seed)), chunks).alias("_chunk"),
                                           F.struct(F.col("size").cast("double").alias("size"), "id", "p").alias("doc"))
     most = targets.agg(F.max("n")).first()[0] or 0
     level, count = 0, -(-most // fanout)
