@@ -200,12 +200,13 @@ def mix_table(docs: DataFrame, id_name: str = "doc_id", text: str = "text", sour
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; texts without words are not taken.
 
-    A row is named by two hashes of all its columns, so rows that are equal throughout count as one document whose
-    copies are repeated alike: they never multiply each other.
+    A row is named by two hashes of all its columns (maps as JSON), so rows that are equal throughout count as one document
+    whose copies are repeated alike: they never multiply each other.
     """
     cols = docs.columns
     every = [F.col(f"`{c}`") for c in cols]
-    name = F.struct(F.xxhash64(*every).alias("a"), F.xxhash64(F.lit(1), *every[::-1]).alias("b"))
+    hashed = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else c for c, (_, kind) in zip(every, docs.dtypes)]
+    name = F.struct(F.xxhash64(*hashed).alias("a"), F.xxhash64(F.lit(1), *hashed[::-1]).alias("b"))
     items = _items(docs, name, text, source).where("size > 0").groupBy("id", "_none", "_source").agg(F.sum("size").alias("size"))
     items = materialize(items, "mix-items")
     copies = allocate(items, materialize(source_targets(items), "mix-targets"), seed=seed).where("copies > 0").select("id", "copies")

@@ -324,10 +324,20 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, id_name: str =
 
 
 def keep_representatives(docs: DataFrame, k: int = 5, percent: int = 80, id_name: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component: that of the smallest id. Rows with a null id are kept, as are texts without
-    words; of several rows with the smallest id, the one whose columns come first."""
+    """One row of ``docs`` for each component of linked texts: that of the smallest id.
+
+    Rows of one id with different texts are documents of their own (they go under a 64-bit hash of id and text).  Rows with a
+    null id are kept, as are texts without words; of rows with equal id and text, one stays: that whose JSON has the smaller
+    hash.  Columns of any type and name pass through; an empty table gives no rows.
+    """
     cols = docs.columns
-    c = jaccard_join(docs, k, percent, id_name, text).where(F.col(id_name) == F.col("component_id")).select(F.col(id_name).alias("_id")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in cols]).alias("_row"), F.col(f"`{id_name}`").cast("long").alias("_id"))
-    good = rows.where("_id is not null").join(c, "_id", "left_semi").groupBy("_id").agg(F.min("_row").alias("_row"))
-    return good.select("_row.*").unionByName(rows.where("_id is null").select("_row.*"))
+    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in cols]).alias("row"), F.col(f"`{id_name}`").cast("long").alias("id"),
+                       F.col(f"`{text}`").cast("string").alias("text"))
+    several = rows.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1 and id is not null").select(F.col("id").alias("again"))
+    rows = rows.where("id is not null").join(several, F.col("id") == F.col("again"), "left")
+    rows = rows.select("row", "id", "text", F.when(F.col("again").isNull(), F.col("id")).otherwise(F.xxhash64("id", "text")).alias("name"))
+    linked = jaccard_join(rows.select(F.col("name").alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias("name"), "component_id").distinct()
+    linked = linked.join(rows.select("id", "name").distinct(), "name")
+    best = linked.groupBy("component_id").agg(F.min(F.struct("id", "name")).alias("best")).select(F.col("best.name").alias("name"))
+    good = rows.join(best, "name", "left_semi").groupBy("name").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return good.select("row.*").unionByName(docs.where(F.col(f"`{id_name}`").cast("long").isNull()))

@@ -240,11 +240,12 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     Null texts stay null, texts without a valid value stay as they are; repeated rows are treated alike; all other
     columns pass through; an empty table gives an empty table.
     """
+    found, new = (next(n for n in (f"{stem}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for stem in ("_found", "_new"))
     t = F.col(f"`{text}`").cast("string")
-    out = docs.withColumn("_found", F.when(t.rlike("[0-9][ .-]?[0-9]|@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
-    out = out.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: replacement(m, key))))
-    pieces = F.zip_with(F.split(t, ANY, -1), "_new", lambda a, b: F.concat(a, F.coalesce(b["out"], F.lit(""))))
+    out = docs.withColumn(found, F.when(t.rlike("[0-9][ .-]?[0-9]|@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
+    out = out.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: replacement(m, key))))
+    pieces = F.zip_with(F.split(t, ANY, -1), new, lambda a, b: F.concat(a, F.coalesce(b["out"], F.lit(""))))
     return out.withColumns({
-        text: F.when(F.size("_new") > 0, F.array_join(pieces, "")).otherwise(t),
-        "n_replaced": F.coalesce(F.aggregate("_new", F.lit(0), lambda a, x: a + x["n"]), F.lit(0)).cast("long"),
-    }).drop("_found", "_new")
+        text: F.when(F.size(new) > 0, F.array_join(pieces, "")).otherwise(t),
+        "n_replaced": F.coalesce(F.aggregate(new, F.lit(0), lambda a, x: a + x["n"]), F.lit(0)).cast("long"),
+    }).drop(found, new)

@@ -108,10 +108,17 @@ def compile_rules(rules=RULES, m: str = "measures") -> Column:
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
 
+JUDGED = ["measures", "base_failed", "broken_rules", "kept"]
+
+
 def judge(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """``docs`` with ``measures``, ``base_failed``, ``broken_rules`` and ``kept`` (columns of these names are replaced)."""
-    out = measures(docs, text).withColumns({"base_failed": base_failed(), "broken_rules": compile_rules(rules)})
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+    """``docs`` with ``measures``, ``base_failed``, ``broken_rules`` and ``kept`` (columns of these names are replaced; all others
+    pass through, whatever their names)."""
+    cols = docs.columns
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(f"`{text}`").alias("text"))
+    out = measures(inner, "text").withColumns({"base_failed": base_failed(), "broken_rules": compile_rules(rules)})
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
+    return out.select(*[F.col("row")[c].alias(c) for c in cols if c not in JUDGED], *JUDGED)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:

@@ -60,6 +60,19 @@ def test_representatives_keep_columns_and_odd_rows(spark):
     assert ngram_join.keep_representatives(df.limit(0)).count() == 0
 
 
+def test_representatives_of_equal_ids(spark):
+    """Different texts under one id are different documents; maps and clashing names pass."""
+    near = " ".join(f"n{i}" for i in range(60))
+    docs = [(1, "a b c d e f g", {"k": 1}, "x"), (1, "totally other words h i j", {"k": 2}, "y"), (1, "a b c d e f g", {"k": 1}, "x"),
+            (2, "A b c d e f G", None, "z"), (3, near, None, None), (3, near + " tail", None, None), (4, None, None, None), (4, "", None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, `row` map<string,int>, `name` string")
+    got = ngram_join.keep_representatives(df)
+    assert got.columns == df.columns
+    kept = sorted(((x.doc_id, x.text) for x in got.collect()), key=str)
+    assert len(kept) == 5 and (1, "totally other words h i j") in kept and (1, "a b c d e f g") in kept and sum(x[0] == 3 for x in kept) == 1
+    assert (4, None) in kept and (4, "") in kept
+
+
 @pytest.mark.parametrize("options", [{}, {"hot": 3}, {"phrases": 5}])
 def test_phrases(spark, options):
     docs = passages(60)

@@ -232,3 +232,15 @@ def test_mixed_rows(spark):
     assert got.columns == df.columns
     assert set(map(tuple, got.collect())) <= set(rows) and got.where("doc_id = 99").count() == 0
     assert abs(got.count() - 1.5 * len(rows)) < 25
+
+
+def test_clashing_names_and_maps_pass(spark):
+    """Columns named like the operators' own ones, and maps, come out as they came in."""
+    names = ["_words", "_lines", "_n_symbols", "_hash", "_win", "_by_hash", "_chars", "_found", "_new", "_row", "_text", "row", "id"]
+    text = "The card 4041 8949 7460 8795 and some more words of the text that are long enough to be kept, with a few of the most common words in it."
+    df = spark.createDataFrame([(1, text, "a", {"k": 1}, *names), (2, None, None, None, *names)],
+                               "doc_id long, text string, source string, m map<string,int>, " + ", ".join(f"`{n}` string" for n in names))
+    for out in (quality_rules.judge(df), pseudonyms.pseudonymize(df, "k"), quality_rules.keep_good(df), mixing.mixed(df)):
+        assert out.columns[:len(df.columns)] == df.columns
+        assert all(x[n] == n for x in out.collect() for n in names)
+    assert pseudonyms.pseudonymize(df.limit(0), "k").count() == 0 and quality_rules.judge(df.limit(0)).count() == 0
