@@ -3,16 +3,19 @@
 Pure operators (no side effects) come first; :func:`extract_load` then runs
 them against a parquet warehouse root:
 
-    <root>/raw/<table>/snapshot=<batch_id>/    full table after that batch
+    <root>/raw/<table>/base=<batch_id>/        a full table
+    <root>/raw/<table>/delta=<batch_id>/       the rows of one later batch
     <root>/meta/load_log/batch_id=<batch_id>/  one row per table per batch
-    <root>/meta/batches/<batch_id>/<table>/    the extracted batch itself
-
-Plain parquet has no MERGE, so an upsert writes a new snapshot (copy on
-write) and never overwrites the path it reads. The load log is the commit
-point: a snapshot only becomes current once its log partition exists, and
-every write targets a path owned by its batch id, so a retried batch (lost
-executor, restarted driver) overwrites its own output and changes nothing
-else. Only metadata-sized scalars (marks, row counts) reach the driver.
+
+A batch writes its own rows only; :func:`read_raw` merges a table's base with
+the deltas since (:func:`merge_deltas`), and :func:`compact` writes a new base.
+The load log is the commit point: a batch only counts once its log partition
+exists, and every write targets a path owned by its batch id, so a retried
+batch (lost executor, restarted driver) overwrites its own output and changes
+nothing else. Only metadata-sized scalars (marks, row counts) reach the driver.
+
+Marks are kept per channel: what a stream landed says nothing about how far
+the source was extracted, so neither hides rows from the other.
 """
 
 from __future__ import annotations
@@ -20,8 +23,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -30,13 +35,17 @@ from kpiloom.functions.vocabulary import TABLES
 from kpiloom.operators.joins import left_join_spread_nulls
 
 WATERMARK_COLUMN = "updated_at"
+EXTRACT, LANDED = "extract", "landed"      # channels
+COMPACT_AFTER = 16                          # deltas after which a batch writes a new base
 LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("rows_loaded", T.LongType(), False),
     T.StructField("high_watermark", T.StringType(), True),
     T.StructField("loaded_at", T.TimestampNTZType(), False),
     T.StructField("seq", T.LongType(), False),
-    T.StructField("snapshot_written", T.BooleanType(), False),
+    T.StructField("channel", T.StringType(), False),
+    T.StructField("wrote", T.StringType(), False),           # base, delta or nothing
+    T.StructField("key_column", T.StringType(), False),
 ])
 
 
@@ -130,6 +139,33 @@ def merge_newest(target: DataFrame | None, incoming: DataFrame, key: str, col: s
     return rows.unionByName(both.where(F.col(key).isNull()))
 
 
+def merge_deltas(base: DataFrame | None, deltas: list[tuple[DataFrame, str]], key: str) -> DataFrame:
+    """The table that ``base`` and its deltas (rows, channel), oldest first, stand for.
+
+    Extracted deltas replace rows by key, the latest batch of a key wins with all its rows; landed ones compete by
+    ``updated_at``. Consecutive deltas of a channel are merged in one step, so the plan does not grow with their number.
+    """
+    out = base
+    for channel, run in groupby(deltas, key=lambda d: d[1]):
+        frames = [d for d, _ in run]
+        if channel == LANDED:
+            rows = frames[0]
+            for f in frames[1:]:
+                rows = rows.unionByName(f)
+            out = merge_newest(out, rows, key)
+            continue
+        rows = frames[0]
+        if len(frames) > 1:
+            rows = frames[0].withColumn("__n", F.lit(0))
+            for n, f in enumerate(frames[1:], 1):
+                rows = rows.unionByName(f.withColumn("__n", F.lit(n)))
+            last = rows.groupBy(F.col(key).alias("__k")).agg(F.max("__n").alias("__last"))
+            latest = rows.join(last, (F.col(key) == F.col("__k")) & (F.col("__n") == F.col("__last")), "left_semi")
+            rows = latest.unionByName(rows.where(F.col(key).isNull())).drop("__n")
+        out = upsert(out, rows, key)
+    return out
+
+
 def batch_stats(batches: dict[str, DataFrame], col: str = WATERMARK_COLUMN) -> DataFrame:
     """(table_name, rows_loaded, batch_mark) -- one global aggregate per batch, unioned."""
     parts = [b.agg(F.count(F.lit(1)).alias("rows_loaded"), F.max(F.col(col).cast("string")).alias("batch_mark"))
@@ -203,23 +239,35 @@ def read_log(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def current_state(spark: SparkSession, root: str) -> dict[str, tuple[str, str | None, int]]:
-    """table -> (high watermark, current snapshot batch id or None, last seq).
+class TableState(NamedTuple):
+    """What the log says of one table."""
+    marks: dict[str, str]                      # by channel
+    base: str | None                           # batch that wrote the base
+    deltas: list[tuple[str, str]]              # (batch, channel) since, oldest first
+    seq: int
+    key: str
 
-    The current mark is the latest batch's (after a full refresh it may be
-    lower than an earlier one); the current snapshot is the latest batch that
-    wrote one. One row per table reaches the driver.
-    """
+    @property
+    def version(self) -> str | None:
+        """The batch that changed the table last."""
+        return self.deltas[-1][0] if self.deltas else self.base
+
+
+def current_state(spark: SparkSession, root: str) -> dict[str, TableState]:
+    """table -> its state. A channel's mark is that of its latest batch (after a full refresh it may be lower than an
+    earlier one). One row per table reaches the driver, with the deltas since its base: compaction keeps them few."""
     log = read_log(spark, root)
     if log is None:
         return {}
-    rows = log.groupBy("table_name").agg(
-        F.max_by("high_watermark", "seq").alias("mark"),
-        F.max_by(F.when(F.col("snapshot_written"), F.col("batch_id")),
-                 F.when(F.col("snapshot_written"), F.col("seq"))).alias("snapshot"),
-        F.max("seq").alias("seq"),
-    ).collect()
-    return {r["table_name"]: (r["mark"], r["snapshot"], r["seq"]) for r in rows}
+    based = F.max(F.when(F.col("wrote") == "base", F.col("seq"))).over(Window.partitionBy("table_name"))
+    log = log.withColumn("based", based)
+    since = F.when((F.col("wrote") == "delta") & (F.col("seq") > F.col("based")), F.struct("seq", "batch_id", "channel"))
+    mark = [F.max_by("high_watermark", F.when(F.col("channel") == c, F.col("seq"))).alias(c) for c in (EXTRACT, LANDED)]
+    rows = log.groupBy("table_name").agg(*mark, F.max_by("batch_id", F.when(F.col("seq") == F.col("based"), F.col("seq"))).alias("base"),
+                                         F.sort_array(F.collect_list(since)).alias("deltas"), F.max("seq").alias("seq"),
+                                         F.max_by("key_column", "seq").alias("key")).collect()
+    return {r["table_name"]: TableState({c: r[c] or "" for c in (EXTRACT, LANDED)}, r["base"], [(d["batch_id"], d["channel"]) for d in r["deltas"]],
+                                        r["seq"], r["key"]) for r in rows}
 
 
 def committed(spark: SparkSession, root: str, batch_id: str) -> dict[str, int] | None:
@@ -233,69 +281,91 @@ def committed(spark: SparkSession, root: str, batch_id: str) -> dict[str, int] |
     return {r["table_name"]: int(r["rows_loaded"]) for r in rows} or None
 
 
-def snapshot_path(root: str, table: str, batch_id: str) -> str:
-    """Folder of a table's snapshot written by one batch."""
-    return f"{root}/raw/{table}/snapshot={batch_id}"
+def base_path(root: str, table: str, batch_id: str) -> str:
+    """Folder of a full table written by one batch."""
+    return f"{root}/raw/{table}/base={batch_id}"
+
+
+def delta_path(root: str, table: str, batch_id: str) -> str:
+    """Folder of the rows of one batch."""
+    return f"{root}/raw/{table}/delta={batch_id}"
+
+
+def read_state(spark: SparkSession, root: str, table: str, state: TableState) -> DataFrame:
+    """The raw table as of a state."""
+    return merge_deltas(spark.read.parquet(base_path(root, table, state.base)),
+                        [(spark.read.parquet(delta_path(root, table, b)), c) for b, c in state.deltas], state.key)
 
 
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The current raw table."""
-    snap = current_state(spark, root).get(table, (None, None, 0))[1]
-    if snap is None:
+    state = current_state(spark, root).get(table)
+    if state is None or state.base is None:
         raise FileNotFoundError(f"raw table {table} has never been loaded under {root}")
-    return spark.read.parquet(snapshot_path(root, table, snap))
+    return read_state(spark, root, table, state)
 
 
-def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, key: str, state: dict,
-                batch_id: str, loaded_at: dt.datetime, dedupe: bool = False, landed: bool = False) -> tuple[int, str, bool]:
-    mark, snap, _ = state.get(table, ("", None, 0))
+def _load_table(spark: SparkSession, source: DataFrame, root: str, table: str, key: str, state: TableState | None,
+                batch_id: str, loaded_at: dt.datetime, dedupe: bool, landed: bool, compact_after: int) -> tuple[int, str | None, str]:
+    """Write one table's batch; (rows, largest mark in it, what was written)."""
+    first = state is None or state.base is None
     if landed:
         batch = with_audit(to_raw_text(source), batch_id, loaded_at)
-        if snap is None:
+        if first:
             batch = merge_newest(None, batch, key)
     else:
-        batch = load_frame(source, mark, batch_id, loaded_at)
-    if dedupe and not landed:
-        batch = latest_by_key(batch, key)
-    if snap is None:
-        # first load (or full refresh): the batch is the snapshot -- one write
-        path = snapshot_path(root, table, batch_id)
-        batch.write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
-        st = written.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
-        n = int(st["n"])
-        return n, max(mark or "", st["m"] or "") if landed else (st["m"] if n > 0 else mark) or "", True
-    batch_path = f"{root}/meta/batches/{batch_id}/{table}"
-    batch.write.mode("overwrite").parquet(batch_path)          # one pass over the source
-    written = spark.read.parquet(batch_path)
-    st = written.agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
+        batch = load_frame(source, state.marks[EXTRACT] if state else "", batch_id, loaded_at)
+        if dedupe:
+            batch = latest_by_key(batch, key)
+    path = base_path(root, table, batch_id) if first else delta_path(root, table, batch_id)
+    batch.write.mode("overwrite").parquet(path)                # one pass over the source, the batch's rows only
+    st = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.max(WATERMARK_COLUMN).alias("m")).first()
     n = int(st["n"])
-    if n == 0:
-        return 0, mark or "", False
-    previous = spark.read.parquet(snapshot_path(root, table, snap))
-    merged = merge_newest(previous, written, key) if landed else upsert(previous, written, key)
-    merged.write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
-    return n, max(mark or "", st["m"] or "") if landed else st["m"] or "", True
+    if first:
+        return n, st["m"], "base"
+    if n and len(state.deltas) + 1 > compact_after:
+        now = state._replace(deltas=[*state.deltas, (batch_id, LANDED if landed else EXTRACT)])
+        read_state(spark, root, table, now).write.mode("overwrite").parquet(base_path(root, table, batch_id))
+        return n, st["m"], "base"
+    return n, st["m"], "delta" if n else "nothing"
+
+
+def _commit(spark: SparkSession, root: str, batch_id: str, loaded_at: dt.datetime, seq: int, channel: str, tables: dict[str, str],
+            marks: dict[str, str], outcome: dict[str, tuple[int, str | None, str]]) -> None:
+    """Advance the marks and write the batch's log partition, unless another batch was logged meanwhile."""
+    now = max([s.seq for s in current_state(spark, root).values()], default=0) + 1
+    if now != seq:
+        raise RuntimeError(f"another batch was loaded under {root} while {batch_id} ran; run it again")
+    stats = spark.createDataFrame([(t, n, m) for t, (n, m, _) in outcome.items()], "table_name string, rows_loaded long, batch_mark string")
+    before = spark.createDataFrame(list(marks.items()), "table_name string, high_watermark string")
+    log = log_rows(stats, advance_watermarks(before, stats), batch_id, loaded_at)
+    of = F.create_map(*[F.lit(x) for t, (_, _, w) in outcome.items() for x in (t, w)])
+    keys = F.create_map(*[F.lit(x) for t, k in tables.items() for x in (t, k)])
+    log = log.select("table_name", "rows_loaded", "high_watermark", "loaded_at", F.lit(seq).cast("long").alias("seq"), F.lit(channel).alias("channel"),
+                     of[F.col("table_name")].alias("wrote"), keys[F.col("table_name")].alias("key_column"))
+    log.coalesce(1).write.mode("overwrite").parquet(f"{root}/meta/load_log/batch_id={batch_id}")
 
 
 def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str, tables: dict[str, str] = TABLES,
                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                 full: bool = False, parallel: int = 4, dedupe: bool = False, landed: bool = False) -> dict[str, int]:
+                 full: bool = False, parallel: int = 4, dedupe: bool = False, landed: bool = False,
+                 compact_after: int = COMPACT_AFTER) -> dict[str, int]:
     """Load every table's changes since its mark; returns table -> rows loaded.
 
-    Per table: extract -> write the batch (one pass over the source) -> count
-    and max of the written batch -> if rows, upsert onto the current snapshot
-    into a new snapshot path. A table whose first batch is empty still gets an
-    empty snapshot, so staging never meets a missing table. Tables are
-    independent and are submitted ``parallel`` at a time (concurrent Spark
-    jobs). The log partition for the batch is written last; until then
-    nothing of the batch is current. ``full=True`` ignores marks and
-    snapshots (full refresh). ``dedupe=True`` keeps only the newest row per
-    key within a batch (off by default: a batch's duplicates are kept, as in
-    delete-then-insert). ``landed=True``: the sources are change files that
-    landed, so every row takes part whatever the mark, the newest
-    ``updated_at`` wins per key, also against the stored row
-    (:func:`merge_newest`), and the mark is only logged.
+    Per table: extract -> write the batch's rows (one pass over the source) as
+    a delta, or as the base if it is the first -> count and max of what was
+    written. A table whose first batch is empty still gets an empty base, so
+    staging never meets a missing table. After ``compact_after`` deltas a
+    batch also writes a new base. Tables are independent and are submitted
+    ``parallel`` at a time (concurrent Spark jobs). The log partition for the
+    batch is written last; until then nothing of the batch is current.
+    ``full=True`` ignores marks and tables (full refresh). ``dedupe=True``
+    keeps only the newest row per key within a batch (off by default: a
+    batch's duplicates are kept, as in delete-then-insert). ``landed=True``:
+    the sources are change files that landed, so every row takes part
+    whatever the mark, the newest ``updated_at`` wins per key, also against
+    the stored row (:func:`merge_newest`); their mark is that of their own
+    channel, the extract's mark stays.
 
     One writer at a time: if another batch was logged since the state was
     read, this one fails before it commits, and can be run again.
@@ -307,18 +377,30 @@ def extract_load(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         return done
     known = current_state(spark, root)
     state = {} if full else known
-    seq = max([s for _, _, s in known.values()], default=0) + 1
+    seq = max([s.seq for s in known.values()], default=0) + 1
+    channel = LANDED if landed else EXTRACT
+    marks = {t: state[t].marks[channel] if t in state else "" for t in tables}
 
     def one(item):
         table, key = item
-        return table, _load_table(spark, sources[table], root, table, key, state, batch_id, loaded_at, dedupe, landed)
+        n, mark, wrote = _load_table(spark, sources[table], root, table, key, state.get(table), batch_id, loaded_at, dedupe, landed, compact_after)
+        return table, (n, max(marks[table], mark or "") if landed else mark, wrote)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         outcome = dict(pool.map(one, tables.items()))
-    now = max([s for _, _, s in current_state(spark, root).values()], default=0) + 1
-    if now != seq:
-        raise RuntimeError(f"another batch was loaded under {root} while {batch_id} ran; run it again")
-    log_out = [(t, outcome[t][0], outcome[t][1], loaded_at, seq, outcome[t][2]) for t in tables]
-    spark.createDataFrame(log_out, LOG_SCHEMA).coalesce(1).write.mode("overwrite") \
-        .parquet(f"{root}/meta/load_log/batch_id={batch_id}")
+    _commit(spark, root, batch_id, loaded_at, seq, channel, tables, marks, outcome)
     return {t: outcome[t][0] for t in tables}
+
+
+def compact(spark: SparkSession, root: str, batch_id: str | None = None) -> list[str]:
+    """Write a new base for every table that has deltas; returns their names. The log gets a batch without rows."""
+    known = {t: s for t, s in current_state(spark, root).items() if s.deltas}
+    if not known:
+        return []
+    batch_id = batch_id or new_batch_id()
+    for t, s in known.items():
+        read_state(spark, root, t, s).write.mode("overwrite").parquet(base_path(root, t, batch_id))
+    seq = max(s.seq for s in current_state(spark, root).values()) + 1
+    _commit(spark, root, batch_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0), seq, EXTRACT, {t: s.key for t, s in known.items()},
+            {t: s.marks[EXTRACT] for t, s in known.items()}, {t: (0, None, "base") for t in known})
+    return sorted(known)

@@ -83,7 +83,7 @@ class TwoBatches:
         return ingest.advance_watermarks(self.state_1, self.stats_2)
 
     def upserted(self, table: str) -> DataFrame:
-        return ingest.upsert(self.batch_1[table], self.batch_2[table], TABLES[table])
+        return ingest.merge_deltas(self.batch_1[table], [(self.batch_2[table], ingest.EXTRACT)], TABLES[table])
 
     def load_log(self) -> DataFrame:
         return ingest.log_rows(self.stats_1, self.state_1, BATCH_1, LOADED_1).unionByName(

@@ -9,10 +9,10 @@ Write-audit-publish on plain parquet:
   written to ``runs/<run_id>/audit/test_results``; any failure raises
   :class:`GateError` before anything is published;
 * publishing appends one partition to ``<root>/meta/publish_log`` naming the
-  run and the raw snapshots it was built from; readers resolve a model through
+  run, the raw batches it was built from and a digest of the models' code; readers resolve a model through
   the latest published run. A failed or interrupted run leaves the previous
   publication current; the next run builds anew unless the latest publication
-  was built from the snapshots that are current then.
+  was built from the very rows, parameters and code that are current then.
 
 Each model is written before its consumers are built, so the consumers read
 parquet instead of recomputing lineage -- the written tables are the lineage
@@ -22,11 +22,13 @@ cut -- and a lost executor only recomputes tasks of the current write.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +64,14 @@ class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
+def model_version() -> str:
+    """Digest of the sources that define the models and their tests: other logic means another published run."""
+    package, h = Path(__file__).resolve().parents[1], hashlib.sha256()
+    for f in sorted(p for d in ("functions", "operators", "plans") for p in (package / d).glob("*.py")):
+        h.update(f.read_bytes())
+    return h.hexdigest()[:16]
+
+
 def model_path(root: str, run_id: str, model: str) -> str:
     """Folder of one model written by one run."""
     return f"{root}/runs/{run_id}/{LAYER_OF.get(model, 'other')}/{model}"
@@ -106,7 +116,8 @@ class _Written:
 
     def put(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         path = model_path(self.root, self.run_id, name)
-        out = df.write.mode("overwrite")
+        # rows of a partition meet in few files; a partition beyond the advisory size is split
+        out = (df.hint("rebalance", partition) if partition else df).write.mode("overwrite")
         (out.partitionBy(partition) if partition else out).parquet(path)
         self.tables[name] = self.spark.read.parquet(path).select(*df.columns)
         return self.tables[name]
@@ -144,16 +155,15 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
 
     loaded = ingest.extract_load(spark, sources, root, full=full)
     lap("ingest")
-    parameters = json.dumps([first_month, last_month, brands], default=str)
+    parameters = json.dumps([first_month, last_month, brands, model_version()], default=str)
     state = ingest.current_state(spark, root)
-    current = {tb: state[tb][1] for tb in TABLES}
-    snapshots = json.dumps(current, sort_keys=True)
+    snapshots = json.dumps({tb: state[tb].version for tb in TABLES}, sort_keys=True)
     last = latest_published_run(spark, root)
     if publish and last and not full and published_inputs(spark, root, last) == (parameters, snapshots):
         # the published run was built from these very snapshots and nothing else differs: it stands
         results = spark.read.parquet(f"{root}/runs/{last}/audit/test_results")
         return RunReport(last, loaded, results, quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict(), True, secs)
-    raw = {tb: spark.read.parquet(ingest.snapshot_path(root, tb, current[tb])) for tb in TABLES}
+    raw = {tb: ingest.read_state(spark, root, tb, state[tb]) for tb in TABLES}
     stg = staging.stage_all(raw)                       # views
     w = _Written(spark, root, run_id)
     # written once, read by five models; int_customer_identity is the 4-column view of it

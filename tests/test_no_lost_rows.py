@@ -119,3 +119,67 @@ def test_typed_marks_reach_the_scan(spark, scratch, capsys):
     changed.explain("formatted")
     assert "GreaterThan(updated_at" in capsys.readouterr().out
     assert ingest.extract_incremental(spark.read.parquet(f"{scratch}/t"), None).count() == 10
+
+
+def load(spark, root, rows, batch, **options):
+    return ingest.extract_load(spark, {"things": spark.createDataFrame(rows, SCHEMA)}, root, tables={"things": "id"}, batch_id=batch, **options)["things"]
+
+
+def test_batch_after_stream_loads_what_the_stream_never_saw(spark, scratch):
+    """Marks are kept per channel: a landed row of June does not hide a source row of May."""
+    april, may, june = ("1", "a", "2024-04"), ("2", "b", "2024-05"), ("9", "z", "2024-06")
+    assert load(spark, scratch, [april], "b1") == 1
+    assert load(spark, scratch, [june], "s1", landed=True) == 1
+    assert load(spark, scratch, [april, may], "b2") == 1
+    assert [i for i, _, _ in contents(spark, scratch)] == ["1", "2", "9"]
+    marks = ingest.current_state(spark, scratch)["things"].marks
+    assert marks == {"extract": "2024-05", "landed": "2024-06"}
+    assert load(spark, scratch, [april, may], "b3") == 0
+
+
+def test_a_small_batch_writes_its_own_rows_only(spark, scratch):
+    load(spark, scratch, [(str(i), "x", "t1") for i in range(5000)], "b1")
+    load(spark, scratch, [("7", "new", "t2")], "b2")
+    written = spark.read.parquet(f"{scratch}/raw/things/delta=b2")
+    assert written.count() == 1 and not os.path.exists(f"{scratch}/raw/things/base=b2")
+    assert sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{scratch}/raw/things/delta=b2") for f in fs if f.endswith(".parquet")) < 4000
+    assert ingest.read_raw(spark, scratch, "things").count() == 5000
+    assert ingest.compact(spark, scratch) == ["things"] and ingest.compact(spark, scratch) == []
+    assert ingest.current_state(spark, scratch)["things"].deltas == [] and ingest.read_raw(spark, scratch, "things").count() == 5000
+    assert load(spark, scratch, [("7", "new", "t2")], "b3") == 0            # the mark survives compaction
+
+
+def sequential(batches):
+    """The table after each batch replaced or merged rows by key, in plain Python."""
+    table = []
+    for channel, rows in batches:
+        if channel == "extract":
+            gone = {r[0] for r in rows if r[0] is not None}
+            table = [r for r in table if r[0] is None or r[0] not in gone] + rows
+        else:
+            both, best = table + rows, {}
+            for r in both:
+                if r[0] is not None and (r[0] not in best or (r[2] or "", r[1], r[2]) > (best[r[0]][2] or "", best[r[0]][1], best[r[0]][2])):
+                    best[r[0]] = r
+            table = list(best.values()) + [r for r in both if r[0] is None]
+    return sorted(table, key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_deltas_stand_for_the_batches_in_order(spark, seed):
+    import random
+    r = random.Random(seed)
+    batches = [(r.choice(["extract", "extract", "landed"]), [(r.choice(["1", "2", "3", "4", None]), f"v{n}.{i}", f"t{r.randrange(4)}") for i in range(r.randint(0, 4))])
+               for n in range(6)]
+    base = [(str(i), "base", "t1") for i in range(1, 4)]
+    frames = [(spark.createDataFrame(rows, SCHEMA), c) for c, rows in batches]
+    got = sorted(map(tuple, ingest.merge_deltas(spark.createDataFrame(base, SCHEMA), frames, "id").collect()), key=str)
+    assert got == sequential([("extract", base), *batches])
+
+
+def test_many_batches_write_a_base_now_and_then(spark, scratch):
+    for n in range(5):
+        load(spark, scratch, [(str(n % 3), f"v{n}", f"t{n}")], f"b{n}", compact_after=2)
+    state = ingest.current_state(spark, scratch)["things"]
+    assert (state.base, [b for b, _ in state.deltas], state.marks["extract"]) == ("b3", ["b4"], "t4")
+    assert [v for _, v, _ in contents(spark, scratch)] == ["v3", "v4", "v2"]
