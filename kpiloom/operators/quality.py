@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.cleaning import is_test_account, to_cents, try_to_cents
@@ -318,6 +318,45 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
+def failing_keys(models: dict[str, DataFrame], checks: list[Check], primary: dict[str, tuple[str, ...]], k: int = 5) -> DataFrame:
+    """(test_name, position, failing_key, n_rows): the ``k`` smallest failing keys of every check, as text.
+
+    The key of a failing row is its model's primary key; of a uniqueness test the repeated value; of a relationship the
+    value without a parent. One scan per model emits the failing rows' and the tested keys, which are counted once per key; the
+    ``k`` smallest of a check are taken by a ranked limit that Spark applies before it shuffles, so a test that
+    fails on a billion rows still sends ``k`` rows a task.
+    """
+    parts = []
+    for name in sorted({c.model for c in checks} | {c.parent for c in checks if c.parent}):
+        text = lambda cols: F.concat_ws("|", *[F.col(x).cast("string") for x in cols])
+        out = []
+        for c in checks:
+            col = F.col(c.columns[0])
+            if c.model == name:
+                if c.kind == "not_null":
+                    out.append((c, text(primary[name]), 2, col.isNull()))
+                elif c.kind == "accepted_values":
+                    out.append((c, text(primary[name]), 2, col.isNotNull() & ~col.isin(list(c.values))))
+                elif c.kind in ("unique", "unique_combo"):
+                    out.append((c, text(c.columns), 0, col.isNotNull() if c.kind == "unique" else F.lit(True)))
+                else:
+                    out.append((c, text(c.columns), 1, col.isNotNull()))
+            if c.parent == name:
+                out.append((c, text([c.parent_field]), -1, F.col(c.parent_field).isNotNull()))
+        if out:
+            # role: 0 tested for repeats, 1 child, 2 failing row, -1 parent
+            records = F.array_compact(F.array(*[F.when(keep, F.struct(F.lit(c.test_name).alias("test_name"), key.alias("failing_key"),
+                                                                   F.lit(role).alias("role"))) for c, key, role, keep in out]))
+            parts.append(models[name].select(F.explode(records).alias("r")).select("r.*"))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    per_key = rows.groupBy("test_name", "failing_key").agg(F.count_if(F.col("role") >= 0).alias("n_rows"), F.max("role").alias("kind"), F.min("role").alias("parent"))
+    bad = per_key.where((F.col("kind") == 2) | ((F.col("kind") == 0) & (F.col("n_rows") > 1)) | ((F.col("kind") == 1) & (F.col("parent") == 1)))
+    place = F.row_number().over(Window.partitionBy("test_name").orderBy("failing_key"))
+    return bad.withColumn("position", place).where(F.col("position") <= k).select("test_name", F.col("position").cast("bigint").alias("position"), "failing_key", "n_rows")
+
+
 def dq_summary(results: DataFrame, models_built: int) -> DataFrame:
     """Models built, tests passed, tests failed (anything not 'pass' counts as failed)."""
     return results.agg(

@@ -128,11 +128,11 @@ def leaderboard(kpi: DataFrame, sort_key: str = "net_revenue", descending: bool
                 brand: str | None = None) -> DataFrame:
     """H6: locations in the latest month; churn recomputed unrounded (0 on an empty base).
 
-    Sorted by ``sort_key`` (a distributed range sort); optionally one brand.
+    Sorted by ``sort_key`` (a distributed range sort); optionally one brand. The latest month is found in the same pass
+    (rows per location and month are few), so no job runs while the plan is built and the table is computed once.
     """
-    # one scalar, then a literal: the month reaches the scans (and partitions of published data) instead of a join
-    latest = kpi.agg(F.max("month_start")).first()[0]
-    rows = kpi.where(F.col("month_start") == F.lit(latest))
+    latest = F.max("month_start").over(Window.partitionBy())
+    rows = kpi.withColumn("__latest", latest).where(F.col("month_start") == F.col("__latest")).drop("__latest")
     if brand and brand != ALL:
         rows = rows.where(F.col("brand") == brand)
     start = F.col("active_members") - F.col("new_members")

@@ -13,6 +13,12 @@ from kpiloom.operators.quality import Check, TieOut, Total
 FIXTURE_BRANDS = ("Alder Clinics", "Birch Wellness")
 
 
+PRIMARY_KEYS = {"stg_locations": ("location_id",), "stg_customers": ("customer_id",), "stg_appointments": ("appointment_id",),
+                "stg_payments": ("payment_id",), "stg_leads": ("lead_id",), "dim_location": ("location_id",), "dim_customer": ("customer_id",),
+                "fct_appointments": ("appointment_id",), "fct_payments": ("payment_id",), "fct_membership_months": ("membership_id", "month_start"),
+                "fct_leads": ("lead_id",), "kpi_location_monthly": ("location_id", "month_start")}
+
+
 def _uid(model: str, col: str) -> list[Check]:
     return [Check(model, "unique", (col,)), Check(model, "not_null", (col,))]
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.operators import certified, identity, mart, staging
 from kpiloom.sources.crm import FIXTURE_MONTHS, RawSource
+from kpiloom.sources.dirt import damaged
 
 
 class Models:
@@ -26,8 +27,9 @@ class Models:
         self.sf_dir = None
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Models":
-        m = cls(spark, _LazyRaw(spark, sf_dir), **kw)
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, dirt: str | None = None, **kw) -> "Models":
+        """Over one directory of driver tables; ``dirt``: None, "faults" or "amounts" (see sources.dirt)."""
+        m = cls(spark, _LazyRaw(spark, sf_dir, dirt), **kw)
         m.sf_dir = sf_dir
         return m
 
@@ -111,10 +113,11 @@ class Models:
 class _LazyRaw(dict):
     """Raw tables built on first access (only the ones a query needs)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, dirt: str | None = None):
         super().__init__()
-        self._src = RawSource(spark, sf_dir)
+        self._src, self._dirt = RawSource(spark, sf_dir), dirt
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self._src.table(name)
+        table = self._src.table(name)
+        self[name] = damaged(name, table, amounts=self._dirt == "amounts") if self._dirt else table
         return self[name]

@@ -20,7 +20,26 @@ def cte(name: str, deps: list[str], sql: str) -> None:
     _CTES[name] = (deps, sql)
 
 
-def sql_for(final: str, deps: list[str]) -> str:
+# The dirty variant: raw table -> (columns changed in every n-th record, in order; n of the records that come twice).
+DIRT = {
+    "raw_payments": ("payment_id", [("payment_type", 53, "'voucher'"), ("location_id", 59, "'99'"), ("amount", 71, "NULL")], 101),
+    "raw_appointments": ("appointment_id", [("status", 41, "'Rescheduled'"), ("status", 43, "' In progress '"), ("location_id", 61, "'99'")], None),
+    "raw_leads": ("lead_id", [("lead_source", 37, "'TikTok Ads'"), ("lead_source", 91, "NULL")], None),
+    "raw_customers": ("customer_id", [("home_location_id", 67, "'77'")], None),
+    "raw_locations": ("location_id", [("ownership", 4, "'leased'"), ("brand", 5, "'Cedar Spa'")], None),
+    "raw_memberships": ("membership_id", [], 73),
+}
+BAD_AMOUNTS = [("amount", 47, "'n/a'"), ("amount", 83, "'EUR ' || amount")]
+
+
+def _dirty(name: str, sql: str, amounts: bool) -> str:
+    key, faults, twice = DIRT[name]
+    for column, n, fault in faults + (BAD_AMOUNTS if amounts and name == "raw_payments" else []):
+        sql = f"SELECT * REPLACE (CASE WHEN CAST({key} AS BIGINT) % {n} = 0 THEN {fault} ELSE {column} END AS {column}) FROM ({sql}) t"
+    return f"WITH d AS ({sql}) SELECT * FROM d UNION ALL SELECT * FROM d WHERE CAST({key} AS BIGINT) % {twice} = 0" if twice else sql
+
+
+def sql_for(final: str, deps: list[str], dirt: str | None = None) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -34,7 +53,8 @@ def sql_for(final: str, deps: list[str]) -> str:
         visit(d)
     if not order:
         return final
-    body = ",\n".join(f"{n} AS (\n{_CTES[n][1]}\n)" for n in order)
+    sql = {n: _dirty(n, _CTES[n][1], dirt == "amounts") if dirt and n in DIRT else _CTES[n][1] for n in order}
+    body = ",\n".join(f"{n} AS (\n{sql[n]}\n)" for n in order)
     return f"WITH {body}\n{final}"
 
 
@@ -148,36 +168,33 @@ FROM (SELECT *, cast(date '1995-01-01' + cast(event_id % 2400 AS integer) AS var
       FROM events) e""")
 
 # --- staging ------------------------------------------------------------------
-cte("stg_locations", ["raw_locations"], """
-SELECT l.location_id, l.brand_word || ' - ' || l.city AS location_name, l.city, l.brand, l.ownership,
-       l.franchisee_id, l.opened_on, l.closed_on, (l.closed_on IS NULL) AS is_active
-FROM (SELECT CAST(location_id AS BIGINT) AS location_id, brand, ownership, franchisee_id,
-             split_part(brand, ' ', 1) AS brand_word,
-             array_to_string(list_transform(str_split(lower(trim(split_part(trim(location_name), ' - ', 2))), ' '),
-                                            lambda w: concat(upper(left(w, 1)), substr(w, 2))), ' ') AS city,
-             CAST(opened_on AS DATE) AS opened_on, CAST(closed_on AS DATE) AS closed_on
-      FROM raw_locations) l""")
-
-cte("stg_customers", ["raw_customers"], """
-SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name,
-       CASE WHEN trim(email) = '' THEN NULL ELSE lower(trim(email)) END AS email_normalized,
-       CAST(home_location_id AS BIGINT) AS home_location_id,
-       CAST(created_at AS TIMESTAMP) AS created_at,
-       (suffix(lower(trim(email)), '@clinic-test.com') IS TRUE) OR ((lower(first_name) = 'test') IS TRUE)
-           AS is_test_account
-FROM raw_customers""")
-
-cte("stg_services", ["raw_services"], """
-SELECT CAST(service_id AS BIGINT) AS service_id, service_name, category AS service_category,
-       CAST(list_price AS DECIMAL(10, 2)) AS list_price
-FROM raw_services""")
-
-cte("stg_memberships", ["raw_memberships"], """
-SELECT CAST(membership_id AS BIGINT) AS membership_id, CAST(customer_id AS BIGINT) AS customer_id,
-       CAST(location_id AS BIGINT) AS location_id, plan_name,
-       CAST(monthly_fee AS DECIMAL(10, 2)) AS monthly_fee,
-       CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date
-FROM raw_memberships""")
+# What staging does to a raw text column, by name; everything else is a cast to the declared type.
+TEST_RECORD = """(regexp_matches(lower(trim(ifnull(email, ''))), '@clinic-test[.]com$') OR lower(ifnull(first_name, '')) = 'test')"""
+CENTS = "CAST(round(100 * CAST(replace(replace(trim(amount), '$', ''), ',', '') AS DECIMAL(14, 2))) AS BIGINT)"
+TEXT, ID, DAY, TIME, MONEY = "VARCHAR", "BIGINT", "DATE", "TIMESTAMP", "DECIMAL(10, 2)"
+
+# model -> (raw table, columns that only change type: staged name, type, raw name where it differs; computed columns)
+STAGED: dict[str, tuple[str, list[tuple], dict[str, str]]] = {
+    "stg_customers": ("raw_customers", [
+        ("customer_id", ID), ("first_name", TEXT), ("last_name", TEXT), ("home_location_id", ID), ("created_at", TIME)],
+        {"email_normalized": "nullif(lower(trim(email)), '')", "is_test_account": TEST_RECORD}),
+    "stg_services": ("raw_services", [
+        ("service_id", ID), ("service_name", TEXT), ("service_category", TEXT, "category"), ("list_price", MONEY)], {}),
+    "stg_memberships": ("raw_memberships", [
+        ("membership_id", ID), ("customer_id", ID), ("location_id", ID), ("plan_name", TEXT), ("monthly_fee", MONEY),
+        ("start_date", DAY), ("end_date", DAY)], {}),
+    "stg_payments": ("raw_payments", [
+        ("payment_id", ID), ("customer_id", ID), ("location_id", ID), ("appointment_id", ID), ("membership_id", ID),
+        ("payment_type", TEXT), ("paid_at", TIME)],
+        {"amount_cents": CENTS, "is_void": "payment_status = 'void'"}),
+    "stg_appointments": ("raw_appointments r LEFT JOIN status_map v ON v.spelling = lower(regexp_replace(trim(r.status), '[- ]', '', 'g'))", [
+        ("appointment_id", ID), ("customer_id", ID), ("location_id", ID), ("service_id", ID), ("scheduled_at", TIME),
+        ("status_raw", TEXT, "r.status")], {"status": "v.status"}),
+    "stg_leads": ("raw_leads r LEFT JOIN channel_map v ON v.spelling = lower(trim(r.lead_source))", [
+        ("lead_id", ID), ("location_id", ID), ("lead_source_raw", TEXT, "lead_source"), ("created_at", TIME),
+        ("converted_customer_id", ID)], {"channel": "v.channel"}),
+}
+
 
 def _vocabulary(column: str, vocabulary: dict) -> str:
     """A table (spelling, value) of one of the fixed vocabularies."""
@@ -186,165 +203,150 @@ def _vocabulary(column: str, vocabulary: dict) -> str:
 
 
 cte("status_map", [], _vocabulary("status", STATUS_VOCABULARY))
-
-cte("stg_appointments", ["raw_appointments", "status_map"], """
-SELECT CAST(a.appointment_id AS BIGINT) AS appointment_id, CAST(a.customer_id AS BIGINT) AS customer_id,
-       CAST(a.location_id AS BIGINT) AS location_id, CAST(a.service_id AS BIGINT) AS service_id,
-       CAST(a.scheduled_at AS TIMESTAMP) AS scheduled_at, m.status, a.status AS status_raw
-FROM raw_appointments a
-LEFT JOIN status_map m ON m.spelling = lower(regexp_replace(trim(a.status), '[- ]', '', 'g'))""")
-
-cte("stg_payments", ["raw_payments"], """
-SELECT CAST(payment_id AS BIGINT) AS payment_id, CAST(customer_id AS BIGINT) AS customer_id,
-       CAST(location_id AS BIGINT) AS location_id, CAST(appointment_id AS BIGINT) AS appointment_id,
-       CAST(membership_id AS BIGINT) AS membership_id, payment_type,
-       CAST(round(CAST(regexp_replace(trim(amount), '[$,]', '', 'g') AS DECIMAL(14, 2)) * 100) AS BIGINT)
-           AS amount_cents,
-       (payment_status = 'void') AS is_void,
-       CAST(paid_at AS TIMESTAMP) AS paid_at
-FROM raw_payments""")
-
 cte("channel_map", [], _vocabulary("channel", CHANNEL_VOCABULARY))
 
-cte("stg_leads", ["raw_leads", "channel_map"], """
-SELECT CAST(l.lead_id AS BIGINT) AS lead_id, CAST(l.location_id AS BIGINT) AS location_id,
-       l.lead_source AS lead_source_raw, m.channel,
-       CAST(l.created_at AS TIMESTAMP) AS created_at,
-       CAST(l.converted_customer_id AS BIGINT) AS converted_customer_id
-FROM raw_leads l
-LEFT JOIN channel_map m ON m.spelling = lower(trim(l.lead_source))""")
-
-# --- intermediate and certified ----------------------------------------------
+for _model, (_from, _casts, _computed) in STAGED.items():
+    _columns = [f"CAST({c[2] if len(c) > 2 else c[0]} AS {c[1]}) AS {c[0]}" for c in _casts]
+    _columns += [f"{expr} AS {name}" for name, expr in _computed.items()]
+    _needs = [t for t in ("status_map", "channel_map") if t in _from]
+    cte(_model, [_from.split()[0], *_needs], f"SELECT {', '.join(_columns)}\nFROM {_from}")
+
+# a location's name is 'Brand - City': the brand's first word, and the city with each word's first letter in capitals
+cte("city_words", ["raw_locations"], """
+SELECT location_id, generate_subscripts(words, 1) AS place, unnest(words) AS word
+FROM (SELECT location_id, string_split(lower(trim(string_split(trim(location_name), ' - ')[2])), ' ') AS words
+      FROM raw_locations) s""")
+cte("stg_locations", ["raw_locations", "city_words"], """
+WITH cities AS (SELECT location_id, string_agg(upper(word[1]) || word[2:], ' ' ORDER BY place) AS city FROM city_words GROUP BY location_id)
+SELECT CAST(r.location_id AS BIGINT) AS location_id, string_split(r.brand, ' ')[1] || ' - ' || cities.city AS location_name,
+       cities.city, r.brand, r.ownership, r.franchisee_id, CAST(r.opened_on AS DATE) AS opened_on,
+       CAST(r.closed_on AS DATE) AS closed_on, r.closed_on IS NULL AS is_active
+FROM raw_locations r LEFT JOIN cities ON cities.location_id IS NOT DISTINCT FROM r.location_id""")
+
+# --- identity and certified -----------------------------------------------------
+# records with one e-mail are one person, known by the smallest record id; a record without an e-mail stands alone
 cte("int_customer_identity", ["stg_customers"], """
-SELECT c.customer_id, coalesce(f.first_id, c.customer_id) AS master_customer_id, c.email_normalized,
-       c.is_test_account
-FROM stg_customers c
-LEFT JOIN (SELECT email_normalized, min(customer_id) AS first_id FROM stg_customers
-           WHERE email_normalized IS NOT NULL GROUP BY email_normalized) f
-       ON f.email_normalized = c.email_normalized""")
-
-cte("real_ids", ["int_customer_identity"], """
-SELECT customer_id, master_customer_id FROM int_customer_identity WHERE is_test_account = false""")
-
-cte("dim_location", ["stg_locations"], """
-SELECT location_id, location_name, city, brand, ownership, franchisee_id, opened_on, closed_on, is_active
-FROM stg_locations""")
-
-cte("dim_customer", ["stg_customers", "real_ids"], """
-SELECT r.master_customer_id AS customer_id,
-       min(c.created_at) AS first_seen_at,
-       (list(c.home_location_id ORDER BY c.customer_id) FILTER (WHERE c.home_location_id IS NOT NULL))[1]
-           AS home_location_id,
+SELECT customer_id, email_normalized, is_test_account,
+       CASE WHEN email_normalized IS NULL THEN customer_id
+            ELSE min(customer_id) OVER (PARTITION BY email_normalized) END AS master_customer_id
+FROM stg_customers""")
+
+# who a real (not a test) record belongs to
+cte("person", ["int_customer_identity"], """
+SELECT customer_id AS record_id, master_customer_id AS person_id FROM int_customer_identity WHERE NOT is_test_account""")
+
+cte("dim_location", ["stg_locations"], "SELECT * FROM stg_locations")
+
+cte("dim_customer", ["stg_customers", "person"], """
+WITH records AS (SELECT person_id, customer_id, created_at, home_location_id
+                 FROM stg_customers JOIN person ON record_id = customer_id),
+homes AS (SELECT DISTINCT ON (person_id) person_id, home_location_id FROM records
+          WHERE home_location_id IS NOT NULL ORDER BY person_id, customer_id)
+SELECT r.person_id AS customer_id, min(r.created_at) AS first_seen_at, any_value(h.home_location_id) AS home_location_id,
        count(*) AS source_records_merged
-FROM real_ids r JOIN stg_customers c ON c.customer_id = r.customer_id
-GROUP BY r.master_customer_id""")
-
-cte("fct_appointments", ["stg_appointments", "real_ids", "stg_services"], """
-SELECT a.appointment_id, r.master_customer_id AS customer_id, a.location_id, a.service_id, s.service_category,
-       CAST(a.scheduled_at AS DATE) AS appointment_date, a.status
-FROM stg_appointments a
-JOIN real_ids r ON r.customer_id = a.customer_id
-LEFT JOIN stg_services s ON s.service_id = a.service_id""")
-
-cte("fct_payments", ["stg_payments", "real_ids"], """
-SELECT p.payment_id, r.master_customer_id AS customer_id, p.location_id, p.payment_type,
-       CASE p.payment_type WHEN 'membership' THEN 'membership' ELSE 'service' END AS revenue_stream,
-       p.amount_cents, CAST(p.amount_cents AS DOUBLE) / 100 AS amount, CAST(p.paid_at AS DATE) AS payment_date
-FROM stg_payments p JOIN real_ids r ON r.customer_id = p.customer_id
-WHERE p.is_void = false""")
-
-cte("fct_membership_months", ["stg_memberships", "real_ids"], f"""
-SELECT membership_id, customer_id, location_id, plan_name, monthly_fee, CAST(ms AS DATE) AS month_start,
-       CAST(ms AS DATE) = start_m AS is_new, (CAST(ms AS DATE) = end_m) IS TRUE AS is_churned
-FROM (SELECT m.membership_id, r.master_customer_id AS customer_id, m.location_id, m.plan_name, m.monthly_fee,
-             m.start_m, m.end_m,
-             unnest(generate_series(greatest(m.start_m, DATE '{AXIS_FIRST}'),
-                                    least(coalesce(m.end_m, DATE '{AXIS_LAST}'), DATE '{AXIS_LAST}'),
-                                    INTERVAL 1 MONTH)) AS ms
-      FROM (SELECT *, CAST(date_trunc('month', start_date) AS DATE) AS start_m,
-                   CAST(date_trunc('month', end_date) AS DATE) AS end_m
-            FROM stg_memberships) m
-      JOIN real_ids r ON r.customer_id = m.customer_id
-      WHERE m.start_m IS NOT NULL
-        AND greatest(m.start_m, DATE '{AXIS_FIRST}')
-            <= least(coalesce(m.end_m, DATE '{AXIS_LAST}'), DATE '{AXIS_LAST}')) x""")
-
-cte("fct_leads", ["stg_leads", "real_ids"], """
-SELECT l.lead_id, l.location_id, l.channel, CAST(l.created_at AS DATE) AS lead_date,
-       r.master_customer_id AS converted_customer_id, (r.master_customer_id IS NOT NULL) AS is_converted
-FROM stg_leads l
-LEFT JOIN real_ids r ON r.customer_id = l.converted_customer_id""")
+FROM records r LEFT JOIN homes h ON h.person_id = r.person_id
+GROUP BY r.person_id""")
+
+cte("fct_appointments", ["stg_appointments", "person", "stg_services"], """
+SELECT appointment_id, person_id AS customer_id, location_id, a.service_id, service_category,
+       CAST(scheduled_at AS DATE) AS appointment_date, status
+FROM stg_appointments a JOIN person ON record_id = customer_id LEFT JOIN stg_services s ON s.service_id = a.service_id""")
+
+cte("fct_payments", ["stg_payments", "person"], """
+SELECT payment_id, person_id AS customer_id, location_id, payment_type,
+       if(payment_type = 'membership', 'membership', 'service') AS revenue_stream, amount_cents,
+       CAST(amount_cents AS DOUBLE) / 100 AS amount, CAST(paid_at AS DATE) AS payment_date
+FROM stg_payments JOIN person ON record_id = customer_id
+WHERE NOT is_void""")
+
+cte("fct_leads", ["stg_leads", "person"], """
+SELECT lead_id, location_id, channel, CAST(created_at AS DATE) AS lead_date, person_id AS converted_customer_id,
+       person_id IS NOT NULL AS is_converted
+FROM stg_leads LEFT JOIN person ON record_id = converted_customer_id""")
+
+# months are numbered (12 * year + month) so that spans are plain ranges of numbers
+MONTH_NO = "(12 * year({0}) + month({0}) - 1)"
+MONTH_DAY = "make_date(({0}) // 12, ({0}) % 12 + 1, 1)"
+
+
+def month_no(day: str) -> str:
+    return MONTH_NO.format(day)
 
-# --- metrics --------------------------------------------------------------------
-cte("last_activity", ["fct_payments"], """
-SELECT location_id, max(CAST(date_trunc('month', payment_date) AS DATE)) AS last_month
-FROM fct_payments GROUP BY location_id""")
 
+def month_day(number: str) -> str:
+    return f"CAST({MONTH_DAY.format(number)} AS DATE)"
+
+
+FIRST_NO, LAST_NO = month_no(f"DATE '{AXIS_FIRST}'"), month_no(f"DATE '{AXIS_LAST}'")
+
+# a membership is active from its first month to its last one, both included, as far as the axis goes
+cte("fct_membership_months", ["stg_memberships", "person"], f"""
+WITH spans AS (SELECT *, {month_no('start_date')} AS first_no, {month_no('end_date')} AS last_no
+               FROM stg_memberships JOIN person ON record_id = customer_id WHERE start_date IS NOT NULL),
+months AS (SELECT *, unnest(range(greatest(first_no, {FIRST_NO}), least(ifnull(last_no, {LAST_NO}), {LAST_NO}) + 1)) AS no FROM spans)
+SELECT membership_id, person_id AS customer_id, location_id, plan_name, monthly_fee, {month_day('no')} AS month_start,
+       no = first_no AS is_new, last_no IS NOT NULL AND no = last_no AS is_churned
+FROM months""")
+
+# --- metrics --------------------------------------------------------------------
+# The dated facts behind all measures, one row each: which measure it counts for at its location and month, and how much.
+FACTS = [
+    ("fct_payments", "payment_date", "'net_revenue_cents'", "amount_cents", "true"),
+    ("fct_payments", "payment_date", "revenue_stream || '_revenue_cents'", "amount_cents", "true"),
+    ("fct_appointments", "appointment_date", "'appointments_scheduled'", "1", "true"),
+    ("fct_appointments", "appointment_date", "'completed_visits'", "1", "status = 'completed'"),
+    ("fct_appointments", "appointment_date", "'no_shows'", "1", "status = 'no_show'"),
+    ("fct_membership_months", "month_start", "'active_members'", "1", "true"),
+    ("fct_membership_months", "month_start", "'new_members'", "1", "is_new"),
+    ("fct_membership_months", "month_start", "'churned_members'", "1", "is_churned"),
+    ("fct_leads", "lead_date", "'leads'", "1", "true"),
+    ("fct_leads", "lead_date", "'converted_leads'", "1", "is_converted"),
+]
+# rollup -> its measures; the first one exists wherever the rollup has a row
+ROLLUPS = {
+    "revenue_rollup": ["net_revenue_cents", "membership_revenue_cents", "service_revenue_cents"],
+    "visit_rollup": ["appointments_scheduled", "completed_visits", "no_shows"],
+    "member_rollup": ["active_members", "new_members", "churned_members"],
+    "lead_rollup": ["leads", "converted_leads"],
+}
+MEASURES = [m for ms in ROLLUPS.values() for m in ms]
+# ratio, numerator, denominator, decimal digits; without a base there is no ratio
+RATIOS = [
+    ("no_show_rate", "no_shows", "appointments_scheduled", 4),
+    ("revenue_per_visit", "service_revenue", "completed_visits", 2),
+    ("member_churn_rate", "churned_members", "active_members - new_members", 4),
+    ("lead_conversion_rate", "converted_leads", "leads", 4),
+]
+
+cte("facts", sorted({f[0] for f in FACTS}), "\nUNION ALL\n".join(
+    f"SELECT location_id, {month_no(day)} AS no, {measure} AS measure, {amount} AS amount FROM {table} WHERE {where}"
+    for table, day, measure, amount, where in FACTS))
+_SUMS = ", ".join(f"CAST(ifnull(sum(amount) FILTER (WHERE measure = '{m}'), 0) AS BIGINT) AS {m}" for m in MEASURES)
+for _name, _measures in ROLLUPS.items():
+    _in = ", ".join(f"'{m}'" for m in _measures)
+    cte(_name, ["facts"], f"""
+SELECT location_id, {month_day('no')} AS month_start, {', '.join(_measures)}
+FROM (SELECT location_id, no, {_SUMS} FROM facts WHERE measure IN ({_in}) GROUP BY location_id, no) t""")
+cte("all_measures", ["facts"], f"SELECT location_id, no, {_SUMS} FROM facts GROUP BY location_id, no")
+
+cte("last_activity", ["fct_payments"], f"""
+SELECT location_id, {month_day(f"max({month_no('payment_date')})")} AS last_month FROM fct_payments GROUP BY location_id""")
+
+# a location reports from its opening month; after its closing month only as long as money moves
 cte("spine", ["dim_location", "last_activity"], f"""
-SELECT location_id, location_name, brand, ownership, franchisee_id, CAST(ms AS DATE) AS month_start
-FROM (SELECT l.location_id, l.location_name, l.brand, l.ownership, l.franchisee_id,
-             unnest(generate_series(b.first_m, b.last_m, INTERVAL 1 MONTH)) AS ms
-      FROM dim_location l
-      JOIN (SELECT d.location_id,
-                   greatest(CAST(date_trunc('month', d.opened_on) AS DATE), DATE '{AXIS_FIRST}') AS first_m,
-                   CASE WHEN d.closed_on IS NULL THEN DATE '{AXIS_LAST}'
-                        ELSE least(greatest(CAST(date_trunc('month', d.closed_on) AS DATE), a.last_month),
-                                   DATE '{AXIS_LAST}') END AS last_m
-            FROM dim_location d LEFT JOIN last_activity a ON a.location_id = d.location_id
-            WHERE d.opened_on IS NOT NULL) b ON b.location_id = l.location_id
-      WHERE b.first_m <= b.last_m) x""")
-
-cte("revenue", ["fct_payments"], """
-SELECT location_id, CAST(date_trunc('month', payment_date) AS DATE) AS month_start,
-       CAST(sum(amount_cents) AS BIGINT) AS net_revenue_cents,
-       CAST(sum(if(revenue_stream = 'membership', amount_cents, 0)) AS BIGINT) AS membership_revenue_cents,
-       CAST(sum(if(revenue_stream = 'service', amount_cents, 0)) AS BIGINT) AS service_revenue_cents
-FROM fct_payments GROUP BY ALL""")
-
-cte("visits", ["fct_appointments"], """
-SELECT location_id, CAST(date_trunc('month', appointment_date) AS DATE) AS month_start,
-       count(*) AS appointments_scheduled,
-       CAST(count_if(status = 'completed') AS BIGINT) AS completed_visits,
-       CAST(count_if(status = 'no_show') AS BIGINT) AS no_shows
-FROM fct_appointments GROUP BY ALL""")
-
-cte("members", ["fct_membership_months"], """
-SELECT location_id, month_start, count(*) AS active_members,
-       CAST(count_if(is_new) AS BIGINT) AS new_members, CAST(count_if(is_churned) AS BIGINT) AS churned_members
-FROM fct_membership_months GROUP BY ALL""")
-
-cte("leadsr", ["fct_leads"], """
-SELECT location_id, CAST(date_trunc('month', lead_date) AS DATE) AS month_start,
-       count(*) AS leads, CAST(count_if(is_converted) AS BIGINT) AS converted_leads
-FROM fct_leads GROUP BY ALL""")
-
-cte("kpi_location_monthly", ["spine", "revenue", "visits", "members", "leadsr"], """
-SELECT location_id, location_name, brand, ownership, franchisee_id, month_start,
-       CAST(ifnull(net_revenue_cents, 0) AS DOUBLE) / 100 AS net_revenue,
-       CAST(ifnull(membership_revenue_cents, 0) AS DOUBLE) / 100 AS membership_revenue,
-       CAST(ifnull(service_revenue_cents, 0) AS DOUBLE) / 100 AS service_revenue,
-       ifnull(appointments_scheduled, 0) AS appointments_scheduled,
-       ifnull(completed_visits, 0) AS completed_visits,
-       ifnull(no_shows, 0) AS no_shows,
-       CASE WHEN appointments_scheduled > 0 THEN round(ifnull(no_shows, 0) / appointments_scheduled, 4) END
-           AS no_show_rate,
-       CASE WHEN completed_visits > 0
-            THEN round(CAST(ifnull(service_revenue_cents, 0) AS DOUBLE) / 100 / completed_visits, 2) END
-           AS revenue_per_visit,
-       ifnull(active_members, 0) AS active_members,
-       ifnull(new_members, 0) AS new_members,
-       ifnull(churned_members, 0) AS churned_members,
-       CASE WHEN ifnull(active_members, 0) - ifnull(new_members, 0) <> 0
-            THEN round(ifnull(churned_members, 0) / (ifnull(active_members, 0) - ifnull(new_members, 0)), 4) END
-           AS member_churn_rate,
-       ifnull(leads, 0) AS leads,
-       ifnull(converted_leads, 0) AS converted_leads,
-       CASE WHEN leads > 0 THEN round(ifnull(converted_leads, 0) / leads, 4) END AS lead_conversion_rate
-FROM spine
-LEFT JOIN revenue USING (location_id, month_start)
-LEFT JOIN visits USING (location_id, month_start)
-LEFT JOIN members USING (location_id, month_start)
-LEFT JOIN leadsr USING (location_id, month_start)""")
+WITH life AS (SELECT d.location_id, location_name, brand, ownership, franchisee_id, {month_no('opened_on')} AS first_no,
+                     CASE WHEN closed_on IS NOT NULL THEN greatest({month_no('closed_on')}, {month_no('last_month')}) ELSE {LAST_NO} END AS last_no
+              FROM dim_location d LEFT JOIN last_activity a ON a.location_id = d.location_id WHERE opened_on IS NOT NULL),
+numbered AS (SELECT *, unnest(range(greatest(first_no, {FIRST_NO}), least(last_no, {LAST_NO}) + 1)) AS no FROM life)
+SELECT location_id, location_name, brand, ownership, franchisee_id, {month_day('no')} AS month_start FROM numbered""")
+
+_REVENUES = [m for m in MEASURES if m.endswith("_cents")]
+_zeroed = [f"CAST(ifnull(m.{m}, 0) AS DOUBLE) / 100 AS {m.removesuffix('_cents')}" if m in _REVENUES else f"ifnull(m.{m}, 0) AS {m}" for m in MEASURES]
+_guarded = [f"CASE WHEN {below} <> 0 THEN round(({above}) / ({below}), {digits}) END AS {name}" for name, above, below, digits in RATIOS]
+cte("kpi_location_monthly", ["spine", "all_measures"], f"""
+WITH filled AS (SELECT s.*, {', '.join(_zeroed)}
+                FROM spine s LEFT JOIN all_measures m ON m.location_id = s.location_id AND {month_day('m.no')} = s.month_start)
+SELECT *, {', '.join(_guarded)} FROM filled""")
 
 
 def model_sql(name: str) -> str:
@@ -366,10 +368,8 @@ for _m in ["stg_locations", "stg_customers", "stg_services", "stg_memberships",
 
 register("last_activity", model_sql("last_activity"))
 register("location_month_spine", model_sql("spine"))
-register("revenue_rollup", model_sql("revenue"))
-register("visit_rollup", model_sql("visits"))
-register("member_rollup", model_sql("members"))
-register("lead_rollup", model_sql("leadsr"))
+for _m in ROLLUPS:
+    register(_m, model_sql(_m))
 
 # --- B19 ------------------------------------------------------------------------
 register("vocabulary_audit", sql_for("""
@@ -380,13 +380,14 @@ UNION ALL
 SELECT 'lead_channel', lead_source_raw, channel, count(*), channel IS NULL AND lead_source_raw IS NOT NULL
 FROM stg_leads GROUP BY lead_source_raw, channel""", ["stg_appointments", "stg_leads"]))
 
-register("unmapped_values", sql_for("""
+UNMAPPED = """
 SELECT 'appointment_status' AS vocabulary, status_raw AS raw_value, status AS mapped_value, count(*) AS n_rows,
        status_raw IS NOT NULL AS is_unmapped
 FROM stg_appointments WHERE status IS NULL GROUP BY status_raw, status
 UNION ALL
 SELECT 'lead_channel', lead_source_raw, channel, count(*), lead_source_raw IS NOT NULL
-FROM stg_leads WHERE channel IS NULL GROUP BY lead_source_raw, channel""", ["stg_appointments", "stg_leads"]))
+FROM stg_leads WHERE channel IS NULL GROUP BY lead_source_raw, channel"""
+register("unmapped_values", sql_for(UNMAPPED, ["stg_appointments", "stg_leads"]))
 
 # --- F1-F5 ----------------------------------------------------------------------
 register("dq_not_null", sql_for("SELECT * FROM stg_customers WHERE email_normalized IS NULL", ["stg_customers"]))
@@ -426,14 +427,10 @@ FROM (SELECT (SELECT count(*) FROM fct_payments) AS n,
              (SELECT count(*) FROM fct_payments p
               WHERE EXISTS (SELECT 1 FROM stg_customers c
                             WHERE c.customer_id = p.customer_id AND c.is_test_account)) AS t) x""")
-cte("tie_revenue_vs_source", ["raw_payments", "raw_customers", "fct_payments"], """
+cte("tie_revenue_vs_source", ["raw_payments", "raw_customers", "fct_payments"], f"""
 SELECT s AS source_cents, f AS certified_cents, s IS NOT DISTINCT FROM f AS passes
-FROM (SELECT (SELECT CAST(sum(CAST(round(CAST(regexp_replace(trim(p.amount), '[$,]', '', 'g') AS DECIMAL(14, 2))
-                                         * 100) AS BIGINT)) AS BIGINT)
-              FROM raw_payments p JOIN raw_customers c ON c.customer_id = p.customer_id
-              WHERE p.payment_status <> 'void'
-                AND NOT ((suffix(lower(trim(c.email)), '@clinic-test.com') IS TRUE)
-                         OR ((lower(c.first_name) = 'test') IS TRUE))) AS s,
+FROM (SELECT (SELECT CAST(sum({CENTS}) AS BIGINT) FROM raw_payments JOIN raw_customers USING (customer_id)
+              WHERE payment_status <> 'void' AND NOT {TEST_RECORD}) AS s,
              (SELECT CAST(sum(amount_cents) AS BIGINT) FROM fct_payments) AS f) t""")
 
 TIE_OUTS = {
@@ -450,54 +447,90 @@ register("dq_no_test_accounts", model_sql("tie_no_test_accounts"))
 register("dq_revenue_vs_source", model_sql("tie_revenue_vs_source"))
 
 
-def _lit(v) -> str:
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def _check_sql(c) -> str:
-    head = f"SELECT {_lit(c.test_name)} AS test_name, {_lit(c.model)} AS model, {_lit(c.kind)} AS kind, "
-    col = c.columns[0]
-    if c.kind == "not_null":
-        return head + f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {c.model}"
-    if c.kind == "accepted_values":
-        vals = ", ".join(_lit(v) for v in c.values)
-        return head + f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) AS failures FROM {c.model}"
-    if c.kind == "unique":
-        return head + (f"(SELECT count(*) FROM (SELECT {col} FROM {c.model} WHERE {col} IS NOT NULL "
-                       f"GROUP BY {col} HAVING count(*) > 1) d) AS failures")
-    if c.kind == "unique_combo":
-        cols = ", ".join(c.columns)
-        return head + (f"(SELECT count(*) FROM (SELECT {cols} FROM {c.model} GROUP BY {cols} "
-                       f"HAVING count(*) > 1) d) AS failures")
-    if c.kind == "relationships":
-        return head + (f"count(*) AS failures FROM {c.model} WHERE {col} IS NOT NULL AND {col} NOT IN "
-                       f"(SELECT {c.parent_field} FROM {c.parent} WHERE {c.parent_field} IS NOT NULL)")
-    raise ValueError(c.kind)
-
-
-def _suite_cte() -> None:
-    from kpiloom.plans.checks import platform_checks
-    checks = platform_checks()
-    parts = [_check_sql(c) for c in checks]
-    parts += [f"SELECT {_lit(name)}, 'singular', 'tie_out', count(*) FILTER (WHERE NOT coalesce(passes, false)) "
-              f"FROM {cte_name}" for name, cte_name in TIE_OUTS.items()]
-    deps = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | set(TIE_OUTS.values()))
-    cte("dq_results_raw", deps, "\nUNION ALL\n".join(parts))
-    cte("dq_results", ["dq_results_raw"], """
-SELECT test_name, model, kind, failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
-FROM dq_results_raw""")
-
-
-_suite_cte()
+# The 40 generic tests, as SURVEY lists them: test, model, column(s), and what the column is held against.
+TESTS = """
+unique, not_null | stg_locations.location_id
+accepted         | stg_locations.ownership            | corporate, franchise
+unique, not_null | stg_customers.customer_id
+not_null         | stg_customers.is_test_account
+unique, not_null | stg_appointments.appointment_id
+not_null         | stg_appointments.status
+accepted         | stg_appointments.status            | completed, cancelled, no_show
+unique, not_null | stg_payments.payment_id
+not_null         | stg_payments.amount_cents
+accepted         | stg_payments.payment_type          | membership, service, refund
+unique, not_null | stg_leads.lead_id
+not_null         | stg_leads.channel
+accepted         | stg_leads.channel                  | paid_search, paid_social, referral, organic, walk_in
+unique, not_null | dim_location.location_id
+unique, not_null | dim_location.location_name
+accepted         | dim_location.brand                 | Alder Clinics, Birch Wellness
+unique, not_null | dim_customer.customer_id
+refers           | dim_customer.home_location_id      | dim_location.location_id
+unique, not_null | fct_appointments.appointment_id
+refers           | fct_appointments.customer_id       | dim_customer.customer_id
+refers           | fct_appointments.location_id       | dim_location.location_id
+unique, not_null | fct_payments.payment_id
+not_null         | fct_payments.amount_cents
+refers           | fct_payments.location_id           | dim_location.location_id
+together         | fct_membership_months.membership_id, month_start
+unique, not_null | fct_leads.lead_id
+together         | kpi_location_monthly.location_id, month_start
+not_null         | kpi_location_monthly.location_id
+not_null         | kpi_location_monthly.month_start
+"""
+# test -> (kind in the results, SQL that counts its failures)
+COUNTED = {
+    "not_null": ("not_null", "SELECT count(*) FROM {model} WHERE {column} IS NULL"),
+    "accepted": ("accepted_values", "SELECT count(*) FROM {model} WHERE {column} NOT IN ({values})"),
+    "unique": ("unique", "SELECT count(*) FROM (SELECT {column} FROM {model} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1) d"),
+    "together": ("unique_combo", "SELECT count(*) FROM (SELECT {column} FROM {model} GROUP BY {column} HAVING count(*) > 1) d"),
+    "refers": ("relationships", "SELECT count(*) FROM {model} c ANTI JOIN {parent} p ON p.{field} = c.{column} WHERE c.{column} IS NOT NULL"),
+}
+
+
+def _tests() -> list[tuple[str, str, dict]]:
+    """(test, its name in the results, what its SQL is about) of the 40 generic tests."""
+    out = []
+    for line in TESTS.strip().splitlines():
+        tests, target, *against = (x.strip() for x in line.split("|"))
+        model, column = target.split(".", 1)
+        values = ", ".join(f"'{v.strip()}'" for v in against[0].split(",")) if against else ""
+        parent, _, field = against[0].partition(".") if against else ("", "", "")
+        key = "concat_ws('|', membership_id, month_start)" if model == "fct_membership_months" else \
+            "concat_ws('|', location_id, month_start)" if model == "kpi_location_monthly" else \
+            f"CAST({model.split('_')[-1].removesuffix('s')}_id AS VARCHAR)"
+        for test in tests.split(", "):
+            out.append((test, f"{COUNTED[test][0]}_{model}_{column.replace(', ', '__')}",
+                        {"model": model, "column": column, "values": values, "parent": parent, "field": field, "key": key}))
+    return out
+
+
+def _suite() -> tuple[str, list[str]]:
+    """SQL of (test_name, model, kind, failures) for all 45 tests, and the models it reads."""
+    parts, reads = [], set(TIE_OUTS.values())
+    for test, name, about in _tests():
+        kind, count = COUNTED[test]
+        parts.append(f"SELECT '{name}' AS test_name, '{about['model']}' AS model, '{kind}' AS kind, ({count.format(**about)}) AS failures")
+        reads |= {about["model"]} | ({about["parent"]} if test == "refers" else set())
+    parts += [f"SELECT '{name}', 'singular', 'tie_out', (SELECT count(*) FROM {tie} WHERE passes IS DISTINCT FROM true)" for name, tie in TIE_OUTS.items()]
+    return "\nUNION ALL\n".join(parts), sorted(reads)
+
+
+_sql, _reads = _suite()
+cte("suite", _reads, _sql)
+cte("dq_results", ["suite"], "SELECT *, if(failures = 0, 'pass', 'fail') AS status FROM suite")
 register("dq_results", model_sql("dq_results"))
-register("dq_summary", sql_for("""
+SUMMARY = """
 SELECT cast(15 AS bigint) AS models_built, count(*) FILTER (WHERE status = 'pass') AS tests_passed,
        count(*) FILTER (WHERE status <> 'pass') AS tests_failed
-FROM dq_results""", ["dq_results"]))
-register("unparseable_amounts", sql_for("""
+FROM dq_results"""
+UNPARSEABLE = """
 SELECT * FROM raw_payments
 WHERE amount IS NOT NULL
-  AND try_cast(replace(replace(trim(amount), '$', ''), ',', '') AS decimal(14, 2)) IS NULL""", ["raw_payments"]))
+  AND try_cast(replace(replace(trim(amount), '$', ''), ',', '') AS decimal(14, 2)) IS NULL"""
+register("dq_summary", sql_for(SUMMARY, ["dq_results"]))
+register("unparseable_amounts", sql_for(UNPARSEABLE, ["raw_payments"]))
 register("ledger_exclusions", sql_for("""
 SELECT reason, count(*) AS n_rows, cast(sum(amount_cents) AS bigint) AS amount_cents
 FROM (SELECT p.amount_cents,
@@ -527,21 +560,17 @@ SELECT dimension, value,
 FROM (SELECT DISTINCT 'month' AS dimension, month AS value FROM kpi_m
       UNION ALL SELECT DISTINCT 'brand', brand FROM kpi_m) d""", ["kpi_m"]))
 
-cte("rollup", ["kpi_m"], """
-SELECT month, CASE WHEN grouping(brand) = 1 THEN 'All' ELSE brand END AS brand,
-       cast(sum(cast(round(net_revenue * 100) AS bigint)) AS double) / 100.0 AS net_revenue,
-       cast(sum(cast(round(membership_revenue * 100) AS bigint)) AS double) / 100.0 AS membership_revenue,
-       cast(sum(cast(round(service_revenue * 100) AS bigint)) AS double) / 100.0 AS service_revenue,
-       cast(sum(active_members) AS bigint) AS active_members,
-       cast(sum(new_members) AS bigint) AS new_members,
-       cast(sum(churned_members) AS bigint) AS churned_members,
-       cast(sum(appointments_scheduled) AS bigint) AS appointments_scheduled,
-       cast(sum(no_shows) AS bigint) AS no_shows,
-       CASE WHEN sum(active_members) - sum(new_members) > 0
-            THEN sum(churned_members) / (sum(active_members) - sum(new_members)) ELSE 0.0 END AS member_churn_rate,
-       CASE WHEN sum(appointments_scheduled) > 0
-            THEN sum(no_shows) / sum(appointments_scheduled) ELSE 0.0 END AS no_show_rate
-FROM kpi_m GROUP BY GROUPING SETS ((month, brand), (month))""")
+# each row counts for its brand and for 'All'
+_CENTS = ["net_revenue", "membership_revenue", "service_revenue"]
+_COUNTS = ["active_members", "new_members", "churned_members", "appointments_scheduled", "no_shows"]
+_brand_sums = [f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS {c}" for c in _CENTS]
+_brand_sums += [f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _COUNTS]
+_brand_ratios = [f"CASE WHEN {below} > 0 THEN {above} / ({below}) ELSE 0.0 END AS {name}"
+                 for name, above, below, _ in RATIOS if name in ("member_churn_rate", "no_show_rate")]
+cte("rollup", ["kpi_m"], f"""
+WITH counted AS (SELECT * FROM kpi_m UNION ALL SELECT * REPLACE ('All' AS brand) FROM kpi_m),
+sums AS (SELECT month, brand, {', '.join(_brand_sums)} FROM counted GROUP BY month, brand)
+SELECT *, {', '.join(_brand_ratios)} FROM sums""")
 register("monthly_rollup", model_sql("rollup"))
 
 cte("mom_ranked", ["rollup"], """
@@ -644,3 +673,38 @@ SELECT cast(o_orderkey AS varchar) AS o_orderkey, cast(o_custkey AS varchar) AS
        cast(o_orderdate AS varchar) AS o_orderdate, cast(o_orderpriority AS varchar) AS o_orderpriority,
        '{B1}' AS _batch_id, TIMESTAMP '{L1}' AS _loaded_at
 FROM orders""")
+
+register("raw_landing", sql_for("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{','.join(columns)}' AS columns, "
+    + " || '|' || ".join(f"ifnull({c}, '\\N')" for c in columns)
+    + f" AS line, '{B1}' AS _batch_id, TIMESTAMP '{L1}' AS _loaded_at FROM raw_{t}" for t, columns in {
+        "locations": ["location_id", "location_name", "brand", "ownership", "franchisee_id", "opened_on", "closed_on", "updated_at"],
+        "customers": ["customer_id", "first_name", "last_name", "email", "home_location_id", "created_at", "updated_at"],
+        "services": ["service_id", "service_name", "category", "list_price", "updated_at"],
+        "memberships": ["membership_id", "customer_id", "location_id", "plan_name", "monthly_fee", "start_date", "end_date", "updated_at"],
+        "appointments": ["appointment_id", "customer_id", "location_id", "service_id", "scheduled_at", "status", "updated_at"],
+        "payments": ["payment_id", "customer_id", "location_id", "appointment_id", "membership_id", "payment_type", "amount", "payment_status",
+                     "paid_at", "updated_at"],
+        "leads": ["lead_id", "location_id", "lead_source", "created_at", "converted_customer_id", "updated_at"]}.items()), [f"raw_{t}" for t in _RAW]))
+
+# --- the dirty variant -------------------------------------------------------------
+register("dq_results_dirty", sql_for("SELECT * FROM dq_results", ["dq_results"], "faults"))
+register("dq_summary_dirty", sql_for(SUMMARY, ["dq_results"], "faults"))
+register("unmapped_values_dirty", sql_for(UNMAPPED, ["stg_appointments", "stg_leads"], "faults"))
+register("unparseable_amounts_dirty", sql_for(UNPARSEABLE, ["raw_payments"], "amounts"))
+
+
+# the keys that fail a test, counted; each test keeps its five smallest
+KEYS = {
+    "not_null": "SELECT {key} AS k, count(*) AS n FROM {model} WHERE {column} IS NULL GROUP BY ALL",
+    "accepted": "SELECT {key} AS k, count(*) AS n FROM {model} WHERE {column} NOT IN ({values}) GROUP BY ALL",
+    "unique": "SELECT CAST({column} AS VARCHAR) AS k, count(*) AS n FROM {model} WHERE {column} IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
+    "together": "SELECT concat_ws('|', {column}) AS k, count(*) AS n FROM {model} GROUP BY ALL HAVING count(*) > 1",
+    "refers": "SELECT CAST(c.{column} AS VARCHAR) AS k, count(*) AS n FROM {model} c ANTI JOIN {parent} p ON p.{field} = c.{column} "
+              "WHERE c.{column} IS NOT NULL GROUP BY ALL",
+}
+_reported = [f"SELECT '{name}' AS test_name, k AS failing_key, n AS n_rows FROM ({KEYS[test].format(**about)}) t" for test, name, about in _tests()]
+register("dq_failing_keys_dirty", sql_for(f"""
+SELECT test_name, row_number() OVER (PARTITION BY test_name ORDER BY failing_key) AS position, failing_key, n_rows
+FROM ({' UNION ALL '.join(_reported)}) f
+QUALIFY position <= 5""", [r for r in _reads if r not in TIE_OUTS.values()], "faults"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as _F
 
-from kpiloom.functions.vocabulary import STATUS_VALUES as _STATUS
+from kpiloom.functions.vocabulary import STATUS_VALUES as _STATUS, TABLES
 from kpiloom.operators import ingest as _ing
 from kpiloom.operators import quality as _q
 from kpiloom.operators import serving as _s
@@ -22,11 +23,11 @@ from kpiloom.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(name: str):
+def query(name: str, dirt: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(Models.from_testdata(spark, sf_dir))
+            return fn(Models.from_testdata(spark, sf_dir, dirt))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -143,6 +144,19 @@ def _dq_excl(m: Models) -> DataFrame:
     return _q.ledger_exclusions(m.stg_payments, m.int_customer_identity)
 
 
+# the same over the dirty variant of the raw tables, where the tests must find something
+query("dq_results_dirty", "faults")(_dq_results)
+query("dq_summary_dirty", "faults")(_dq_summary)
+query("unmapped_values_dirty", "faults")(_unmapped)
+query("unparseable_amounts_dirty", "amounts")(_dq_amounts)
+
+
+@query("dq_failing_keys_dirty", "faults")
+def _dq_failing(m: Models) -> DataFrame:
+    """The five smallest failing keys of every generic test."""
+    return _q.failing_keys({n: m.model(n) for n in Models.STAGING + Models.CERTIFIED + Models.METRICS}, _checks.platform_checks(), _checks.PRIMARY_KEYS)
+
+
 # --- H: serving -------------------------------------------------------------------
 
 
@@ -201,6 +215,19 @@ def _a5(m: Models) -> DataFrame:
     return _ing.with_audit(_ing.to_raw_text(src), BATCH_1, LOADED_1)
 
 
+@query("raw_landing")
+def _a6(m: Models) -> DataFrame:
+    """All seven source tables landed as raw text with audit columns, one row of text each."""
+    out = None
+    for name in TABLES:
+        landed = _ing.with_audit(_ing.to_raw_text(m.raw[name]), BATCH_1, LOADED_1)
+        data = [c for c in landed.columns if not c.startswith("_")]
+        line = _F.concat_ws("|", *[_F.coalesce(_F.col(c), _F.lit("\\N")) for c in data])
+        rows = landed.select(_F.lit(name).alias("table_name"), _F.lit(",".join(data)).alias("columns"), line.alias("line"), "_batch_id", "_loaded_at")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("upsert_by_key")
 def _a8(m: Models) -> DataFrame:
     return TwoBatches(m.raw).upserted("payments")
