@@ -37,10 +37,12 @@ LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "ex
 
 
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from kpiloom.llm.url_rules import judge_urls, labels_by_id
+    from kpiloom.llm.url_rules import judge_urls, labels_by_id, labels_by_list
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return judge_urls(pages, labels_by_id(pages, labels), LISTED)
+    # the table's labels say nothing of the url here; the verdicts of the listed rules do, and what is mined extends them
+    by_list = labels_by_list(pages, LISTED)
+    by_id = labels_by_id(pages, spark.read.parquet(f"{sf_dir}/labels.parquet")).join(by_list.select("url").distinct(), "url", "left_anti")
+    return judge_urls(pages, by_list.unionByName(by_id), LISTED)
 
 
 def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

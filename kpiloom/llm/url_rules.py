@@ -90,15 +90,50 @@ def recount(lists: DataFrame, candidates: DataFrame, often: DataFrame) -> DataFr
     return held.groupBy("tokens").agg(F.count("*").alias("n"), F.sum(F.col("blocked").cast("long")).alias("hits"))
 
 
+def generators(lists: DataFrame, often: DataFrame, least: float) -> DataFrame:
+    """(tokens, n, hits): every combination that at least ``least`` blocked lists hold and that is held by fewer lists than each
+    combination with one token less.
+
+    A combination without that property is held by the very lists of a smaller one, so as a rule it is as confident and goes;
+    so do all that contain it.  Level by level: pairs from the lists themselves, longer ones by joining two that differ in
+    their last token only, if all their parts were kept; counted by the inverted index.
+    """
+    known = level = materialize(recount(lists, _short(lists, least), often).where(F.col("hits") >= least), "url-level")
+    size = 2
+    single = level.where(F.size("tokens") == 1)
+    level = materialize(_fewer(level.where(F.size("tokens") == 2), single, 2), "url-level")
+    known = single.unionByName(level)
+    while level.take(1):
+        a = level.select(F.slice("tokens", 1, size - 1).alias("begin"), F.element_at("tokens", -1).alias("x"))
+        b = a.select("begin", F.col("x").alias("y"))
+        longer = a.join(b, "begin").where("x < y").select(F.concat("begin", F.array("x", "y")).alias("tokens"))
+        parts = longer.select("tokens", F.explode("tokens").alias("t")).select(F.col("tokens").alias("whole"), F.array_remove("tokens", F.col("t")).alias("tokens"))
+        size += 1
+        longer = (parts.join(level.select("tokens"), "tokens").groupBy(F.col("whole").alias("tokens")).agg(F.count("*").alias("c"))
+                  .where(F.col("c") == size).select("tokens"))
+        counted = recount(lists, longer, often).where(F.col("hits") >= least)
+        level = materialize(_fewer(counted, level, size), "url-level")
+        known = known.unionByName(level)
+    return known
+
+
+def _fewer(counted: DataFrame, level: DataFrame, size: int) -> DataFrame:
+    """Those of ``counted`` that fewer lists hold than each of their parts, all of which are in ``level``."""
+    parts = counted.select(F.col("tokens").alias("whole"), "n", "hits", F.explode("tokens").alias("t")).withColumn("tokens", F.array_remove("whole", F.col("t")))
+    held = parts.join(level.select("tokens", F.col("n").alias("n_part")), "tokens")
+    good = held.groupBy("whole", "n", "hits").agg(F.min("n_part").alias("least"), F.count("*").alias("c")).where((F.col("least") > F.col("n")) & (F.col("c") == size))
+    return good.select(F.col("whole").alias("tokens"), "n", "hits")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
          min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules (rule_id, tokens, support, confidence, lift) from ``labelled`` (tokens, blocked boolean).
 
     Tokens below the support can be in no rule and are left out before FP-growth, as are those in nine of ten urls; of a
     url FP-growth sees the ``MAX_TOKENS`` most frequent that remain, as the combinations double with each token.  Where a
-    url has more, all its tokens take part in combinations of one and two, and all figures are counted anew over the whole
-    token sets: confidence is exact, rules of one or two tokens are complete, longer ones as far as FP-growth saw their
-    tokens.  Without blocked urls there are no rules.
+    url has more, the combinations of all its tokens are found level by level (:func:`generators`) and all figures are
+    counted anew over the whole token sets.  Rules of any length and their figures are exact either way.  Without blocked
+    urls there are no rules.
     """
     total = labelled.count()
     schema = "rule_id long, tokens array<string>, support double, confidence double, lift double"
@@ -122,7 +157,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("hits"))
     counted = alone.join(both, "tokens")
     if (lists.agg(F.max(F.size("tokens"))).first()[0] or 0) > MAX_TOKENS:
-        counted = recount(lists, both.select("tokens").union(_short(lists, min_support * total)).distinct(), often).where(F.col("hits") >= min_support * total)
+        counted = materialize(generators(lists, often, min_support * total), "url-generators")
     rules = counted.withColumns({"support": F.col("hits") / total, "confidence": F.col("hits") / F.col("n")})
     rules = rules.withColumn("lift", F.col("confidence") / share if share else F.lit(0.0))
     rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
@@ -153,7 +188,8 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, labelled: DataFrame, listed: list[tuple[str, str, str]], id_name: str = "page_id", url: str = "url") -> DataFrame:
     """id, host, path, rule, verdict, mined_rule, confidence for every row of ``pages``.
 
-    ``labelled`` has url and blocked.  Null urls and those without ``://`` have empty host and path, no tokens, and are
+    ``labelled`` has url and blocked; a listed rule, where one fits, goes before what was mined.  An empty table of pages gives
+    no rows, and one of labels no rules; a very long url only has many tokens.  Null urls and those without ``://`` have empty host and path, no tokens, and are
     allowed.  Rows are judged by their url alone, so repeated and tied rows agree, and null ids do no harm.
     """
     u = F.col(f"`{url}`").cast("string")
@@ -169,6 +205,14 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, listed: list[tuple[str, st
     return out.select(id_name, "host", "path", F.col("_list.rule").alias("rule"), verdict.alias("verdict"), F.col("rule_tokens").alias("mined_rule"), "confidence")
 
 
+def labels_by_list(pages: DataFrame, listed: list[tuple[str, str, str]]) -> DataFrame:
+    """(url, blocked) of the pages that a listed rule fits: its verdict is their label."""
+    url = F.col("url").cast("string")
+    host, path, _ = url_parts(url)
+    fit = pages.select(url.alias("url"), host.alias("h"), path.alias("p")).select("url", list_verdict(F.col("h"), F.col("p"), listed)["verdict"].alias("v"))
+    return fit.where("v is not null").select("url", (F.col("v") == "block").alias("blocked"))
+
+
 def labels_by_id(pages: DataFrame, labels: DataFrame, id_name: str = "page_id", label_id: str = "doc_id") -> DataFrame:
     """(url, blocked) of labelled pages: a page is to be blocked if its document is labelled toxic or of low quality.
     Rows with no label or a null one are left out; several labels of a page: the worst counts."""

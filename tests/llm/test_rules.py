@@ -75,6 +75,50 @@ def test_url_rules_of_rare_tokens(spark, monkeypatch):
     assert got == {1: ("block", "key=bad & key=worse", 1.0), 2: ("allow", None, None), 3: ("allow", None, None)}
 
 
+def brute_rules(lists, least, min_confidence, min_lift):
+    """All rules over the whole token sets, by enumeration."""
+    from itertools import combinations
+    total, share, rules = len(lists), sum(b for _, b in lists) / len(lists), {}
+    for s in {c for tokens, b in lists if b for k in range(1, len(tokens) + 1) for c in combinations(sorted(tokens), k)}:
+        held = [b for tokens, b in lists if set(s) <= tokens]
+        if sum(held) >= least and sum(held) / len(held) >= min_confidence and sum(held) / len(held) / share >= min_lift:
+            rules[s] = (sum(held) / total, sum(held) / len(held))
+    return {s: v for s, v in rules.items() if not any(rules.get(tuple(x for x in s if x != t), (0, -1))[1] >= v[1] for t in s)}
+
+
+@pytest.mark.parametrize("seed,most", [(1, 24), (1, 3), (2, 2), (3, 4)])
+def test_rules_of_any_length_against_enumeration(spark, monkeypatch, seed, most):
+    """Support and confidence of every rule equal a count over all lists, also where lists are longer than FP-growth is given."""
+    import random
+    r = random.Random(seed)
+    monkeypatch.setattr(url_rules, "MAX_TOKENS", most)
+    monkeypatch.setattr(url_rules, "MIN_URLS", 8)
+    lists = []
+    for _ in range(300):
+        tokens = {t for t in "abcdefgh" if r.random() < .45}
+        bad = {"a", "b", "c"} <= tokens or {"d", "e"} <= tokens and r.random() < .9 or {"e", "f", "g", "h"} <= tokens or r.random() < .05
+        if "a" in tokens:
+            tokens.add("always with a")
+        lists.append((tokens, bad))
+    df = spark.createDataFrame([(sorted(t), b) for t, b in lists], "tokens array<string>, blocked boolean")
+    got = url_rules.mine(df, 0.03, 0.7, 1.5).collect()
+    want = brute_rules(lists, max(0.03 * 300, 8), 0.7, 1.5)
+    # tokens that always stand together make equally good rules of one size: FP-growth and the levels keep all of them
+    assert {tuple(x.tokens): (round(x.support, 9), round(x.confidence, 9)) for x in got} == {k: (round(a, 9), round(b, 9)) for k, (a, b) in want.items()}
+    assert any(len(x.tokens) > 2 for x in got)
+
+
+def test_listed_verdicts_are_labels(spark):
+    """Rules mined from the list's own verdicts carry over to hosts that the list does not name; odd urls do no harm."""
+    urls = [f"http://h{i % 9}.com/{'fr' if i % 3 else 'de'}/{i}" for i in range(300)] + [f"http://h.net/{p}/1" for p in ("de", "fr")] + [None, "", "http://x.com/" + "a/" * 20_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {x.page_id: (x.rule, x.verdict, x.mined_rule) for x in url_rules.judge_urls(pages, url_rules.labels_by_list(pages, LISTED), LISTED).collect()}
+    assert len(got) == len(urls)
+    assert got[300][:2] == (None, "block") and "path=de" in got[300][2] and got[301] == (None, "allow", None)
+    assert got[0][:2] == ("com/de/", "block") and got[1][:2] == ("com/fr/", "allow")
+    assert url_rules.judge_urls(pages.limit(0), url_rules.labels_by_list(pages, LISTED), LISTED).count() == 0
+
+
 def test_permutations(spark):
     d = spark.range(3000).withColumn("p", pseudonyms.permute_number(F.col("id"), 60, 50, "k", "t"))
     d = d.withColumn("b", pseudonyms.permute_number(F.col("p"), 60, 50, "k", "t", True))
