@@ -5,12 +5,11 @@ Cross-layer tie-outs (F6-F10) return one row with both totals and a null-safe
 ``passes`` flag, so the result is never empty. :func:`run_suite` turns test
 specs into one DataFrame of failure counts: generic checks, key checks and
 the totals that tie-outs compare are evaluated in a single pass -- one scan
-per model and one ``groupBy(check, key)`` for the whole suite.
+per model and one aggregation of what they report for the whole suite.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -152,7 +151,7 @@ def ledger_exclusions(stg_payments: DataFrame, identity: DataFrame) -> DataFrame
 @dataclass(frozen=True)
 class Check:
     """One data test: ``kind`` in not_null, unique, accepted_values, relationships, unique_combo,
-    absent_from (the child value must NOT occur among the parent rows selected by ``parent_where``)."""
+    absent_from (the child value must NOT occur among the parent rows selected by ``parent_where``, a SQL condition)."""
     model: str
     kind: str
     columns: tuple[str, ...]
@@ -160,7 +159,7 @@ class Check:
     parent: str | None = None
     parent_field: str | None = None
     name: str = field(default="")
-    parent_where: Callable[[], Column] | None = None      # absent_from: which parent rows count
+    parent_where: str | None = None                       # absent_from: which parent rows count
     report_as: tuple[str, str] | None = None              # (model, kind) shown in the results
 
     @property
@@ -174,12 +173,12 @@ class Check:
 class Total:
     """A named total over one model, computed in the suite's single pass.
 
-    ``expr`` builds the per-row value to sum. ``empty_as_zero`` gives count
+    ``expr`` is the SQL of the per-row value to sum. ``empty_as_zero`` gives count
     semantics (0 over no rows) instead of sum semantics (null over no rows).
     """
     name: str
     model: str
-    expr: Callable[[], Column]
+    expr: str
     empty_as_zero: bool = False
 
 
@@ -191,55 +190,77 @@ class TieOut:
     b: str
 
 
-ROW_LOCAL = {"not_null", "accepted_values"}
-KEYED = {"unique", "unique_combo", "relationships"}
+INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
-class _Consts:
-    """Constant columns shared by all emitted records (fewer JVM round trips)."""
+def _quoted(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def __init__(self):
-        self.zero, self.one = F.lit(0).cast("long"), F.lit(1).cast("long")
-        self.true, self.empty = F.lit(True), F.lit("")
-        self.no_amount = F.lit(None).cast("long")
 
+class _Pass:
+    """The one statement that measures a model for all checks and totals that touch it."""
 
-def _entry(k: _Consts, check: str, key: Column, n: bool = False, child: bool = False, parent: bool = False,
-           fail: bool = False, keep: Column | None = None, amount: Column | None = None) -> Column:
-    bit = lambda on: k.one if on else k.zero
-    return F.struct(F.lit(check).alias("check"), key.cast("string").alias("key"),
-                    bit(n).alias("n"), bit(child).alias("child"), bit(parent).alias("parent"),
-                    bit(fail).alias("fail"), (k.no_amount if amount is None else amount.cast("long")).alias("amount"),
-                    (k.true if keep is None else keep).alias("keep"))
+    def __init__(self, name: str, key_type: str):
+        self.name, self.key_type = name, key_type
+        self.columns: list[str] = []               # key columns of all sets, in order
+        self.sets: list[tuple[str, ...]] = []
+        self.measures: list[str] = []              # aggregates, named m0, m1, ...
+        self.records: list[tuple[tuple[str, ...], str, str]] = []
 
+    def measure(self, aggregate: str) -> str:
+        self.measures.append(aggregate)
+        return f"m{len(self.measures) - 1}"
 
-def _entries_for(model: str, checks: list[Check], totals: list[Total], k: _Consts) -> list[Column]:
-    out: list[Column] = []
-    for c in checks:
-        col = F.col(c.columns[0])
-        if c.model == model:
-            if c.kind == "not_null":
-                out.append(_entry(k, c.test_name, k.empty, fail=True, keep=col.isNull()))
-            elif c.kind == "accepted_values":
-                bad = col.isNotNull() & ~col.isin(list(c.values))
-                out.append(_entry(k, c.test_name, k.empty, fail=True, keep=bad))
-            elif c.kind == "unique":
-                out.append(_entry(k, c.test_name, col, n=True, keep=col.isNotNull()))
-            elif c.kind == "unique_combo":
-                out.append(_entry(k, c.test_name, F.to_json(F.struct(*[F.col(x) for x in c.columns])), n=True))
+    def record(self, keys: tuple[str, ...], test: str, when: str, **values: str) -> None:
+        """Emit a record for each group of a key set (the empty one: all rows) where ``when`` holds."""
+        if keys not in self.sets:
+            self.sets.append(keys)
+            self.columns += [k for k in keys if k not in self.columns]
+        v = {"key": "NULL", "fail": "0", "child": "0", "parent": "0", "total": "NULL", **values}
+        v["key"] = f"CAST({v['key']} AS {self.key_type})"
+        fields = ", ".join(f"'{k}', " + (v[k] if k == "key" else f"CAST({v[k]} AS BIGINT)") for k in ("key", "fail", "child", "parent", "total"))
+        self.records.append((keys, when, f"named_struct('test', {_quoted(test)}, {fields})"))
+
+    def key(self, column: str) -> str:
+        return f"k{self.columns.index(column)}"
+
+    def add(self, c: Check) -> None:
+        col = f"`{c.columns[0]}`"
+        if c.model == self.name:
+            if c.kind in ("not_null", "accepted_values"):
+                bad = f"{col} IS NULL" if c.kind == "not_null" else f"{col} NOT IN ({', '.join(_quoted(v) for v in c.values)})"
+                self.record((), c.test_name, "true", fail=self.measure(f"count_if({bad})"))
+            elif c.kind in ("unique", "unique_combo"):
+                some = f"{{{c.columns[0]}}} IS NOT NULL" if c.kind == "unique" else "true"
+                self.record(c.columns, c.test_name, f"n > 1 AND {some}", fail="1")
             elif c.kind in ("relationships", "absent_from"):
-                out.append(_entry(k, c.test_name, col, child=True, keep=col.isNotNull()))
+                k = f"{{{c.columns[0]}}}"
+                self.record(c.columns, c.test_name, f"{k} IS NOT NULL", key=k, child="n")
             else:
                 raise ValueError(f"unknown check kind {c.kind}")
-        if c.kind in ("relationships", "absent_from") and c.parent == model:
-            pk = F.col(c.parent_field)
-            keep = pk.isNotNull() if c.parent_where is None else pk.isNotNull() & F.coalesce(c.parent_where(),
-                                                                                               F.lit(False))
-            out.append(_entry(k, c.test_name, pk, parent=True, keep=keep))
-    for t in totals:
-        if t.model == model:
-            out.append(_entry(k, t.name, k.empty, amount=t.expr()))
-    return out
+        if c.kind in ("relationships", "absent_from") and c.parent == self.name:
+            k = f"{{{c.parent_field}}}"
+            where = f" AND coalesce({self.measure(f'bool_or({c.parent_where})')}, false)" if c.parent_where else ""
+            self.record((c.parent_field,), c.test_name, f"{k} IS NOT NULL{where}", key=k, parent="1")
+
+    def sql(self) -> str:
+        """Groups by all key sets at once (one scan, typed keys), then a record where a group has something to report."""
+        all_of = (1 << len(self.columns)) - 1
+
+        def group(keys: tuple[str, ...]) -> int:
+            """grouping_id of a set: a bit for each column that it leaves out."""
+            return sum(1 << (len(self.columns) - 1 - i) for i, c in enumerate(self.columns) if c not in keys) if keys else all_of
+
+        names = {c: self.key(c) for c in self.columns}
+        emit = ", ".join(f"IF(g = {group(keys)} AND {when.format(**names)}, {struct.format(**names)}, NULL)" for keys, when, struct in self.records)
+        aggregates = ", ".join(["count(*) AS n", *[f"{m} AS m{i}" for i, m in enumerate(self.measures)]])
+        if not self.columns:
+            return f"SELECT inline(array_compact(array({emit}))) FROM (SELECT 0 AS g, {aggregates} FROM {{model}})"
+        keys = ", ".join(names.values())
+        sets = ", ".join("(" + ", ".join(names[c] for c in s) + ")" for s in self.sets)
+        renamed = ", ".join(f"`{c}` AS {k}" for c, k in names.items())
+        return (f"SELECT inline(array_compact(array({emit}))) FROM (SELECT grouping_id() AS g, {keys}, {aggregates} "
+                f"FROM (SELECT *, {renamed} FROM {{model}}) GROUP BY {keys} GROUPING SETS ({sets}))")
 
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check],
@@ -247,68 +268,61 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
               ties: list[TieOut] | None = None, external: dict[str, DataFrame] | None = None) -> DataFrame:
     """DataFrame(test_name, model, kind, failures, status) for all checks.
 
-    One scan per model and one shuffle for the whole suite: every model row
-    emits a small (check, key, counters) record for each check it takes part
-    in -- a failing row-local test, a key to count for uniqueness, a child or
-    parent key of a relationship, a value for a named total -- and a single
-    ``groupBy(check, key)`` (partially aggregated map-side, so hot keys and
-    the one-key totals collapse early) gives duplicate keys, orphan children
-    and totals for every check at once. ``ties`` compare two totals in the
-    same final aggregation (no second scan of the models they read);
-    ``external`` adds one-row totals computed elsewhere (e.g. from raw data)
-    to compare against. Tie-outs in ``singular`` count as one failure when
-    their ``passes`` flag is not true.
+    One scan per model: its rows are grouped by all keys that are tested at once
+    (grouping sets, keys in their own types), the empty set among them, in which
+    the row-local tests and the totals are plain aggregates that collapse before the
+    shuffle. A group reports only what counts: a repeated key, a child key with
+    its rows, a parent key, or the model's totals. These few records meet in one
+    ``groupBy(test, key)``, which gives orphans and totals. Hot keys are combined
+    map-side throughout. ``ties`` compare two totals in the same final aggregation
+    (no second scan of the models they read); ``external`` adds one-row totals
+    computed elsewhere (e.g. from raw data) to compare against. Tie-outs in
+    ``singular`` count as one failure when their ``passes`` flag is not true.
     """
     totals, ties = totals or [], ties or []
     names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | {t.model for t in totals})
-    parts = []
-    k = _Consts()
+    linked = [c for c in checks if c.kind in ("relationships", "absent_from")]
+    kinds = {dict(models[m].dtypes)[f] for c in linked for m, f in ((c.model, c.columns[0]), (c.parent, c.parent_field))}
+    key_type = "BIGINT" if kinds <= INTEGRAL else "STRING"
+    emitted = None
     for name in names:
-        entries = _entries_for(name, checks, totals, k)
-        if entries:
-            parts.append(models[name].select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-                         .where(F.col("keep")).drop("keep"))
-    emitted = parts[0]
-    for p in parts[1:]:
-        emitted = emitted.unionByName(p)
-    per_key = emitted.groupBy("check", "key").agg(
-        F.sum("n").alias("n"), F.sum("child").alias("child"), F.max("parent").alias("parent"),
-        F.sum("fail").alias("fail"), F.sum("amount").alias("amount"))
-    per_check = per_key.groupBy("check").agg(
-        F.sum("fail").alias("fail_rows"),
-        F.count_if(F.col("n") > 1).alias("dup_keys"),
-        F.sum(F.when((F.col("parent") == 0) & (F.col("child") > 0), F.col("child"))).alias("orphan_rows"),
-        F.sum(F.when((F.col("parent") > 0) & (F.col("child") > 0), F.col("child"))).alias("matched_rows"),
-        F.sum("amount").alias("total"))
+        p = _Pass(name, key_type)
+        for c in checks:
+            p.add(c)
+        for t in totals:
+            if t.model == name:
+                p.record((), t.name, "true", total=p.measure(f"sum(CAST({t.expr} AS BIGINT))"))
+        if p.records:
+            spark = models[name].sparkSession
+            part = spark.sql(p.sql(), model=models[name])
+            emitted = part if emitted is None else emitted.unionByName(part)
+    per_key = emitted.groupBy("test", "key").agg(F.sum("fail").alias("fail"), F.sum("child").alias("child"), F.max("parent").alias("parent"), F.sum("total").alias("total"))
+    per_test = per_key.groupBy(F.col("test").alias("check")).agg(
+        F.sum("fail").alias("fail"),
+        F.sum(F.when(F.col("parent") == 0, F.col("child"))).alias("orphans"),
+        F.sum(F.when(F.col("parent") > 0, F.col("child"))).alias("matched"),
+        F.sum("total").alias("total"))
     for name, one_row in (external or {}).items():
         # a one-row total computed elsewhere (e.g. from raw data), compared like the others
-        per_check = per_check.unionByName(one_row.select(
-            F.lit(name).alias("check"), *[F.lit(None).cast("long").alias(c) for c in
-                                           ["fail_rows", "dup_keys", "orphan_rows", "matched_rows"]],
+        per_test = per_test.unionByName(one_row.select(
+            F.lit(name).alias("check"), *[F.lit(None).cast("long").alias(c) for c in ["fail", "orphans", "matched"]],
             F.col(one_row.columns[0]).cast("long").alias("total")))
     spark = emitted.sparkSession
     zero_totals = {t.name for t in totals if t.empty_as_zero}
-    spec_rows = [(c.test_name, c.test_name, *(c.report_as or (c.model, c.kind)), None, False) for c in checks]
-    kind_of = {c.test_name: c.kind for c in checks}
+    spec_rows = [(c.test_name, c.test_name, *(c.report_as or (c.model, c.kind)), None, False, c.kind) for c in checks]
     for t in ties:
-        spec_rows += [(t.a, t.name, "singular", "tie_out", "a", t.a in zero_totals),
-                      (t.b, t.name, "singular", "tie_out", "b", t.b in zero_totals)]
+        spec_rows += [(t.a, t.name, "singular", "tie_out", "a", t.a in zero_totals, "tie"),
+                      (t.b, t.name, "singular", "tie_out", "b", t.b in zero_totals, "tie")]
     specs = spark.createDataFrame(spec_rows, "check string, test_name string, model string, kind string, "
-                                             "side string, empty_as_zero boolean")
-    absent = [name for name, kind in kind_of.items() if kind == "absent_from"]
-    j = specs.join(per_check, "check", "left")
+                                             "side string, empty_as_zero boolean, counts string")
+    j = specs.join(per_test, "check", "left")
     total = F.when(F.col("empty_as_zero"), F.coalesce(F.col("total"), F.lit(0).cast("long"))).otherwise(F.col("total"))
-    raw = (F.when(F.col("kind").isin(*ROW_LOCAL), F.col("fail_rows"))
-           .when(F.col("kind") == "relationships", F.col("orphan_rows")))
-    if absent:
-        raw = raw.when(F.col("check").isin(*absent), F.col("matched_rows"))
-    raw = raw.otherwise(F.col("dup_keys"))
+    raw = F.when(F.col("counts") == "relationships", F.col("orphans")).when(F.col("counts") == "absent_from", F.col("matched")).otherwise(F.col("fail"))
     g = j.groupBy("test_name", "model", "kind").agg(
-        F.max(raw).alias("__raw"),
+        F.max(raw).alias("__raw"), F.max(F.col("counts") == "tie").alias("__tie"),
         F.max(F.when(F.col("side") == "a", total)).alias("__a"),
         F.max(F.when(F.col("side") == "b", total)).alias("__b"))
-    is_tie = F.col("test_name").isin(*[t.name for t in ties]) if ties else F.lit(False)
-    failures = F.when(is_tie, F.when(F.col("__a").eqNullSafe(F.col("__b")), F.lit(0)).otherwise(F.lit(1))) \
+    failures = F.when(F.col("__tie"), F.when(F.col("__a").eqNullSafe(F.col("__b")), F.lit(0)).otherwise(F.lit(1))) \
         .otherwise(F.coalesce(F.col("__raw"), F.lit(0)))
     out = g.select("test_name", "model", "kind", failures.cast("bigint").alias("failures"))
     for name, df in (singular or {}).items():

@@ -172,7 +172,7 @@ def test_single_pass_suite_matches_the_standalone_checks(spark, child_rows, pare
               Check("child", "relationships", ("k",), parent="parent", parent_field="k"),
               Check("child", "unique_combo", ("k", "v")),
               Check("child", "absent_from", ("k",), parent="parent", parent_field="k", name="absent",
-                    parent_where=lambda: F.col("flag"))]
+                    parent_where="flag")]
     got = {r.test_name: r.failures for r in q.run_suite({"child": child, "parent": parent}, checks).collect()}
     flagged = {k for k, f in parent_rows if f and k is not None}
     expected = {
