@@ -333,11 +333,16 @@ def keep_representatives(docs: DataFrame, k: int = 5, percent: int = 80, id_name
     cols = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in cols]).alias("row"), F.col(f"`{id_name}`").cast("long").alias("id"),
                        F.col(f"`{text}`").cast("string").alias("text"))
-    several = rows.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1 and id is not null").select(F.col("id").alias("again"))
-    rows = rows.where("id is not null").join(several, F.col("id") == F.col("again"), "left")
+    several = materialize(rows.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1 and id is not null").select(F.col("id").alias("again")), "repeated-ids")
+    nameless = docs.where(F.col(f"`{id_name}`").cast("long").isNull())
+    rows = rows.where("id is not null")
+    if not several.take(1):                                     # ids name rows
+        best = jaccard_join(rows.select(F.col("id").alias("doc_id"), "text"), k, percent).where("doc_id = component_id").select(F.col("doc_id").alias("id"))
+        return rows.join(best, "id", "left_semi").select("row.*").unionByName(nameless)
+    rows = rows.join(several, F.col("id") == F.col("again"), "left")
     rows = rows.select("row", "id", "text", F.when(F.col("again").isNull(), F.col("id")).otherwise(F.xxhash64("id", "text")).alias("name"))
     linked = jaccard_join(rows.select(F.col("name").alias("doc_id"), "text"), k, percent).select(F.col("doc_id").alias("name"), "component_id").distinct()
     linked = linked.join(rows.select("id", "name").distinct(), "name")
     best = linked.groupBy("component_id").agg(F.min(F.struct("id", "name")).alias("best")).select(F.col("best.name").alias("name"))
     good = rows.join(best, "name", "left_semi").groupBy("name").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
-    return good.select("row.*").unionByName(docs.where(F.col(f"`{id_name}`").cast("long").isNull()))
+    return good.select("row.*").unionByName(nameless)
