@@ -23,7 +23,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import materialize, scratch_path
@@ -33,6 +33,7 @@ MAGIC = b"WVMX0001"
 BLOCK = 512
 TOKENS_PER_SHARD = 3_000_000
 BYTES_PER_RANGE = 24 << 20
+MAX_RANGES = 20_000                        # reducers and map outputs that a driver can keep track of
 END = 0
 
 
@@ -298,15 +299,18 @@ META = pa.schema([("part", pa.int64()), ("shard", pa.int64()), ("file", pa.strin
 def write(docs: DataFrame, folder: str, tokenizer: str, id_name: str = "doc_id", text: str = "text", end: int = END,
           per_shard: int = TOKENS_PER_SHARD, per_range: int = BYTES_PER_RANGE) -> DataFrame:
     """Write ``docs`` in order of their id (null first, equal ids by text) to shard files; returns the list of files with
-    ``start``, the number of ids before each.  Null texts are empty; other columns are ignored."""
+    ``start``, the number of ids before each, which is also kept beside the folder (``-index``), so that any session can
+    :func:`read` it.  Null texts are empty; other columns are ignored."""
     d = docs.select(F.col(f"`{id_name}`").cast("long").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
     total = d.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    ranges = max(1, -(-total // per_range))
+    ranges = min(MAX_RANGES, max(1, -(-total // per_range)))      # beyond it ranges grow; a task begins a new shard as often as needed
     meta = (d.repartitionByRange(ranges, "_id").sortWithinPartitions("_id", "_text")
             .mapInArrow(_writer(folder, tokenizer, end, per_shard), "part long, shard long, file string, n_ids long, n_docs long"))
     meta = materialize(meta, "token-files")          # the files are written here, once
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)    # a row per file
-    return meta.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    index = f"{folder.rstrip('/')}-index"
+    meta.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).coalesce(1).write.mode("overwrite").parquet(index)
+    return docs.sparkSession.read.parquet(index)
 
 
 def _read(batches):
@@ -321,9 +325,9 @@ def _read(batches):
                  pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["file", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
-def read(folder: str, files: DataFrame, id_name: str = "doc_id") -> DataFrame:
+def read(spark: SparkSession, folder: str, id_name: str = "doc_id") -> DataFrame:
     """One row per document in the files: id, start, n_tokens (with the end id), ids_crc32, file."""
-    spark = files.sparkSession
+    files = spark.read.parquet(f"{folder.rstrip('/')}-index")
     if not files.head(1):
         return spark.createDataFrame([], f"`{id_name}` long, start long, n_tokens long, ids_crc32 long, file string")
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.wvm").load(folder).select("path", "content")
@@ -344,4 +348,5 @@ def write_and_read(docs: DataFrame, tokenizer: str | None = None, id_name: str =
     writes no file and gives no rows.
     """
     folder = scratch_path(docs.sparkSession, "tokens")
-    return read(folder, write(docs, folder, tokenizer or default_tokenizer(), id_name, text), id_name)
+    write(docs, folder, tokenizer or default_tokenizer(), id_name, text)
+    return read(docs.sparkSession, folder, id_name)

@@ -86,6 +86,36 @@ def test_toxicity_without_labels(spark):
     assert [x.score < 0.5 for x in toxicity.score(docs, toxicity.fit(docs, none)).collect()] == [True]
 
 
+def test_toxicity_of_odd_tables(spark):
+    """Repeated ids bring one text each to the driver, very long texts none; all are scored; columns may clash."""
+    r = random.Random(9)
+    rows = [(i % 40, prose(r, 30) + (" vileword" if i % 40 % 2 else ""), "c", 0.5) for i in range(400)] + [(50, "vileword " * 200_000, None, None), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", label string, score double")
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(40)] + [(50, 0, "x")], "doc_id long, label int, text string")
+    taken = []
+    train = toxicity.train
+    toxicity.train = lambda texts, y: (taken.append((len(texts), max(map(len, texts)))), train(texts, y))[1]
+    try:
+        model = toxicity.fit(docs, labels)
+    finally:
+        toxicity.train = train
+    assert taken[0][0] == 40 and taken[0][1] <= toxicity.SAMPLE_BYTES
+    got = toxicity.score(docs, model)
+    assert got.columns == ["doc_id", "score"] and got.count() == len(rows) and got.where("score is null or score < 0 or score > 1").count() == 0
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_token_files_in_another_session(spark, tokenizer):
+    """What is needed to read a folder lies beside it; the number of ranges is bounded."""
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(50)], SCHEMA)
+    folder = wavelet.scratch_path(spark, "other")
+    wavelet.write(df, folder, tokenizer, per_shard=20)
+    got = wavelet.read(spark.newSession(), folder).orderBy("doc_id").collect()
+    assert [x.doc_id for x in got] == list(range(50))
+    assert [x.start for x in got] == [sum(y.n_tokens for y in got[:k]) for k in range(50)]
+    assert -(-100 * 10 ** 12 // wavelet.BYTES_PER_RANGE) > wavelet.MAX_RANGES
+
+
 def test_wavelet_matrix():
     a = np.random.default_rng(1).integers(0, 300, 5000)
     w, docs, counts = wavelet.from_bytes(wavelet.to_bytes(wavelet.WaveletMatrix.build(a), [None, 3], np.array([2000, 3000])))
@@ -119,7 +149,7 @@ def test_token_files(spark, tokenizer):
     df = spark.createDataFrame([(*d, "c") for d in docs], SCHEMA + ", start string").repartition(5)
     folder = f"{wavelet.scratch_path(spark, 'test')}"
     files = wavelet.write(df, folder, tokenizer, per_shard=500, per_range=4000)
-    got = wavelet.read(folder, files).orderBy("start").collect()
+    got = wavelet.read(spark, folder).orderBy("start").collect()
     assert files.count() > 3 and len(got) == len(docs)
     enc, at = Tokenizer.from_file(tokenizer), 0
     for x, (i, t) in zip(got, sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))):
