@@ -215,3 +215,61 @@ def kpi_location_monthly(dim_loc: DataFrame, fct_pay: DataFrame, fct_appts: Data
     """The certified KPI table, one row per location per month it was open."""
     spine_rev = spine_with_revenue(dim_loc, revenue_rollup(fct_pay), first_month, last_month)
     return assemble_kpis(spine_rev, None, activity_rollup(fct_appts, fct_mm, fct_lds), None, None)
+
+
+# --- only the months that a batch touches ----------------------------------------
+def touched_months(changed: dict[str, DataFrame], staged: dict[str, DataFrame],
+                   first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
+    """(month_start): months of the KPI table that may differ after a batch; at most the axis has.
+
+    ``changed``: staged rows of each table that the batch brought, and those they replaced; ``staged``: the tables after
+    it. A payment, appointment or lead touches its month, a membership the months of its span, a customer record (its
+    test flag decides whether facts count) the months of its facts, a location all. At a closed location a payment can
+    also add or take the months between closing and itself.
+    """
+    lo, hi = as_date(first_month), as_date(last_month)
+    ids = changed["customers"].select(F.col("customer_id").alias("__id")).distinct()
+
+    def of_changed_customers(table: str, key: str = "customer_id") -> DataFrame:
+        return staged[table].join(ids, F.col(key) == F.col("__id"), "left_semi")
+
+    def both(table: str, key: str = "customer_id") -> DataFrame:
+        return changed[table].unionByName(of_changed_customers(table, key))
+
+    pay = both("payments").select("location_id", month_of("paid_at").alias("m")).distinct()
+    closed = staged["locations"].where(F.col("closed_on").isNotNull()).select("location_id", month_of("closed_on").alias("c"))
+    span = month_range(month_of("start_date"), F.coalesce(month_of("end_date"), hi))
+    parts = [
+        pay.select("m"),
+        pay.join(closed, "location_id").where(F.col("m") > F.col("c")).select(F.explode(month_range(F.col("c"), F.col("m"))).alias("m")),
+        both("appointments").select(month_of("scheduled_at").alias("m")),
+        both("leads", "converted_customer_id").select(month_of("created_at").alias("m")),
+        both("memberships").where(month_of("start_date") <= F.coalesce(month_of("end_date"), hi)).select(F.explode(span).alias("m")),
+        changed["locations"].select(F.explode(month_range(lo, hi)).alias("m")),
+    ]
+    months = parts[0]
+    for p in parts[1:]:
+        months = months.unionByName(p)
+    return months.where(F.col("m").between(lo, hi)).select(F.col("m").alias("month_start")).distinct()
+
+
+def kpi_for_months(dim_loc: DataFrame, fct_pay: DataFrame, fct_appts: DataFrame, fct_mm: DataFrame, fct_lds: DataFrame,
+                   first_month: dt.date | str, last_month: dt.date | str, months: list[dt.date]) -> DataFrame:
+    """The rows of the KPI table in ``months``, which are no more than the axis has: literals that prune partitions.
+
+    Facts of other months are dropped before they are aggregated; only payments of closed locations are read whole, for their
+    last activity.
+    """
+    def within(df: DataFrame, month) -> DataFrame:
+        return df.where(month.isin(months))
+
+    closed = dim_loc.where(F.col("closed_on").isNotNull()).select("location_id")
+    last = last_activity(fct_pay.join(closed, "location_id", "left_semi"))
+    spine = within(location_month_spine(dim_loc, last, first_month, last_month), F.col("month_start"))
+    activity = activity_rollup(within(fct_appts, month_of("appointment_date")), within(fct_mm, F.col("month_start")), within(fct_lds, month_of("lead_date")))
+    return assemble_kpis(spine, revenue_rollup(within(fct_pay, month_of("payment_date"))), activity, None, None)
+
+
+def refresh_months(kpi: DataFrame, recomputed: DataFrame, months: list[dt.date]) -> DataFrame:
+    """The KPI table with the rows of ``months`` replaced by the recomputed ones."""
+    return kpi.where(~F.col("month_start").isin(months)).unionByName(recomputed)

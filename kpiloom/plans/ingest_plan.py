@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.vocabulary import TABLES
-from kpiloom.operators import ingest
+from kpiloom.operators import ingest, mart, staging
+from kpiloom.plans.models import Models
 from kpiloom.sources.crm import corrected_payments
 
 AS_OF = "1999-01-01 00:00:00"
@@ -85,6 +86,25 @@ class TwoBatches:
     def upserted(self, table: str) -> DataFrame:
         return ingest.merge_deltas(self.batch_1[table], [(self.batch_2[table], ingest.EXTRACT)], TABLES[table])
 
+    # --- the KPI table after the second batch, recomputed for the months it touches only
+    def changed(self, table: str) -> DataFrame:
+        """Raw rows that batch 2 brought, and those of batch 1 that they replace."""
+        key, new = TABLES[table], self.batch_2[table]
+        return new.unionByName(self.batch_1[table].join(new.select(key).distinct(), key, "left_semi"))
+
+    def refreshed_kpis(self) -> DataFrame:
+        """Batch 1's KPI table with the touched months recomputed from the tables after batch 2."""
+        self.marks_1                       # all seven marks in one job
+        spark = next(iter(self.batch_1.values())).sparkSession
+        before, after = Models(spark, self.batch_1), Models(spark, {t: self.upserted(t) for t in TABLES})
+        axis = (after.first_month, after.last_month)
+        staged = {t: after.model(f"stg_{t}") for t in TABLES}
+        touched = mart.touched_months(staging.stage_all({t: self.changed(t) for t in TABLES}), staged, *axis)
+        months = [r["month_start"] for r in touched.collect()]          # at most one row a month of the axis
+        again = mart.kpi_for_months(after.dim_location, after.fct_payments, after.fct_appointments, after.fct_membership_months,
+                                    after.fct_leads, *axis, months)
+        return mart.refresh_months(before.kpi_location_monthly, again, months)
+
     def load_log(self) -> DataFrame:
         return ingest.log_rows(self.stats_1, self.state_1, BATCH_1, LOADED_1).unionByName(
             ingest.log_rows(self.stats_2, self.state_2, BATCH_2, LOADED_2))

@@ -241,3 +241,9 @@ def _a9(m: Models) -> DataFrame:
 @query("load_log_summary")
 def _a10(m: Models) -> DataFrame:
     return TwoBatches(m.raw).load_log()
+
+
+@query("kpi_refreshed")
+def _e23(m: Models) -> DataFrame:
+    """The KPI table after the second batch, only the touched months recomputed."""
+    return TwoBatches(m.raw).refreshed_kpis()
