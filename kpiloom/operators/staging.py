@@ -162,3 +162,20 @@ def vocabulary_audit(stg_appts: DataFrame, stg_lds: DataFrame) -> DataFrame:
 def unmapped_values(audit: DataFrame) -> DataFrame:
     """Only the spellings that did not map (empty when the vocabularies are complete)."""
     return audit.where(F.col("mapped_value").isNull())
+
+
+def frequent_unmapped(stg_appts: DataFrame, stg_lds: DataFrame, k: int = 20, tracked: int = 1024) -> DataFrame:
+    """(vocabulary, raw_value, n_rows): the most frequent spellings that the vocabularies do not know, at most ``k`` each.
+
+    Free text may hold as many spellings as rows. So a frequent-items sketch of fixed size per vocabulary names the
+    candidates (summaries are built per task and merge), and only those are counted exactly; a spelling with more than
+    8/``tracked`` of the unknown ones is always among them, as far as ``k`` reaches. Its candidates are few, so they are sent to
+    every task.
+    """
+    def unknown(df: DataFrame, name: str, raw: str, value: str) -> DataFrame:
+        return df.where(F.col(value).isNull() & F.col(raw).isNotNull()).select(F.lit(name).alias("vocabulary"), F.col(raw).alias("raw_value"))
+
+    rows = unknown(stg_appts, "appointment_status", "status_raw", "status").unionByName(unknown(stg_lds, "lead_channel", "lead_source_raw", "channel"))
+    listed = rows.groupBy("vocabulary").agg(F.expr(f"approx_top_k(raw_value, {k}, {tracked})").alias("top")).select(
+        "vocabulary", F.explode("top.item").alias("raw_value"))
+    return rows.join(F.broadcast(listed), ["vocabulary", "raw_value"], "left_semi").groupBy("vocabulary", "raw_value").agg(F.count("*").alias("n_rows"))

@@ -696,6 +696,14 @@ register("unmapped_values_dirty", sql_for(UNMAPPED, ["stg_appointments", "stg_le
 register("unparseable_amounts_dirty", sql_for(UNPARSEABLE, ["raw_payments"], "amounts"))
 
 
+register("frequent_unmapped_dirty", sql_for("""
+SELECT 'appointment_status' AS vocabulary, status_raw AS raw_value, count(*) AS n_rows FROM stg_appointments
+WHERE status IS NULL AND status_raw IS NOT NULL GROUP BY status_raw
+UNION ALL
+SELECT 'lead_channel', lead_source_raw, count(*) FROM stg_leads WHERE channel IS NULL AND lead_source_raw IS NOT NULL GROUP BY lead_source_raw""",
+                                            ["stg_appointments", "stg_leads"], "faults"))
+
+
 # the keys that fail a test, counted; each test keeps its five smallest
 KEYS = {
     "not_null": "SELECT {key} AS k, count(*) AS n FROM {model} WHERE {column} IS NULL GROUP BY ALL",

@@ -151,6 +151,13 @@ query("unmapped_values_dirty", "faults")(_unmapped)
 query("unparseable_amounts_dirty", "amounts")(_dq_amounts)
 
 
+@query("frequent_unmapped_dirty", "faults")
+def _frequent(m: Models) -> DataFrame:
+    """The most frequent spellings that no vocabulary knows, by a sketch, with exact counts."""
+    from kpiloom.operators.staging import frequent_unmapped
+    return frequent_unmapped(m.stg_appointments, m.stg_leads)
+
+
 @query("dq_failing_keys_dirty", "faults")
 def _dq_failing(m: Models) -> DataFrame:
     """The five smallest failing keys of every generic test."""

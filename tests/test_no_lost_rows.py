@@ -183,3 +183,25 @@ def test_many_batches_write_a_base_now_and_then(spark, scratch):
     state = ingest.current_state(spark, scratch)["things"]
     assert (state.base, [b for b, _ in state.deltas], state.marks["extract"]) == ("b3", ["b4"], "t4")
     assert [v for _, v, _ in contents(spark, scratch)] == ["v3", "v4", "v2"]
+
+
+def test_a_compacted_table_is_clustered_by_the_mark(spark, scratch):
+    """What changed since a mark lies in few row groups; the others are skipped by their statistics."""
+    import glob
+
+    import pyarrow.parquet as pq
+    rows = [(str(i), "x" * 50, f"t{i * 7919 % 5000:05d}") for i in range(5000)]
+    load(spark, scratch, rows, "b1")
+    load(spark, scratch, [("1", "y", "t09999")], "b2")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ingest.compact(spark, scratch, "c1")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    groups = []
+    for f in glob.glob(f"{scratch}/raw/things/base=c1/*.parquet"):
+        m = pq.ParquetFile(f).metadata
+        column = m.schema.to_arrow_schema().names.index("updated_at")
+        groups += [m.row_group(g).column(column).statistics.max for g in range(m.num_row_groups)]
+    assert len(groups) > 4 and sum(g > "t04900" for g in groups) == 1
+    assert ingest.read_raw(spark, scratch, "things").count() == 5000
