@@ -190,6 +190,22 @@ class TieOut:
     b: str
 
 
+ROW_LOCAL = ("not_null", "accepted_values")
+
+
+def _row_local(c: Check) -> str:
+    """Number of rows that fail a test which looks at one row only."""
+    col = f"`{c.columns[0]}`"
+    bad = f"{col} IS NULL" if c.kind == "not_null" else f"{col} NOT IN ({', '.join(_quoted(v) for v in c.values)})"
+    return f"count_if({bad})"
+
+
+def observable(model: str, checks: list[Check], totals: list[Total]) -> dict[str, str]:
+    """Test or total -> SQL aggregate: what can be counted by ``DataFrame.observe`` while the model is written."""
+    out = {c.test_name: _row_local(c) for c in checks if c.model == model and c.kind in ROW_LOCAL}
+    return out | {t.name: f"sum(CAST({t.expr} AS BIGINT))" for t in totals if t.model == model}
+
+
 INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -224,12 +240,11 @@ class _Pass:
     def key(self, column: str) -> str:
         return f"k{self.columns.index(column)}"
 
-    def add(self, c: Check) -> None:
-        col = f"`{c.columns[0]}`"
+    def add(self, c: Check, observed: bool = False) -> None:
         if c.model == self.name:
-            if c.kind in ("not_null", "accepted_values"):
-                bad = f"{col} IS NULL" if c.kind == "not_null" else f"{col} NOT IN ({', '.join(_quoted(v) for v in c.values)})"
-                self.record((), c.test_name, "true", fail=self.measure(f"count_if({bad})"))
+            if c.kind in ROW_LOCAL:
+                if not observed:
+                    self.record((), c.test_name, "true", fail=self.measure(_row_local(c)))
             elif c.kind in ("unique", "unique_combo"):
                 some = f"{{{c.columns[0]}}} IS NOT NULL" if c.kind == "unique" else "true"
                 self.record(c.columns, c.test_name, f"n > 1 AND {some}", fail="1")
@@ -265,10 +280,12 @@ class _Pass:
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check],
               singular: dict[str, DataFrame] | None = None, totals: list[Total] | None = None,
-              ties: list[TieOut] | None = None, external: dict[str, DataFrame] | None = None) -> DataFrame:
+              ties: list[TieOut] | None = None, external: dict[str, DataFrame] | None = None,
+              observed: dict[str, int | None] | None = None) -> DataFrame:
     """DataFrame(test_name, model, kind, failures, status) for all checks.
 
-    One scan per model: its rows are grouped by all keys that are tested at once
+    ``observed``: test or total -> value, of those that were counted while their
+    model was written (:func:`observable`); they cost no scan here. One scan per model: its rows are grouped by all keys that are tested at once
     (grouping sets, keys in their own types), the empty set among them, in which
     the row-local tests and the totals are plain aggregates that collapse before the
     shuffle. A group reports only what counts: a repeated key, a child key with
@@ -279,7 +296,7 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
     computed elsewhere (e.g. from raw data) to compare against. Tie-outs in
     ``singular`` count as one failure when their ``passes`` flag is not true.
     """
-    totals, ties = totals or [], ties or []
+    totals, ties, observed = totals or [], ties or [], observed or {}
     names = sorted({c.model for c in checks} | {c.parent for c in checks if c.parent} | {t.model for t in totals})
     linked = [c for c in checks if c.kind in ("relationships", "absent_from")]
     kinds = {dict(models[m].dtypes)[f] for c in linked for m, f in ((c.model, c.columns[0]), (c.parent, c.parent_field))}
@@ -288,9 +305,9 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
     for name in names:
         p = _Pass(name, key_type)
         for c in checks:
-            p.add(c)
+            p.add(c, c.test_name in observed)
         for t in totals:
-            if t.model == name:
+            if t.model == name and t.name not in observed:
                 p.record((), t.name, "true", total=p.measure(f"sum(CAST({t.expr} AS BIGINT))"))
         if p.records:
             spark = models[name].sparkSession
@@ -308,6 +325,10 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check],
             F.lit(name).alias("check"), *[F.lit(None).cast("long").alias(c) for c in ["fail", "orphans", "matched"]],
             F.col(one_row.columns[0]).cast("long").alias("total")))
     spark = emitted.sparkSession
+    if observed:
+        sums = {t.name for t in totals}
+        counted = [(k, None if k in sums else v, None, None, v if k in sums else None) for k, v in observed.items()]
+        per_test = per_test.unionByName(spark.createDataFrame(counted, "check string, fail long, orphans long, matched long, total long"))
     zero_totals = {t.name for t in totals if t.empty_as_zero}
     spec_rows = [(c.test_name, c.test_name, *(c.report_as or (c.model, c.kind)), None, False, c.kind) for c in checks]
     for t in ties:

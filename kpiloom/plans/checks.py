@@ -101,8 +101,13 @@ MODEL_NAMES = ["stg_locations", "stg_customers", "stg_services", "stg_membership
                "fct_appointments", "fct_payments", "fct_membership_months", "fct_leads", "kpi_location_monthly"]
 
 
-def suite_results(m, brands: tuple[str, ...] = FIXTURE_BRANDS) -> DataFrame:
-    """All 45 tests. 40 generic checks, the no-test-accounts check and three total
+def observable(model: str, brands: tuple[str, ...] = FIXTURE_BRANDS) -> dict[str, str]:
+    """What can be counted while a model is written: test or total -> SQL aggregate."""
+    return q.observable(model, platform_checks(brands), SUITE_TOTALS)
+
+
+def suite_results(m, brands: tuple[str, ...] = FIXTURE_BRANDS, observed: dict[str, int | None] | None = None) -> DataFrame:
+    """All 45 tests; ``observed`` holds those that were counted while their models were written. 40 generic checks, the no-test-accounts check and three total
     comparisons share one pass over the models; the duplicates check (a join)
     and the raw-text revenue total run beside it."""
     checks = platform_checks(brands) + [NO_TEST_ACCOUNTS]
@@ -111,4 +116,4 @@ def suite_results(m, brands: tuple[str, ...] = FIXTURE_BRANDS) -> DataFrame:
     models = {name: m.model(name) for name in needed}
     singular = {"assert_duplicates_merged": q.dq_duplicates_merged(m.int_customer_identity)}
     external = {"total_source_cents": q.raw_source_cents(m.raw["payments"], m.raw["customers"])}
-    return q.run_suite(models, checks, singular, SUITE_TOTALS, SUITE_TIES, external)
+    return q.run_suite(models, checks, singular, SUITE_TOTALS, SUITE_TIES, external, observed)

@@ -5,7 +5,8 @@ Write-audit-publish on plain parquet:
 * every model of a run is written under ``<root>/runs/<run_id>/<layer>/<model>``
   (staging stays a view over raw; the identity table is written once, as
   ``customer_identity_wide``, because five models read it);
-* the 45 data tests run on the written candidates and their outcomes are
+* the 45 data tests run on the candidates -- row-local tests and totals are
+  counted while a model is written, the others on what was written -- and their outcomes are
   written to ``runs/<run_id>/audit/test_results``; any failure raises
   :class:`GateError` before anything is published;
 * publishing appends one partition to ``<root>/meta/publish_log`` naming the
@@ -31,7 +32,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.vocabulary import TABLES
@@ -110,15 +111,24 @@ def read_published(spark: SparkSession, root: str, model: str) -> DataFrame:
 class _Written:
     """Models of one run, each written once and then read back from parquet."""
 
-    def __init__(self, spark: SparkSession, root: str, run_id: str):
-        self.spark, self.root, self.run_id = spark, root, run_id
+    def __init__(self, spark: SparkSession, root: str, run_id: str, brands: tuple[str, ...]):
+        self.spark, self.root, self.run_id, self.brands = spark, root, run_id, brands
         self.tables: dict[str, DataFrame] = {}
+        self.observed: dict[str, int | None] = {}          # tests and totals counted while the models were written
 
     def put(self, name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
         path = model_path(self.root, self.run_id, name)
         # rows of a partition meet in few files; a partition beyond the advisory size is split
-        out = (df.hint("rebalance", partition) if partition else df).write.mode("overwrite")
+        rows = df.hint("rebalance", partition) if partition else df
+        # observed on top of the plan, in the tasks that write: a task that runs again replaces its own count
+        metrics = checks.observable(name, self.brands)
+        seen = Observation(f"{self.run_id}-{name}") if metrics else None
+        if seen:
+            rows = rows.observe(seen, *[F.expr(sql).alias(test) for test, sql in metrics.items()])
+        out = rows.write.mode("overwrite")
         (out.partitionBy(partition) if partition else out).parquet(path)
+        if seen:
+            self.observed.update(seen.get)
         self.tables[name] = self.spark.read.parquet(path).select(*df.columns)
         return self.tables[name]
 
@@ -165,7 +175,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
         return RunReport(last, loaded, results, quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict(), True, secs)
     raw = {tb: ingest.read_state(spark, root, tb, state[tb]) for tb in TABLES}
     stg = staging.stage_all(raw)                       # views
-    w = _Written(spark, root, run_id)
+    w = _Written(spark, root, run_id, brands)
     # written once, read by five models; int_customer_identity is the 4-column view of it
     ident = w.put("customer_identity_wide", identity.resolve_identity(stg["customers"]))
     ids = ident.select(*IDENTITY_COLUMNS)
@@ -189,7 +199,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str, first_mon
     views["int_customer_identity"] = ids
     # every test's outcome is kept with the run (the audit trail), then summarised
     results_path = f"{root}/runs/{run_id}/audit/test_results"
-    checks.suite_results(_Suite(views, raw), brands).coalesce(1).write.mode("overwrite").parquet(results_path)
+    checks.suite_results(_Suite(views, raw), brands, w.observed).coalesce(1).write.mode("overwrite").parquet(results_path)
     results = spark.read.parquet(results_path)
     summary_row = quality.dq_summary(results, len(checks.MODEL_NAMES)).first().asDict()
     lap("tests")

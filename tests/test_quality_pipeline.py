@@ -148,3 +148,22 @@ def test_rerun_builds_what_was_loaded_since_the_publication(spark, scratch):
         with pytest.raises(q.GateError):
             rerun(bad, run_id)
     assert pipeline.latest_published_run(spark, root) == "r4"
+
+
+def test_observed_counts_equal_a_scan(spark, scratch):
+    """Row-local tests and totals counted while a dirty run is written give the same results as a scan of its models."""
+    from kpiloom.plans import checks, pipeline
+    from kpiloom.plans.models import Models
+
+    m = Models.from_testdata(spark, "/root/testdata/sf0.001", dirt="faults")
+    w = pipeline._Written(spark, scratch, "r1", checks.FIXTURE_BRANDS)
+    for name in ("dim_location", "dim_customer", "fct_appointments", "fct_payments", "fct_membership_months", "fct_leads"):
+        w.put(name, m.model(name))
+    w.put("kpi_location_monthly", m.kpi_location_monthly, "month_start")
+    views = {n: m.model(n) for n in [*Models.STAGING, "int_customer_identity"]} | w.tables
+    suite = pipeline._Suite(views, m.raw)
+    scanned = {r.test_name: r.failures for r in checks.suite_results(suite).collect()}
+    counted = {r.test_name: r.failures for r in checks.suite_results(suite, observed=w.observed).collect()}
+    assert counted == scanned and sum(n > 0 for n in counted.values()) > 8
+    assert {"not_null_fct_payments_amount_cents", "accepted_values_dim_location_brand", "total_kpi_cents", "total_ledger_cents"} <= set(w.observed)
+    assert w.observed["not_null_fct_payments_amount_cents"] > 0
