@@ -203,3 +203,25 @@ def test_pipeline(spark, tokenizer):
     out = corpus_pipeline.run(spark, d)
     assert {x.doc_id for x in out.collect()} <= set(range(40)) and abs(out.count() - 60) <= 12
     assert out.agg(F.sum("n_tokens")).first()[0] == out.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0]
+
+
+def test_stages_on_odd_tables(spark, tmp_path, tokenizer):
+    """Each stage takes nulls, repeated rows and ids, a very long text, clashing columns and an empty table."""
+    from kpiloom.llm import stages
+    r = random.Random(12)
+    item = prose(r, 40)
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    text = prose(r, 80)
+    rows = [(1, text, "a", {"k": 1}), (1, text, "a", {"k": 1}), (1, prose(r, 70), "a", None), (None, prose(r, 60), None, None), (None, None, None, None),
+            (2, "", "b", None), (3, " \n", "b", None), (4, prose(r, 30_000), "b", None), (5, prose(r, 30) + " " + item + " " + prose(r, 30), "c", None)]
+    df = spark.createDataFrame([(*x, "c") for x in rows], "doc_id long, text string, source string, `row` map<string,int>, `_text` string")
+    for stage in (stages.quality_rules, stages.near_duplicates, stages.decontamination, stages.mixing):
+        got = stage(spark, df, str(tmp_path))
+        assert got.columns == df.columns and stage(spark, df.limit(0), str(tmp_path)).count() == 0
+        kept = [(x.doc_id, x.text) for x in got.collect()]
+        if stage is stages.near_duplicates:
+            assert len(kept) == 8 and kept.count((1, text)) == 1
+        if stage is stages.decontamination:
+            assert len(kept) == 8 and not any(x[0] == 5 for x in kept)
+    files = stages.token_files(spark, df, str(tmp_path))
+    assert files.count() == len(rows) and stages.token_files(spark, df.limit(0), str(tmp_path)).count() == 0
