@@ -26,6 +26,7 @@ from kpiloom.functions.dates import as_date, month_of, month_range
 from kpiloom.functions.numeric import cents_to_amount, ratio
 
 KEYS = ["location_id", "month_start"]
+FACT_MONTH = "fact_month"       # partition column of written facts: the month of their date
 
 
 def month_axis(spark: SparkSession, first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
@@ -255,13 +256,14 @@ def touched_months(changed: dict[str, DataFrame], staged: dict[str, DataFrame],
 
 def kpi_for_months(dim_loc: DataFrame, fct_pay: DataFrame, fct_appts: DataFrame, fct_mm: DataFrame, fct_lds: DataFrame,
                    first_month: dt.date | str, last_month: dt.date | str, months: list[dt.date]) -> DataFrame:
-    """The rows of the KPI table in ``months``, which are no more than the axis has: literals that prune partitions.
+    """The rows of the KPI table in ``months``, which are no more than the axis has: literals that prune partitions of
+    written facts (``fact_month``, ``month_start``).
 
     Facts of other months are dropped before they are aggregated; only payments of closed locations are read whole, for their
     last activity.
     """
     def within(df: DataFrame, month) -> DataFrame:
-        return df.where(month.isin(months))
+        return df.where((F.col(FACT_MONTH) if FACT_MONTH in df.columns else month).isin(months))
 
     closed = dim_loc.where(F.col("closed_on").isNotNull()).select("location_id")
     last = last_activity(fct_pay.join(closed, "location_id", "left_semi"))
