@@ -223,31 +223,36 @@ def touched_months(changed: dict[str, DataFrame], staged: dict[str, DataFrame],
                    first_month: dt.date | str, last_month: dt.date | str) -> DataFrame:
     """(month_start): months of the KPI table that may differ after a batch; at most the axis has.
 
-    ``changed``: staged rows of each table that the batch brought, and those they replaced; ``staged``: the tables after
-    it. A payment, appointment or lead touches its month, a membership the months of its span, a customer record (its
+    ``changed``: staged rows of each table that the batch brought, and those they replaced (tables without any may be left
+    out, which keeps the plan small); ``staged``: the tables after it. A payment, appointment or lead touches its month, a membership the months of its span, a customer record (its
     test flag decides whether facts count) the months of its facts, a location all. At a closed location a payment can
     also add or take the months between closing and itself.
     """
     lo, hi = as_date(first_month), as_date(last_month)
-    ids = changed["customers"].select(F.col("customer_id").alias("__id")).distinct()
-
-    def of_changed_customers(table: str, key: str = "customer_id") -> DataFrame:
-        return staged[table].join(ids, F.col(key) == F.col("__id"), "left_semi")
-
-    def both(table: str, key: str = "customer_id") -> DataFrame:
-        return changed[table].unionByName(of_changed_customers(table, key))
-
-    pay = both("payments").select("location_id", month_of("paid_at").alias("m")).distinct()
-    closed = staged["locations"].where(F.col("closed_on").isNotNull()).select("location_id", month_of("closed_on").alias("c"))
-    span = month_range(month_of("start_date"), F.coalesce(month_of("end_date"), hi))
-    parts = [
-        pay.select("m"),
-        pay.join(closed, "location_id").where(F.col("m") > F.col("c")).select(F.explode(month_range(F.col("c"), F.col("m"))).alias("m")),
-        both("appointments").select(month_of("scheduled_at").alias("m")),
-        both("leads", "converted_customer_id").select(month_of("created_at").alias("m")),
-        both("memberships").where(month_of("start_date") <= F.coalesce(month_of("end_date"), hi)).select(F.explode(span).alias("m")),
-        changed["locations"].select(F.explode(month_range(lo, hi)).alias("m")),
-    ]
+    ids = changed["customers"].select(F.col("customer_id").alias("__id")).distinct() if "customers" in changed else None
+
+    def both(table: str, *columns: str, key: str = "customer_id") -> DataFrame | None:
+        rows = [changed[table].select(*columns)] if table in changed else []
+        if ids is not None:
+            rows.append(staged[table].join(ids, F.col(key) == F.col("__id"), "left_semi").select(*columns))
+        return rows[0].unionByName(rows[1]) if len(rows) == 2 else rows[0] if rows else None
+
+    parts = [staged["locations"].where(F.lit(False)).select(lo.alias("m"))]
+    pay = both("payments", "location_id", "paid_at")
+    if pay is not None:
+        pay = pay.select("location_id", month_of("paid_at").alias("m")).distinct()
+        closed = staged["locations"].where(F.col("closed_on").isNotNull()).select("location_id", month_of("closed_on").alias("c"))
+        parts += [pay.select("m"),
+                  pay.join(closed, "location_id").where(F.col("m") > F.col("c")).select(F.explode(month_range(F.col("c"), F.col("m"))).alias("m"))]
+    for rows, date in ((both("appointments", "scheduled_at"), "scheduled_at"), (both("leads", "created_at", key="converted_customer_id"), "created_at")):
+        if rows is not None:
+            parts.append(rows.select(month_of(date).alias("m")))
+    members = both("memberships", "start_date", "end_date")
+    if members is not None:
+        span = month_range(month_of("start_date"), F.coalesce(month_of("end_date"), hi))
+        parts.append(members.where(month_of("start_date") <= F.coalesce(month_of("end_date"), hi)).select(F.explode(span).alias("m")))
+    if "locations" in changed:
+        parts.append(changed["locations"].select(F.explode(month_range(lo, hi)).alias("m")))
     months = parts[0]
     for p in parts[1:]:
         months = months.unionByName(p)

@@ -71,10 +71,8 @@ def deltas_since(state: dict[str, ingest.TableState], snapshots: dict[str, str])
 
 
 def changed_rows(spark: SparkSession, root: str, table: str, state: ingest.TableState, since: list[tuple[str, str]]) -> DataFrame:
-    """Raw rows of the deltas and those that were there before under their keys; an empty local table if there are none."""
+    """Raw rows of the deltas (at least one) and those that were there before under their keys."""
     before = ingest.read_state(spark, root, table, state._replace(deltas=state.deltas[:len(state.deltas) - len(since)]))
-    if not since:
-        return spark.createDataFrame([], before.schema)
     new = None
     for batch, _ in since:
         d = spark.read.parquet(ingest.delta_path(root, table, batch))
@@ -92,38 +90,42 @@ def changed_identities(before: DataFrame, after: DataFrame, touched: DataFrame)
     return differ.unionByName(touched.where("customer_id is not null").select("customer_id")).distinct()
 
 
-def months_to_write(changed: dict[str, DataFrame], staged: dict[str, DataFrame], moved: DataFrame,
+def months_to_write(changed: dict[str, DataFrame], staged: dict[str, DataFrame], moved: DataFrame | None,
                     first_month: dt.date | str, last_month: dt.date | str) -> dict[str, list[dt.date | None]]:
     """model -> months whose rows may differ, for the facts and the KPI table.
 
     A fact's row depends on its own raw row, on the identity of its customer (``moved``: those that differ) and, for
-    appointments, on the service. One job; at most one row a model and month reaches the driver.
+    appointments, on the service. ``changed`` holds the tables with changed rows only. One job; at most one row a model and
+    month reaches the driver.
     """
     lo, hi = as_date(first_month), as_date(last_month)
-    ids = moved.select(F.col("customer_id").alias("__id"))
-    services = changed["services"].select(F.col("service_id").alias("__id")).distinct()
-
-    def rows(table: str, key: str, *columns: str) -> DataFrame:
-        t = staged[table].join(ids, F.col(key) == F.col("__id"), "left_semi")
-        return changed[table].select(*columns).unionByName(t.select(*columns))
-
-    start = month_of("start_date")
-    last = F.least(F.coalesce(month_of("end_date"), hi), hi)
-    spans = rows("memberships", "customer_id", "start_date", "end_date").where(start.isNotNull() & (F.greatest(start, lo) <= last))
-    served = staged["appointments"].join(services, F.col("service_id") == F.col("__id"), "left_semi").select("scheduled_at")
-    found = {
-        "fct_payments": rows("payments", "customer_id", "paid_at").select(month_of("paid_at").alias("m")),
-        "fct_appointments": rows("appointments", "customer_id", "scheduled_at").unionByName(served).select(month_of("scheduled_at").alias("m")),
-        "fct_leads": rows("leads", "converted_customer_id", "created_at").select(month_of("created_at").alias("m")),
-        "fct_membership_months": spans.select(F.explode(month_range(F.greatest(start, lo), last)).alias("m")),
-        "kpi_location_monthly": touched_months(changed, staged, first_month, last_month).select(F.col("month_start").alias("m")),
-    }
-    all_ = None
-    for model, df in found.items():
-        df = df.select(F.lit(model).alias("model"), "m")
-        all_ = df if all_ is None else all_.unionByName(df)
-    out: dict[str, list[dt.date | None]] = {m: [] for m in found}
+    start, last = month_of("start_date"), F.least(F.coalesce(month_of("end_date"), hi), hi)
+    found: list[DataFrame] = []
+
+    def of_keys(table: str, key: str, ids: DataFrame, id_name: str) -> DataFrame:
+        ids = ids.select(F.col(id_name).alias("__id")).distinct()
+        return staged[table].join(ids, F.col(key) == F.col("__id"), "left_semi")
+
+    def add(model: str, table: str, key: str, months) -> None:
+        rows = [changed[table]] if table in changed else []
+        if moved is not None:
+            rows.append(of_keys(table, key, moved, "customer_id"))
+        if table == "appointments" and "services" in changed:
+            rows.append(of_keys(table, "service_id", changed["services"], "service_id"))
+        found.extend(months(r).select(F.lit(model).alias("model"), "m") for r in rows)
+
+    def active(memberships: DataFrame) -> DataFrame:
+        spans = memberships.where(start.isNotNull() & (F.greatest(start, lo) <= last))
+        return spans.select(F.explode(month_range(F.greatest(start, lo), last)).alias("m"))
+
+    add("fct_payments", "payments", "customer_id", lambda r: r.select(month_of("paid_at").alias("m")))
+    add("fct_appointments", "appointments", "customer_id", lambda r: r.select(month_of("scheduled_at").alias("m")))
+    add("fct_leads", "leads", "converted_customer_id", lambda r: r.select(month_of("created_at").alias("m")))
+    add("fct_membership_months", "memberships", "customer_id", active)
+    all_ = touched_months(changed, staged, first_month, last_month).select(F.lit("kpi_location_monthly").alias("model"), F.col("month_start").alias("m"))
+    for df in found:
+        all_ = all_.unionByName(df)
+    out: dict[str, list[dt.date | None]] = {m: [] for m in PARTITION}
     for r in all_.distinct().collect():
         out[r["model"]].append(r["m"])
     return {m: sorted(v, key=lambda x: x or dt.date.min) for m, v in out.items()}
-

@@ -211,10 +211,8 @@ def _refresh(w: _Written, stg: dict[str, DataFrame], state: dict[str, ingest.Tab
         df.write.mode("overwrite").parquet(f"{scratch}/{name}")
         return w.spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
-    raw = {tb: parts.changed_rows(w.spark, w.root, tb, state[tb], since[tb]) for tb in TABLES}
-    changed = staging.stage_all({tb: kept(tb, df) if since[tb] else df for tb, df in raw.items()})
-    ident = w.carry("customer_identity_wide")
-    moved = w.spark.createDataFrame([], ident.select("customer_id").schema)
+    changed = staging.stage_all({tb: kept(tb, parts.changed_rows(w.spark, w.root, tb, state[tb], since[tb])) for tb in TABLES if since[tb]})
+    ident, moved = w.carry("customer_identity_wide"), None
     if since["customers"]:
         old, ident = ident, w.put("customer_identity_wide", identity.resolve_identity(stg["customers"]))
         moved = kept("moved_identities", parts.changed_identities(old, ident, changed["customers"]))
