@@ -95,3 +95,28 @@ def test_ordered_extract_sorts_within_partitions_only(spark, capsys):
     assert re.search(r"Arguments: \[updated_at#\d+ ASC NULLS FIRST\], false", p)   # not a global sort
     assert "Exchange" not in p                                                      # no shuffle
     assert out.count() == 1000
+
+
+def test_data_tests_aggregate_dealt_rows(spark, capsys):
+    """Rows of a tested model are dealt by its keys before the map side of an aggregate may hold them: a task that reads a
+    whole file, or explodes its rows, does not hold all their keys."""
+    from kpiloom.operators.quality import Check, failing_keys, run_suite
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id AS k", "IF(id = 7, NULL, id % 5) AS place", "'x' AS unused")
+    models, tests = {"m": rows.unionByName(rows.where("k < 3"))}, [Check("m", "unique", ("k",)), Check("m", "not_null", ("place",))]
+    for df in (run_suite(models, tests), failing_keys(models, tests, {"m": ("k",)})):
+        assert re.search(r"hashpartitioning\(k#\d+L, \d+\), REPARTITION_BY_COL", plan_text(df, capsys))
+    assert {r.test_name: r.failures for r in run_suite(models, tests).collect()} == {"unique_m_k": 3, "not_null_m_place": 1}
+    got = failing_keys(models, tests, {"m": ("k",)}).collect()
+    assert sorted((r.test_name, r.failing_key, r.n_rows) for r in got) == [("not_null_m_place", "7", 1), *[("unique_m_k", str(i), 2) for i in range(3)]]
+
+
+def test_advisory_partition_size_is_a_default(spark):
+    from kpiloom.session import ADVISORY, configure
+    key = ADVISORY[0]
+    try:
+        spark.conf.unset(key)
+        assert configure(spark).conf.get(key) == "8MB"
+        spark.conf.set(key, "256MB")
+        assert configure(spark).conf.get(key) == "256MB"
+    finally:
+        spark.conf.unset(key)
