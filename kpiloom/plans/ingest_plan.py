@@ -98,12 +98,14 @@ class TwoBatches:
         spark = next(iter(self.batch_1.values())).sparkSession
         before, after = Models(spark, self.batch_1), Models(spark, {t: self.upserted(t) for t in TABLES})
         axis = (after.first_month, after.last_month)
-        staged = {t: after.model(f"stg_{t}") for t in TABLES}
+        # all that batch 2 brought or replaced is among the changed rows: the other rows of their customers are those that
+        # were there before, read without merging the batches once more
+        staged = {t: (after if t == "locations" else before).model(f"stg_{t}") for t in TABLES}
         touched = mart.touched_months(staging.stage_all({t: self.changed(t) for t in TABLES}), staged, *axis)
         months = [r["month_start"] for r in touched.collect()]          # at most one row a month of the axis
         again = mart.kpi_for_months(after.dim_location, after.fct_payments, after.fct_appointments, after.fct_membership_months,
                                     after.fct_leads, *axis, months)
-        return mart.refresh_months(before.kpi_location_monthly, again, months)
+        return mart.refresh_months(before.kpi_location_monthly, again, months, axis)
 
     def load_log(self) -> DataFrame:
         return ingest.log_rows(self.stats_1, self.state_1, BATCH_1, LOADED_1).unionByName(

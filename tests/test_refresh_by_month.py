@@ -114,3 +114,34 @@ def test_rows_of_a_month_come_from_the_run_that_wrote_it_last(spark, scratch):
     entry = {"schema": spark.createDataFrame([], schema).schema.jsonValue(),
              "parts": [["a", None], ["b", parts.to_json([day(2), None])], ["c", parts.to_json([day(4)])]]}
     assert rows(parts.read_parts(spark, scratch, "kpi_location_monthly", entry)) == [(1, day(1)), (20, day(2)), (30, None)]
+
+
+def test_months_that_stay_are_named(spark, capsys):
+    """Where a batch touches every month, the KPI table before it is not planned; elsewhere the untouched months stay."""
+    from kpiloom.operators import mart
+    months = [dt.date(1995, m, 1) for m in range(11, 13)] + [dt.date(1996, 1, 1)]
+    table = lambda tag, ms: spark.createDataFrame([(m, tag) for m in ms], "month_start date, v string")
+    axis = ("1995-11-01", dt.date(1996, 1, 1))
+    some = mart.refresh_months(table("before", months), table("again", months[1:2]), months[1:2], axis)
+    assert rows(some) == rows(table("before", [months[0], months[2]]).unionByName(table("again", months[1:2])))
+    every = mart.refresh_months(table("before", months), table("again", months), months, axis)
+    assert rows(every) == rows(table("again", months))
+    every.explain()
+    assert "Union" not in capsys.readouterr().out
+
+
+def test_refreshed_kpis_read_the_orders_no_more_than_needed(spark, monkeypatch):
+    """Touched months need no merged tables: the rows of touched customers that no batch replaced were there before."""
+    from kpiloom.operators import mart
+    from kpiloom.plans.ingest_plan import TwoBatches
+    b = TwoBatches(raw_tables(spark, SF_SMALL))
+    seen = {}
+    real = mart.touched_months
+    monkeypatch.setattr(mart, "touched_months", lambda changed, staged, *axis: seen.update(changed=changed, staged=staged, axis=axis) or real(changed, staged, *axis))
+    got = b.refreshed_kpis()
+    merged = Models(spark, {t: b.upserted(t) for t in TABLES})
+    wanted = rows(real(seen["changed"], {t: merged.model(f"stg_{t}") for t in TABLES}, *seen["axis"]))
+    assert rows(real(seen["changed"], seen["staged"], *seen["axis"])) == wanted
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert text(seen["staged"]["payments"]).count("LeftAnti") == 0
+    assert rows(got) == rows(merged.kpi_location_monthly)
