@@ -225,3 +225,22 @@ def test_stages_on_odd_tables(spark, tmp_path, tokenizer):
             assert len(kept) == 8 and not any(x[0] == 5 for x in kept)
     files = stages.token_files(spark, df, str(tmp_path))
     assert files.count() == len(rows) and stages.token_files(spark, df.limit(0), str(tmp_path)).count() == 0
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Words that only rows beyond the first sample hold, one of them in very long texts, are learned; reruns agree."""
+    r = random.Random(21)
+    rows = []
+    for i in range(600):
+        w = prose(r, 40).split()
+        if i % 2:
+            w[r.randrange(40)] = ["vileword", "nastyterm", "uglyname"][i % 3]
+        rows.append((i, " ".join(w), i % 2))
+    rows += [(1000 + i, prose(r, 60) + (" hiddenslur" if i % 2 else ""), i % 2) for i in range(60)]
+    rows = [(i, t + " " + " ".join(prose(r, 20).split() * 150) if i >= 1000 else t, y) for i, t, y in rows]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
+    new = spark.createDataFrame([(i, prose(r, 40) + (" hiddenslur" if i % 2 else "")) for i in range(60)], SCHEMA)
+    fitted = [toxicity.fit(docs, labels, sample=100, longest=2000) for _ in range(2)]
+    a, b = ({x.doc_id: x.score for x in toxicity.score(new, m).collect()} for m in fitted)
+    assert a == b and sum((s >= 0.5) == bool(i % 2) for i, s in a.items()) > 54
