@@ -72,7 +72,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
-    rows = score(docs, fit(docs, labels))
+    rows = score(docs, fit(docs.where(~held_out), labels))
     return rows.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 

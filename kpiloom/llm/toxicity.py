@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.quality_rules import STOP_WORDS
@@ -358,7 +358,11 @@ def _refine(m: Model, d: DataFrame, labels: DataFrame, parts: int) -> Model:
     """
     spark, kind = d.sparkSession, d.schema["_id"].dataType.simpleString()
     hashed = d.select("_id", F.xxhash64("_id", "_text").alias("_hash"), "_text").mapInArrow(_tokens, f"_id {kind}, _hash long, lang long, words binary, heads binary")
-    rows = hashed.repartition(parts, "_id").join(labels.repartition(parts, "_id").hint("merge"), "_id").sortWithinPartitions("_hash", "_id")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("_hash", "long"), ("lang", "long"), ("words", "binary"), ("heads", "binary"))]
+    both = hashed.withColumn("label", F.lit(None).cast("int")).unionByName(labels.select("_id", *none, "label"))
+    # as many partitions as there are bytes for, whatever the session's width: a task's rows have to suffice to learn from
+    known = both.repartition(parts, "_id").withColumn("label", F.max("label").over(Window.partitionBy("_id")))
+    rows = known.where("words is not null and label is not null").sortWithinPartitions("_hash", "_id")
     rows = rows.persist(StorageLevel.DISK_ONLY)
     try:
         return _rounds(spark, m, rows)
