@@ -7,7 +7,7 @@ one file, any token can be read, counted up to a place, and its occurrences foun
 Layout: magic, length of the header, header (JSON: sizes and places of the blocks), then zstd-compressed blocks: document
 ids, their null marks, their token counts, and for each plane the bits and its directory (ones before each 512 bits).
 
-Writing: documents in order of their id are split into ranges, each task encodes its range in slices of a MB and writes a
+Writing: documents in order of their id are split into ranges, each task encodes its range in slices of 8 MB and writes a
 file whenever enough tokens have gathered; a file appears under its name only when whole, and a task that is run again
 writes the same bytes.  Reading: Spark hands out the files.  The memory of a task is that of one shard, set by
 ``tokens_per_shard`` (and by the longest single document).
@@ -18,10 +18,10 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +31,7 @@ from kpiloom.llm.textbytes import SLICE_BYTES, Bytes, slices
 
 MAGIC = b"WVMX0001"
 BLOCK = 512
+RUN = 1 << 15
 TOKENS_PER_SHARD = 3_000_000
 BYTES_PER_RANGE = 24 << 20
 MAX_RANGES = 20_000                        # reducers and map outputs that a driver can keep track of
@@ -45,6 +46,13 @@ def _ones(bits: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.uint32), np.cumsum(per, dtype=np.uint32)])
 
 
+def _halves(one: np.ndarray):
+    """Of each run of places (as many as a processor's cache holds): the run, and which of it are zeros and which ones."""
+    for i in range(0, len(one), RUN):
+        some = one[i: i + RUN]
+        yield slice(i, i + RUN), np.flatnonzero(~some), np.flatnonzero(some)
+
+
 class WaveletMatrix:
     """``n`` ids below 2 ** len(planes); plane 0 holds the highest bit."""
 
@@ -62,9 +70,13 @@ class WaveletMatrix:
             packed = np.packbits(one, bitorder="little")
             planes.append(packed)
             ranks.append(_ones(packed))
-            low = s[~one]
-            zeros.append(len(low))
-            s = np.concatenate([low, s[one]])
+            zeros.append(len(s) - int(ranks[-1][-1]))
+            down, i, j = np.empty_like(s), 0, zeros[-1]
+            for at, low, high in _halves(one):
+                down[i: i + len(low)] = s[at][low]
+                down[j: j + len(high)] = s[at][high]
+                i, j = i + len(low), j + len(high)
+            s = down
         return cls(len(s), planes, zeros, ranks)
 
     def _rank1(self, k: int, i: np.ndarray) -> np.ndarray:
@@ -136,9 +148,12 @@ class WaveletMatrix:
         x = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for k in range(len(self.planes) - 1, -1, -1):
             one = np.unpackbits(self.planes[k], bitorder="little")[: self.n].view(bool)
-            up = np.empty_like(x)
-            up[~one] = x[: self.zeros[k]]
-            up[one] = x[self.zeros[k]:] | x.dtype.type(1 << (len(self.planes) - 1 - k))
+            x[self.zeros[k]:] |= x.dtype.type(1 << (len(self.planes) - 1 - k))
+            up, i, j = np.empty_like(x), 0, self.zeros[k]
+            for at, low, high in _halves(one):
+                up[at][low] = x[i: i + len(low)]
+                up[at][high] = x[j: j + len(high)]
+                i, j = i + len(low), j + len(high)
             x = up
         return x
 
@@ -185,8 +200,11 @@ def _put(folder: str, name: str, data: bytes) -> None:
     where.move(attempt, f"{path}/{name}")
 
 
-_loaded: dict = {}          # of this Python worker: tokenizer file -> (tokenizer, ids of pieces seen)
-CACHED = 300_000
+_loaded: dict = {}          # of this Python worker: tokenizer file -> Pieces
+CACHED = 400_000            # pieces kept from slice to slice
+LONGEST = 64                # bytes of a piece that is kept
+TOGETHER = 256              # pieces encoded as one text
+BEFORE = b" x\n"            # a piece after which one that begins with a visible sign is cut off
 # bytes a sign begins with that is never white space: visible ASCII, and U+00C0 to U+07FF
 _OPENS = np.zeros(256, bool)
 _OPENS[33:127] = True
@@ -196,19 +214,93 @@ _LETTER[65:91] = _LETTER[97:123] = True
 _STOPS[list(b".,;:!?")] = True
 
 
-def _encoder(tokenizer: str):
-    if tokenizer not in _loaded:
+_VISIBLE = frozenset(np.flatnonzero(_OPENS).tolist())
+
+
+class Pieces:
+    """A tokenizer and the pieces of text that it was given: their bytes, their ids and how often they came, as Arrow tables."""
+
+    def __init__(self, tokenizer: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"            # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(tokenizer)
+        size = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}      # a byte-level token has a sign a byte
+        size |= {i: len(token.content.encode()) for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.n_bytes = np.zeros(max(size, default=0) + 1, np.int64)
+        self.n_bytes[list(size)] = list(size.values())
+        self.dtype = np.dtype(np.uint16 if len(self.n_bytes) <= 1 << 16 else np.uint32)
+        self.pieces = self.ids = pa.array([], pa.large_binary())
+        self.uses = np.zeros(0, np.int64)
+
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a list of pieces, and the borders of the pieces in them; each distinct new piece is encoded once."""
+        known = len(self.pieces)
+        both = pa.chunked_array([self.pieces, pieces]).dictionary_encode()             # the known ones come first, in their order
+        code, self.pieces = both.chunk(both.num_chunks - 1).indices, both.chunk(both.num_chunks - 1).dictionary
+        new = self._encode_new(self.pieces.slice(known).to_pylist())
+        self.ids = pa.concat_arrays([self.ids, new])
+        self.uses = np.bincount(code, minlength=len(self.pieces)) + np.append(self.uses, np.zeros(len(new), np.int64))
+        out = self.ids.take(code)
+        borders = np.frombuffer(out.buffers()[1], np.int64)[: len(out) + 1] // self.dtype.itemsize
+        ids = np.frombuffer(out.buffers()[2], self.dtype, int(borders[-1])) if borders[-1] else np.zeros(0, self.dtype)
+        self._forget()
+        return ids, borders
+
+    def _encode_new(self, pieces: list[bytes]) -> pa.Array:
+        """The ids of each piece.  Pieces that the pre-tokenizer cuts off after any other, or after ``BEFORE``, are encoded many
+        in one text, and told apart by the bytes of their tokens; the rest, or all if tokens do not spell the text, one by one."""
+        parts, which, alone = [], [], []
+        for k, p in enumerate(pieces):
+            if p[0] == 32 and len(p) > 1 and p[1] in _VISIBLE:
+                parts.append(p)
+                which.append(k)
+            elif p[0] in _VISIBLE:
+                parts += (BEFORE, p)
+                which += (-1, k)
+            else:
+                alone.append(k)
+        first = list(range(0, len(parts), TOGETHER))
+        batch = [e.ids for e in self._batch([b"".join(parts[i: i + TOGETHER]) for i in first])]
+        ids = np.concatenate([np.zeros(0, np.int64), *batch]).astype(np.int64)
+        ends = np.cumsum([0, *map(len, parts)])
+        at = np.append(0, np.cumsum(self.n_bytes[ids]))
+        cut = np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[cut] != ends).any() or (cut[first] != np.cumsum([0, *map(len, batch)])[:-1]).any():
+            ids, cut, which, alone = ids[:0], cut[:1], [], list(range(len(pieces)))
+        cut *= self.dtype.itemsize
+        joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(which), [None, pa.py_buffer(cut), pa.py_buffer(ids.astype(self.dtype))])
+        rest = pa.array([np.array(e.ids, self.dtype).tobytes() for e in self._batch([pieces[k] for k in alone])], pa.large_binary())
+        place = np.empty(len(pieces), np.int64)
+        at = np.flatnonzero(np.array(which, np.int64) >= 0)
+        place[np.array(which, np.int64)[at]] = at
+        place[alone] = len(which) + np.arange(len(alone))
+        return pa.concat_arrays([joined, rest]).take(pa.array(place))
+
+    def _batch(self, texts: list[bytes]) -> list:
+        return self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+
+    def _forget(self) -> None:
+        """Drop long pieces and, when too many are known, the half that came least often of late."""
+        keep = pc.binary_length(self.pieces).to_numpy() <= LONGEST
+        if len(keep) > CACHED:
+            keep[np.argsort(self.uses, kind="stable")[: len(keep) - CACHED // 2]] = False
+            self.uses >>= 1
+        if not keep.all():
+            at = pa.array(np.flatnonzero(keep))
+            self.pieces, self.ids, self.uses = self.pieces.take(at), self.ids.take(at), self.uses[keep]
+
+
+def _encoder(tokenizer: str) -> Pieces:
+    if tokenizer not in _loaded:
         _loaded.clear()
-        _loaded[tokenizer] = (Tokenizer.from_file(tokenizer), [{}, {}])
+        _loaded[tokenizer] = Pieces(tokenizer)
     return _loaded[tokenizer]
 
 
-def _pieces(b: Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of the pieces of some documents, and the borders of the documents in the list of pieces.
+def _pieces(b: Bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start of the pieces of some documents, and the borders of the documents in the list of pieces.
 
     A piece begins with each document, at each blank before a sign that is surely visible, at a stop after a letter, and
     after a single line end between visible signs.  A byte-level pre-tokenizer always cuts there, so tokens never reach over,
@@ -220,73 +312,55 @@ def _pieces(b: Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         after = b.data[1:]
         opens = _OPENS[after]
         first[: n - 1] = (b.data[:-1] == 32) & opens
+        first[b.at[1:-1] - 1] = False                             # the sign after it is another document's
         first[1:n] |= _LETTER[b.data[:-1]] & _STOPS[after]
         first[2:n] |= _OPENS[b.data[:-2]] & (b.data[1:-1] == 10) & opens[1:]
     first[b.at[:-1]] = True
     first[n] = False
     start = np.flatnonzero(first)
-    return start, np.append(start[1:], n), np.searchsorted(start, b.at)
+    return start, np.searchsorted(start, b.at)
 
 
 def encode(texts: pa.Array, tokenizer: str):
     """Token ids of slices of texts: yields (ids, borders of the documents in them).
 
-    Pieces repeat; each distinct one of a slice (told apart by 64-bit hashes) is encoded once, and kept for later slices."""
-    enc, seen = _encoder(tokenizer)
-    for _, _, b in slices(texts, 2 * SLICE_BYTES):
-        start, end, borders = _pieces(b)
+    Pieces repeat; each distinct one is encoded once, and those that come often are kept for later slices."""
+    known = _encoder(tokenizer)
+    for _, _, b in slices(texts, 8 * SLICE_BYTES):
+        start, borders = _pieces(b)
         if not len(start):
-            yield np.zeros(0, np.uint16), np.zeros(len(b) + 1, np.int64)
+            yield np.zeros(0, known.dtype), np.zeros(len(b) + 1, np.int64)
             continue
-        _, at, code = np.unique(b.hash_spans(start, end), return_index=True, return_inverse=True)
-        raw = b.data.tobytes()
-        pieces = [raw[i:j] for i, j in zip(start[at].tolist(), end[at].tolist())]
-        young, old = seen
-        ids = [young.get(p) for p in pieces]
-        new = [k for k, x in enumerate(ids) if x is None]
-        if old and new:
-            for k in new:
-                x = old.get(pieces[k])
-                if x is not None:
-                    ids[k] = young[pieces[k]] = x
-            new = [k for k in new if ids[k] is None]
-        for k, e in zip(new, enc.encode_batch_fast([pieces[k].decode() for k in new], add_special_tokens=False)):
-            ids[k] = array("I", e.ids).tobytes()
-            if len(pieces[k]) <= 64:
-                young[pieces[k]] = ids[k]
-        if len(young) > CACHED:                                   # what was not used since the last time is forgotten
-            seen[:] = [{}, young]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, where = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
-        each = size[code]
-        ends = np.cumsum(each)
-        out = pool[np.arange(ends[-1]) + np.repeat(where[code] - (ends - each), each)]
-        yield out, np.concatenate([[0], ends])[borders]
+        where = [None, pa.py_buffer(np.append(start, len(b.data))), pa.py_buffer(np.ascontiguousarray(b.data))]
+        ids, at = known.encode(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), where))
+        yield ids, at[borders]
 
 
 def _writer(folder: str, tokenizer: str, end: int, per_shard: int):
     def write(batches):
         part, shard = TaskContext.get().partitionId(), 0
         ids, docs, counts, held = [], [], [], 0
+        mark = np.array([end], np.uint16 if end < 1 << 16 else np.uint32)
 
         def flush():
             nonlocal ids, docs, counts, held, shard
             name = f"shard-{part:07d}-{shard:05d}.wvm"
-            _put(folder, name, to_bytes(WaveletMatrix.build(np.concatenate(ids)), docs, np.concatenate(counts)))
+            _put(folder, name, to_bytes(WaveletMatrix.build(np.concatenate(ids)), docs, np.array(counts)))
             row = pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "file": [name], "n_ids": [held], "n_docs": [len(docs)]}, schema=META)
             ids, docs, counts, held, shard = [], [], [], 0, shard + 1
             return row
 
         for b in batches:
-            names, row = b.column(0).to_pylist(), 0
+            names = iter(b.column(0).to_pylist())
             for some, borders in encode(b.column(1), tokenizer):
-                n = len(borders) - 1
-                ids.append(np.insert(some, borders[1:], end))      # the end id after each document
-                counts.append(np.diff(borders) + 1)
-                docs += names[row: row + n]
-                row, held = row + n, held + len(ids[-1])
-                if held >= per_shard:
-                    yield flush()
+                at = borders.tolist()
+                for i, j in zip(at, at[1:]):
+                    ids += [some[i:j], mark]                       # the end id after each document
+                    counts.append(j - i + 1)
+                    docs.append(next(names))
+                    held += j - i + 1
+                    if held >= per_shard:
+                        yield flush()
         if docs:
             yield flush()
 

@@ -142,6 +142,55 @@ def test_pieces_encode_as_whole_texts(tokenizer):
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class Counted:
+    """A tokenizer that notes how many texts it is given."""
+
+    def __init__(self, real):
+        self.real, self.texts = real, 0
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += len(texts)
+        return self.real.encode_batch_fast(texts, **kw)
+
+
+def ids_of(texts, known):
+    out = []
+    for ids, at in wavelet.encode(pa.array(texts, pa.large_string()), known):
+        out += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    return out
+
+
+def test_new_pieces_share_texts(tokenizer, monkeypatch):
+    """Distinct pieces reach the tokenizer many in a text, and none twice; the tables of known ones stay small."""
+    from tokenizers import Tokenizer
+    r, whole = random.Random(8), Tokenizer.from_file(tokenizer)
+    texts = ["\n".join(f"{prose(r, 6)}. It's (é) {r.random()} ".capitalize() for _ in range(30)) for _ in range(60)] + ["y" * 500, "🙂 a", None, "\n b", "日本 c"]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    wavelet._loaded.clear()
+    known = wavelet._encoder(tokenizer)
+    known.tokenizer = Counted(known.tokenizer)
+    assert ids_of(texts, tokenizer) == want
+    assert len(known.pieces) > 3000 and known.tokenizer.texts < len(known.pieces) / 100
+    known.tokenizer.texts = 0
+    assert ids_of([t for t in texts if t and len(t) > 1000], tokenizer) == want[:60] and known.tokenizer.texts == 0
+    monkeypatch.setattr(wavelet, "CACHED", 100)
+    for k in range(0, len(texts), 7):
+        assert ids_of(texts[k: k + 7], tokenizer) == want[k: k + 7]
+        assert len(known.pieces) == len(known.ids) == len(known.uses) <= 100
+
+
+def test_pieces_of_a_tokenizer_that_changes_bytes(tokenizer, tmp_path):
+    """Where tokens do not spell the text's bytes, joined pieces cannot be told apart, and each is encoded by itself."""
+    from tokenizers import Tokenizer, normalizers
+    whole = Tokenizer.from_file(tokenizer)
+    whole.normalizer = normalizers.Replace("o", "ooo")
+    whole.save(str(tmp_path / "t.json"))
+    r = random.Random(9)
+    texts = [prose(r, 50) for _ in range(20)]
+    assert ids_of(texts, str(tmp_path / "t.json")) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    wavelet._loaded.clear()
+
+
 def test_token_files(spark, tokenizer):
     from tokenizers import Tokenizer
     r = random.Random(4)
